@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import col
 from ..functions.urls import strip_vars
+from ..session import materialize
 from .skew import lookup_join
 
 
@@ -54,7 +55,8 @@ def match_prefix(
     else:
         raise ValueError(f"unknown pick {pick!r}")
     mapping = hits.groupBy(F.col("value").alias(name)).agg(best.alias("_best"))
-    joined = lookup_join(df, mapping.select(name, "_best.matched", "_best.target"), name)
+    mapping = materialize(mapping.select(name, "_best.matched", "_best.target"), "prefix-matches")
+    joined = lookup_join(df, mapping, name)
     return joined.select(*df.columns, "matched", "target")
 
 

@@ -55,3 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: loop state survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that several later steps read to the shared folder, and read it back.
+
+    It is computed once, survives executor loss, and its file size lets Spark plan joins with it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
