@@ -150,7 +150,7 @@ def reading_grade(words: Column, sentences: Column, syllables: Column) -> tuple[
         + F.lit(SYLLABLES_WEIGHT) * syllables.cast("double") / words.cast("double")
         - F.lit(GRADE_OFFSET)
     )
-    level = F.when(words > 0, F.round(grade, 1))
+    level = F.when(words > 0, F.round(grade * 10) / 10)
     error = F.when(words.isNull(), "no text").when(words == 0, "no words")
     return level, error
 

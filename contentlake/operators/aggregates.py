@@ -150,7 +150,8 @@ def metadata_wide(
 ) -> DataFrame:
     """One column per metadata key: fixed columns first, the rest in alphabetical order.
 
-    The column list is the only thing the driver sees; more than ``max_columns`` keys is an
+    Column names that differ from an earlier one in case only get a trailing ``_``, since Spark
+    cannot store both. The column list is the only thing the driver sees; more than ``max_columns`` keys is an
     error, and :func:`metadata_long` serves that case.
     """
     fixed = ["title", "Title"]
@@ -158,7 +159,14 @@ def metadata_wide(
     if len(found) > max_columns:
         raise ValueError(f"more than {max_columns} metadata keys: use metadata_long")
     rest = sorted({r["key"] for r in found} - set(fixed) - set(flags) | set(flags))
-    columns = [F.col(k) if k in flags else value(F.col(data), k).alias(k) for k in [*fixed, *rest] if k != key]
+    columns, taken = [], {key.lower()}
+    for k in [*fixed, *rest]:
+        if k != key:
+            name = k
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            columns.append((F.col(k) if k in flags else value(F.col(data), k)).alias(name))
     return df.select(key, *columns).orderBy(key)
 
 

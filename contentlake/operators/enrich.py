@@ -73,10 +73,9 @@ def nearest_place(points: DataFrame, places: DataFrame, cell: float | None = Non
     while True:
         edge = F.lit(cell)
         cubes = [F.floor(F.col(c) / edge) for c in ("x", "y", "z")]
-        steps = F.array(*[F.lit(d) for d in (-1, 0, 1)])
         near = todo
         for name, cube in zip(("cx", "cy", "cz"), cubes):
-            near = near.withColumn(name, F.explode(F.transform(steps, lambda d, cube=cube: cube + d)))
+            near = near.withColumn(name, F.explode(F.array(cube - 1, cube, cube + 1)))
         housed = spots.select(
             "*", *[F.floor(F.col(p) / edge).alias(c) for p, c in (("px", "cx"), ("py", "cy"), ("pz", "cz"))]
         )

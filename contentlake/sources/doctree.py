@@ -8,6 +8,7 @@ local or any URI that Arrow's file systems know (hdfs, s3, gs).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +17,17 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 
 from ..functions.common import unify_newlines
 
+def plain_root(root: str) -> str:
+    """A root as Arrow takes it: ``file:`` URIs become paths, other URIs stay."""
+    return re.sub(r"\Afile:/+", "/", root).rstrip("/")
+
+
+def below_root(path: Column, root: str) -> Column:
+    """Path relative to the root it was listed under."""
+    base = re.sub(r"\A[a-z0-9+]+://", "", plain_root(root))
+    return path.substr(len(base) + 2, 1 << 30)
+
+
 LISTING, WRITER = "contentlake_listing", "contentlake_tree"
 
 
@@ -75,7 +87,7 @@ def _register_listing(spark: SparkSession) -> None:
 def list_files(spark: SparkSession, root: str, folders: int = 256) -> DataFrame:
     """(path, size) of every file below ``root``, hidden names included."""
     _register_listing(spark)
-    return spark.read.format(LISTING).option("folders", folders).load(root.rstrip("/"))
+    return spark.read.format(LISTING).option("folders", folders).load(plain_root(root))
 
 
 def has_extension(path: Column, extension: str, ignore_case: bool) -> Column:
@@ -103,7 +115,7 @@ def read_doc_tree(
         files = files.filter(~path.rlike(index if skip_index == "exact" else "(?i)" + index))
     tasks = tasks or max(4 * spark.sparkContext.defaultParallelism, 32)
     located = files.select("path").repartition(tasks, "path")
-    remote = root if "://" in root else None
+    remote = plain_root(root) if "://" in plain_root(root) else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow
@@ -138,8 +150,7 @@ def read_doc_tree(
 def read_xml_docs(spark: SparkSession, root: str, languages: list[str], tasks: int | None = None) -> DataFrame:
     """(path, lang, xml) of ``xml/<lang>/docs/**/*.xml``; absent language folders yield no rows."""
     docs = read_doc_tree(spark, root, ".xml", tasks=tasks)
-    relative = F.col("path").substr(len(root.split("://")[-1].rstrip("/")) + 2, 1 << 30)
-    return select_languages(docs.select(relative.alias("path"), F.col("content").alias("xml")), languages)
+    return select_languages(docs.select(below_root(F.col("path"), root).alias("path"), F.col("content").alias("xml")), languages)
 
 
 def select_languages(docs: DataFrame, languages: list[str]) -> DataFrame:
@@ -188,4 +199,4 @@ def _register_writer(spark: SparkSession) -> None:
 def write_doc_tree(docs: DataFrame, root: str) -> None:
     """Write (path, content) as files below a new root; never over the tree that is read."""
     _register_writer(docs.sparkSession)
-    docs.select("path", "content").write.format(WRITER).mode("append").save(root)
+    docs.select("path", "content").write.format(WRITER).mode("append").save(plain_root(root))
