@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .session import spread
+
 TABLES = ["nation", "supplier", "customer", "orders", "events", "documents", "pages", "labels", "conversations"]
 
 ORIGIN = "https://docs.example.com"
@@ -154,7 +156,7 @@ FROM (SELECT page_id, NUMBERS_0_11 AS k FROM pages) k"""),
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, functions as F
 
 # Unicode white space including the four separators U+001C..U+001F.
 WS = r"[\s\x1c-\x1f]"
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def col(c: Column | str) -> Column:
@@ -20,16 +24,16 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Trim all Unicode white space on both ends (SQL ``trim`` removes spaces only)."""
-    return F.regexp_replace(col(c), rf"(?U)\A{WS}+|{WS}+\z", "")
+    """Trim all Unicode white space on both ends (plain ``trim`` removes spaces only)."""
+    return F.trim(col(c), F.lit(WS_CHARS))
 
 
 def rstrip_ws(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"(?U){WS}+\z", "")
+    return F.rtrim(col(c), F.lit(WS_CHARS))
 
 
 def lstrip_ws(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"(?U)\A{WS}+", "")
+    return F.ltrim(col(c), F.lit(WS_CHARS))
 
 
 def unify_newlines(c: Column | str) -> Column:
@@ -40,14 +44,18 @@ def unify_newlines(c: Column | str) -> Column:
 def replace_matches(text: Column, pattern: str, groups: list[int], build: Callable[..., Column]) -> Column:
     """Replace every match of ``pattern`` by ``build(group, ...)``, a computed column.
 
-    The text is cut at the matches; the gaps and the rebuilt matches are joined again.
+    The text is cut at the matches once; groups are then taken out of the short matches.
     """
-    parts = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups]
-    gaps = F.split(text, pattern, -1)
-    rows = F.arrays_zip(F.slice(gaps, 1, F.size(parts[0])).alias("gap"), *[p.alias(f"g{i}") for i, p in enumerate(parts)])
-    rebuilt = F.transform(rows, lambda r: F.concat(r["gap"], build(*[r[f"g{i}"] for i in range(len(parts))])))
-    return (
-        F.when(text.isNull(), None)
-        .when(F.size(parts[0]) == 0, text)
-        .otherwise(F.concat(F.array_join(rebuilt, ""), F.element_at(gaps, -1)))
+    cut = F.struct(
+        F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
     )
+
+    def rebuild(c: Column) -> Column:
+        pieces = F.transform(
+            c["hits"],
+            lambda hit, i: F.concat(F.get(c["gaps"], i), build(*[F.regexp_extract(hit, pattern, g) for g in groups])),
+        )
+        return F.concat(F.array_join(pieces, ""), F.element_at(c["gaps"], -1))
+
+    return bind(cut, rebuild)

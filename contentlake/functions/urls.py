@@ -36,31 +36,31 @@ def _literal(text: str) -> str:
 
 
 def _fix_scheme_slashes(c: Column) -> Column:
-    return _rx(strip_ws(c), (r"\A(https?:)/*", "$1//"))
+    """Trimmed, NULL when blank, exactly two slashes after http(s)."""
+    return _rx(F.nullif(strip_ws(c), F.lit("")), (r"\A(https?:)/*", "$1//"))
 
 
 def _tidy(c: Column) -> Column:
-    """Shared tail: scheme case, path only unless scheme and host exist, one trailing slash. '' stays ''."""
+    """Shared tail: scheme case, path only unless scheme and host exist, one trailing slash."""
     return _rx(
-        c,
+        F.concat(c, F.lit("/")),
         (r"\A(?i:https)://", "https://"),
         (r"\A(?i:http)://", "http://"),
         (rf"\A{SCHEME}:(?=//)(?!//[^/])", ""),      # scheme without a host
         (r"\A//[^/]*", "/"),                        # host without a scheme
         (rf"\A{SCHEME}:(?!//)", "/"),               # scheme without slashes
-        (r"(?s)(?<=.)\z", "/"),
         (rf"(?<!\A[A-Za-z][A-Za-z0-9+.\-]{{0,30}}:)/{{2,}}", "/"),
-        (rf"\A(?!/|{SCHEME}://|\z)", "/"),
+        (rf"\A(?!/|{SCHEME}://)", "/"),
     )
 
 
 def _without_query(c: Column) -> Column:
-    return _rx(c, (r"(?s)[?#].*", "/"))
+    return _rx(c, (r"(?s)[?#].*", ""))
 
 
 def normalize_url(url: Column | str) -> Column:
     """Trimmed URL without query or fragment, single slashes, one trailing slash; blank becomes NULL."""
-    return F.nullif(_tidy(_without_query(_fix_scheme_slashes(col(url)))), F.lit(""))
+    return _tidy(_without_query(_fix_scheme_slashes(col(url))))
 
 
 def _drop_dot_segments(path: Column) -> Column:
@@ -92,12 +92,12 @@ def _absolute(c: Column, origin: str) -> Column:
             v.rlike(relative_dots), F.concat(F.lit("/"), _drop_dot_segments(F.regexp_replace(v, r"\A/", "")))
         ).otherwise(v),
     )
-    return _tidy(_rx(s, (rf"\A(?!{SCHEME}:|\z)/?", _literal(f"{origin}/"))))
+    return _tidy(_rx(s, (rf"\A(?!{SCHEME}:)/?", _literal(f"{origin}/"))))
 
 
 def absolute_url(url: Column | str, origin: str) -> Column:
     """Resolve against the site root ``origin`` and normalise; blank becomes NULL."""
-    return F.nullif(_absolute(col(url), origin), F.lit(""))
+    return _absolute(col(url), origin)
 
 
 def remove_variables(text: Column | str) -> Column:
@@ -106,8 +106,8 @@ def remove_variables(text: Column | str) -> Column:
 
 
 def strip_vars(url: Column | str, origin: str) -> Column:
-    """Remove server variables, then make absolute and normal again."""
-    return _absolute(remove_variables(url), origin)
+    """Remove server variables, then make absolute and normal again; '' when nothing is left."""
+    return F.when(col(url).isNotNull(), F.coalesce(_absolute(remove_variables(url), origin), F.lit("")))
 
 
 def clean_target(target: Column | str) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
+from ..session import known_bytes, materialize, row_count
 from .aggregates import latest_per_key
 from .skew import lookup_join
 
@@ -58,9 +60,6 @@ def nearest_place(points: DataFrame, places: DataFrame, cell: float | None = Non
     longer than the cube edge; the rest retry with doubled cubes, up to the whole sphere, so the
     answer is exact. Ties go to the lowest place_id.
     """
-    if cell is None:
-        n = max(places.count(), 1)
-        cell = min(2.0, (4 * 3.14159 / n) ** 0.5)
     scale = float(10**DECIMALS)
     x, y, z = _on_sphere(F.col("lat_key") / scale, F.col("lon_key") / scale)
     todo = materialize(points.select("lat_key", "lon_key", x.alias("x"), y.alias("y"), z.alias("z")), "points")
@@ -68,6 +67,8 @@ def nearest_place(points: DataFrame, places: DataFrame, cell: float | None = Non
     spots = materialize(
         places.select("place_id", "country", x.alias("px"), y.alias("py"), z.alias("pz")), "places"
     )
+    if cell is None:  # about one place per cube face
+        cell = min(2.0, (4 * math.pi / max(row_count(spots), 1)) ** 0.5)
     solved = None
     keys = ["lat_key", "lon_key"]
     while True:
@@ -80,7 +81,7 @@ def nearest_place(points: DataFrame, places: DataFrame, cell: float | None = Non
             "*", *[F.floor(F.col(p) / edge).alias(c) for p, c in (("px", "cx"), ("py", "cy"), ("pz", "cz"))]
         )
         chord = sum(((F.col(a) - F.col(p)) * (F.col(a) - F.col(p)) for a, p in (("x", "px"), ("y", "py"), ("z", "pz"))), F.lit(0.0))
-        met = lookup_join(near, housed, ["cx", "cy", "cz"], "inner")
+        met = lookup_join(near, housed, ["cx", "cy", "cz"], "inner", right_bytes=known_bytes(spots))
         best = met.groupBy(*keys).agg(
             F.min(F.struct(F.round(chord, 12).alias("d2"), "place_id", "country")).alias("b")
         )
@@ -91,7 +92,7 @@ def nearest_place(points: DataFrame, places: DataFrame, cell: float | None = Non
         if whole_sphere:
             return solved
         todo = materialize(todo.join(decided, keys, "left_anti"), "points")
-        if todo.isEmpty():
+        if row_count(todo) == 0:
             return solved
         cell = min(cell * 2, 2.0)
 

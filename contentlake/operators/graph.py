@@ -16,7 +16,7 @@ from ..functions.urls import (
     url_host,
     url_path,
 )
-from ..session import materialize
+from ..session import known_bytes, materialize, row_count
 from .prefix import slash_prefixes
 from .skew import lookup_join
 
@@ -55,9 +55,10 @@ def reachable(candidates: DataFrame, bases: DataFrame) -> DataFrame:
     while True:
         # a page with very many links is the hot key here; frontier pages are distinct
         at = frontier.withColumnRenamed("url", "src")
-        reached = lookup_join(links, at, ["doc_set", "src"], "inner").select("doc_set", F.col("dst").alias("url"))
-        fresh = materialize(reached.distinct().join(visited, ["doc_set", "url"], "left_anti"), "visited")
-        if fresh.isEmpty():
+        reached = lookup_join(links, at, ["doc_set", "src"], "inner", right_bytes=known_bytes(frontier))
+        reached = reached.select("doc_set", F.col("dst").alias("url")).distinct()
+        fresh = materialize(reached.join(visited, ["doc_set", "url"], "left_anti"), "visited")
+        if row_count(fresh) == 0:
             break
         found.append(fresh)
         visited = visited.unionByName(fresh)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import col
 from ..functions.markup import include_gaps, include_key, include_refs
 from ..functions.text import VERSIONS_LINE, strip_front_matter
-from ..session import materialize
+from ..session import known_bytes, materialize, row_count
 from .filters import not_index
 from .skew import lookup_join
 
@@ -81,43 +83,36 @@ def resolve_fragments(fragments: DataFrame) -> DataFrame:
     )
     empty = F.array().cast("array<string>")
     no_refs = F.size(include_refs("text")) == 0
-    done = materialize(
-        source.filter(no_refs).select("ref", "text", F.lit(0).cast("bigint").alias("n_missing"), empty.alias("missing")),
-        "fragments",
-    )
-    open_ = materialize(source.filter(~no_refs), "fragments")
+    nothing = [F.lit(0).cast("bigint").alias("n_missing"), empty.alias("missing")]
+    leaves = materialize(source.filter(no_refs).select("ref", "text", *nothing), "fragments")
+    open_ = source.filter(~no_refs)
     uses = _refs_of(open_.select(F.col("ref").alias("owner"), "text"), "owner", "text")
     known = lookup_join(uses, source.select("ref", F.lit(True).alias("exists")), "ref")
-    uses = materialize(known.select("owner", "pos", "ref", F.coalesce("exists", F.lit(False)).alias("exists")), "fragments")
-    while not open_.isEmpty():
-        waiting = uses.join(open_.select(F.col("ref").alias("owner")), "owner", "left_semi")
-        joined = lookup_join(waiting, done, "ref").withColumn("ready", ~F.col("exists") | F.col("text").isNotNull())
+    uses = materialize(known.select("owner", "pos", "ref", F.coalesce("exists", F.lit(False)).alias("exists")), "fragment-uses")
+    rounds = [leaves]
+    while True:
+        done = reduce(DataFrame.unionByName, rounds)
+        waiting = uses.join(done.select(F.col("ref").alias("owner")), "owner", "left_anti")
+        joined = lookup_join(waiting, done, "ref", right_bytes=known_bytes(*rounds))
+        joined = joined.withColumn("ready", ~F.col("exists") | F.col("text").isNotNull())
+        gone = F.when(~F.col("exists"), F.array("ref")).otherwise(F.coalesce("missing", empty))
         filled = (
-            joined.groupBy("owner")
+            joined.groupBy(F.col("owner").alias("ref"))
             .agg(
                 F.bool_and("ready").alias("ready"),
                 F.sort_array(F.collect_list(F.struct("pos", F.coalesce("text", F.lit("")).alias("t")))).alias("parts"),
                 (F.count_if(~F.col("exists")) + F.coalesce(F.sum("n_missing"), F.lit(0))).cast("bigint").alias("n_missing"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-                    F.when(~F.col("exists"), F.array("ref")).otherwise(F.coalesce("missing", empty)))))).alias("missing"),
+                F.array_sort(F.array_distinct(F.flatten(F.collect_list(gone)))).alias("missing"),
             )
             .filter("ready")
-            .withColumnRenamed("owner", "ref")
         )
-        fresh = materialize(
-            open_.join(filled, "ref").select(
-                "ref", _interleave(include_gaps("text"), F.col("parts.t")).alias("text"), "n_missing", "missing"
-            ),
-            "fragments",
-        )
-        if fresh.isEmpty():
+        text = _interleave(include_gaps("text"), F.col("parts.t")).alias("text")
+        fresh = materialize(open_.join(filled, "ref").select("ref", text, "n_missing", "missing"), "fragments")
+        if row_count(fresh) == 0:
             break
-        done = materialize(done.unionByName(fresh), "fragments")
-        open_ = materialize(open_.join(fresh, "ref", "left_anti"), "fragments")
-    cyclic = open_.select(
-        "ref", F.lit(None).cast("string").alias("text"), F.lit(0).cast("bigint").alias("n_missing"), empty.alias("missing")
-    )
-    return done.unionByName(cyclic)
+        rounds.append(fresh)
+    cyclic = open_.join(done.select("ref"), "ref", "left_anti")
+    return done.unionByName(cyclic.select("ref", F.lit(None).cast("string").alias("text"), *nothing))
 
 
 def expand_includes(
@@ -129,9 +124,9 @@ def expand_includes(
     fragment leaves nothing behind; a document that reaches a cycle has ``expanded`` NULL.
     ``compat`` drops a whole line when an expansion inside it holds a ``versions`` shortcode.
     """
-    resolved = materialize(resolve_fragments(fragments), "fragments").withColumn("found", F.lit(True))
+    resolved = materialize(resolve_fragments(fragments), "fragments")
     refs = _refs_of(docs, key, text)
-    joined = lookup_join(refs, resolved, "ref")
+    joined = lookup_join(refs, resolved.withColumn("found", F.lit(True)), "ref", right_bytes=known_bytes(resolved))
     found = F.coalesce("found", F.lit(False))
     piece = F.coalesce("text", F.lit(""))
     empty = F.array().cast("array<string>")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import col
 from ..functions.urls import strip_vars
-from ..session import materialize
+from ..session import known_bytes, materialize
 from .skew import lookup_join
 
 
@@ -34,16 +34,13 @@ def length_prefixes(rules: DataFrame, prefix: str) -> Column:
     return F.transform(wanted, lambda n: F.col("value").substr(F.lit(1), n))
 
 
-def match_prefix(
-    df: DataFrame, name: str, rules: DataFrame, *, pick: str, slash_terminated: bool = False
-) -> DataFrame:
-    """Add ``matched`` (rule prefix) and ``target`` to every row; NULL where no rule applies.
+def best_prefix(values: DataFrame, rules: DataFrame, *, pick: str, slash_terminated: bool = False) -> DataFrame:
+    """(value, matched, target) for the distinct column ``value`` where a rule applies.
 
     ``rules`` holds (ord, prefix, target). ``pick`` is ``longest`` or ``first`` (lowest ord).
     ``slash_terminated`` says that values and prefixes all end in ``/``, which needs far
     fewer candidate prefixes.
     """
-    values = df.select(F.col(name).alias("value")).filter(F.col(name).isNotNull()).distinct()
     candidates = slash_prefixes(F.col("value")) if slash_terminated else length_prefixes(rules, "prefix")
     offered = values.select("value", F.explode(candidates).alias("prefix"))
     hits = lookup_join(offered, rules.select("ord", "prefix", "target"), "prefix", "inner")
@@ -54,9 +51,20 @@ def match_prefix(
         best = F.min_by(chosen, F.col("ord"))
     else:
         raise ValueError(f"unknown pick {pick!r}")
-    mapping = hits.groupBy(F.col("value").alias(name)).agg(best.alias("_best"))
-    mapping = materialize(mapping.select(name, "_best.matched", "_best.target"), "prefix-matches")
-    joined = lookup_join(df, mapping, name)
+    return hits.groupBy("value").agg(best.alias("_best")).select("value", "_best.matched", "_best.target")
+
+
+def distinct_values(df: DataFrame, name: str) -> DataFrame:
+    return df.select(F.col(name).alias("value")).filter(F.col(name).isNotNull()).distinct()
+
+
+def match_prefix(
+    df: DataFrame, name: str, rules: DataFrame, *, pick: str, slash_terminated: bool = False
+) -> DataFrame:
+    """Add ``matched`` (rule prefix) and ``target`` to every row; NULL where no rule applies."""
+    best = best_prefix(distinct_values(df, name), rules, pick=pick, slash_terminated=slash_terminated)
+    mapping = materialize(best.withColumnRenamed("value", name), "prefix-matches")
+    joined = lookup_join(df, mapping, name, right_bytes=known_bytes(mapping))
     return joined.select(*df.columns, "matched", "target")
 
 
@@ -93,9 +101,12 @@ def top_rules(rules: DataFrame, n: int = 10) -> DataFrame:
 def apply_redirects(df: DataFrame, name: str, rules: DataFrame, origin: str, out: str) -> DataFrame:
     """Canonical URL by the longest matching rule, one hop; unmatched URLs stay.
 
-    ``name`` must hold normalised URLs, and rules must come from :func:`dedup_rules`.
+    ``name`` must hold cleaned URLs (:func:`strip_vars`), and rules must come from
+    :func:`dedup_rules`. The rewritten URL is computed once per distinct URL.
     """
-    matched = match_prefix(df, name, rules, pick="longest", slash_terminated=True)
-    url = F.col(name)
-    swapped = F.concat("target", url.substr(F.length("matched") + 1, F.length(url)))
-    return matched.withColumn(out, strip_vars(F.coalesce(swapped, url), origin)).drop("matched", "target")
+    best = best_prefix(distinct_values(df, name), rules, pick="longest", slash_terminated=True)
+    value = F.col("value")
+    moved = best.withColumn("moved", F.concat("target", value.substr(F.length("matched") + 1, F.length(value))))
+    mapping = materialize(moved.select(value.alias(name), strip_vars("moved", origin).alias("_moved")), "redirected")
+    joined = lookup_join(df, mapping, name, right_bytes=known_bytes(mapping))
+    return joined.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_moved", name).alias(out))

@@ -16,10 +16,6 @@ def measured_bytes(df: DataFrame) -> int:
     return total or 0
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
-
-
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys above ``hot_rows`` with the number of slices each needs.
 
@@ -38,15 +34,17 @@ def lookup_join(
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    right_bytes: int | None = None,
 ) -> DataFrame:
     """Equi join of a large side with a lookup side (``how``: inner, left, left_semi, left_anti).
 
     A lookup that fits is broadcast and nothing is shuffled. Beyond that size both sides are
     shuffled, and rows of hot keys (NULL included) are spread over slices that each meet a
-    copy of the matching lookup rows, so no single task receives a hot key.
+    copy of the matching lookup rows, so no single task receives a hot key. ``right_bytes`` is
+    the size of the lookup side when it is known; otherwise it is measured.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(right, broadcast_bytes):
+    if (measured_bytes(right) if right_bytes is None else right_bytes) <= broadcast_bytes:
         return left.join(F.broadcast(right), keys, how)
     hot = F.broadcast(hot_keys(left, keys, hot_rows))
 

@@ -142,7 +142,8 @@ def span_rewrite(docs: DataFrame, key: str = "path", text: str = "content") -> D
     """(key, new_content) of the documents whose styled spans were rewritten."""
     return (
         docs.filter(F.lower(text).contains("<span"))
-        .select(key, text, spans_to_bold(text).alias("new_content"))
+        # exploding a single value keeps the filter from evaluating the rewrite a second time
+        .select(key, text, F.explode(F.array(spans_to_bold(text))).alias("new_content"))
         .filter(F.col("new_content") != F.col(text))
         .select(key, "new_content")
     )

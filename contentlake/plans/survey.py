@@ -46,8 +46,8 @@ def clean_link_urls(df: DataFrame, names: list[str], origin: str) -> DataFrame:
     """Absolute, normal URLs without server variables; originals stay in ``original_<name>``."""
     present = [n for n in names if n in df.columns]
     originals = {f"original_{n}": F.col(n) for n in present if f"original_{n}" not in df.columns}
-    cleaned = {n: strip_vars(absolute_url(n, origin), origin) for n in present}
-    return df.withColumns(originals).withColumns(cleaned)
+    absolute = df.withColumns(originals).withColumns({n: absolute_url(n, origin) for n in present})
+    return absolute.withColumns({n: strip_vars(n, origin) for n in present})
 
 
 def clean_survey(

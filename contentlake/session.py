@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 #: Settings every job of this package relies on; all are runtime-settable.
 RUNTIME_CONF = {
@@ -51,17 +51,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: loop state survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read to the shared folder, and read it back.
 
-    It is computed once, survives executor loss, and its file size lets Spark plan joins with it.
+    It is computed once and survives executor loss. Row count and size are observed during the
+    write (see :func:`row_count` and :func:`known_bytes`), so no further job has to measure them.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes")).write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.observed = seen.get
+    return out
+
+
+def row_count(df: DataFrame) -> int:
+    """Rows of a materialized result."""
+    return df.observed["rows"]
+
+
+def known_bytes(*parts: DataFrame) -> int:
+    """Size of one or several materialized results as text."""
+    return sum(part.observed["bytes"] for part in parts)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that has fewer partitions than the cluster has cores.
+
+    A small table in one file would keep all work in one task. A large scan has more splits
+    than cores already and passes through untouched, without any shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -33,17 +33,17 @@ LISTING, WRITER = "contentlake_listing", "contentlake_tree"
 
 def _register_listing(spark: SparkSession) -> None:
     # classes are built here so that they travel to the executors by value
-    class Folder(InputPartition):
-        def __init__(self, path: str, deep: bool) -> None:
-            self.path, self.deep = path, deep
+    class Folders(InputPartition):
+        def __init__(self, shallow: list[str], deep: list[str]) -> None:
+            self.shallow, self.deep = shallow, deep
 
     class ListingReader(DataSourceReader):
         def __init__(self, options: dict) -> None:
             self.root = options["path"]
-            self.folders = int(options.get("folders", "256"))
+            self.folders = int(options.get("folders", "64"))
 
         def partitions(self) -> list[InputPartition]:
-            """Folder names only: whole subtrees, plus the upper folders on their own."""
+            """Folder names only, dealt out evenly: subtrees, and upper folders without theirs."""
             from pyarrow import fs
 
             system, root = fs.FileSystem.from_uri(self.root) if "://" in self.root else (fs.LocalFileSystem(), self.root)
@@ -56,19 +56,21 @@ def _register_listing(spark: SparkSession) -> None:
                     for info in system.get_file_info(fs.FileSelector(folder, recursive=False))
                     if info.type == fs.FileType.Directory
                 ]
-            return [Folder(p, False) for p in shallow] + [Folder(p, True) for p in level]
+            n = max(1, min(self.folders, len(shallow) + len(level)))
+            return [Folders(shallow[i::n], level[i::n]) for i in range(n)]
 
-        def read(self, partition: Folder) -> Iterator[tuple]:
+        def read(self, partition: Folders) -> Iterator[tuple]:
             from pyarrow import fs
 
             system = fs.FileSystem.from_uri(self.root)[0] if "://" in self.root else fs.LocalFileSystem()
-            pending = [partition.path]
+            pending = [(p, False) for p in partition.shallow] + [(p, True) for p in partition.deep]
             while pending:
-                for info in system.get_file_info(fs.FileSelector(pending.pop(), recursive=False)):
+                folder, deep = pending.pop()
+                for info in system.get_file_info(fs.FileSelector(folder, recursive=False)):
                     if info.type == fs.FileType.File:
                         yield info.path, info.size
-                    elif info.type == fs.FileType.Directory and partition.deep:
-                        pending.append(info.path)
+                    elif info.type == fs.FileType.Directory and deep:
+                        pending.append((info.path, True))
 
     class Listing(DataSource):
         @classmethod
@@ -84,7 +86,7 @@ def _register_listing(spark: SparkSession) -> None:
     spark.dataSource.register(Listing)
 
 
-def list_files(spark: SparkSession, root: str, folders: int = 256) -> DataFrame:
+def list_files(spark: SparkSession, root: str, folders: int = 64) -> DataFrame:
     """(path, size) of every file below ``root``, hidden names included."""
     _register_listing(spark)
     return spark.read.format(LISTING).option("folders", folders).load(plain_root(root))
