@@ -100,14 +100,14 @@ def write_report(df: DataFrame, path: str, columns: list[str], order: list[str],
     writer = report.write.mode("errorifexists")
     if fmt == "csv":
         # NULL and '' stay apart; quotes are doubled, so any text survives
-        writer.option("header", True).option("nullValue", "\\N").option("emptyValue", "").option("escape", '"').csv(path)
+        writer.option("header", True).option("nullValue", "\\N").option("escape", '"').csv(path)
     else:
         writer.format(fmt).save(path)
 
 
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(
-        path, header=True, nullValue="\\N", emptyValue="", escape='"', multiLine=True
+        path, header=True, nullValue="\\N", escape='"', multiLine=True
     )
 
 
