@@ -49,7 +49,8 @@ def _tidy(c: Column) -> Column:
         (rf"\A{SCHEME}:(?=//)(?!//[^/])", ""),      # scheme without a host
         (r"\A//[^/]*", "/"),                        # host without a scheme
         (rf"\A{SCHEME}:(?!//)", "/"),               # scheme without slashes
-        (rf"(?<!\A[A-Za-z][A-Za-z0-9+.\-]{{0,30}}:)/{{2,}}", "/"),
+        # the lookbehind comes last, so it only runs where slashes repeat
+        (r"/{2,}(?<!\A[A-Za-z][A-Za-z0-9+.\-]{0,30}://)", "/"),
         (rf"\A(?!/|{SCHEME}://)", "/"),
     )
 
@@ -107,7 +108,7 @@ def remove_variables(text: Column | str) -> Column:
 
 def strip_vars(url: Column | str, origin: str) -> Column:
     """Remove server variables, then make absolute and normal again; '' when nothing is left."""
-    return F.when(col(url).isNotNull(), F.coalesce(_absolute(remove_variables(url), origin), F.lit("")))
+    return F.coalesce(_absolute(remove_variables(url), origin), F.when(col(url).isNotNull(), F.lit("")))
 
 
 def clean_target(target: Column | str) -> Column:

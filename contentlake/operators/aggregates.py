@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import strip_ws
+from ..session import materialize
 from .filters import keep_rated, require_columns
 
 # Separator of joined comments and the text of an unmapped product.
@@ -71,7 +72,8 @@ def feedback_by_page(
         F.col(order).alias("row_id"),
     )
     keys = ["canonical_url", "product"]
-    statistics = page_statistics(rated, keys, "q1", "q2")
+    # read twice below, and tiny next to the answers
+    statistics = materialize(page_statistics(rated, keys, "q1", "q2"), "page-statistics")
     comments = join_comments(rated, statistics, keys, "q2", "row_id", max_comments)
     return finish_feedback(statistics, comments, keys)
 
@@ -197,6 +199,20 @@ def audit_changes(df: DataFrame, key: str, stage: str, rules: list[tuple[str, Co
     return exploded.filter(changed("before", "after"))
 
 
+def audit_removals(df: DataFrame, key: str, stage: str, rules: list[tuple[str, Column, Column]]) -> DataFrame:
+    """(stage, row_key, rule, before, after) for every row a rule removes; the first rule that applies counts.
+
+    A rule is (name, condition, the value it judged).
+    """
+    hit = None
+    for name, removes, value in rules:
+        entry = F.struct(F.lit(name).alias("rule"), value.cast("string").alias("before"))
+        hit = F.when(removes, entry) if hit is None else hit.when(removes, entry)
+    judged = df.select(F.col(key).cast("string").alias("row_key"), hit.alias("_hit")).filter(F.col("_hit").isNotNull())
+    none = F.lit(None).cast("string").alias("after")
+    return judged.select(F.lit(stage).alias("stage"), "row_key", "_hit.rule", "_hit.before", none)
+
+
 def latest_per_key(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(ts).alias(out))
 

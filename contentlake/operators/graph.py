@@ -22,8 +22,8 @@ from .skew import lookup_join
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst) for every anchor: resolved, entity-decoded, without trailing slash."""
-    raw = pages.select(F.col(url).alias("src"), F.explode(extract_hrefs(html)).alias("href"))
+    """(src, dst) for every anchor: resolved, entity-decoded, both without trailing slash."""
+    raw = pages.select(strip_trailing_slash(url).alias("src"), F.explode(extract_hrefs(html)).alias("href"))
     return raw.select("src", strip_trailing_slash(resolve_url("src", decode_entities("href"))).alias("dst"))
 
 
@@ -49,7 +49,7 @@ def reachable(candidates: DataFrame, bases: DataFrame) -> DataFrame:
     and a lost executor costs one round at most. A linked page that is not stored is found
     but leads nowhere.
     """
-    links = materialize(candidates.select("doc_set", "src", "dst").distinct(), "links")
+    links = materialize(candidates.select("doc_set", "src", "dst"), "links")
     visited = materialize(bases.select("doc_set", strip_trailing_slash("base").alias("url")), "visited")
     frontier, found = visited, []
     while True:

@@ -125,7 +125,14 @@ def expand_includes(
     ``compat`` drops a whole line when an expansion inside it holds a ``versions`` shortcode.
     """
     resolved = materialize(resolve_fragments(fragments), "fragments")
-    refs = _refs_of(docs, key, text)
+    # documents without a reference need no join, so their text is never shuffled
+    has_refs = col(text).contains("{{<") & (F.size(include_refs(text)) > 0)
+    has_refs = F.coalesce(has_refs, F.lit(False))
+    with_refs = docs.filter(has_refs)
+    untouched = docs.filter(~has_refs).select(
+        *docs.columns, col(text).alias("expanded"), F.lit(0).cast("bigint").alias("n_errors"), F.lit(None).cast("string").alias("error")
+    )
+    refs = _refs_of(with_refs, key, text)
     joined = lookup_join(refs, resolved.withColumn("found", F.lit(True)), "ref", right_bytes=known_bytes(resolved))
     found = F.coalesce("found", F.lit(False))
     piece = F.coalesce("text", F.lit(""))
@@ -142,15 +149,15 @@ def expand_includes(
     pieces = F.col("_parts.t")
     if compat:
         pieces = F.transform(pieces, lambda t: F.replace(t, F.lit("\n"), F.lit(_INNER_BREAK)))
-    filled = F.when(F.col("_parts").isNull(), col(text)).otherwise(_interleave(include_gaps(text), pieces))
+    filled = _interleave(include_gaps(text), pieces)
     if compat:
         kept = F.filter(
             F.split(filled, "\n", -1), lambda line: ~F.replace(line, F.lit(_INNER_BREAK), F.lit("\n")).rlike(VERSIONS_LINE)
         )
         filled = F.replace(F.array_join(kept, "\n"), F.lit(_INNER_BREAK), F.lit("\n"))
     missing = F.concat(F.lit("missing include: "), F.array_join("_missing", ", "))
-    return (
-        docs.join(per_doc, key, "left")
+    expanded = (
+        with_refs.join(per_doc, key)
         .withColumn("expanded", F.when(~cycle, filled))
         .withColumn(
             "n_errors",
@@ -159,3 +166,4 @@ def expand_includes(
         .withColumn("error", F.when(cycle, "include cycle").when(F.col("n_errors") > 0, missing))
         .drop("_parts", "_gone", "_nested", "_cycle", "_missing")
     )
+    return expanded.unionByName(untouched)

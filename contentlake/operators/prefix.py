@@ -55,7 +55,8 @@ def best_prefix(values: DataFrame, rules: DataFrame, *, pick: str, slash_termina
 
 
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
-    return df.select(F.col(name).alias("value")).filter(F.col(name).isNotNull()).distinct()
+    # NULL stays in: a filter would be pushed down and evaluate a computed column twice
+    return df.select(F.col(name).alias("value")).distinct()
 
 
 def match_prefix(

@@ -55,8 +55,10 @@ def lookup_join(
         joined = df.join(hot, same, "left").drop(*[f"_hot_{k}" for k in keys])
         return joined.withColumn("_slices", F.coalesce("_slices", F.lit(1)))
 
-    # the slice depends on row content only, so a recomputed task puts rows in the same place
-    row_hash = F.xxhash64(*[F.col(f"`{c}`").cast("string") if _is_map(left, c) else F.col(f"`{c}`") for c in left.columns])
+    # The slice follows from the row and its partition number: a recomputed task puts each row in
+    # the same place again, and identical copies still spread, as they sit in many partitions.
+    parts = [F.col(f"`{c}`").cast("string") if _is_map(left, c) else F.col(f"`{c}`") for c in left.columns]
+    row_hash = F.xxhash64(*parts, F.spark_partition_id())
     sliced_left = with_slices(left.withColumn("_hash", row_hash)).withColumn(
         "_slice", F.pmod("_hash", F.col("_slices").cast("bigint")).cast("int")
     )

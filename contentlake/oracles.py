@@ -131,6 +131,11 @@ SELECT CAST(row_id AS VARCHAR) AS row_key, 'normalize' AS rule, link_url AS befo
 UNION ALL SELECT CAST(row_id AS VARCHAR), 'scrub', q2, {scrubbed('q2')} FROM v_survey)
 SELECT 'clean' AS stage, * FROM c WHERE before <> after""", "v_survey")
 
+oracle("audit_removals", r"""
+SELECT 'clean' AS stage, CAST(row_id AS VARCHAR) AS row_key,
+       CASE WHEN link_url IS NULL THEN 'missing link' ELSE 'trial answer' END AS rule, CASE WHEN link_url IS NULL THEN NULL ELSE q2 END AS before,
+       CAST(NULL AS VARCHAR) AS after FROM v_survey WHERE link_url IS NULL OR q2 ILIKE '%testing%'""", "v_survey")
+
 # the redirect loop as a theta join: every URL against every rule, the longest match wins
 FIRST_RULES = r"""rules AS (
 SELECT prefix, arg_min(target, ord) AS target, min(ord) AS ord FROM v_redirect GROUP BY prefix)"""
@@ -361,8 +366,8 @@ SELECT doc_id, """ + ", ".join(
     f"max(CASE WHEN key = '{k}' THEN {DECODED} END) AS {k}" for k in ["title", "categories", "date", "description", "docs", "doctypes", "tags", "weight"]
 ) + rf""" FROM fields GROUP BY doc_id)
 SELECT d.path AS file, w.title, CAST(NULL AS VARCHAR) AS "Title_", w.categories, w.date, w.description, w.docs, w.doctypes, w.tags, w.weight,
-       CASE WHEN {NONE.replace('doc_id', 'd.doc_id')} THEN true END AS "No metadata found",
-       CASE WHEN {BROKEN.replace('doc_id', 'd.doc_id')} THEN true END AS "Error in frontmatter"
+       CASE WHEN {NONE.replace('doc_id', 'd.doc_id')} THEN 'True' END AS "No metadata found",
+       CASE WHEN {BROKEN.replace('doc_id', 'd.doc_id')} THEN 'True' END AS "Error in frontmatter"
 FROM v_md d LEFT JOIN wide w ON w.doc_id = d.doc_id""", "v_md")
 oracle("metadata_summary", rf"""
 SELECT count(*) AS total, count(*) FILTER (NOT ({NONE}) AND NOT {BROKEN}) AS valid, count(*) FILTER ({NONE}) AS no_metadata,
@@ -425,7 +430,7 @@ WITH h AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?
 SELECT page_id, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM h""")
 oracle("page_links", rf"""
 WITH h AS (SELECT url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)
-SELECT url AS src, rtrim(CASE WHEN href LIKE 'http%' THEN {decoded('href')} ELSE concat(regexp_extract(url, '^https?://[^/]+'), {decoded('href')}) END, '/') AS dst FROM h""")
+SELECT rtrim(url, '/') AS src, rtrim(CASE WHEN href LIKE 'http%' THEN {decoded('href')} ELSE concat(regexp_extract(url, '^https?://[^/]+'), {decoded('href')}) END, '/') AS dst FROM h""")
 
 # links of a page by construction: its original anchors, two children, home, top, an image, another set
 SITE_LINKS = rf""", p AS (

@@ -61,7 +61,7 @@ def metadata_audit(docs: DataFrame, content_dir: str) -> DataFrame:
     """One row per document, one column per metadata key, and the two audit flags."""
     flags = [M.NO_METADATA, M.BAD_METADATA]
     audited = classified(docs, content_dir).withColumns(
-        {flag: F.when(F.col("status") == flag, True) for flag in flags}
+        {flag: F.when(F.col("status") == flag, "True") for flag in flags}
     )
     return metadata_wide(audited, "file", "data", M.text_value, flags)
 

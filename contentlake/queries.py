@@ -159,6 +159,15 @@ def audit_changes(spark, sf_dir):
     )
 
 
+@query
+def audit_removals(spark, sf_dir):
+    rules = [
+        ("missing link", F.col("link_url").isNull(), F.col("link_url")),
+        ("trial answer", filters.mentions("q2", S.TRIAL_WORD), F.col("q2")),
+    ]
+    return A.audit_removals(view(spark, sf_dir, "v_survey"), "row_id", "clean", rules)
+
+
 @query
 def clean_survey(spark, sf_dir):
     cleaned = S.clean_survey(

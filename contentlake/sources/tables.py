@@ -14,16 +14,19 @@ METADATA_MARKER = "ImportId"
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
-    """Adds (file, row_order): rows of a file in reading order, without a shuffle.
+    """Adds (file, row_order): a number that grows along each file, without a shuffle.
 
-    ``row_order`` grows along a file split and splits carry their offset, so ordering by
-    (file, split_start, row_order) restores file order.
+    A task reads whole splits one after another, so the low bits of the row id count rows within
+    a task. A task never reads more bytes, hence rows, than a split is long; doubling the byte
+    offset of the split therefore keeps the ranges of consecutive splits apart.
     """
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    start = F.col("_metadata.file_block_start")
     return df.select(
         "*",
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("row_order"),
+        start.alias("split_start"),
+        (start * 2 + in_task).alias("row_order"),
     )
 
 
@@ -62,7 +65,7 @@ def read_lookup_csv(spark: SparkSession, path: str, key: str = "filepath", value
     """
     raw = with_row_order(spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True))
     named = {c.strip(): c for c in raw.columns}
-    order = F.struct("file", "split_start", "row_order")
+    order = F.struct("file", "row_order")
     rows = raw.select(
         order.alias("ord"),
         strip_ws(F.col(f"`{named[key]}`")).alias("prefix"),
@@ -79,19 +82,19 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_config_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_id, line_no, line) of configuration files; nothing for a path that does not exist."""
+    """(file_id, line_no, line) of configuration files; nothing for a path that does not exist.
+
+    Line numbers grow along a file but need not be consecutive. Large files are read in splits.
+    """
     from pyspark.errors import AnalysisException
 
     try:
-        files = spark.read.text(path, wholetext=True)
+        lines = with_row_order(spark.read.text(path))
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "file_id string, line_no int, line string")
-    text = F.regexp_replace("value", r"\r\n?", "\n")
-    return files.select(
-        F.col("_metadata.file_path").alias("file_id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")
-    )
+        return spark.createDataFrame([], "file_id string, line_no bigint, line string")
+    return lines.select(F.col("file").alias("file_id"), F.col("row_order").alias("line_no"), F.col("value").alias("line"))
 
 
 def write_report(df: DataFrame, path: str, columns: list[str], order: list[str], fmt: str = "csv") -> None:

@@ -78,10 +78,26 @@ def test_id_and_config_lists(spark, tmp_path):
     assert sorted(r["id"] for r in tables.read_id_list(spark, str(tmp_path / "ids.txt")).collect()) == ["a", "b"]
     (tmp_path / "x.conf").write_text("one\r\n\ntwo")
     lines = tables.read_config_lines(spark, str(tmp_path / "x.conf")).orderBy("line_no").collect()
-    assert [(r["line_no"], r["line"]) for r in lines] == [(0, "one"), (1, ""), (2, "two")]
+    assert [r["line"] for r in lines] == ["one", "", "two"]
     assert tables.read_config_lines(spark, str(tmp_path / "absent.conf")).count() == 0
 
 
+def test_row_order_over_many_splits(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.conf").write_text("".join(f"{i}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = tables.read_config_lines(spark, str(tmp_path / "*.conf"))
+        assert lines.rdd.getNumPartitions() > 10
+        for r in lines.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("l")).collect():
+            assert [int(x["line"]) for x in r["l"]] == list(range(3000))
+            assert len({x["line_no"] for x in r["l"]}) == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_report_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(2, 'a "q", b\nc'), (1, None), (3, "")], "n int, t string")
     tables.write_report(df, str(tmp_path / "r"), ["t", "n"], ["n"])
