@@ -208,12 +208,21 @@ def doc_id(data: Column) -> Column:
     return F.when(strip_ws(value) != "", value).otherwise("null")
 
 
-def audit_status(content: Column | str, kind: Column) -> Column:
-    """``ok``, or one of the two audit flags."""
+def audited_block(content: Column | str) -> Column:
+    """The block to parse for an audit: NULL without a leading ``---``, malformed text when it never closes."""
     content = col(content)
+    block = split_front_matter(content, "strict")["yaml"]
+    return F.when(content.startswith("---"), F.coalesce(block, F.lit("[")))
+
+
+def audit_status(kind: Column) -> Column:
+    """``ok`` or one of the two audit flags, from the parse result of :func:`audited_block`.
+
+    The status needs nothing but the parse result, so no document text has to wait while
+    its block is parsed.
+    """
     return (
-        F.when(~content.startswith("---"), NO_METADATA)
-        .when(kind.isNull() | kind.isin("error", "other"), BAD_METADATA)
-        .when(kind == "empty", NO_METADATA)
+        F.when(kind.isNull() | (kind == "empty"), NO_METADATA)
+        .when(kind.isin("error", "other"), BAD_METADATA)
         .otherwise("ok")
     )

@@ -39,7 +39,7 @@ def join_comments(
     flagged = rated.filter(F.col(comment).isNotNull()).join(
         F.broadcast(large.withColumn("_large", F.lit(True))), same, "left"
     )
-    part = F.when(F.col("_large"), F.floor(F.col(order) / max_comments) + 1).otherwise(F.lit(0)).cast("bigint")
+    part = F.when(F.col("_large"), F.expr(f"`{order}` div {max_comments}") + 1).otherwise(0).cast("bigint")
     return (
         flagged.groupBy(*[rated[k] for k in keys], part.alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(comment).alias("c")))).alias("_list"))

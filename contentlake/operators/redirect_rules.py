@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import strip_ws
 from ..functions.urls import absolute_url, clean_target
+from ..session import materialize
 from .prefix import dedup_rules
 from .skew import running_sum
 
@@ -46,7 +47,8 @@ def parse_redirects(lines: DataFrame, origin: str, *, file: str = "file_id", lin
         .filter("starts or location is not null or goes_to is not null or old is not null")
     )
     ends = F.col("starts") | F.col("goes_to").isNotNull()
-    numbered = running_sum(marked, ["file_id"], "line_no", ends, "segment", block_rows)
+    # both tables are read several times below; lines that are no rule are gone by now
+    numbered = materialize(running_sum(marked, ["file_id"], "line_no", ends, "segment", block_rows), "config-lines")
     opens = F.col("location").isNotNull() & F.col("goes_to").isNull()
     # one row per segment: where a block opens, and the return on the line that starts the segment
     segments = numbered.groupBy("file_id", "segment").agg(
@@ -54,6 +56,7 @@ def parse_redirects(lines: DataFrame, origin: str, *, file: str = "file_id", lin
         F.min_by("location", F.when(opens, F.col("line_no"))).alias("open_old"),
         F.max(F.when(~F.col("starts"), F.col("goes_to"))).alias("closing"),
     )
+    segments = materialize(segments, "config-segments")
     closing = segments.select("file_id", (F.col("segment") - 1).alias("segment"), F.col("closing").alias("target"))
     blocks = (
         segments.filter(F.col("open_line").isNotNull())

@@ -80,7 +80,7 @@ def running_sum(
     accumulated, and rows are only ever sorted inside one block. A group of any size is
     therefore spread over many tasks.
     """
-    rows = df.withColumn("_value", value.cast("bigint")).withColumn("_block", F.floor(F.col(order) / block_rows))
+    rows = df.withColumn("_value", value.cast("bigint")).withColumn("_block", F.expr(f"`{order}` div {block_rows}"))
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*group, "_block")

@@ -48,11 +48,11 @@ def doc_inventory(docs: DataFrame, lookup: DataFrame, root: str, segments: bool
 
 def classified(docs: DataFrame, content_dir: str) -> DataFrame:
     """(file, status, data) per document; data is an empty map unless status is ok."""
-    parsed = docs.withColumn("_fm", M.parse_front_matter(M.split_front_matter("content", "strict")["yaml"]))
+    parsed = docs.select("path", M.parse_front_matter(M.audited_block("content")).alias("_fm"))
     none = F.create_map().cast("map<string,string>")
     return parsed.select(
         repo_content_path("path", content_dir).alias("file"),
-        M.audit_status("content", F.col("_fm.kind")).alias("status"),
+        M.audit_status(F.col("_fm.kind")).alias("status"),
         F.coalesce("_fm.data", none).alias("data"),
     )
 

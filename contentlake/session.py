@@ -41,8 +41,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="contentlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

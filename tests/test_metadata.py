@@ -63,7 +63,7 @@ def test_values(apply):
 
 def test_status(apply):
     docs = ["plain", "---\n---\n", "---\na: 1\n---\n", "---\na: [\n---\n", "---\n- x\n---\n", "---\nopen"]
-    got = apply(docs, lambda c: M.audit_status(c, M.parse_front_matter(M.split_front_matter(c, "strict")["yaml"])["kind"]))
+    got = apply(docs, lambda c: M.audit_status(M.parse_front_matter(M.audited_block(c))["kind"]))
     assert got == [M.NO_METADATA, M.NO_METADATA, "ok", M.BAD_METADATA, M.BAD_METADATA, M.BAD_METADATA]
 
 
