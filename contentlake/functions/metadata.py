@@ -9,7 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from .common import col, lstrip_ws, strip_ws
+from .common import bind, col, lstrip_ws, strip_ws
 from .text import ensure_period
 
 # Keys that are dropped, the allowed types, and renamed types.
@@ -92,13 +92,18 @@ def parse_front_matter(yaml_text: Column | str) -> Column:
 def flat_front_matter(yaml_text: Column | str) -> Column:
     """Native map of a block holding only ``key: text`` lines (the last of repeated keys wins)."""
     lines = F.filter(F.split(col(yaml_text), "\n"), lambda line: line.rlike(r"\A[^\s:#][^:]*:(?: |\z)"))
-    keys = F.transform(lines, lambda line: F.regexp_extract(line, r"\A([^:]*?)\s*:", 1))
-    values = F.transform(lines, lambda line: F.trim(F.regexp_replace(line, r"\A[^:]*:", "")))
-    last = F.filter(
-        F.transform(keys, lambda k, i: F.struct(k.alias("k"), F.get(values, i).alias("v"), i.alias("i"))),
-        lambda e: ~F.array_contains(F.slice(keys, e["i"] + 2, F.size(keys)), e["k"]),
+    pairs = F.transform(
+        lines,
+        lambda line: F.struct(
+            F.regexp_extract(line, r"\A([^:]*?)\s*:", 1).alias("k"), F.trim(F.regexp_replace(line, r"\A[^:]*:", "")).alias("v")
+        ),
     )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"])))
+
+    def last_of_each(all_pairs: Column) -> Column:
+        later = lambda i: F.slice(all_pairs["k"], i + 2, F.size(all_pairs))
+        return F.map_from_entries(F.filter(all_pairs, lambda e, i: ~F.array_contains(later(i), e["k"])))
+
+    return bind(pairs, last_of_each)
 
 
 def text_value(data: Column, key: str) -> Column:

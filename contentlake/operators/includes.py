@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import col
+from ..functions.common import bind, col
 from ..functions.markup import include_gaps, include_key, include_refs
 from ..functions.text import VERSIONS_LINE, strip_front_matter
 from ..session import known_bytes, materialize, row_count
@@ -62,8 +62,12 @@ def usage_totals(usage: DataFrame) -> DataFrame:
 
 def _interleave(gaps: Column, texts: Column) -> Column:
     """gap 0, text 0, gap 1, ... joined."""
-    pairs = F.transform(texts, lambda t, i: F.concat(F.get(gaps, i), t))
-    return F.concat(F.array_join(pairs, ""), F.element_at(gaps, -1))
+
+    def join(p: Column) -> Column:
+        pairs = F.transform(p["texts"], lambda t, i: F.concat(F.get(p["gaps"], i), t))
+        return F.concat(F.array_join(pairs, ""), F.element_at(p["gaps"], -1))
+
+    return bind(F.struct(gaps.alias("gaps"), texts.alias("texts")), join)
 
 
 def _refs_of(df: DataFrame, key: str, text: str) -> DataFrame:

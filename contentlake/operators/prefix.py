@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import col
+from ..functions.common import bind, col
 from ..functions.urls import strip_vars
 from ..session import known_bytes, materialize
 from .skew import lookup_join
@@ -17,11 +17,15 @@ from .skew import lookup_join
 
 def slash_prefixes(value: Column) -> Column:
     """All prefixes that end in ``/``, from the host (or root) on."""
-    parts = F.split(value, "/", -1)
-    first = F.when(value.contains("://"), F.lit(3)).otherwise(F.lit(1))
-    last = F.size(parts) - 1
-    upto = F.when(last >= first, F.sequence(first, F.greatest(last, first))).otherwise(F.array().cast("array<int>"))
-    return F.transform(upto, lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
+
+    def prefixes(parts: Column) -> Column:
+        # 'scheme:', '', host, ... or '', '', host, ...
+        first = F.when((F.get(parts, F.lit(1)) == "") & (F.size(parts) > 2), F.lit(3)).otherwise(F.lit(1))
+        last = F.size(parts) - 1
+        upto = F.when(last >= first, F.sequence(first, F.greatest(last, first))).otherwise(F.array().cast("array<int>"))
+        return F.transform(upto, lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
+
+    return bind(F.split(value, "/", -1), prefixes)
 
 
 def length_prefixes(rules: DataFrame, prefix: str) -> Column:

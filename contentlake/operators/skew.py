@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import row_bytes
+
 #: A lookup side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: A key with more rows than this is split over several tasks.
@@ -11,9 +13,8 @@ HOT_ROWS = 2_000_000
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of all rows as text; one aggregation, nothing but the sum reaches the driver."""
-    total = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    return total or 0
+    """Approximate size of all rows; one aggregation, nothing but the sum reaches the driver."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 #: Settings every job of this package relies on; all are runtime-settable.
 RUNTIME_CONF = {
@@ -49,6 +49,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate size of a row: text by its bytes, nested values by their JSON text, the rest as 8."""
+    total = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        c, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        total = total + 8
+    return total
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several later steps read to the shared folder, and read it back.
 
@@ -57,8 +70,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     seen = Observation()
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes")).write.parquet(path)
+    size = F.coalesce(F.sum(row_bytes(df)), F.lit(0))
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes")).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.observed = seen.get
     return out
@@ -70,7 +83,7 @@ def row_count(df: DataFrame) -> int:
 
 
 def known_bytes(*parts: DataFrame) -> int:
-    """Size of one or several materialized results as text."""
+    """Approximate size of one or several materialized results."""
     return sum(part.observed["bytes"] for part in parts)
 
 

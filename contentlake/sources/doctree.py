@@ -86,9 +86,10 @@ def _register_listing(spark: SparkSession) -> None:
     spark.dataSource.register(Listing)
 
 
-def list_files(spark: SparkSession, root: str, folders: int = 64) -> DataFrame:
+def list_files(spark: SparkSession, root: str, folders: int | None = None) -> DataFrame:
     """(path, size) of every file below ``root``, hidden names included."""
     _register_listing(spark)
+    folders = folders or 2 * spark.sparkContext.defaultParallelism
     return spark.read.format(LISTING).option("folders", folders).load(plain_root(root))
 
 
@@ -115,7 +116,7 @@ def read_doc_tree(
     if skip_index:
         index = r"(?:\A|/)_index\.md\z"
         files = files.filter(~path.rlike(index if skip_index == "exact" else "(?i)" + index))
-    tasks = tasks or max(4 * spark.sparkContext.defaultParallelism, 32)
+    tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     located = files.select("path").repartition(tasks, "path")
     remote = plain_root(root) if "://" in plain_root(root) else None
 
