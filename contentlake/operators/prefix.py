@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import bind, col
-from ..functions.urls import strip_vars
+from ..functions.urls import absolute_url, bare_url, strip_vars
 from ..session import known_bytes, materialize
 from .skew import lookup_join
 
@@ -109,9 +109,34 @@ def apply_redirects(df: DataFrame, name: str, rules: DataFrame, origin: str, out
     ``name`` must hold cleaned URLs (:func:`strip_vars`), and rules must come from
     :func:`dedup_rules`. The rewritten URL is computed once per distinct URL.
     """
-    best = best_prefix(distinct_values(df, name), rules, pick="longest", slash_terminated=True)
-    value = F.col("value")
-    moved = best.withColumn("moved", F.concat("target", value.substr(F.length("matched") + 1, F.length(value))))
-    mapping = materialize(moved.select(value.alias(name), strip_vars("moved", origin).alias("_moved")), "redirected")
+    mapping = _redirected(distinct_values(df, name), rules, origin).withColumnsRenamed({"value": name, "canonical": "_moved"})
+    mapping = materialize(mapping, "redirected")
     joined = lookup_join(df, mapping, name, right_bytes=known_bytes(mapping))
     return joined.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_moved", name).alias(out))
+
+
+def _redirected(values: DataFrame, rules: DataFrame, origin: str) -> DataFrame:
+    """(value, canonical) of the cleaned URLs that a rule rewrites."""
+    best = best_prefix(values, rules, pick="longest", slash_terminated=True)
+    value = F.col("value")
+    moved = best.withColumn("moved", F.concat("target", value.substr(F.length("matched") + 1, F.length(value))))
+    return moved.select("value", strip_vars("moved", origin).alias("canonical"))
+
+
+def canonical_links(df: DataFrame, name: str, rules: DataFrame, origin: str, out: str) -> DataFrame:
+    """Clean the raw URLs of ``name`` in place and add their canonical form ``out``.
+
+    Rows only compute a cheap key, the URL without its query; the cleaning chains and the
+    redirects run once per distinct key, of which there are about as many as pages.
+    """
+    keyed = df.withColumn("_bare", bare_url(name))
+    clean = strip_vars("_absolute", origin).alias("value")
+    keys = keyed.select("_bare").distinct().withColumn("_absolute", absolute_url("_bare", origin)).select("_bare", clean)
+    keys = materialize(keys, "clean-links")
+    moved = materialize(_redirected(keys.select("value").distinct(), rules, origin), "redirected")
+    joined = lookup_join(keys, moved, "value", right_bytes=known_bytes(moved))
+    mapping = joined.select("_bare", F.col("value").alias("_clean"), F.coalesce("canonical", "value").alias("_canonical"))
+    mapping = materialize(mapping, "canonical-links")
+    linked = lookup_join(keyed, mapping, "_bare", right_bytes=known_bytes(mapping))
+    kept = [F.col("_clean").alias(name) if c == name else F.col(c) for c in df.columns if c != out]
+    return linked.select(*kept, F.col("_canonical").alias(out))

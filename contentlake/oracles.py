@@ -151,7 +151,8 @@ SELECT s.*, coalesce(m.target || substr(s.link_url, m.len + 1), s.link_url) AS c
 FROM {source} s LEFT JOIN matches m ON m.link_url = s.link_url)"""
 
 
-oracle("redirect_longest_prefix", rf""", {FIRST_RULES},
+for _name in ("redirect_longest_prefix", "canonical_links"):
+    oracle(_name, rf""", {FIRST_RULES},
 urls AS (SELECT row_id, coalesce({stripped('link_url')}, CASE WHEN link_url IS NOT NULL AND trim(link_url) <> '' THEN '' END) AS link_url FROM v_survey),
 {canonical('urls')}
 SELECT row_id, link_url, canonical_url FROM canon""", "v_survey", "v_redirect")

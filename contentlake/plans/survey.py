@@ -9,7 +9,7 @@ from ..functions.urls import absolute_url, replace_literal, strip_vars
 from ..operators.aggregates import UNKNOWN_PRODUCT, feedback_by_page, metadata_row_dropped
 from ..operators.enrich import attach_country, missing_keys, nearest_place, upsert_cache
 from ..operators.filters import drop_keyword, drop_missing, exclude_ids
-from ..operators.prefix import apply_redirects, dedup_rules, first_prefix_case, match_prefix
+from ..operators.prefix import canonical_links, dedup_rules, first_prefix_case, match_prefix
 
 # The word that marks trial answers, and how many rules fit a literal CASE.
 TRIAL_WORD = "testing"
@@ -67,12 +67,17 @@ def clean_survey(
     """
     df = drop_missing(df, "link_url")
     df = drop_keyword(df, "q2", TRIAL_WORD)
-    df = clean_link_urls(df, ["link_url", "current_url"], origin)
+    if rules is None:
+        df = clean_link_urls(df, ["link_url", "current_url"], origin)
+    else:
+        df = clean_link_urls(df, ["current_url"], origin)
     if "link_url" in df.columns:
-        if rules is not None:
-            df = apply_redirects(df, "link_url", dedup_rules(rules), origin, "canonical_url")
-        else:
+        if rules is None:
             df = df.withColumn("canonical_url", F.col("link_url"))
+        else:
+            if "original_link_url" not in df.columns:
+                df = df.withColumn("original_link_url", F.col("link_url"))
+            df = canonical_links(df, "link_url", dedup_rules(rules), origin, "canonical_url")
         url: Column = F.col("canonical_url")
         for old, new in replacements:
             url = replace_literal(url, old, new)

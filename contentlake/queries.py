@@ -196,6 +196,12 @@ def top_redirects(spark, sf_dir):
     return prefix.top_rules(prefix.dedup_rules(view(spark, sf_dir, "v_redirect")))
 
 
+@query
+def canonical_links(spark, sf_dir):
+    rows = view(spark, sf_dir, "v_survey").select("row_id", "link_url")
+    return prefix.canonical_links(rows, "link_url", prefix.dedup_rules(view(spark, sf_dir, "v_redirect")), ORIGIN, "canonical_url")
+
+
 @query
 def redirect_longest_prefix(spark, sf_dir):
     rows = S.clean_link_urls(view(spark, sf_dir, "v_survey"), ["link_url"], ORIGIN)

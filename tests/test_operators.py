@@ -101,6 +101,17 @@ def test_redirects(spark):
     assert [r["ord"] for r in prefix.top_rules(prefix.dedup_rules(rules), 2).collect()] == [3, 2]
 
 
+def test_canonical_links_equal_row_wise_cleaning(spark):
+    raw = [" https:///h/a/c?x#y ", "/p$is_args$args", "?q", "#f", "", "  ", None, "../a/./b?x", "https://h/a/b#z", "//h/a/q", "https:?x", "HTTP://h/a/$v?y", "?a?b", "https://h/a/c/"]
+    df = spark.createDataFrame(list(enumerate(raw)), "id int, url string")
+    rules = spark.createDataFrame([(0, "https://h/a/", "https://n/x/")], "ord int, prefix string, target string")
+    from contentlake.plans.survey import clean_link_urls
+
+    cleaned = clean_link_urls(df, ["url"], ORIGIN).drop("original_url")
+    want = prefix.apply_redirects(cleaned, "url", rules, ORIGIN, "c")
+    assert rows(prefix.canonical_links(df, "url", rules, ORIGIN, "c")) == rows(want)
+
+
 def test_product_map(spark):
     rules = spark.createDataFrame([(2, "https://h/", "All"), (1, "https://h/a/", "A")], "ord int, prefix string, target string")
     df = spark.createDataFrame([("https://h/a/b/",), ("https://h/z/",), ("http://q/",), (None,)], "url string")
