@@ -23,6 +23,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def computed(value: Column) -> Column:
+    """A column that is computed right here and nowhere else (usable once per ``select``).
+
+    Exploding a single value stops the optimizer from moving the expression upwards. So a later
+    filter does not evaluate it a second time, and wide inputs do not travel through a Python stage.
+    """
+    return F.explode(F.array(value))
+
+
 def strip_ws(c: Column | str) -> Column:
     """Trim all Unicode white space on both ends (plain ``trim`` removes spaces only)."""
     return F.trim(col(c), F.lit(WS_CHARS))

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import strip_ws
 from ..functions.urls import absolute_url, clean_target
-from ..session import materialize
+from ..session import known_bytes, materialize
 from .prefix import dedup_rules
-from .skew import running_sum
+from .skew import lookup_join, running_sum
 
 # Patterns of the configuration lines.
 LOCATION = r"(?iU)\Alocation\b(?:\s+[^\s]+)?\s+(/[^\s{]*)"
@@ -66,9 +66,11 @@ def parse_redirects(lines: DataFrame, origin: str, *, file: str = "file_id", lin
     same_line = numbered.filter(F.col("location").isNotNull() & F.col("goes_to").isNotNull()).select(
         "file_id", "line_no", F.col("location").alias("old"), F.col("goes_to").alias("target")
     )
+    # a file of two-column lines only is one single segment, hence the join that tolerates hot keys
+    opened = segments.filter(F.col("open_line").isNotNull()).select("file_id", "segment", "open_line")
+    paired = numbered.filter(F.col("old").isNotNull()).select("file_id", "segment", "line_no", "old", "new")
     columns = (
-        numbered.filter(F.col("old").isNotNull())
-        .join(segments.select("file_id", "segment", "open_line"), ["file_id", "segment"])
+        lookup_join(paired, opened, ["file_id", "segment"], right_bytes=known_bytes(segments))
         .filter(F.col("open_line").isNull() | (F.col("line_no") < F.col("open_line")))
         .select("file_id", "line_no", "old", F.col("new").alias("target"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import metadata as M
+from ..functions.common import computed
 from ..functions.markup import relref_to_relative
 from ..functions.text import (
     drop_version_lines,
@@ -18,6 +19,7 @@ from ..functions.text import (
 from ..functions.urls import content_path, in_includes, page_url, relative_path, repo_content_path
 from ..operators.aggregates import metadata_wide
 from ..operators.includes import expand_includes, include_usage
+from ..session import materialize
 from .survey import with_first_prefix
 
 
@@ -38,9 +40,9 @@ def production_urls(docs: DataFrame, lookup: DataFrame, segments: bool = False)
 
 def doc_inventory(docs: DataFrame, lookup: DataFrame, root: str, segments: bool = False) -> DataFrame:
     """(filename, docsID, url) of every document outside the includes area."""
-    parsed = production_urls(docs, lookup, segments).withColumn(
-        "_fm", M.parse_front_matter(M.split_front_matter("content", "lines")["yaml"])
-    )
+    block = M.split_front_matter("content", "lines")["yaml"]
+    blocks = production_urls(docs, lookup, segments).select("path", "url", computed(block).alias("_block"))
+    parsed = blocks.select("path", "url", M.parse_front_matter("_block").alias("_fm"))
     return parsed.select(
         relative_path("path", root).alias("filename"), M.doc_id(F.col("_fm.data")).alias("docsID"), "url"
     )
@@ -48,7 +50,8 @@ def doc_inventory(docs: DataFrame, lookup: DataFrame, root: str, segments: bool
 
 def classified(docs: DataFrame, content_dir: str) -> DataFrame:
     """(file, status, data) per document; data is an empty map unless status is ok."""
-    parsed = docs.select("path", M.parse_front_matter(M.audited_block("content")).alias("_fm"))
+    blocks = docs.select("path", computed(M.audited_block("content")).alias("_block"))
+    parsed = blocks.select("path", M.parse_front_matter("_block").alias("_fm"))
     none = F.create_map().cast("map<string,string>")
     return parsed.select(
         repo_content_path("path", content_dir).alias("file"),
@@ -63,7 +66,8 @@ def metadata_audit(docs: DataFrame, content_dir: str) -> DataFrame:
     audited = classified(docs, content_dir).withColumns(
         {flag: F.when(F.col("status") == flag, "True") for flag in flags}
     )
-    return metadata_wide(audited, "file", "data", M.text_value, flags)
+    # the key list and the table both read this: the blocks are parsed once
+    return metadata_wide(materialize(audited, "metadata"), "file", "data", M.text_value, flags)
 
 
 def rewritten(docs: DataFrame) -> DataFrame:
@@ -142,8 +146,7 @@ def span_rewrite(docs: DataFrame, key: str = "path", text: str = "content") -> D
     """(key, new_content) of the documents whose styled spans were rewritten."""
     return (
         docs.filter(F.lower(text).contains("<span"))
-        # exploding a single value keeps the filter from evaluating the rewrite a second time
-        .select(key, text, F.explode(F.array(spans_to_bold(text))).alias("new_content"))
+        .select(key, text, computed(spans_to_bold(text)).alias("new_content"))
         .filter(F.col("new_content") != F.col(text))
         .select(key, "new_content")
     )

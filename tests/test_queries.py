@@ -29,7 +29,10 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_equals_oracle(spark, con, name):
-    got = entry_module.queries()[name](spark, SF).toPandas()
+    result = entry_module.queries()[name](spark, SF)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    got = result.toPandas()
     want = con.execute(entry_module.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
