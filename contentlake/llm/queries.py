@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import language_id, toxicity
+from .decontamination import with_hits
+from .jaccard_join import similar_documents
 from .mixing import mix_sources, words_taken
+from .secret_scan import BASE_RULES, MORE_RULES, scan_secrets, spelled
 from .sharding import shard_rows
 from .tables import id_crc, n_words, table
 from .topk import top_k
@@ -34,6 +38,24 @@ def op4_mix(spark, sf_dir):
     return taken.select("doc.doc_id", "size", "source", "source_size", "target", "taken", "in_shards")
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_crc() % 3 == 1, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic"))
+    scored = toxicity.score(docs.withColumn("held_out", held_out), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op9_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(id_crc() % 4 == 2, F.lit(False))
+    model = language_id.fit(docs.filter(~held_out).select("text", "lang"))
+    found = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op7_top_k(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
@@ -55,3 +77,94 @@ select query_id, rank::int as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 where rank <= 10
 """
+
+
+@query
+def op8_secrets(spark, sf_dir):
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = [F.size(F.filter(F.col("found.kind"), F.lit(r.kind).__eq__)).cast("long").alias(f"n_{r.kind}") for r in BASE_RULES]
+    base = spelled(F.filter("found", lambda s: s["kind_no"] < len(BASE_RULES)))
+    return found.select("doc_id", *count, F.sha2(base, 256).alias("base_sha256"), spelled(F.col("found")).alias("spans"))
+
+
+def _secret_oracle() -> str:
+    """One list of (start, rule, end) per rule, from the split pieces and the matches between them."""
+    parts = []
+    for no, rule in enumerate([*BASE_RULES, *MORE_RULES]):
+        p = rule.pattern.replace("'", "''")
+        parts.append(f"""
+select doc_id, text, {no} as kind_no, '{rule.kind}' as kind, i,
+       list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0) as start,
+       length(hits[i]) as n, length(checks[i]) as checked, {rule.least} as least
+from (
+    select doc_id, text, gaps, hits, checks, unnest(range(1, len(hits) + 1)) as i
+    from (
+        select doc_id, text, string_split_regex(text, '{p}') as gaps, regexp_extract_all(text, '{p}', 0) as hits,
+               regexp_extract_all(text, '{p}', {rule.group}) as checks
+        from documents
+    )
+)""")
+    return f"""
+with hits as (
+{" union all ".join(parts)}
+), kept as (
+    select doc_id, kind_no, kind, start, kind || ':' || start::bigint || ':' || (start + n)::bigint as span from hits where checked >= least
+), told as (
+    select doc_id,
+           count(*) filter (where kind = 'assign') as n_assign,
+           count(*) filter (where kind = 'access') as n_access,
+           count(*) filter (where kind = 'hex') as n_hex,
+           string_agg(span, ',' order by start, kind_no) filter (where kind_no < {len(BASE_RULES)}) as base,
+           string_agg(span, ',' order by start, kind_no) as spans
+    from kept group by doc_id
+)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents d left join told t on t.doc_id = d.doc_id
+"""
+
+
+ORACLES["op8_secrets"] = _secret_oracle()
+
+
+@query
+def op3_jaccard(spark, sf_dir):
+    found = similar_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "n_links")
+
+
+ORACLES["op3_jaccard"] = """
+with recursive worded as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                                      else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+    from worded
+), tokens as (
+    select doc_id, len(s) as n, unnest(s) as token from sets
+), pairs as (
+    select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as both
+    from tokens a join tokens b on a.token = b.token and a.doc_id <> b.doc_id
+    group by all
+), links as (
+    select x, y from pairs where 100 * both >= 80 * (nx + ny - both)
+), reached as (
+    select x, y from links
+    union
+    select r.x, l.y from reached r join links l on r.y = l.x
+)
+select s.doc_id, len(s.s)::bigint as n_shingles,
+       least(s.doc_id, coalesce((select min(y) from reached r where r.x = s.doc_id), s.doc_id)) as component_id,
+       (select count(*) from links l where l.x = s.doc_id) as n_links
+from sets s
+"""
+
+
+@query
+def op10_leaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    hit = found.select("doc_id", F.explode("hits").alias("hit"))
+    return hit.select("doc_id", "hit.item_id", "hit.start_word", "hit.n_words", F.round("hit.similarity", 6).alias("similarity"))

@@ -116,13 +116,13 @@ def _words(data: np.ndarray, at: int, lower: bool) -> tuple[np.ndarray, np.ndarr
     return span_hashes(sums, inverse, starts, ends), starts + at, ends + at
 
 
-def batch_words(column: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def batch_words(column: pa.Array, lower: bool = True, size: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, word hashes, word starts, word ends, first word of each row and the end).
 
     Starts and ends are byte positions in the column's buffer.
     """
     data, starts, ends = text_bytes(column)
-    for a, b in pieces(starts, ends):
+    for a, b in pieces(starts, ends, size):
         if b == a + 1:
             hashes, ws, we = words_of(data[starts[a] : ends[a]], lower)
             yield a, b, hashes, ws + starts[a], we + starts[a], np.array([0, len(hashes)])
@@ -156,7 +156,7 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     for k in range(width):
         out += words[k : n - width + 1 + k] * U64(factor)
         factor = factor * 0xA0761D6478BD642F % (1 << 64)
-    return mix(out + U64(width) * U64(0xE7037ED1A0B428DB))
+    return mix(out + U64(width * 0xE7037ED1A0B428DB % (1 << 64)))
 
 
 def split_rows(values: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
