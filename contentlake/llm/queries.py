@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import language_id, toxicity
 from .decontamination import with_hits
 from .jaccard_join import similar_documents
 from .mixing import mix_sources, words_taken
 from .secret_scan import BASE_RULES, MORE_RULES, scan_secrets, spelled
 from .sharding import shard_rows
+from .suffix_dedup import digest, with_spans
 from .tables import id_crc, n_words, table
+from .token_counts import apply_all, change_rows, create_store, n_pieces, totals
 from .topk import top_k
 
 QUERIES: dict = {}
@@ -145,11 +148,11 @@ with recursive worded as (
 ), tokens as (
     select doc_id, len(s) as n, unnest(s) as token from sets
 ), pairs as (
-    select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as both
+    select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as common
     from tokens a join tokens b on a.token = b.token and a.doc_id <> b.doc_id
     group by all
 ), links as (
-    select x, y from pairs where 100 * both >= 80 * (nx + ny - both)
+    select x, y from pairs where 100 * common >= 80 * (nx + ny - common)
 ), reached as (
     select x, y from links
     union
@@ -168,3 +171,38 @@ def op10_leaks(spark, sf_dir):
     found = with_hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
     hit = found.select("doc_id", F.explode("hits").alias("hit"))
     return hit.select("doc_id", "hit.item_id", "hit.start_word", "hit.n_words", F.round("hit.similarity", 6).alias("similarity"))
+
+
+@query
+def op6_repeats(spark, sf_dir):
+    found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", digest(F.col("text"), F.col("spans")).alias("told"), F.size("later").alias("n_later")).select("doc_id", "told.*", "n_later")
+
+
+@query
+def op2_token_totals(spark, sf_dir):
+    """All documents by words, then all revised to another tokenizer, then later copies of a text deleted; the
+    revision is sent twice."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("text")
+    marked = docs.withColumn("mark", F.sha2(text, 256))
+    first = marked.groupBy("mark").agg(F.min("doc_id").alias("first"))
+    copies = marked.join(first, "mark").filter("doc_id > first")
+    revise = change_rows(docs, "doc_id", "revise", "pieces-2", n_pieces(text))
+    store = create_store(spark, scratch_path(spark, "token-totals"))
+    apply_all(spark, store, [
+        ("load", change_rows(docs, "doc_id", "insert", "words-1", n_words(text))),
+        ("retokenize", revise),
+        ("retract", change_rows(copies, "doc_id", "delete", "pieces-2", F.lit(0))),
+        ("retokenize", revise),
+    ])
+    return totals(spark, store)
+
+
+ORACLES["op2_token_totals"] = """
+select source, lang, 'pieces-2' as tokenizer, count(*) as n_docs,
+       sum(len(regexp_extract_all(text, '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}\\x20\\x09-\\x0D]')))::bigint as n_tokens
+from documents d
+where text is null or doc_id = (select min(doc_id) from documents e where e.text = d.text)
+group by source, lang
+"""
