@@ -3,9 +3,9 @@
 Every document is read in windows of about an item's size, at each word. Sizes form classes, about 1.2 apart; an
 item uses the largest class of at most ``REACH`` of its words and is fingerprinted there at its
 front, middle and end, so that a passage with frayed ends still holds an equal window. A
-fingerprint is the 64-bit SimHash of the window's lower-cased words. It is cut into ``RADIUS`` + 1
-blocks of bits: two fingerprints within the radius agree in one block at least, so looking up each
-block in a table finds all of them. Candidates are verified on five-word shingles: the sum of the smaller over
+fingerprint is the 64-bit SimHash of the window's lower-cased words. It is cut into three blocks of
+bits: two fingerprints within a radius of 5 differ in at most one bit of some block, so looking up each
+block among the items' blocks with no or one bit flipped finds all of them. Candidates are verified on five-word shingles: the sum of the smaller over
 the sum of the larger weights, a shingle weighing its count times 1 + ln((items + 1) / (items with it + 1)).
 
 Documents stay where they are: no shuffle. Items are broadcast in blocks of at most ``ITEM_BYTES`` of
@@ -33,8 +33,8 @@ RADIUS = 5
 REACH = 0.9
 GROWTH = 1.2
 SIMILARITY = 0.8
-ITEM_BYTES = 8 << 20
-STEP = 1 << 15
+ITEM_BYTES = 1 << 20
+STEP = 1 << 13
 HIT = "array<struct<item_id:bigint,start_word:int,n_words:int,similarity:double>>"
 
 
@@ -48,7 +48,7 @@ class Items:
     spread: dict[int, int]  # shingle to number of items that hold it
     total: int
     classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # window: fingerprints, item, offset
-    tables: dict[int, list[tuple[np.ndarray, np.ndarray]]]  # window: for each bit block, first place and order
+    tables: dict[int, list[tuple[np.ndarray, ...]]]  # window: for each bit block a sieve of low bits, values (one bit flipped or none) and owners
 
 
 def size_class(n: int) -> int:
@@ -59,10 +59,14 @@ def size_class(n: int) -> int:
     return size
 
 
-def bit_blocks() -> list[tuple[int, int]]:
-    """(shift, width) of the RADIUS + 1 blocks of a fingerprint."""
-    widths = [64 // (RADIUS + 1) + (k < 64 % (RADIUS + 1)) for k in range(RADIUS + 1)]
-    return [(sum(widths[:k]), w) for k, w in enumerate(widths)]
+#: (shift, width) of the bit blocks. Prints that differ in RADIUS bits differ in at most one bit of some block.
+BIT_BLOCKS = ((0, 21), (21, 21), (42, 22))
+SIEVE = 18
+assert RADIUS // len(BIT_BLOCKS) == 1
+
+
+def _block(prints: np.ndarray, shift: int, width: int) -> np.ndarray:
+    return (prints.view(np.int64) >> shift) & ((1 << width) - 1)
 
 
 def fingerprints(words: np.ndarray, window: int) -> np.ndarray:
@@ -73,15 +77,22 @@ def fingerprints(words: np.ndarray, window: int) -> np.ndarray:
 
 
 def bit_sums(words: np.ndarray, widest: int) -> np.ndarray:
-    kind = np.int16 if widest < 1 << 15 else np.int64  # differences are right even when sums wrap
-    bits = np.unpackbits(mix(words).view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(words) + 1, 64), kind)
-    np.cumsum(bits, axis=0, dtype=kind, out=sums[1:])
+    """Running sums of the 64 bits of each word.
+
+    Up to 255 words in a window, eight one-byte counters share a number: sums overflow into their
+    neighbours, but differences over a window do not.
+    """
+    bits = np.unpackbits(mix(words).view(np.uint8)).reshape(-1, 64)
+    bits = bits.view(U64) if widest < 256 else bits
+    sums = np.zeros((len(words) + 1, bits.shape[1]), U64 if widest < 256 else np.int32)
+    np.cumsum(bits, axis=0, dtype=sums.dtype, out=sums[1:])
     return sums
 
 
 def _majority(sums: np.ndarray, window: int) -> np.ndarray:
-    return np.packbits((sums[window:] - sums[:-window]) > window // 2, axis=1).view(U64).ravel()
+    inside = sums[window:] - sums[:-window]
+    counts = inside.view(np.uint8) if inside.dtype == U64 else inside
+    return np.packbits(counts > window // 2).view(U64)
 
 
 def prepare(rows: list[tuple[int | None, str]], spread: dict[int, int] | None = None, total: int | None = None) -> Items:
@@ -102,35 +113,36 @@ def prepare(rows: list[tuple[int | None, str]], spread: dict[int, int] | None =
     spread = Counter(s for own in shingles for s in own) if spread is None else spread
     classes, tables = {}, {}
     for window, found in by_window.items():
-        prints, item, at = (np.array(x) for x in zip(*found, strict=True))
-        classes[window] = (prints.astype(U64), item.astype(np.int64), at.astype(np.int64))
+        prints, item, at = (np.array(x, kind) for x, kind in zip(zip(*found, strict=True), (U64, np.int64, np.int64), strict=True))
+        classes[window] = (prints, item, at)
         tables[window] = []
-        for shift, width in bit_blocks():
-            part = ((prints.astype(U64) >> U64(shift)) & U64((1 << width) - 1)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            tables[window].append((np.searchsorted(part[order], np.arange((1 << width) + 1)), order))
+        for shift, width in BIT_BLOCKS:
+            part = _block(prints, shift, width)
+            flips = np.append(0, 1 << np.arange(width))
+            values = (part[:, None] ^ flips[None, :]).ravel()
+            order = np.argsort(values, kind="stable")
+            present = np.zeros(1 << SIEVE, bool)
+            present[values & ((1 << SIEVE) - 1)] = True
+            tables[window].append((present, values[order], order // len(flips)))
     return Items(ids, shingles, np.array(sizes, np.int64), spread, len(ids) if total is None else total, classes, tables)
 
 
 def near(prints: np.ndarray, items: Items, window: int) -> tuple[np.ndarray, np.ndarray]:
     """All (window position, fingerprint number) within the radius."""
-    known, places, numbers = items.classes[window][0], [], []
-    for (shift, width), (first, order) in zip(bit_blocks(), items.tables[window], strict=True):
-        part = ((prints >> U64(shift)) & U64((1 << width) - 1)).astype(np.int64)
-        count = (first[1:] - first[:-1])[part]
-        hit = np.flatnonzero(count)
-        while len(hit):
-            take = hit[: 1 << 18]
-            hit = hit[1 << 18 :]
-            n = count[take]
-            place = np.repeat(take, n)
-            within = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
-            number = order[first[part[place]] + within]
-            close = np.bitwise_count(prints[place] ^ known[number]) <= RADIUS
-            places.append(place[close])
-            numbers.append(number[close])
-    both = np.unique(np.stack([np.concatenate(places), np.concatenate(numbers)]), axis=1)
-    return both[0], both[1]
+    known, places, numbers = items.classes[window][0], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for (shift, width), (present, values, owner) in zip(BIT_BLOCKS, items.tables[window], strict=True):
+        hit = np.flatnonzero(present.take(_block(prints, shift, SIEVE), mode="clip"))
+        own = _block(prints[hit], shift, width)
+        first, last = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+        n = last - first
+        place = np.repeat(hit, n)
+        within = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
+        number = owner[np.repeat(first, n) + within]
+        close = np.bitwise_count(prints[place] ^ known[number]) <= RADIUS
+        places.append(place[close])
+        numbers.append(number[close])
+    both = np.unique(np.concatenate(places) * len(known) + np.concatenate(numbers))
+    return both // len(known), both % len(known)
 
 
 def similarity(words: np.ndarray, items: Items, item: int) -> float:
