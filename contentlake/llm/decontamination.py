@@ -207,13 +207,12 @@ def item_blocks(items: DataFrame, text: str, key: str) -> list[Items]:
     return [b for b in blocks if b.ids]
 
 
-def _finder(docs: DataFrame, block: Items, least: float):
-    """A function of texts that returns their hits in one block of items."""
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+def _finder(known: Items, least: float):
+    """A function of texts that returns their hits in one block of items, which Spark sends along with it."""
 
     @F.arrow_udf(HIT)
     def find(texts: pa.Array) -> pa.Array:
-        known, rows = sent.value, []
+        rows = []
         for _, _, words, _, _, bounds in batch_words(texts, size=1 << 18):
             for own in hits_of(words, bounds, known, least):
                 rows.append([{"item_id": known.ids[i], "start_word": s, "n_words": n, "similarity": v} for i, s, n, v in own])
@@ -226,7 +225,7 @@ def _finder(docs: DataFrame, block: Items, least: float):
 def with_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """``docs`` with ``hits``: the benchmark passages in each document, best places first."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "hits" and c != text])
-    columns = [_finder(docs, block, least)(F.coalesce(q(text), F.lit(""))) for block in item_blocks(items, item_text, item_key)]
+    columns = [_finder(block, least)(F.coalesce(q(text), F.lit(""))) for block in item_blocks(items, item_text, item_key)]
     none = F.array().cast(HIT)
     return docs.withColumn("hits", F.concat(*columns) if columns else none)
 

@@ -162,15 +162,14 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     df = df.drop(*[c for c in df.columns if c.lower() in ("lang_pred", "score") and c != text])
     if model is None:
         return df.withColumn("lang_pred", F.lit("und")).withColumn("score", F.lit(0.0))
-    sent = df.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def language(texts: pa.Array) -> pa.Array:
-        scores = score_batch(texts, sent.value)
+        scores = score_batch(texts, model)
         best = scores.argmax(1) if len(scores) else np.zeros(0, int)
         value = np.clip((scores[np.arange(len(best)), best] + 1) / 2, 0, 1)
-        return pa.StructArray.from_arrays([pa.array(np.array(sent.value.languages, object)[best], pa.string()), pa.array(value)], fields=list(kind))
+        return pa.StructArray.from_arrays([pa.array(np.array(model.languages, object)[best], pa.string()), pa.array(value)], fields=list(kind))
 
     (found,) = free_names(df, "found")
     letter = has_letter(q(text))

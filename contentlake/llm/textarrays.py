@@ -25,19 +25,29 @@ IS_SPACE[[32, *range(9, 14)]] = True
 
 BASE = U64(0x9E3779B97F4A7C15)
 BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept between calls."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        have = np.full(max(n, PIECE + 4096), base, U64)
-        have[0] = 1
-        have = np.cumprod(have)
-        if n <= PIECE + 4096:
-            _powers[int(base)] = have
-    return have[:n]
+
+
+class _Powers:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept between calls but not sent along with functions."""
+
+    def __init__(self) -> None:
+        self.known: dict[int, np.ndarray] = {}
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def __call__(self, base: np.uint64, n: int) -> np.ndarray:
+        have = self.known.get(int(base))
+        if have is None or len(have) < n:
+            have = np.full(max(n, PIECE + 4096), base, U64)
+            have[0] = 1
+            have = np.cumprod(have)
+            if n <= PIECE + 4096:
+                self.known[int(base)] = have
+        return have[:n]
+
+
+powers = _Powers()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

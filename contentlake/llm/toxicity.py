@@ -173,11 +173,9 @@ def features_of(column: pa.Array, learned: Words) -> np.ndarray:
 
 
 def with_features(df: DataFrame, text: Column, learned: Words, name: str) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(learned)
-
     @F.arrow_udf("array<double>")
     def features(texts: pa.Array) -> pa.Array:
-        values = features_of(texts, sent.value)
+        values = features_of(texts, learned)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * len(FEATURES), pa.int32()), pa.array(values.ravel()))
 
     return df.withColumn(name, features(F.coalesce(text, F.lit(""))))
