@@ -47,7 +47,7 @@ def split_front_matter(content: Column | str, mode: str) -> dict[str, Column]:
 
 
 def _parse_udf():
-    @F.pandas_udf("struct<kind:string,data:map<string,string>>")
+    @F.pandas_udf("struct<kind:string,data:map<string,string>,error:string>")
     def parse(blocks: pd.Series) -> pd.DataFrame:
         import datetime
         import json
@@ -61,30 +61,40 @@ def _parse_udf():
                 return str(value.replace(tzinfo=None))
             return str(value)
 
+        def named(value):
+            """Keys of inner mappings as text; a value that holds itself ends in RecursionError."""
+            if isinstance(value, dict):
+                return {text(k): named(v) for k, v in value.items()}
+            if isinstance(value, (list, tuple, set)):
+                return [named(v) for v in value]
+            return value
+
         def one(block):
             if block is None:
-                return None, None
+                return None, None, None
             try:
                 data = yaml.load(block, Loader=loader)
-            except (yaml.YAMLError, ValueError):
-                return "error", None
-            if not data:
-                return "empty", None
-            if not isinstance(data, dict):
-                return "other", None
-            encoded = {str(k): json.dumps(v, ensure_ascii=False, default=text) for k, v in data.items()}
-            return "map", encoded
+                if not data:
+                    return "empty", None, None
+                if not isinstance(data, dict):
+                    return "other", None, None
+                encoded = {str(k): json.dumps(named(v), ensure_ascii=False, default=text) for k, v in data.items()}
+            except yaml.YAMLError:
+                return "error", None, None
+            except Exception as problem:  # whatever a block does, it concerns its own document only
+                return "error", None, str(problem)
+            return "map", encoded, None
 
         rows = [one(b) for b in blocks]
-        return pd.DataFrame({"kind": [r[0] for r in rows], "data": [r[1] for r in rows]})
+        return pd.DataFrame({name: [r[i] for r in rows] for i, name in enumerate(("kind", "data", "error"))})
 
     return parse
 
 
 def parse_front_matter(yaml_text: Column | str) -> Column:
-    """``STRUCT<kind, data>``: kind is map, empty, other (not a mapping), error, or NULL without a block.
+    """``STRUCT<kind, data, error>``: kind is map, empty, other (not a mapping), error, or NULL without a block.
 
-    A malformed block only affects its own row.
+    A malformed block only affects its own row; ``error`` holds the text of errors other than bad syntax.
     """
     return _parse_udf()(col(yaml_text))
 
@@ -120,12 +130,13 @@ def json_text(raw: Column) -> Column:
 
 
 def list_value(data: Column, key: str) -> Column:
-    """A list as it is, a string as a list of one, anything else as an empty list."""
+    """The strings of a list, a string as a list of one, anything else as an empty list."""
     raw = F.try_element_at(data, F.lit(key))
-    items = F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v array<string>")["v"]
+    items = F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v array<variant>")["v"]
+    strings = F.filter(items, lambda v: F.schema_of_variant(v) == "STRING")
     empty = F.array().cast("array<string>")
     return (
-        F.when(raw.startswith("["), F.coalesce(items, empty))
+        F.when(raw.startswith("["), F.coalesce(F.transform(strings, lambda v: v.cast("string")), empty))
         .when(raw.startswith('"'), F.array(text_value(data, key)))
         .otherwise(empty)
     )
@@ -176,7 +187,10 @@ def _render_udf(dropped: list[str]):
         def one(block, type_list, description):
             if block is None:
                 return None
-            data = yaml.load(block, Loader=loader)
+            try:
+                data = yaml.load(block, Loader=loader)
+            except Exception:  # reported by parse_front_matter
+                return None
             out = {k: v for k, v in data.items() if k not in dropped}
             if type_list is not None:
                 out["type"] = list(type_list)
@@ -220,14 +234,17 @@ def audited_block(content: Column | str) -> Column:
     return F.when(content.startswith("---"), F.coalesce(block, F.lit("[")))
 
 
-def audit_status(kind: Column) -> Column:
+def audit_status(kind: Column, unreadable: Column | None = None) -> Column:
     """``ok`` or one of the two audit flags, from the parse result of :func:`audited_block`.
 
+    A document that could not be read (``unreadable``) is an error, whatever its content says.
+
     The status needs nothing but the parse result, so no document text has to wait while
     its block is parsed.
     """
     return (
-        F.when(kind.isNull() | (kind == "empty"), NO_METADATA)
+        F.when(F.lit(False) if unreadable is None else unreadable, BAD_METADATA)
+        .when(kind.isNull() | (kind == "empty"), NO_METADATA)
         .when(kind.isin("error", "other"), BAD_METADATA)
         .otherwise("ok")
     )

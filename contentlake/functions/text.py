@@ -160,9 +160,44 @@ def drop_timezone(c: Column | str) -> Column:
     return col(c).try_cast("timestamp_ntz")
 
 
+# English month names by their first three letters.
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+
+_CLOCK = r"(?:[ T]+([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.][0-9]+)?)?(?: ?([ap])[.]?m[.]?)?)?"
+_MONTH = f"((?:{'|'.join(MONTHS)}))[a-z]*[.]?"
+#: Date spellings besides ISO, month before day, with the groups of year, month, day; a clock time may follow.
+DATE_SPELLINGS = [
+    (r"([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})", (3, 1, 2)),
+    (r"([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", (1, 2, 3)),
+    (r"([0-9]{4})([0-9]{2})([0-9]{2})", (1, 2, 3)),
+    (_MONTH + r" +([0-9]{1,2}),? +([0-9]{4})", (3, 1, 2)),
+    (r"(?:[a-z]{3,9}, *)?([0-9]{1,2})[ -]" + _MONTH + r"[ -]([0-9]{4})", (3, 2, 1)),
+]
+
+
+def _spelled(text: Column, pattern: str, places: tuple[int, int, int]) -> Column:
+    whole = rf"(?i)\A{pattern}{_CLOCK}\z"
+    part = lambda i: F.regexp_extract(text, whole, i)
+    number = lambda i: part(i).try_cast("int")
+    year, month, day = places
+    named = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(month))).cast("int")
+    hour, minute, second, half = 4, 5, 6, 7
+    clock = F.coalesce(number(hour), F.lit(0))
+    clock = F.when(part(half) == "", clock).otherwise(clock % 12 + F.when(F.lower(part(half)) == "p", 12).otherwise(0))
+    stamp = F.try_make_timestamp(
+        number(year), F.coalesce(number(month), named), number(day), clock, F.coalesce(number(minute), F.lit(0)), F.coalesce(number(second), F.lit(0)).cast("decimal(16,6)")
+    )
+    return F.when(text.rlike(whole), stamp)
+
+
 def coerce_date(c: Column | str) -> Column:
-    """Timestamp, or NULL when the text is no date."""
-    return F.try_to_timestamp(col(c))
+    """Timestamp by ISO or one of ``DATE_SPELLINGS``, or NULL when the text is no date.
+
+    Eight digits are a date; a longer or other run of five digits and more is none.
+    """
+    text = strip_ws(col(c).cast("string"))
+    iso = F.when(~text.rlike(r"\A[0-9]{5,}\z"), F.try_to_timestamp(text))
+    return F.coalesce(iso, *[_spelled(text, *spelling) for spelling in DATE_SPELLINGS])
 
 
 def ensure_period(c: Column | str) -> Column:

@@ -40,19 +40,27 @@ def _fix_scheme_slashes(c: Column) -> Column:
     return _rx(F.nullif(strip_ws(c), F.lit("")), (r"\A(https?:)/*", "$1//"))
 
 
+# A noncharacter that stands for the slashes after a scheme while the others are collapsed.
+_ORIGIN_MARK = "\ufdd1"
+
+
 def _tidy(c: Column) -> Column:
-    """Shared tail: scheme case, path only unless scheme and host exist, one trailing slash."""
-    return _rx(
+    """Shared tail: lower-case scheme, path only unless scheme and host exist, one trailing slash."""
+    tidy = _rx(
         F.concat(c, F.lit("/")),
         (r"\A(?i:https)://", "https://"),
         (r"\A(?i:http)://", "http://"),
         (rf"\A{SCHEME}:(?=//)(?!//[^/])", ""),      # scheme without a host
         (r"\A//[^/]*", "/"),                        # host without a scheme
         (rf"\A{SCHEME}:(?!//)", "/"),               # scheme without slashes
-        # the lookbehind comes last, so it only runs where slashes repeat
-        (r"/{2,}(?<!\A[A-Za-z][A-Za-z0-9+.\-]{0,30}://)", "/"),
+        (rf"\A({SCHEME})://", "$1" + _ORIGIN_MARK),
+        (r"/{2,}", "/"),
+        (rf"\A({SCHEME}){_ORIGIN_MARK}", "$1://"),
         (rf"\A(?!/|{SCHEME}://)", "/"),
     )
+    origin = rf"\A{SCHEME}://"
+    lower = lambda v: F.concat(F.lower(F.regexp_extract(v, origin, 0)), F.regexp_replace(v, origin, ""))
+    return bind(tidy, lambda v: F.when(v.rlike(rf"\A(?=[^:/]*[A-Z]){SCHEME}://"), lower(v)).otherwise(v))
 
 
 def _without_query(c: Column) -> Column:
@@ -207,14 +215,28 @@ def page_url(base_url: Column, leftover: Column) -> Column:
 
 
 def repo_content_path(path: Column | str, content_dir: str) -> Column:
-    """``/<repository>/<folder>/<path below content_dir>`` with forward slashes."""
+    """``/<repository>/<folder>/<path below content_dir>`` with forward slashes; ``..`` steps for a path outside."""
     parts = content_dir.rstrip("/").split("/")
     prefix = "/" + "/".join([parts[-2] if len(parts) > 1 else "", parts[-1]])
     return F.replace(F.concat(F.lit(prefix + "/"), relative_path(path, content_dir)), F.lit("\\"), F.lit("/"))
 
 
 def relative_path(path: Column | str, root: str) -> Column:
-    return col(path).substr(len(root.rstrip("/")) + 2, 1 << 30)
+    """Path relative to ``root``, with ``..`` steps when it lies elsewhere. URI schemes are left out of both."""
+    plain = lambda c: _rx(c, (r"\A[A-Za-z][A-Za-z0-9+.\-]*:/+", "/"))
+    base = re.sub(r"\A[A-Za-z][A-Za-z0-9+.\-]*:/+", "/", root).rstrip("/") + "/"
+    up = [p for p in base.split("/") if p]
+
+    def lead(segments: Column) -> Column:
+        same = F.coalesce(
+            F.array_min(F.filter(F.sequence(F.lit(0), F.lit(len(up))), lambda i: ~F.get(segments, i).eqNullSafe(F.get(F.array(*[F.lit(u) for u in up]).cast("array<string>"), i)) | (i == len(up)))),
+            F.lit(0),
+        )
+        return F.array_join(F.concat(F.array_repeat(F.lit(".."), F.lit(len(up)) - same), F.slice(segments, same + 1, F.size(segments))), "/")
+
+    whole = plain(col(path))
+    elsewhere = bind(F.filter(F.split(whole, "/"), lambda s: s != ""), lead)
+    return F.when(whole.startswith(base), whole.substr(len(base) + 1, 1 << 30)).when(whole.startswith("/"), elsewhere).otherwise(whole)
 
 
 def xml_public_link(path: Column | str, site: str) -> Column:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.common import strip_ws
-from ..session import materialize
 from .filters import keep_rated, require_columns
+from .skew import running_sum
 
 # Separator of joined comments and the text of an unmapped product.
 COMMENT_SEPARATOR = "|||"
 UNKNOWN_PRODUCT = "Unknown"
 
+#: A part of a page's joined comments ends at either of these.
+MAX_COMMENTS = 100_000
+MAX_BYTES = 32 << 20
+
 
 def page_statistics(rated: DataFrame, keys: list[str], rating: str, comment: str) -> DataFrame:
     """Mergeable sums per page; partial aggregation absorbs hot pages before the shuffle."""
@@ -23,27 +27,44 @@ def page_statistics(rated: DataFrame, keys: list[str], rating: str, comment: str
 
 
 def join_comments(
-    rated: DataFrame, statistics: DataFrame, keys: list[str], comment: str, order: str, max_comments: int
+    rated: DataFrame, keys: list[str], comment: str, order: list[str], max_comments: int = MAX_COMMENTS, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
-    """Comments per page in row order, as ``(keys, part, q2_comments)``.
+    """Comments per page in row order, as ``(keys, part, q2_comments)``, parts 1, 2, ... of every page.
 
-    A page with up to ``max_comments`` comments has one part, 0. A larger page is cut by row
-    ordinal into parts 1, 2, ... of at most ``max_comments`` rows, so no comment is lost and no
-    task assembles an unbounded text. At most ``comments / max_comments`` pages are that large,
-    which bounds the broadcast list.
+    The comments of a page are numbered along ``order``, and a part ends after ``max_comments``
+    comments or about ``max_bytes`` of text. Numbers and bytes are running sums over blocks, so
+    a hot page is spread over many tasks and no task assembles an unbounded text.
     """
-    large = statistics.filter(F.col("n_comments") > max_comments).select(*[F.col(k).alias(f"_large_{k}") for k in keys])
-    same = F.lit(True)
-    for k in keys:
-        same = same & rated[k].eqNullSafe(large[f"_large_{k}"])
-    flagged = rated.filter(F.col(comment).isNotNull()).join(
-        F.broadcast(large.withColumn("_large", F.lit(True))), same, "left"
+    said = rated.filter(F.col(comment).isNotNull()).select(*keys, *order, F.col(comment).alias("_comment"))
+    numbered = running_sum(said, keys, order, F.lit(1), "_no")
+    numbered = running_sum(numbered, keys, order, F.octet_length("_comment"), "_bytes")
+    before = F.col("_bytes") - F.octet_length("_comment")
+    cut = F.expr(f"(_no - 1) div {max_comments}") + F.floor(before / max_bytes)
+    joined = (
+        numbered.groupBy(*keys, cut.alias("_cut"))
+        .agg(F.sort_array(F.collect_list(F.struct(*order, F.col("_comment").alias("c")))).alias("_list"))
+        .select(*keys, "_cut", F.array_join(F.col("_list.c"), COMMENT_SEPARATOR).alias("q2_comments"))
     )
-    part = F.when(F.col("_large"), F.expr(f"`{order}` div {max_comments}") + 1).otherwise(0).cast("bigint")
-    return (
-        flagged.groupBy(*[rated[k] for k in keys], part.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(comment).alias("c")))).alias("_list"))
-        .select(*keys, "part", F.array_join(F.col("_list.c"), COMMENT_SEPARATOR).alias("q2_comments"))
+    # cuts may skip a number; the list of cuts is small, the texts stay where they are
+    cuts = numbered.select(*keys, cut.alias("_cut")).distinct()
+    dense = cuts.withColumn("part", F.row_number().over(Window.partitionBy(*keys).orderBy("_cut")).cast("bigint"))
+    dense = dense.select(*[F.col(k).alias(f"_d_{k}") for k in keys], F.col("_cut").alias("_d_cut"), "part")
+    same = F.col("_cut") == F.col("_d_cut")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_d_{k}"))
+    return joined.join(dense, same).select(*keys, "part", "q2_comments")
+
+
+def rated_pages(df: DataFrame, *, url: str, rating: str, comment: str, date: str, order: str | list[str], product: Column) -> DataFrame:
+    """canonical_url, product, q1, q2 and the order columns of the answers that have a date and a rating."""
+    require_columns(df, [url, rating, comment, date])
+    order = [order] if isinstance(order, str) else order
+    return keep_rated(df, date, rating).select(
+        strip_ws(url).alias("canonical_url"),
+        F.coalesce(product, F.lit(UNKNOWN_PRODUCT)).alias("product"),
+        F.col(rating).alias("q1"),
+        F.col(comment).alias("q2"),
+        *order,
     )
 
 
@@ -54,28 +75,21 @@ def feedback_by_page(
     rating: str,
     comment: str,
     date: str,
-    order: str,
+    order: str | list[str],
     product: Column,
-    max_comments: int = 1_000_000,
+    max_comments: int = MAX_COMMENTS,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """Average rating, number of ratings and joined comments per page and product.
 
-    One row per page (``part`` 0); see :func:`join_comments` for pages beyond ``max_comments``.
-    Pages without a URL form a group of their own.
+    A page has a row per part of its comments, see :func:`join_comments`; average and number stand in
+    part 1 only, so sums over rows count once. Pages without a URL form a group of their own.
     """
-    require_columns(df, [url, rating, comment, date])
-    rated = keep_rated(df, date, rating).select(
-        strip_ws(url).alias("canonical_url"),
-        F.coalesce(product, F.lit(UNKNOWN_PRODUCT)).alias("product"),
-        F.col(rating).alias("q1"),
-        F.col(comment).alias("q2"),
-        F.col(order).alias("row_id"),
-    )
+    rated = rated_pages(df, url=url, rating=rating, comment=comment, date=date, order=order, product=product)
     keys = ["canonical_url", "product"]
-    # read twice below, and tiny next to the answers
-    statistics = materialize(page_statistics(rated, keys, "q1", "q2"), "page-statistics")
-    comments = join_comments(rated, statistics, keys, "q2", "row_id", max_comments)
-    return finish_feedback(statistics, comments, keys)
+    order = [order] if isinstance(order, str) else order
+    comments = join_comments(rated, keys, "q2", order, max_comments, max_bytes)
+    return finish_feedback(page_statistics(rated, keys, "q1", "q2"), comments, keys)
 
 
 def finish_feedback(statistics: DataFrame, comments: DataFrame, keys: list[str]) -> DataFrame:
@@ -83,11 +97,12 @@ def finish_feedback(statistics: DataFrame, comments: DataFrame, keys: list[str])
     same = F.lit(True)
     for k in keys:
         same = same & statistics[k].eqNullSafe(comments[k])
+    first = F.coalesce(F.col("part"), F.lit(1)) == 1
     return statistics.join(comments, same, "left").select(
         *[statistics[k] for k in keys],
-        F.coalesce("part", F.lit(0).cast("bigint")).alias("part"),
-        F.bround(F.col("sum_q1") / F.col("n"), 2).alias("avg_q1"),
-        "n",
+        F.coalesce("part", F.lit(1).cast("bigint")).alias("part"),
+        F.when(first, F.bround(F.col("sum_q1") / F.col("n"), 2)).alias("avg_q1"),
+        F.when(first, F.col("n")).alias("n"),
         F.coalesce("q2_comments", F.lit("")).alias("q2_comments"),
     )
 
@@ -147,20 +162,23 @@ def metadata_long(df: DataFrame, key: str, data: str) -> DataFrame:
     return df.select(key, F.explode(data).alias("key", "value"))
 
 
-def metadata_wide(
-    df: DataFrame, key: str, data: str, value: object, flags: list[str], max_columns: int = 2000
-) -> DataFrame:
-    """One column per metadata key: fixed columns first, the rest in alphabetical order.
+def metadata_flagged(audited: DataFrame) -> DataFrame:
+    """(file, key, value) of audited documents (file, status, message, data), flags included."""
+    flag = F.when(F.col("status") != "ok", F.create_map(F.col("status"), F.coalesce("message", F.lit("True"))))
+    from ..functions.metadata import json_text
+
+    texts = F.transform_values("data", lambda _, v: json_text(v))
+    return audited.select("file", F.explode(F.map_concat(texts, F.coalesce(flag, F.create_map().cast("map<string,string>")))).alias("key", "value"))
+
+
+def metadata_wide(df: DataFrame, key: str, data: str, value: object, flags: list[str], keys: list[str]) -> DataFrame:
+    """One column per key of ``keys``: fixed columns first, the rest in alphabetical order.
 
-    Column names that differ from an earlier one in case only get a trailing ``_``, since Spark
-    cannot store both. The column list is the only thing the driver sees; more than ``max_columns`` keys is an
-    error, and :func:`metadata_long` serves that case.
+    The caller names the keys (:func:`metadata_keys` counts them); none is looked up here. Column names that
+    differ from an earlier one in case only get a trailing ``_``, since Spark cannot store both.
     """
     fixed = ["title", "Title"]
-    found = metadata_keys(df, data).select("key").limit(max_columns + 1).collect()
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} metadata keys: use metadata_long")
-    rest = sorted({r["key"] for r in found} - set(fixed) - set(flags) | set(flags))
+    rest = sorted(set(keys) - set(fixed) - set(flags) | set(flags))
     columns, taken = [], {key.lower()}
     for k in [*fixed, *rest]:
         if k != key:
@@ -168,7 +186,7 @@ def metadata_wide(
             while name.lower() in taken:
                 name += "_"
             taken.add(name.lower())
-            columns.append((F.col(k) if k in flags else value(F.col(data), k)).alias(name))
+            columns.append((F.col(f"`{k}`") if k in flags else value(F.col(data), k)).alias(name))
     return df.select(key, *columns).orderBy(key)
 
 

@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import known_bytes, materialize, row_count
+from ..session import materialize, row_count
 from .aggregates import latest_per_key
 from .skew import lookup_join
 
 # Coordinates are rounded to five decimals.
 DECIMALS = 5
 
+#: A cell of the place tree is split above so many places, down to cells of 2 / 2**FINEST on the unit sphere.
+LEAF_PLACES, FINEST = 32, 24
+#: Distances are compared at 12 digits; cells this near to a bound still count.
+ROUNDING = 1e-11
+
 
 def coordinate_key(value: str) -> Column:
     """Rounded coordinate as an integer, so equality does not depend on float formatting."""
-    return F.round(F.col(value).try_cast("double") * 10**DECIMALS).cast("bigint")
+    return F.round(F.col(value).try_cast("double") * 10**DECIMALS).try_cast("bigint")
 
 
 def with_coordinate_keys(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Adds (lat_key, lon_key); both NULL when either coordinate is missing."""
+    """Adds (lat_key, lon_key); both NULL when either coordinate is missing or off the globe."""
     numbers = [F.col(c).try_cast("double") for c in (lat, lon)]
-    usable = numbers[0].isNotNull() & numbers[1].isNotNull() & ~F.isnan(numbers[0]) & ~F.isnan(numbers[1])
+    usable = F.coalesce((F.abs(numbers[0]) <= 90) & (F.abs(numbers[1]) <= 180), F.lit(False))
     return df.withColumn("lat_key", F.when(usable, coordinate_key(lat))).withColumn(
         "lon_key", F.when(usable, coordinate_key(lon))
     )
@@ -51,50 +54,94 @@ def _on_sphere(lat: Column, lon: Column) -> list[Column]:
     return [F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la)]
 
 
-def nearest_place(points: DataFrame, places: DataFrame, cell: float | None = None) -> DataFrame:
+def _cell(level: Column | int, *xyz: Column) -> Column:
+    """Cell of a point on the unit sphere at a level: its cube of edge 2 / 2**level, as one struct."""
+    size = F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level)
+    top = (size - 1).cast("bigint")
+    return F.struct(*[F.least(top, F.floor((c + 1) / 2 * size)).alias(n) for n, c in zip("ijk", xyz)])
+
+
+def place_tree(places: DataFrame, leaf: int = LEAF_PLACES) -> DataFrame:
+    """Octree over places (id, country, px, py, pz): (level, cell, n, and a place of it: rx, ry, rz).
+
+    A cell is split until it holds ``leaf`` places or the finest level is reached, so cells adapt to the
+    density. Levels are counted with partial sums; only places of cells that are still full go on.
+    """
+    nodes, rest, level = None, places, 0
+    while True:
+        located = rest.withColumn("cell", _cell(level, F.col("px"), F.col("py"), F.col("pz")))
+        some = F.min(F.struct("place_id", "px", "py", "pz")).alias("r")
+        counted = located.groupBy("cell").agg(F.count("*").alias("n"), some).select(
+            F.lit(level).alias("level"), "cell", "n", F.col("r.px").alias("rx"), F.col("r.py").alias("ry"), F.col("r.pz").alias("rz")
+        )
+        counted = materialize(counted, "place-cells")
+        nodes = counted if nodes is None else nodes.unionByName(counted)
+        full = counted.filter(F.col("n") > leaf).select("cell")
+        if level == FINEST or not row_count(counted) or full.isEmpty():
+            return nodes
+        rest = materialize(located.join(full, "cell", "left_semi").drop("cell"), "places")
+        level += 1
+
+
+def nearest_place(points: DataFrame, places: DataFrame, leaf: int = LEAF_PLACES) -> DataFrame:
     """(lat_key, lon_key, country) of the closest place by great circle, for distinct points.
 
     ``points`` holds (lat_key, lon_key); ``places`` (place_id, lat, lon, country). Both are put on
-    the unit sphere, where no pole or date line interferes, and cut into cubes. A point meets the
-    places of its own and the 26 neighbouring cubes. That decides it when the best chord is no
-    longer than the cube edge; the rest retry with doubled cubes, up to the whole sphere, so the
-    answer is exact. Ties go to the lowest place_id.
+    the unit sphere, where no pole or date line interferes. Points descend the octree of the places level
+    by level: of the cells that a point still considers, one place each gives an upper bound of its
+    distance, and cells that lie beyond the least bound are left. In the leaves that remain every
+    place is compared, so the answer is exact. Ties go to the lowest place_id. Places at one spot count as one.
     """
     scale = float(10**DECIMALS)
+    keys = ["lat_key", "lon_key"]
     x, y, z = _on_sphere(F.col("lat_key") / scale, F.col("lon_key") / scale)
-    todo = materialize(points.select("lat_key", "lon_key", x.alias("x"), y.alias("y"), z.alias("z")), "points")
+    todo = points.select(*keys, x.alias("x"), y.alias("y"), z.alias("z"))
     x, y, z = _on_sphere(F.col("lat"), F.col("lon"))
-    spots = materialize(
-        places.select("place_id", "country", x.alias("px"), y.alias("py"), z.alias("pz")), "places"
-    )
-    if cell is None:  # about one place per cube face
-        cell = min(2.0, (4 * math.pi / max(row_count(spots), 1)) ** 0.5)
-    solved = None
-    keys = ["lat_key", "lon_key"]
+    spots = places.select("place_id", "country", x.alias("px"), y.alias("py"), z.alias("pz"))
+    spots = spots.groupBy("px", "py", "pz").agg(F.min(F.struct("place_id", "country")).alias("p")).select("p.*", "px", "py", "pz")
+    spots = materialize(spots, "places")
+    nodes = place_tree(spots, leaf)
+    square = lambda a, b: (F.col(a) - F.col(b)) * (F.col(a) - F.col(b))
+    edge = F.lit(2.0) / F.pow(F.lit(2.0), F.col("level"))
+
+    def gap(axis: str, index: str) -> Column:
+        """Distance of the point to the cell along one axis."""
+        low = F.col(f"cell.{index}") * edge - 1
+        return F.greatest(F.lit(0.0), low - F.col(axis), F.col(axis) - low - edge)
+
+    near = sum((gap(a, i) * gap(a, i) for a, i in zip("xyz", "ijk")), F.lit(0.0))
+    bound = square("x", "rx") + square("y", "ry") + square("z", "rz")
+    found, level = [], 0
+    root = nodes.filter("level = 0")  # one cell
+    at = todo.withColumn("cell", _cell(0, F.col("x"), F.col("y"), F.col("z"))).join(F.broadcast(root), "cell")
+    at = at.withColumn("d_best", F.lit(4.0))
     while True:
-        edge = F.lit(cell)
-        cubes = [F.floor(F.col(c) / edge) for c in ("x", "y", "z")]
-        near = todo
-        for name, cube in zip(("cx", "cy", "cz"), cubes):
-            near = near.withColumn(name, F.explode(F.array(cube - 1, cube, cube + 1)))
-        housed = spots.select(
-            "*", *[F.floor(F.col(p) / edge).alias(c) for p, c in (("px", "cx"), ("py", "cy"), ("pz", "cz"))]
-        )
-        chord = sum(((F.col(a) - F.col(p)) * (F.col(a) - F.col(p)) for a, p in (("x", "px"), ("y", "py"), ("z", "pz"))), F.lit(0.0))
-        met = lookup_join(near, housed, ["cx", "cy", "cz"], "inner", right_bytes=known_bytes(spots))
-        best = met.groupBy(*keys).agg(
-            F.min(F.struct(F.round(chord, 12).alias("d2"), "place_id", "country")).alias("b")
-        )
-        whole_sphere = cell >= 2.0
-        decided = best if whole_sphere else best.filter(F.col("b.d2") <= F.lit(cell * cell))
-        decided = materialize(decided.select(*keys, F.col("b.country").alias("country")), "nearest")
-        solved = decided if solved is None else solved.unionByName(decided)
-        if whole_sphere:
-            return solved
-        todo = materialize(todo.join(decided, keys, "left_anti"), "points")
-        if row_count(todo) == 0:
-            return solved
-        cell = min(cell * 2, 2.0)
+        judged = at.withColumn("d_near", near).withColumn("d_bound", bound)
+        least = judged.groupBy(*keys).agg(F.min(F.least("d_bound", "d_best")).alias("d_least"))
+        kept = judged.join(least, keys).filter(F.col("d_near") <= F.col("d_least") + ROUNDING)
+        kept = kept.withColumn("d_best", F.col("d_least")).drop("d_near", "d_bound", "d_least", "rx", "ry", "rz")
+        kept = materialize(kept, "cells-at-points")
+        if not row_count(kept):
+            break
+        open_ = (F.col("n") > leaf) & (F.lit(level) < FINEST)
+        found.append(kept.filter(~open_))
+        children = nodes.filter(F.col("level") == level + 1).withColumnRenamed("cell", "child")
+        parent = F.struct(*[F.floor(F.col(f"child.{i}") / 2).alias(i) for i in "ijk"])
+        children = children.select(parent.alias("cell"), "child", "rx", "ry", "rz", F.col("n").alias("m"))
+        at = lookup_join(kept.filter(open_).drop("level", "n"), children, "cell", "inner")
+        at = at.select(*keys, "x", "y", "z", "d_best", F.lit(level + 1).alias("level"), F.col("child").alias("cell"), F.col("m").alias("n"), "rx", "ry", "rz")
+        level += 1
+    if not found:
+        return points.select(*keys, F.lit(None).cast("string").alias("country")).limit(0)
+    met = None
+    for level in range(len(found)):
+        housed = spots.withColumn("cell", _cell(level, F.col("px"), F.col("py"), F.col("pz")))
+        housed = housed.join(nodes.filter((F.col("level") == level) & ((F.col("n") <= leaf) | F.lit(level == FINEST))).select("cell"), "cell", "left_semi")
+        part = lookup_join(found[level], housed.select("cell", "place_id", "country", "px", "py", "pz"), "cell", "inner")
+        met = part if met is None else met.unionByName(part)
+    chord = square("x", "px") + square("y", "py") + square("z", "pz")
+    best = met.groupBy(*keys).agg(F.min(F.struct(F.round(chord, 12).alias("d2"), "place_id", "country")).alias("b"))
+    return materialize(best.select(*keys, F.col("b.country").alias("country")), "nearest")
 
 
 def country_names(located: DataFrame, names: DataFrame) -> DataFrame:
@@ -104,7 +151,7 @@ def country_names(located: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def last_commit(files: DataFrame, commits: DataFrame, key: str, ts: str) -> DataFrame:
-    """ISO time of the newest commit of each file, '' when there is none."""
+    """ISO time of the newest commit of each file, with the session's offset, '' when there is none."""
     newest = latest_per_key(commits, key, ts, "_last")
-    iso = F.date_format("_last", "yyyy-MM-dd'T'HH:mm:ss")
+    iso = F.date_format("_last", "yyyy-MM-dd'T'HH:mm:ssxxx")
     return files.join(newest, key, "left").withColumn("last_commit", F.coalesce(iso, F.lit(""))).drop("_last")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.markup import extract_hrefs
 from ..functions.text import decode_entities
@@ -16,11 +14,15 @@ from ..functions.urls import (
     url_host,
     url_path,
 )
-from ..session import known_bytes, materialize, row_count
+from ..session import materialize, observe_write, scratch_path
 from .prefix import slash_prefixes
 from .skew import lookup_join
 
 
+#: Folders of stored links and pages.
+BUCKETS = 64
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(src, dst) for every anchor: resolved, entity-decoded, both without trailing slash."""
     raw = pages.select(strip_trailing_slash(url).alias("src"), F.explode(extract_hrefs(html)).alias("href"))
@@ -41,29 +43,40 @@ def crawl_candidates(links: DataFrame, bases: DataFrame) -> DataFrame:
     return lookup_join(offered, rooted, "below", "inner").select("doc_set", "base", "src", "dst").distinct()
 
 
+def _bucket(url: str) -> Column:
+    return F.pmod(F.xxhash64("doc_set", url), F.lit(BUCKETS)).cast("int")
+
+
 def reachable(candidates: DataFrame, bases: DataFrame) -> DataFrame:
     """(doc_set, url): candidate links found from each base; all doc sets advance in one loop.
 
-    A frontier of newly found pages meets the link table until nothing new appears. Every
-    round writes only its new pages to the shared folder, so plans do not grow with depth
-    and a lost executor costs one round at most. A linked page that is not stored is found
-    but leads nowhere.
+    Links and visited pages are stored once, in folders by a hash of (doc set, page). A frontier of
+    newly found pages meets only the folders of links its pages fall into, and new pages are checked
+    against the folders of visited pages they fall into. So a round reads less as the frontier
+    shrinks, and writes only its new pages. A linked page that is not stored is found but leads nowhere.
     """
-    links = materialize(candidates.select("doc_set", "src", "dst"), "links")
-    visited = materialize(bases.select("doc_set", strip_trailing_slash("base").alias("url")), "visited")
-    frontier, found = visited, []
-    while True:
-        # a page with very many links is the hot key here; frontier pages are distinct
-        at = frontier.withColumnRenamed("url", "src")
-        reached = lookup_join(links, at, ["doc_set", "src"], "inner", right_bytes=known_bytes(frontier))
-        reached = reached.select("doc_set", F.col("dst").alias("url")).distinct()
-        fresh = materialize(reached.join(visited, ["doc_set", "url"], "left_anti"), "visited")
-        if row_count(fresh) == 0:
-            break
-        found.append(fresh)
-        visited = visited.unionByName(fresh)
-        frontier = fresh
-    urls = reduce(DataFrame.unionByName, found) if found else visited.limit(0)
+    spark = candidates.sparkSession
+    place = scratch_path(spark, "crawl")
+    links = candidates.select("doc_set", "src", "dst").withColumn("at", _bucket("src"))
+    # a page with very many links is spread over several files of its folder
+    links = links.repartition("at", F.pmod(F.xxhash64("dst"), F.lit(8)))
+    observe_write(links, f"{place}/links", "at")
+    start = bases.select("doc_set", strip_trailing_slash("base").alias("url")).distinct().withColumn("at", _bucket("url"))
+    new, turn = observe_write(start, f"{place}/pages/turn=0", "at"), 0
+    schema = "doc_set string, url string, at int, turn int"
+    while new:
+        pages = spark.read.schema(schema).parquet(f"{place}/pages")
+        frontier = pages.filter(F.col("turn") == turn).withColumnRenamed("url", "src")
+        used = [r["at"] for r in frontier.select("at").distinct().collect()]  # folder numbers
+        stored = spark.read.schema("doc_set string, src string, dst string, at int").parquet(f"{place}/links")
+        reached = lookup_join(stored.filter(F.col("at").isin(used)), frontier.select("doc_set", "src"), ["doc_set", "src"], "inner")
+        reached = reached.select("doc_set", F.col("dst").alias("url")).distinct().withColumn("at", _bucket("url"))
+        reached = materialize(reached, "reached")
+        near = [r["at"] for r in reached.select("at").distinct().collect()]
+        known = pages.filter(F.col("at").isin(near)).select("doc_set", "url")
+        turn += 1
+        new = observe_write(reached.join(known, ["doc_set", "url"], "left_anti"), f"{place}/pages/turn={turn}", "at")
+    urls = spark.read.schema(schema).parquet(f"{place}/pages").filter("turn > 0").select("doc_set", "url")
     # the base string itself is no result; the same page in another spelling is
     return urls.join(bases.select("doc_set", F.col("base").alias("url")), ["doc_set", "url"], "left_anti")
 

@@ -88,35 +88,48 @@ def resolve_fragments(fragments: DataFrame) -> DataFrame:
     empty = F.array().cast("array<string>")
     no_refs = F.size(include_refs("text")) == 0
     nothing = [F.lit(0).cast("bigint").alias("n_missing"), empty.alias("missing")]
-    leaves = materialize(source.filter(no_refs).select("ref", "text", *nothing), "fragments")
-    open_ = source.filter(~no_refs)
-    uses = _refs_of(open_.select(F.col("ref").alias("owner"), "text"), "owner", "text")
+    fresh = materialize(source.filter(no_refs).select("ref", "text", *nothing), "fragments")
+    open_ = source.filter(~no_refs).select(F.col("ref").alias("owner"), "text")
+    uses = _refs_of(open_, "owner", "text")
     known = lookup_join(uses, source.select("ref", F.lit(True).alias("exists")), "ref")
-    uses = materialize(known.select("owner", "pos", "ref", F.coalesce("exists", F.lit(False)).alias("exists")), "fragment-uses")
-    rounds = [leaves]
-    while True:
-        done = reduce(DataFrame.unionByName, rounds)
-        waiting = uses.join(done.select(F.col("ref").alias("owner")), "owner", "left_anti")
-        joined = lookup_join(waiting, done, "ref", right_bytes=known_bytes(*rounds))
-        joined = joined.withColumn("ready", ~F.col("exists") | F.col("text").isNotNull())
-        gone = F.when(~F.col("exists"), F.array("ref")).otherwise(F.coalesce("missing", empty))
-        filled = (
-            joined.groupBy(F.col("owner").alias("ref"))
-            .agg(
-                F.bool_and("ready").alias("ready"),
-                F.sort_array(F.collect_list(F.struct("pos", F.coalesce("text", F.lit("")).alias("t")))).alias("parts"),
-                (F.count_if(~F.col("exists")) + F.coalesce(F.sum("n_missing"), F.lit(0))).cast("bigint").alias("n_missing"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list(gone)))).alias("missing"),
-            )
-            .filter("ready")
+    piece = "struct<pos:int,t:string,n_missing:bigint,missing:array<string>>"
+    gone = F.struct(F.col("pos"), F.lit("").alias("t"), F.lit(1).cast("bigint").alias("n_missing"), F.array("ref").alias("missing"))
+    # an owner carries the pieces it has and the references it waits for
+    waiting = known.groupBy("owner").agg(
+        F.collect_list(F.when(F.col("exists").isNull(), gone.cast(piece))).alias("pieces"),
+        F.collect_list(F.when(F.col("exists").isNotNull(), F.struct("pos", "ref"))).alias("wanted"),
+    )
+    waiting = materialize(open_.join(waiting, "owner"), "open-fragments")
+    rounds = [fresh]
+    while row_count(waiting) and (row_count(fresh) or len(rounds) == 1):
+        # only what is still open meets what the last round completed
+        asked = waiting.select("owner", F.explode("wanted").alias("w")).select("owner", "w.pos", "w.ref")
+        hits = lookup_join(asked, fresh, "ref", "inner", right_bytes=known_bytes(fresh)).groupBy("owner").agg(
+            F.collect_list(F.struct("pos", F.col("text").alias("t"), "n_missing", "missing").cast(piece)).alias("got")
         )
-        text = _interleave(include_gaps("text"), F.col("parts.t")).alias("text")
-        fresh = materialize(open_.join(filled, "ref").select("ref", text, "n_missing", "missing"), "fragments")
-        if row_count(fresh) == 0:
-            break
+        got = F.coalesce("got", F.array().cast(f"array<{piece}>"))
+        moved = waiting.join(hits, "owner", "left").select(
+            "owner", "text", F.concat("pieces", got).alias("pieces"),
+            F.filter("wanted", lambda w: ~F.exists(got, lambda g: g["pos"] == w["pos"])).alias("wanted"),
+        )
+        moved = materialize(moved, "open-fragments")
+        full = moved.filter(F.size("wanted") == 0)
+        sorted_ = F.sort_array("pieces")
+        done_text = _interleave(include_gaps("text"), F.transform(sorted_, lambda p: p["t"])).alias("text")
+        fresh = materialize(
+            full.select(
+                F.col("owner").alias("ref"), done_text,
+                F.aggregate("pieces", F.lit(0).cast("bigint"), lambda n, p: n + p["n_missing"]).alias("n_missing"),
+                F.array_sort(F.array_distinct(F.flatten(F.transform("pieces", lambda p: p["missing"])))).alias("missing"),
+            ),
+            "fragments",
+        )
         rounds.append(fresh)
-    cyclic = open_.join(done.select("ref"), "ref", "left_anti")
-    return done.unionByName(cyclic.select("ref", F.lit(None).cast("string").alias("text"), *nothing))
+        waiting = materialize(moved.filter(F.size("wanted") > 0), "open-fragments")
+        if not row_count(fresh):
+            break
+    done = reduce(DataFrame.unionByName, rounds)
+    return done.unionByName(waiting.select(F.col("owner").alias("ref"), F.lit(None).cast("string").alias("text"), *nothing))
 
 
 def expand_includes(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.common import bind, col
 from ..functions.urls import absolute_url, bare_url, strip_vars
 from ..session import known_bytes, materialize
-from .skew import lookup_join
+from .skew import lookup_join, stored
 
 
 def slash_prefixes(value: Column) -> Column:
@@ -28,13 +28,9 @@ def slash_prefixes(value: Column) -> Column:
     return bind(F.split(value, "/", -1), prefixes)
 
 
-def length_prefixes(rules: DataFrame, prefix: str) -> Column:
-    """Prefixes of a column ``value`` at every length the rules use (read once while planning).
-
-    There are no more lengths than the longest rule has characters.
-    """
-    lengths = [r[0] for r in rules.select(F.length(prefix).alias("n")).distinct().orderBy("n").collect()]
-    wanted = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("value"))
+def length_prefixes() -> Column:
+    """Prefixes of a column ``value`` at every length the rules use; the lengths come along as ``_lengths``."""
+    wanted = F.filter("_lengths", lambda n: n <= F.length("value"))
     return F.transform(wanted, lambda n: F.col("value").substr(F.lit(1), n))
 
 
@@ -45,14 +41,19 @@ def best_prefix(values: DataFrame, rules: DataFrame, *, pick: str, slash_termina
     ``slash_terminated`` says that values and prefixes all end in ``/``, which needs far
     fewer candidate prefixes.
     """
-    candidates = slash_prefixes(F.col("value")) if slash_terminated else length_prefixes(rules, "prefix")
-    offered = values.select("value", F.explode(candidates).alias("prefix"))
-    hits = lookup_join(offered, rules.select("ord", "prefix", "target"), "prefix", "inner")
+    rules = stored(rules)
+    if slash_terminated:
+        offered = values.select("value", F.explode(slash_prefixes(F.col("value"))).alias("prefix"))
+    else:
+        # one array, read by the plan itself: no more lengths than the longest rule has characters
+        lengths = rules.agg(F.collect_set(F.length("prefix")).alias("_lengths"))
+        offered = values.withColumn("_lengths", lengths.scalar()).select("value", F.explode(length_prefixes()).alias("prefix"))
+    hits = lookup_join(offered, rules.select("ord", "prefix", "target"), "prefix", "inner", right_bytes=known_bytes(rules))
     chosen = F.struct(F.col("prefix").alias("matched"), "target")
     if pick == "longest":
         best = F.min_by(chosen, F.struct(-F.length("prefix"), F.col("ord")))
     elif pick == "first":
-        best = F.min_by(chosen, F.col("ord"))
+        best = F.min_by(chosen, F.struct("ord", "prefix"))
     else:
         raise ValueError(f"unknown pick {pick!r}")
     return hits.groupBy("value").agg(best.alias("_best")).select("value", "_best.matched", "_best.target")
@@ -129,14 +130,17 @@ def canonical_links(df: DataFrame, name: str, rules: DataFrame, origin: str, out
     Rows only compute a cheap key, the URL without its query; the cleaning chains and the
     redirects run once per distinct key, of which there are about as many as pages.
     """
+    rules = stored(rules)
     keyed = df.withColumn("_bare", bare_url(name))
-    clean = strip_vars("_absolute", origin).alias("value")
-    keys = keyed.select("_bare").distinct().withColumn("_absolute", absolute_url("_bare", origin)).select("_bare", clean)
-    keys = materialize(keys, "clean-links")
-    moved = materialize(_redirected(keys.select("value").distinct(), rules, origin), "redirected")
-    joined = lookup_join(keys, moved, "value", right_bytes=known_bytes(moved))
-    mapping = joined.select("_bare", F.col("value").alias("_clean"), F.coalesce("canonical", "value").alias("_canonical"))
-    mapping = materialize(mapping, "canonical-links")
+    keys = keyed.select("_bare").distinct().withColumn("_absolute", absolute_url("_bare", origin))
+    keys = keys.select("_bare", strip_vars("_absolute", origin).alias("_clean"))
+    offered = keys.select("_bare", "_clean", F.explode_outer(slash_prefixes(F.col("_clean"))).alias("prefix"))
+    hits = lookup_join(offered, rules.select("ord", "prefix", "target"), "prefix", right_bytes=known_bytes(rules))
+    hit = F.when(F.col("target").isNotNull(), F.struct(-F.length("prefix"), F.col("ord")))
+    best = hits.groupBy("_bare", "_clean").agg(F.min_by(F.struct("prefix", "target"), hit).alias("_best"))
+    rest = F.col("_clean").substr(F.length("_best.prefix") + 1, F.length("_clean"))
+    moved = F.when(F.col("_best.target").isNotNull(), strip_vars(F.concat("_best.target", rest), origin))
+    mapping = materialize(best.select("_bare", "_clean", F.coalesce(moved, "_clean").alias("_canonical")), "canonical-links")
     linked = lookup_join(keyed, mapping, "_bare", right_bytes=known_bytes(mapping))
     kept = [F.col("_clean").alias(name) if c == name else F.col(c) for c in df.columns if c != out]
     return linked.select(*kept, F.col("_canonical").alias(out))

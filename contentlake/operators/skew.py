@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import row_bytes
+from ..session import known_bytes, materialize
 
 #: A lookup side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -12,9 +12,9 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 2_000_000
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Approximate size of all rows; one aggregation, nothing but the sum reaches the driver."""
-    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+def stored(df: DataFrame, label: str = "lookup") -> DataFrame:
+    """``df`` as a table whose size is known; it is computed once, however often it is read."""
+    return df if hasattr(df, "observed") else materialize(df, label)
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -42,12 +42,17 @@ def lookup_join(
     A lookup that fits is broadcast and nothing is shuffled. Beyond that size both sides are
     shuffled, and rows of hot keys (NULL included) are spread over slices that each meet a
     copy of the matching lookup rows, so no single task receives a hot key. ``right_bytes`` is
-    the size of the lookup side when it is known; otherwise it is measured.
+    the size of the lookup side when it is known; otherwise the lookup is written once (:func:`stored`).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if (measured_bytes(right) if right_bytes is None else right_bytes) <= broadcast_bytes:
+    if right_bytes is None:
+        right = stored(right)
+        right_bytes = known_bytes(right)
+    if right_bytes <= broadcast_bytes:
         return left.join(F.broadcast(right), keys, how)
-    hot = F.broadcast(hot_keys(left, keys, hot_rows))
+    # at most rows / hot_rows keys; sent to all tasks only when that is little
+    hot = stored(hot_keys(left, keys, hot_rows), "hot-keys")
+    hot = F.broadcast(hot) if known_bytes(hot) <= broadcast_bytes else hot
 
     def with_slices(df: DataFrame) -> DataFrame:
         same = F.lit(True)
@@ -73,25 +78,31 @@ def _is_map(df: DataFrame, name: str) -> bool:
 
 
 def running_sum(
-    df: DataFrame, group: list[str], order: str, value: Column, name: str, block_rows: int = 1_000_000
+    df: DataFrame, group: list[str], order: str | list[str], value: Column, name: str, block_rows: int = 1_000_000
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` per group along an integer ordinal.
+    """Inclusive running sum of ``value`` per group along an integer ordinal, the last of ``order``.
 
-    Each group is cut into blocks of ordinals: blocks are summed first, the block totals are
-    accumulated, and rows are only ever sorted inside one block. A group of any size is
-    therefore spread over many tasks.
+    Each group is cut into blocks of ordinals (and of the order columns before it, such as the file): blocks are summed
+    first, the block totals are accumulated, and rows are only ever sorted inside one block. A
+    group of any size is therefore spread over many tasks. NULL groups are groups too.
     """
-    rows = df.withColumn("_value", value.cast("bigint")).withColumn("_block", F.expr(f"`{order}` div {block_rows}"))
-    before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    outer, ordinal = ([], order) if isinstance(order, str) else (list(order[:-1]), order[-1])
+    rows = df.withColumn("_value", value.cast("bigint")).withColumn("_block", F.expr(f"`{ordinal}` div {block_rows}"))
+    at = [*outer, "_block"]
+    before = Window.partitionBy(*group).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group, *at]
     offsets = (
-        rows.groupBy(*group, "_block")
+        rows.groupBy(*keys)
         .agg(F.sum("_value").alias("_total"))
         .withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .drop("_total")
+        .select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], "_offset")
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & rows[k].eqNullSafe(offsets[f"_of_{i}"])
     return (
-        rows.join(offsets, [*group, "_block"])
+        rows.join(offsets, same)
         .withColumn(name, F.col("_offset") + F.sum("_value").over(inside))
-        .drop("_value", "_block", "_offset")
+        .drop("_value", "_block", "_offset", *[f"_of_{i}" for i in range(len(keys))])
     )

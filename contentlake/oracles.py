@@ -69,16 +69,20 @@ SELECT r.*, coalesce((SELECT p.target FROM v_product p WHERE starts_with(r.canon
 """
 
 oracle("feedback_by_page", RATED + r"""
-SELECT canonical_url, product, CAST(0 AS BIGINT) AS part, round(avg(q1), 2) AS avg_q1, count(q1) AS n,
+SELECT canonical_url, product, CAST(1 AS BIGINT) AS part, round(avg(q1), 2) AS avg_q1, count(q1) AS n,
        coalesce(string_agg(q2, '|||' ORDER BY row_id) FILTER (WHERE q2 IS NOT NULL), '') AS q2_comments
 FROM mapped GROUP BY canonical_url, product""", "v_survey", "v_product")
 
-oracle("feedback_parts", RATED + r""", sized AS (
-SELECT *, count(q2) OVER (PARTITION BY canonical_url, product) AS m, avg(q1) OVER (PARTITION BY canonical_url, product) AS a,
-       count(q1) OVER (PARTITION BY canonical_url, product) AS n FROM mapped)
-SELECT canonical_url, product, CAST(CASE WHEN m > 500 THEN row_id // 500 + 1 ELSE 0 END AS BIGINT) AS part,
-       round(max(a), 2) AS avg_q1, max(n) AS n, coalesce(string_agg(q2, '|||' ORDER BY row_id), '') AS q2_comments
-FROM sized WHERE q2 IS NOT NULL OR m = 0 GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY canonical_url, product, 3"), "v_survey", "v_product")
+# comments are numbered per page, whatever their rows are
+oracle("feedback_parts", RATED + r""", stats AS (
+SELECT canonical_url, product, round(avg(q1), 2) AS a, count(q1) AS n FROM mapped GROUP BY canonical_url, product),
+said AS (
+SELECT *, (row_number() OVER (PARTITION BY canonical_url, product ORDER BY row_id) - 1) // 500 + 1 AS part FROM mapped WHERE q2 IS NOT NULL),
+parts AS (
+SELECT canonical_url, product, part, string_agg(q2, '|||' ORDER BY row_id) AS text FROM said GROUP BY canonical_url, product, part)
+SELECT s.canonical_url, s.product, CAST(coalesce(p.part, 1) AS BIGINT) AS part, CASE WHEN coalesce(p.part, 1) = 1 THEN a END AS avg_q1,
+       CASE WHEN coalesce(p.part, 1) = 1 THEN n END AS n, coalesce(p.text, '') AS q2_comments
+FROM stats s LEFT JOIN parts p ON p.canonical_url IS NOT DISTINCT FROM s.canonical_url AND p.product = s.product""", "v_survey", "v_product")
 
 oracle("normalize_url", f"SELECT row_id, {norm('link_url')} AS url FROM v_survey", "v_survey")
 
@@ -229,7 +233,7 @@ oracle("production_url", _production(False) + " SELECT doc_id, url FROM located"
 oracle("production_url_segments", _production(True) + " SELECT doc_id, url FROM located", "v_md", "v_lookup")
 
 oracle("repo_path", r"""
-SELECT doc_id, concat('/repo/content/', substr(path, 23)) AS shifted, path AS file, substr(path, 15) AS rel_path FROM v_md""", "v_md")
+SELECT doc_id, concat('/repo/content/../../../..', path) AS shifted, path AS file, substr(path, 15) AS rel_path FROM v_md""", "v_md")
 
 # the only target folder is alpha; documents lie one folder below their doc set
 RELINKED = r"""CASE WHEN doc_id % 5 = 0 THEN CASE WHEN doc_id = doc_id % 7 THEN 'page.md' ELSE concat('../s', doc_id % 7, '/page.md') END
@@ -250,7 +254,7 @@ def _cleaned(x: str) -> str:
     return decoded(rf"regexp_replace(regexp_replace({x}, '{WS}+', ' ', 'g'), '^ +| +$', '', 'g')")
 
 
-oracle("clean_text", f"SELECT page_id, {_cleaned(chr(114) + 'egexp_extract(html, ' + chr(39) + '(?s)<title>(.*?)</title>' + chr(39) + ', 1)')} AS title FROM pages")
+oracle("clean_text", f"SELECT doc_id, {_cleaned('text')} AS text FROM documents")
 oracle("clean_page_text", f"SELECT page_id, {_cleaned('html')} AS html FROM pages")
 
 UNCLOSED = "(doc_id % 6 <> 0 AND doc_id % 29 <> 5 AND doc_id % 31 = 7)"
@@ -370,6 +374,9 @@ SELECT d.path AS file, w.title, CAST(NULL AS VARCHAR) AS "Title_", w.categories,
        CASE WHEN {NONE.replace('doc_id', 'd.doc_id')} THEN 'True' END AS "No metadata found",
        CASE WHEN {BROKEN.replace('doc_id', 'd.doc_id')} THEN 'True' END AS "Error in frontmatter"
 FROM v_md d LEFT JOIN wide w ON w.doc_id = d.doc_id""", "v_md")
+oracle("metadata_audit_long", FIELDS + rf""" SELECT path AS file, key, {DECODED} AS value FROM fields
+UNION ALL SELECT path, 'No metadata found', 'True' FROM v_md WHERE {NONE}
+UNION ALL SELECT path, 'Error in frontmatter', 'True' FROM v_md WHERE {BROKEN}""", "v_md")
 oracle("metadata_summary", rf"""
 SELECT count(*) AS total, count(*) FILTER (NOT ({NONE}) AND NOT {BROKEN}) AS valid, count(*) FILTER ({NONE}) AS no_metadata,
        count(*) FILTER ({BROKEN}) AS errors FROM v_md""", "v_md")
@@ -467,7 +474,7 @@ SELECT doc_id, path, regexp_extract(path, '^xml/([^/]+)/', 1) AS lang,
 newest AS (SELECT path, max(commit_ts) AS ts FROM v_commits GROUP BY path),
 rows AS (
 SELECT i.lang, i.path AS file, i.title, concat('https://www.example.org/', regexp_replace(substr(i.path, 5), '\.xml$', '.html')) AS link,
-       coalesce(strftime(n.ts, '%Y-%m-%dT%H:%M:%S'), '') AS last_commit
+       coalesce(strftime(n.ts, '%Y-%m-%dT%H:%M:%S+00:00'), '') AS last_commit
 FROM inv i LEFT JOIN newest n ON n.path = i.path WHERE i.lang IN ('cn', 'en', 'he', 'it', 'ja', 'ru', 'tr'))"""
 oracle("xml_title", XML + " SELECT doc_id, title FROM inv", "v_xml", "v_commits")
 oracle("xml_inventory", XML + " SELECT * FROM rows", "v_xml", "v_commits")
@@ -476,7 +483,7 @@ oracle("column_widths", XML + " SELECT lang, " + ", ".join(
     f"CAST(greatest(max(length({c})), {len(c)}) + 2 AS BIGINT) AS w_{c}" for c in ["file", "title", "link", "last_commit"]
 ) + " FROM rows GROUP BY lang", "v_xml", "v_commits")
 oracle("last_commit", XML + r"""
-SELECT v.path, coalesce(strftime(n.ts, '%Y-%m-%dT%H:%M:%S'), '') AS last_commit FROM v_xml v LEFT JOIN newest n ON n.path = v.path""", "v_xml", "v_commits")
+SELECT v.path, coalesce(strftime(n.ts, '%Y-%m-%dT%H:%M:%S+00:00'), '') AS last_commit FROM v_xml v LEFT JOIN newest n ON n.path = v.path""", "v_xml", "v_commits")
 oracle("xml_tree", "SELECT path, xml, regexp_extract(path, '^xml/([^/]+)/', 1) AS lang FROM v_xml WHERE path NOT LIKE 'xml/xx/%'", "v_xml")
 
 # --- enrichment -----------------------------------------------------------------------------
@@ -514,6 +521,6 @@ SELECT prefix, rtrim(arg_max(target, ord), '/') AS target FROM v_redirect GROUP
 oracle("config_file_lines", "SELECT line, count(*) AS n FROM v_config_lines WHERE line <> '' GROUP BY line", "v_config_lines")
 oracle("id_list", "SELECT DISTINCT trim(id) AS id FROM v_exclude", "v_exclude")
 oracle("stream_feedback", r"""
-SELECT concat('https://docs.example.com/', event_type, '/') AS canonical_url, 'all' AS product, CAST(0 AS BIGINT) AS part,
+SELECT concat('https://docs.example.com/', event_type, '/') AS canonical_url, 'Secure' AS product, CAST(1 AS BIGINT) AS part,
        round(avg(value), 2) AS avg_q1, count(value) AS n, coalesce(string_agg(concat(event_type, ' ', props), '|||' ORDER BY event_id), '') AS q2_comments
 FROM events WHERE value IS NOT NULL GROUP BY event_type""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import metadata as M
 from ..functions.common import computed
@@ -17,9 +17,8 @@ from ..functions.text import (
     strip_front_matter,
 )
 from ..functions.urls import content_path, in_includes, page_url, relative_path, repo_content_path
-from ..operators.aggregates import metadata_wide
-from ..operators.includes import expand_includes, include_usage
-from ..session import materialize
+from ..operators.aggregates import metadata_flagged, metadata_wide
+from ..operators.includes import expand_includes
 from .survey import with_first_prefix
 
 
@@ -48,26 +47,43 @@ def doc_inventory(docs: DataFrame, lookup: DataFrame, root: str, segments: bool
     )
 
 
+def read_error(docs: DataFrame) -> Column:
+    """Why a document could not be read; NULL for one that could, or when the table tells nothing."""
+    return F.col("error") if "error" in docs.columns else F.lit(None).cast("string")
+
+
 def classified(docs: DataFrame, content_dir: str) -> DataFrame:
-    """(file, status, data) per document; data is an empty map unless status is ok."""
-    blocks = docs.select("path", computed(M.audited_block("content")).alias("_block"))
-    parsed = blocks.select("path", M.parse_front_matter("_block").alias("_fm"))
+    """(file, status, message, data) per document; data is an empty map unless status is ok.
+
+    ``message`` is the text of an error other than a malformed block.
+    """
+    blocks = docs.select("path", read_error(docs).alias("_unread"), computed(M.audited_block("content")).alias("_block"))
+    parsed = blocks.select("path", "_unread", M.parse_front_matter("_block").alias("_fm"))
     none = F.create_map().cast("map<string,string>")
+    unread = F.col("_unread").isNotNull()
     return parsed.select(
         repo_content_path("path", content_dir).alias("file"),
-        M.audit_status(F.col("_fm.kind")).alias("status"),
-        F.coalesce("_fm.data", none).alias("data"),
+        M.audit_status(F.col("_fm.kind"), unread).alias("status"),
+        F.coalesce("_unread", "_fm.error").alias("message"),
+        F.when(unread, none).otherwise(F.coalesce("_fm.data", none)).alias("data"),
     )
 
 
 def metadata_audit(docs: DataFrame, content_dir: str) -> DataFrame:
-    """One row per document, one column per metadata key, and the two audit flags."""
+    """(file, key, value): every metadata value of every document, and one row for a flag.
+
+    A flag's value is ``True``, or the error text when there is one. This form has no limit on the number of keys.
+    """
+    return metadata_flagged(classified(docs, content_dir))
+
+
+def metadata_table(docs: DataFrame, content_dir: str, keys: list[str]) -> DataFrame:
+    """One row per document, one column per key of ``keys``, and the two audit flags."""
     flags = [M.NO_METADATA, M.BAD_METADATA]
     audited = classified(docs, content_dir).withColumns(
-        {flag: F.when(F.col("status") == flag, "True") for flag in flags}
+        {flag: F.when(F.col("status") == flag, F.coalesce("message", F.lit("True"))) for flag in flags}
     )
-    # the key list and the table both read this: the blocks are parsed once
-    return metadata_wide(materialize(audited, "metadata"), "file", "data", M.text_value, flags)
+    return metadata_wide(audited, "file", "data", M.text_value, flags, keys)
 
 
 def rewritten(docs: DataFrame) -> DataFrame:
@@ -113,7 +129,8 @@ def archive(docs: DataFrame, fragments: DataFrame, root: str, compat: bool = Fal
     """Self-contained text per document: (path, doc_set, archived, n_errors, error).
 
     ``root`` holds the doc sets; folder indexes are left out. The order of the steps matters:
-    front matter, includes, version lines, comments, links.
+    front matter, includes, version lines, comments, links. A document that could not be read has
+    no text and one error.
     """
     below = relative_path("path", root)
     picked = docs.filter(~F.col("path").rlike(r"(?:\A|/)_index\.md\z") & F.col("path").endswith(".md"))
@@ -122,24 +139,32 @@ def archive(docs: DataFrame, fragments: DataFrame, root: str, compat: bool = Fal
         F.regexp_extract(below, r"\A([^/]*)/", 1).alias("doc_set"),
         F.regexp_extract(below, r"\A[^/]*/(?:(.*)/)?[^/]*\z", 1).alias("folder"),
         strip_front_matter("content").alias("content"),
+        read_error(docs).alias("unread"),
     )
     expanded = expand_includes(plain, fragments, compat=compat)
     text = F.col("expanded") if compat else drop_version_lines("expanded")
     linked = relref_to_relative(remove_html_comments(text), "folder", "doc_set")
-    return expanded.select("path", "doc_set", linked.alias("archived"), "n_errors", "error")
-
-
-def include_report(docs: DataFrame, fragments: DataFrame) -> DataFrame:
-    return include_usage(docs, fragments)
+    unread = F.col("unread").isNotNull()
+    return expanded.select(
+        "path", "doc_set", F.when(~unread, linked).alias("archived"),
+        F.when(unread, F.lit(1).cast("bigint")).otherwise(F.col("n_errors")).alias("n_errors"),
+        F.when(unread, F.concat(F.lit("ERROR while reading "), F.col("path"), F.lit(": "), F.col("unread"))).otherwise(F.col("error")).alias("error"),
+    )
 
 
 def reading_levels(docs: DataFrame, key: str = "path", text: str = "content") -> DataFrame:
-    """(key, reading_level, error) of every document; the text is scanned once per count."""
-    counted = docs.select(key, markdown_to_text(text).alias("_plain")).select(
-        key, *[c.alias(name) for name, c in reading_counts("_plain").items()]
+    """(key, reading_level, error) of every document; the text is scanned once per count.
+
+    A document that could not be read keeps the reason as its error.
+    """
+    counted = docs.select(key, read_error(docs).alias("_unread"), markdown_to_text(text).alias("_plain")).select(
+        key, "_unread", *[c.alias(name) for name, c in reading_counts("_plain").items()]
     )
     level, error = reading_grade(F.col("words"), F.col("sentences"), F.col("syllables"))
-    return counted.select(key, "words", "sentences", "syllables", level.alias("reading_level"), error.alias("error"))
+    level = F.when(F.col("_unread").isNull(), level)
+    return counted.select(
+        key, "words", "sentences", "syllables", level.alias("reading_level"), F.coalesce("_unread", error).alias("error")
+    )
 
 
 def span_rewrite(docs: DataFrame, key: str = "path", text: str = "content") -> DataFrame:

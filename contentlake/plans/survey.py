@@ -6,34 +6,44 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import scrub_emails
 from ..functions.urls import absolute_url, replace_literal, strip_vars
-from ..operators.aggregates import UNKNOWN_PRODUCT, feedback_by_page, metadata_row_dropped
+from ..operators.aggregates import MAX_COMMENTS, UNKNOWN_PRODUCT, feedback_by_page, metadata_row_dropped
 from ..operators.enrich import attach_country, missing_keys, nearest_place, upsert_cache
 from ..operators.filters import drop_keyword, drop_missing, exclude_ids
-from ..operators.prefix import canonical_links, dedup_rules, first_prefix_case, match_prefix
+from ..operators.prefix import canonical_links, dedup_rules, match_prefix
 
-# The word that marks trial answers, and how many rules fit a literal CASE.
+# The word that marks trial answers.
 TRIAL_WORD = "testing"
-CASE_RULES = 200
 
 
-def small_rules(rules: DataFrame, limit: int = CASE_RULES) -> list | None:
-    """Rules in order when there are few of them, else None. At most ``limit + 1`` rows are read."""
-    rows = rules.select("ord", "prefix", "target").orderBy("ord").limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+# The headers of survey files, in any case, and the names the steps use.
+SURVEY_COLUMNS = {
+    "link url": "link_url", "current url": "current_url", "q1": "q1", "q2": "q2", "startdate": "start_date",
+    "start date": "start_date", "responseid": "response_id", "response_id": "response_id", "response id": "response_id",
+    "locationlatitude": "lat", "locationlongitude": "lon", "canonical link url": "canonical_url",
+}
+
+
+def survey_columns(df: DataFrame) -> DataFrame:
+    """Columns of a survey file under the names the steps use; other columns stay.
+
+    A file without any known column is an error that lists what was looked for. Of two headers for
+    one name the first counts.
+    """
+    taken = {c for c in df.columns if c in SURVEY_COLUMNS.values()}
+    renamed = {}
+    for c in df.columns:
+        name = SURVEY_COLUMNS.get(c.strip().lower())
+        if name and name not in taken and c not in taken:
+            renamed[c] = name
+            taken.add(name)
+    if not taken:
+        raise ValueError(f"no survey column found among {df.columns}; looked for {sorted(SURVEY_COLUMNS)}")
+    return df.withColumnsRenamed(renamed)
 
 
 def with_first_prefix(df: DataFrame, value: str, rules: DataFrame) -> DataFrame:
-    """Adds (matched, target) of the first rule: a CASE for short lists, an equi join for long ones."""
-    few = small_rules(rules)
-    if few is None:
-        return match_prefix(df, value, rules, pick="first")
-    hit = first_prefix_case(
-        value, [(r["prefix"], F.struct(F.lit(r["prefix"]).alias("matched"), F.lit(r["target"]).alias("target"))) for r in few]
-    )
-    none = F.lit(None).cast("string")
-    if not few:
-        return df.withColumn("matched", none).withColumn("target", none)
-    return df.withColumn("_hit", hit).select(*df.columns, "_hit.matched", "_hit.target")
+    """Adds (matched, target) of the first rule by (ord, prefix)."""
+    return match_prefix(df, value, rules, pick="first")
 
 
 def map_product(df: DataFrame, url: str, rules: DataFrame, out: str = "product") -> DataFrame:
@@ -62,9 +72,10 @@ def clean_survey(
 ) -> DataFrame:
     """All cleaning steps in order; a step whose column is absent does nothing.
 
-    Expects link_url, current_url, q2, response_id, lat, lon as available. ``canonical_url`` is
-    always added: without rules it equals the normalised URL.
+    Takes the columns of a survey file (:func:`survey_columns`) or link_url, current_url, q2,
+    response_id, lat, lon as available. ``canonical_url`` is added wherever there is a link: without rules it equals the normalised URL.
     """
+    df = survey_columns(df)
     df = drop_missing(df, "link_url")
     df = drop_keyword(df, "q2", TRIAL_WORD)
     if rules is None:
@@ -94,16 +105,18 @@ def clean_survey(
     return df
 
 
-def feedback_dataset(df: DataFrame, products: DataFrame, *, url: str = "link_url", max_comments: int = 1_000_000) -> DataFrame:
-    """Feedback per canonical page and product."""
-    mapped = map_product(df, url, products)
+def feedback_dataset(
+    df: DataFrame, products: DataFrame, *, url: str = "link_url", order: str | list[str] = "row_id", max_comments: int = MAX_COMMENTS
+) -> DataFrame:
+    """Feedback per canonical page and product. ``order``: row_id, or file and row_order of a survey file."""
+    mapped = map_product(survey_columns(df), url, products)
     return feedback_by_page(
         mapped,
         url=url,
         rating="q1",
         comment="q2",
         date="start_date",
-        order="row_id",
+        order=order,
         product=F.col("product"),
         max_comments=max_comments,
     )

@@ -269,8 +269,7 @@ def relref_links(spark, sf_dir):
 
 @query
 def clean_text(spark, sf_dir):
-    title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
-    return table(spark, sf_dir, "pages").select("page_id", T.clean_text(title).alias("title"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.clean_text("text").alias("text"))
 
 
 @query
@@ -402,6 +401,13 @@ def doc_inventory(spark, sf_dir):
 
 @query
 def metadata_audit(spark, sf_dir):
+    """The table for keys that are known beforehand."""
+    keys = ["title", "categories", "date", "description", "docs", "doctypes", "tags", "weight"]
+    return D.metadata_table(view(spark, sf_dir, "v_md"), ROOT, keys)
+
+
+@query
+def metadata_audit_long(spark, sf_dir):
     return D.metadata_audit(view(spark, sf_dir, "v_md"), ROOT)
 
 
@@ -439,7 +445,7 @@ def _all_text(spark, sf_dir):
 
 @query
 def include_usage(spark, sf_dir):
-    return D.include_report(_all_text(spark, sf_dir), view(spark, sf_dir, "v_include"))
+    return includes.include_usage(_all_text(spark, sf_dir), view(spark, sf_dir, "v_include"))
 
 
 @query
@@ -527,7 +533,7 @@ def site_inventory(spark, sf_dir):
     """The inventory written in one folder per doc set, and read back."""
     found = sites.site_inventory(view(spark, sf_dir, "v_site"), view(spark, sf_dir, "v_base"))
     path = scratch_path(spark, "sites")
-    src.write_partitioned(found, path, "section")
+    src.write_partitioned(found, path, "doc_set")
     return spark.read.schema("doc_set string, url string, section string").parquet(path)
 
 
@@ -603,7 +609,7 @@ def scan_doc_tree(spark, sf_dir):
 def xml_tree(spark, sf_dir):
     root = scratch_path(spark, "xml")
     doctree.write_doc_tree(view(spark, sf_dir, "v_xml").select("path", F.col("xml").alias("content")), root)
-    return doctree.read_xml_docs(spark, root, sites.LANGUAGES)
+    return doctree.read_xml_docs(spark, root, sites.LANGUAGES).select("path", "xml", "lang")
 
 
 @query
@@ -671,5 +677,5 @@ def stream_feedback(spark, sf_dir):
         F.concat_ws(" ", "event_type", "props").alias("q2"),
         F.col("ts").cast("string").alias("start_date"),
     )
-    run_feedback_stream(answers, target, origin=ORIGIN)
+    run_feedback_stream(answers, target, origin=ORIGIN, products=view(spark, sf_dir, "v_product"))
     return read_feedback(spark, target)

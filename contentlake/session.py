@@ -44,9 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Scratch folders of this process, for drop_scratch.
+_WRITTEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -77,6 +83,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def observe_write(df: DataFrame, path: str, by: str | None = None) -> int:
+    """Write to a path of the shared folder, partitioned by a column if given; the rows written."""
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return seen.get["rows"]
+
+
 def row_count(df: DataFrame) -> int:
     """Rows of a materialized result."""
     return df.observed["rows"]
@@ -87,11 +101,10 @@ def known_bytes(*parts: DataFrame) -> int:
     return sum(part.observed["bytes"] for part in parts)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that has fewer partitions than the cluster has cores.
-
-    A small table in one file would keep all work in one task. A large scan has more splits
-    than cores already and passes through untouched, without any shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written with :func:`scratch_path`; call it when the job has ended."""
+    gone = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

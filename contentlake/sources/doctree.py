@@ -9,7 +9,7 @@ local or any URI that Arrow's file systems know (hdfs, s3, gs).
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -93,6 +93,23 @@ def list_files(spark: SparkSession, root: str, folders: int | None = None) -> Da
     return spark.read.format(LISTING).option("folders", folders).load(plain_root(root))
 
 
+def declared_text(data: bytes) -> str:
+    """Text of an XML file: by its byte order mark, the encoding it declares, or UTF-8.
+
+    The declaration is dropped from text in another encoding, since it no longer holds.
+    """
+    for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
+        if data.startswith(mark):
+            return re.sub(r"\A<\?xml[^>]*\?>", "", data.decode(name))
+    told = re.match(rb"""\s*<\?xml[^>]*\bencoding\s*=\s*["']([A-Za-z0-9._-]+)["'][^>]*\?>""", data)
+    if told is None or told[1].lower() in (b"utf-8", b"utf8"):
+        return data.decode("utf-8")
+    try:
+        return data[told.end() :].decode(told[1].decode())
+    except LookupError as unknown:
+        raise ValueError(str(unknown)) from None
+
+
 def has_extension(path: Column, extension: str, ignore_case: bool) -> Column:
     return (F.lower(path).endswith(extension.lower())) if ignore_case else path.endswith(extension)
 
@@ -104,9 +121,12 @@ def read_doc_tree(
     ignore_case: bool = True,
     skip_index: str | None = None,
     tasks: int | None = None,
+    decode: Callable[[bytes], str] | None = None,
 ) -> DataFrame:
     """(path, content, error) of the text files below ``root``.
 
+    ``decode`` turns bytes into text; UTF-8 when unset.
+
     ``skip_index`` drops ``_index.md``: ``exact`` spelling or in ``any`` case. Line ends are
     unified. A file that cannot be read keeps its row, with the reason in ``error``.
     """
@@ -136,8 +156,9 @@ def read_doc_tree(
             for name in incoming.column("path").to_pylist():
                 try:
                     with system.open_input_stream(name, compression=None) as stream:
-                        rows.append((name, stream.read().decode("utf-8"), None))
-                except (OSError, UnicodeDecodeError) as problem:
+                        data = stream.read()
+                        rows.append((name, decode(data) if decode else data.decode("utf-8"), None))
+                except (OSError, ValueError) as problem:
                     rows.append((name, None, f"Error reading {name}: {problem}"))
                 size += len(rows[-1][1] or "")
                 if size > 16 << 20:  # hand over about 16 MB at a time
@@ -151,9 +172,12 @@ def read_doc_tree(
 
 
 def read_xml_docs(spark: SparkSession, root: str, languages: list[str], tasks: int | None = None) -> DataFrame:
-    """(path, lang, xml) of ``xml/<lang>/docs/**/*.xml``; absent language folders yield no rows."""
-    docs = read_doc_tree(spark, root, ".xml", tasks=tasks)
-    return select_languages(docs.select(below_root(F.col("path"), root).alias("path"), F.col("content").alias("xml")), languages)
+    """(path, xml, error, lang) of ``xml/<lang>/docs/**/*.xml``; absent language folders yield no rows.
+
+    Files are read in the encoding they declare.
+    """
+    docs = read_doc_tree(spark, root, ".xml", tasks=tasks, decode=declared_text)
+    return select_languages(docs.select(below_root(F.col("path"), root).alias("path"), F.col("content").alias("xml"), "error"), languages)
 
 
 def select_languages(docs: DataFrame, languages: list[str]) -> DataFrame:
@@ -182,7 +206,7 @@ def _register_writer(spark: SparkSession) -> None:
                     made.add(folder)
                 # same path, same bytes: a repeated task attempt is harmless
                 with system.open_output_stream(target, compression=None) as out:
-                    out.write((row["content"] or "").encode("utf-8"))
+                    out.write(row["content"].encode("utf-8"))
             return Written()
 
     class Tree(DataSource):
@@ -199,7 +223,22 @@ def _register_writer(spark: SparkSession) -> None:
     spark.dataSource.register(Tree)
 
 
-def write_doc_tree(docs: DataFrame, root: str) -> None:
-    """Write (path, content) as files below a new root; never over the tree that is read."""
+def unwritable(docs: DataFrame) -> DataFrame:
+    """(path, reason) of documents that get no file: without text, or with a path that leaves the root."""
+    path = F.col("path")
+    reason = F.when(path.isNull() | path.rlike(r"(?:\A|[/\\\\])\.\.(?:[/\\\\]|\z)"), "path leaves the root").when(
+        F.col("content").isNull(), F.coalesce(F.col("error"), F.lit("no text")) if "error" in docs.columns else F.lit("no text")
+    )
+    return docs.select("path", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def write_doc_tree(docs: DataFrame, root: str) -> DataFrame:
+    """Write (path, content) as files below a new root; never over the tree that is read.
+
+    Returns what was left out, see :func:`unwritable`: a document that failed leaves no empty file behind.
+    """
     _register_writer(docs.sparkSession)
-    docs.select("path", "content").write.format(WRITER).mode("append").save(plain_root(root))
+    path = F.col("path")
+    inside = path.isNotNull() & F.col("content").isNotNull() & ~path.rlike(r"(?:\A|[/\\\\])\.\.(?:[/\\\\]|\z)")
+    docs.filter(inside).select("path", "content").write.format(WRITER).mode("append").save(plain_root(root))
+    return unwritable(docs)

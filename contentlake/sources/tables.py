@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.common import strip_ws
 from ..operators.aggregates import first_rows_dropped, metadata_row_dropped
 from ..operators.filters import clean_ids
+from ..operators.skew import lookup_join
 
 # Label of the comment column and the marker of the metadata row in exports.
 COMMENT_LABEL = "Any suggestions for improvement?"
@@ -35,23 +36,26 @@ def _leading_ordinal(df: DataFrame) -> DataFrame:
     first = df.filter(F.col("split_start") == 0).groupBy("file").agg(F.min("row_order").alias("_first"))
     ordinal = F.col("row_order") - F.col("_first")
     return (
-        df.join(first, "file", "left")
+        lookup_join(df, first, "file")  # one row per file; a lookup too large to broadcast meets slices of large files
         .withColumn("ordinal", F.when((F.col("split_start") == 0) & (ordinal < 2), ordinal))
         .drop("_first")
     )
 
 
-def read_survey(spark: SparkSession, path: str, label: str = COMMENT_LABEL) -> DataFrame:
-    """Survey CSV, all text, without a repeated header or label row; keeps row order columns."""
-    raw = with_row_order(spark.read.csv(path, header=True, multiLine=True, escape='"'))
+def read_survey(spark: SparkSession, path: str, label: str = COMMENT_LABEL, line_breaks: bool = True) -> DataFrame:
+    """Survey CSV, all text, without a repeated header or label row; keeps row order columns.
+
+    ``line_breaks=False`` promises that no cell holds one: a large file is then read in splits, else by one task.
+    """
+    raw = with_row_order(spark.read.csv(path, header=True, multiLine=line_breaks, escape='"'))
     names = [c for c in raw.columns if c not in ("file", "split_start", "row_order")]
     marked = _leading_ordinal(raw).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
     return first_rows_dropped(marked, "ordinal", names, label).drop("ordinal")
 
 
-def read_survey_export(spark: SparkSession, path: str, marker: str = METADATA_MARKER) -> DataFrame:
-    """Raw export CSV without its metadata row (the second data row)."""
-    raw = with_row_order(spark.read.csv(path, header=True, multiLine=True, escape='"'))
+def read_survey_export(spark: SparkSession, path: str, marker: str = METADATA_MARKER, line_breaks: bool = True) -> DataFrame:
+    """Raw export CSV without its metadata row (the second data row); ``line_breaks`` as in :func:`read_survey`."""
+    raw = with_row_order(spark.read.csv(path, header=True, multiLine=line_breaks, escape='"'))
     names = [c for c in raw.columns if c not in ("file", "split_start", "row_order")]
     marked = _leading_ordinal(raw).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
     return metadata_row_dropped(marked, "ordinal", names, marker).drop("ordinal")
@@ -76,6 +80,14 @@ def read_lookup_csv(spark: SparkSession, path: str, key: str = "filepath", value
     )
 
 
+def read_bases(spark: SparkSession, path: str, doc_set: str = "Title", base: str = "URL") -> DataFrame:
+    """(doc_set, base) from a header CSV with loose spacing; bases stay as written, rows without either are dropped."""
+    raw = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    named = {c.strip(): c for c in raw.columns}
+    both = [strip_ws(F.col(f"`{named[n]}`")).alias(out) for n, out in ((doc_set, "doc_set"), (base, "base"))]
+    return raw.select(*both).filter((F.length("doc_set") > 0) & (F.length("base") > 0))
+
+
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """One id per line: trimmed, blank lines dropped, distinct."""
     return clean_ids(spark.read.text(path).withColumnRenamed("value", "id"))
@@ -108,6 +120,14 @@ def write_report(df: DataFrame, path: str, columns: list[str], order: list[str],
         writer.format(fmt).save(path)
 
 
+def write_report_header(spark: SparkSession, path: str, about: str) -> None:
+    """The lines above a report, what it is about and its date, as a small text table of their own."""
+    lines = spark.createDataFrame([(0, f"Repo path: {about}")], "no int, value string").unionByName(
+        spark.range(1).select(F.lit(1).alias("no"), F.concat(F.lit("Date: "), F.date_format(F.current_date(), "yyyy-MM-dd")).alias("value"))
+    )
+    lines.coalesce(1).sortWithinPartitions("no").select("value").write.mode("errorifexists").text(path)
+
+
 def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(
         path, header=True, nullValue="\\N", escape='"', multiLine=True

@@ -4,54 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import scrub_emails
-from ..functions.urls import absolute_url, strip_vars
-from ..operators.aggregates import finish_feedback, join_comments, page_statistics
-from ..operators.filters import drop_keyword, drop_missing, keep_rated
-from ..plans.survey import TRIAL_WORD
+from ..operators.aggregates import MAX_COMMENTS, finish_feedback, join_comments, page_statistics, rated_pages
+from ..plans.survey import clean_survey, map_product
 
 KEYS = ["canonical_url", "product"]
 
 
-def clean_stream(answers: DataFrame, origin: str, watermark: tuple[str, str] | None = None) -> DataFrame:
-    """Cleaned, rated answers, each response id once.
+def answers_once(answers: DataFrame, watermark: tuple[str, str] | None = None) -> DataFrame:
+    """Each response id once.
 
     Without a watermark every id is remembered in the state store, so a repeat is caught however
     late it comes (use the RocksDB provider for large state). ``watermark`` is (time column, delay): state
     is then bounded, and an answer later than the delay is no longer told from a repeat.
     """
     if watermark:
-        once = answers.withWatermark(*watermark).dropDuplicatesWithinWatermark(["response_id"])
-    else:
-        once = answers.dropDuplicates(["response_id"])
-    kept = drop_keyword(drop_missing(once, "link_url"), "q2", TRIAL_WORD)
-    return keep_rated(kept, "start_date", "q1").select(
-        strip_vars(absolute_url("link_url", origin), origin).alias("canonical_url"),
-        F.lit("all").alias("product"),
-        "q1",
-        scrub_emails("q2")[0].alias("q2"),
-        "row_id",
-    )
+        return answers.withWatermark(*watermark).dropDuplicatesWithinWatermark(["response_id"])
+    return answers.dropDuplicates(["response_id"])
 
 
 def run_feedback_stream(
-    answers: DataFrame, target: str, *, origin: str, watermark: tuple[str, str] | None = None
+    answers: DataFrame,
+    target: str,
+    *,
+    origin: str,
+    products: DataFrame,
+    rules: DataFrame | None = None,
+    exclude: DataFrame | None = None,
+    watermark: tuple[str, str] | None = None,
 ) -> None:
     """Process all data that is available, then stop; call again for what arrives later.
 
-    A batch overwrites its own folder only, so a repeated batch leaves the same result.
+    Every batch goes through the cleaning of a whole survey (redirects, exclusion, e-mail scrub) and
+    the product map. A batch overwrites its own folder only, so a repeated batch leaves the same result.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        page_statistics(batch, KEYS, "q1", "q2").write.mode("overwrite").parquet(f"{target}/statistics/batch={batch_id}")
-        batch.filter(F.col("q2").isNotNull()).drop("q1").write.mode("overwrite").parquet(
-            f"{target}/comments/batch={batch_id}"
-        )
-        batch.unpersist()
+        cleaned = clean_survey(batch, origin=origin, rules=rules, exclude=exclude)
+        mapped = map_product(cleaned, "canonical_url", products)
+        rated = rated_pages(mapped, url="canonical_url", rating="q1", comment="q2", date="start_date", order="row_id", product=F.col("product"))
+        rows = f"{target}/rows/batch={batch_id}"
+        rated.write.mode("overwrite").parquet(rows)
+        stored = batch.sparkSession.read.schema(rated.schema).parquet(rows)
+        page_statistics(stored, KEYS, "q1", "q2").write.mode("overwrite").parquet(f"{target}/statistics/batch={batch_id}")
 
     started = (
-        clean_stream(answers, origin, watermark)
+        answers_once(answers, watermark)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", f"{target}/checkpoint")
         .trigger(availableNow=True)
@@ -60,14 +57,12 @@ def run_feedback_stream(
     started.awaitTermination()
 
 
-def read_feedback(spark: SparkSession, target: str, max_comments: int = 1_000_000) -> DataFrame:
+def read_feedback(spark: SparkSession, target: str, max_comments: int = MAX_COMMENTS) -> DataFrame:
     """Feedback per page over all batches so far: the sums merge, the comments keep row order."""
     statistics = (
         spark.read.parquet(f"{target}/statistics")
         .groupBy(*KEYS)
         .agg(F.sum("sum_q1").alias("sum_q1"), F.sum("n").alias("n"), F.sum("n_comments").alias("n_comments"))
     )
-    rows = spark.read.parquet(f"{target}/comments").drop("batch")
-    return finish_feedback(statistics, join_comments(rows, statistics, KEYS, "q2", "row_id", max_comments), KEYS)
-
-
+    rows = spark.read.parquet(f"{target}/rows").drop("batch")
+    return finish_feedback(statistics, join_comments(rows, KEYS, "q2", ["row_id"], max_comments), KEYS)

@@ -170,17 +170,30 @@ def test_large_pages_are_cut_into_parts_and_stay_whole(spark):
     args = dict(url="u", rating="q1", comment="q2", date="d", order="row_id", product=F.lit("p"))
     whole = {r["canonical_url"]: r for r in A.feedback_by_page(df, **args).collect()}
     parts = A.feedback_by_page(df, **args, max_comments=100).orderBy("canonical_url", "part").collect()
-    assert {r["part"] for r in parts if r["canonical_url"] == "small"} == {0}
+    assert {r["part"] for r in parts if r["canonical_url"] == "small"} == {1}
     big = [r for r in parts if r["canonical_url"] == "big"]
-    assert len(big) == 3
+    assert [r["part"] for r in big] == [1, 2]
     assert "|||".join(r["q2_comments"] for r in big) == whole["big"]["q2_comments"]
-    assert {r["n"] for r in big} == {200}
+    assert [r["n"] for r in big] == [200, None] and len(big[0]["q2_comments"].split("|||")) == 100
+
+
+def test_parts_are_counted_per_page_over_files_and_bytes(spark):
+    data = [(f"f{k}", i, "u", 1.0, f"{k}:{i}", "2024-01-01") for k in range(3) for i in range(7)] + [("f0", 50, None, 1.0, "n", "2024-01-01")]
+    df = spark.createDataFrame(data, "file string, row_id long, u string, q1 double, q2 string, d string")
+    args = dict(url="u", rating="q1", comment="q2", date="d", order=["file", "row_id"], product=F.lit("p"))
+    parts = A.feedback_by_page(df, **args, max_comments=5).filter("canonical_url = 'u'").orderBy("part").collect()
+    assert [len(r["q2_comments"].split("|||")) for r in parts] == [5, 5, 5, 5, 1] and [r["part"] for r in parts] == [1, 2, 3, 4, 5]
+    assert "|||".join(r["q2_comments"] for r in parts) == "|||".join(f"{k}:{i}" for k in range(3) for i in range(7))
+    by_bytes = A.feedback_by_page(df, **args, max_bytes=9).orderBy("canonical_url", "part").collect()
+    assert [r["part"] for r in by_bytes if r["canonical_url"] is None] == [1]
+    cut = [r for r in by_bytes if r["canonical_url"] == "u"]
+    assert [r["part"] for r in cut] == list(range(1, len(cut) + 1)) and all(r["q2_comments"].count("|||") <= 3 for r in cut)
 
 
 def test_feedback_edge_groups(spark):
     df = spark.createDataFrame([(0, None, 2.0, None, "2024-01-01"), (1, "u", None, "x", "2024-01-01"), (2, "u", 1.0, "x", "bad"), (3, " v ", 2.0, "b", "2024-01-01"), (4, "v", 2.5, "a", "2024-01-01")], "row_id long, u string, q1 double, q2 string, d string")
     out = A.feedback_by_page(df, url="u", rating="q1", comment="q2", date="d", order="row_id", product=F.lit(None).cast("string"))
-    assert rows(out) == sorted([(None, "Unknown", 0, 2.0, 1, ""), ("v", "Unknown", 0, 2.25, 2, "b|||a")], key=repr)
+    assert rows(out) == sorted([(None, "Unknown", 1, 2.0, 1, ""), ("v", "Unknown", 1, 2.25, 2, "b|||a")], key=repr)
 
 
 def test_reports(spark):
@@ -196,11 +209,38 @@ def test_wide_audit_columns(spark):
     df = spark.createDataFrame([("b", {"title": '"t"', "zeta": "1"}, None), ("a", {"Title": '"T"', "alpha": "[1]"}, True)], "file string, data map<string,string>, flag boolean")
     from contentlake.functions.metadata import text_value
 
-    wide = A.metadata_wide(df, "file", "data", text_value, ["flag"])
+    wide = A.metadata_wide(df, "file", "data", text_value, ["flag"], ["title", "Title", "alpha", "zeta"])
     assert wide.columns == ["file", "title", "Title_", "alpha", "flag", "zeta"]
     assert [r["file"] for r in wide.collect()] == ["a", "b"]
-    with pytest.raises(ValueError):
-        A.metadata_wide(df, "file", "data", text_value, ["flag"], max_columns=2)
+
+
+def test_audit_of_very_many_keys(spark):
+    from contentlake.plans.documents import metadata_audit
+
+    docs = spark.range(2100).select(F.concat(F.lit("/repo/content/d"), "id").alias("path"), F.concat(F.lit("---\nkey"), "id", F.lit(": 1\n---\n")).alias("content"))
+    assert metadata_audit(docs, "/repo/content").select("key").distinct().count() == 2100
+
+
+def test_unreadable_and_odd_documents_stay_single_errors(spark, tmp_path):
+    from contentlake.plans.documents import archive, metadata_audit, metadata_cleanup, reading_levels
+
+    docs = spark.createDataFrame(
+        [("/r/c/a/1.md", None, "Error reading 1.md: gone"), ("/r/c/a/2.md", "---\nmenu: {2024-01-01: x}\n---\n", None), ("/r/c/a/3.md", "---\na: &x [*x]\n---\n", None), ("/r/c/a/4.md", "---\ntype: [1, tasks]\ntags: x\n---\nText here.", None)],
+        "path string, content string, error string",
+    )
+    got = {(r["file"], r["key"]): r["value"] for r in metadata_audit(docs, "/r/c").collect()}
+    assert got[("/r/c/a/1.md", "Error in frontmatter")] == "Error reading 1.md: gone"
+    assert got[("/r/c/a/2.md", "menu")] == '{"2024-01-01": "x"}'
+    assert got[("/r/c/a/3.md", "Error in frontmatter")] not in (None, "True")
+    assert got[("/r/c/a/4.md", "type")] == '[1, "tasks"]'
+    archived = {r["path"]: r for r in archive(docs, spark.createDataFrame([], "include_path string, content string"), "/r/c").collect()}
+    bad = archived["/r/c/a/1.md"]
+    assert bad["archived"] is None and bad["n_errors"] == 1 and bad["error"].startswith("ERROR while reading /r/c/a/1.md: ")
+    assert rows(A.run_stats(spark.createDataFrame(list(archived.values())), "n_errors")) == [(4, 3, 1)]
+    levels = {r["path"]: r for r in reading_levels(docs).collect()}
+    assert levels["/r/c/a/1.md"]["reading_level"] is None and levels["/r/c/a/1.md"]["error"] == "Error reading 1.md: gone"
+    changed = metadata_cleanup(docs).filter("path like '%4.md'").first()
+    assert changed["invalid_types"] == ["tasks"] and "tags" not in changed["new_content"]
 
 
 # --- includes ----------------------------------------------------------------------------------------
@@ -341,13 +381,15 @@ def test_cache(spark):
     assert rows(enrich.upsert_cache(cache, new, ["lat_key", "lon_key"])) == [(100000, 200000, "X"), (500000, 600000, "Y")]
 
 
-@pytest.mark.parametrize("cell", [None, 0.05, 2.0])
-def test_nearest_place_equals_brute_force(spark, cell):
+@pytest.mark.parametrize("leaf", [1, 32])
+def test_nearest_place_equals_brute_force(spark, leaf):
     import math
 
     rng = random.Random(7)
     places = [(i, rng.uniform(-89, 89), rng.uniform(-180, 180), f"P{i}") for i in range(40)]
-    points = [(round(a * 1e5), round(b * 1e5)) for a, b in [(90, 0), (-90, 10), (0, 180), (0, -179.99), (12, 179.9)] + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)]]
+    places += [(100 + i, 10 + rng.uniform(0, 1), 10 + rng.uniform(0, 1), f"C{i}") for i in range(150)]  # a dense city
+    places += [(300 + i, 10.5, 10.5, f"S{i}") for i in range(40)]  # many places at one spot
+    points = [(round(a * 1e5), round(b * 1e5)) for a, b in [(90, 0), (-90, 10), (10.5, 10.5), (10.4, 10.6), (9.9, 9.9), (0, 180), (0, -179.99), (12, 179.9)] + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)]]
 
     def xyz(lat, lon):
         la, lo = math.radians(lat), math.radians(lon)
@@ -360,7 +402,7 @@ def test_nearest_place_equals_brute_force(spark, cell):
     out = enrich.nearest_place(
         spark.createDataFrame(points, "lat_key long, lon_key long"),
         spark.createDataFrame(places, "place_id int, lat double, lon double, country string"),
-        cell,
+        leaf,
     )
     assert {(r["lat_key"], r["lon_key"]): r["country"] for r in out.collect()} == {p: best(p) for p in points}
 
@@ -376,4 +418,4 @@ def test_last_commit(spark):
 
     files = spark.createDataFrame([("a",), ("b",)], "f string")
     commits = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 3)), ("a", dt.datetime(2023, 1, 1))], "f string, ts timestamp_ntz")
-    assert rows(enrich.last_commit(files, commits, "f", "ts")) == [("a", "2024-01-02T03:00:00"), ("b", "")]
+    assert rows(enrich.last_commit(files, commits, "f", "ts")) == [("a", "2024-01-02T03:00:00+00:00"), ("b", "")]

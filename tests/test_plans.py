@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contentlake.functions import text as T, urls as U
 from contentlake.operators import aggregates as A, filters, includes, prefix
 from contentlake.plans.documents import classified, reading_levels
-from contentlake.session import materialize, row_count, known_bytes, spread
+from contentlake.session import materialize, row_count, known_bytes
 
 
 def plan_of(df):
@@ -68,9 +68,3 @@ def test_materialize_knows_rows_and_bytes(spark):
     assert row_count(out) == 10 and out.count() == 10
     assert 10 * (8 + 3 + 8) <= known_bytes(out) < 10 * 100
     assert row_count(materialize(spark.range(0), "test")) == 0
-
-
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -42,9 +42,27 @@ def test_tree_options(spark, tmp_path):
 
 def test_write_doc_tree(spark, tmp_path):
     docs = spark.createDataFrame([("x/y.md", "a\nb"), ("/z.md", "é"), ("n.md", None)], "path string, content string")
-    doctree.write_doc_tree(docs, str(tmp_path / "out"))
+    docs = docs.union(spark.createDataFrame([("../up.md", "x"), ("a/../../up.md", "x"), (None, "x"), ("..a/b.md", "fine")], docs.schema))
+    left = doctree.write_doc_tree(docs, str(tmp_path / "out")).collect()
+    assert sorted((str(r["path"]), r["reason"]) for r in left) == [
+        ("../up.md", "path leaves the root"), ("None", "path leaves the root"), ("a/../../up.md", "path leaves the root"), ("n.md", "no text")]
     assert (tmp_path / "out/x/y.md").read_text() == "a\nb" and (tmp_path / "out/z.md").read_text() == "é"
-    assert (tmp_path / "out/n.md").read_text() == ""
+    assert not (tmp_path / "out/n.md").exists() and (tmp_path / "out/..a/b.md").read_text() == "fine"
+    assert not (tmp_path / "up.md").exists()
+
+
+def test_xml_in_its_declared_encoding(spark, tmp_path):
+    folder = tmp_path / "xml" / "ru" / "docs"
+    folder.mkdir(parents=True)
+    (folder / "k.xml").write_bytes('<?xml version="1.0" encoding="koi8-r"?><article name="Привет"/>'.encode("koi8-r"))
+    (folder / "u.xml").write_bytes('<?xml version="1.0" encoding="utf-16"?><article name="Ж"/>'.encode("utf-16"))
+    (folder / "bad.xml").write_bytes(b'<?xml version="1.0" encoding="nope"?><article name="x"/>')
+    from contentlake.functions.markup import xml_title
+
+    docs = doctree.read_xml_docs(spark, str(tmp_path), ["ru"])
+    got = {r["path"].rpartition("/")[2]: (r["title"], r["error"]) for r in docs.select("path", xml_title("xml").alias("title"), "error").collect()}
+    assert got["k.xml"] == ("Привет", None) and got["u.xml"] == ("Ж", None)
+    assert got["bad.xml"][0] == "" and "nope" in got["bad.xml"][1]
 
 
 def test_read_xml_docs(spark, tmp_path):
@@ -119,13 +137,15 @@ def test_stream_is_incremental_and_drops_repeats(spark, tmp_path):
     landing, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "row_id long, response_id string, link_url string, q1 double, q2 string, start_date string"
 
+    products = spark.createDataFrame([(1, "https://h/", "All")], "ord int, prefix string, target string")
+
     def arrive(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
-        run_feedback_stream(spark.readStream.schema(schema).parquet(landing), target, origin="https://h")
+        run_feedback_stream(spark.readStream.schema(schema).parquet(landing), target, origin="https://h", products=products, exclude=spark.createDataFrame([("zz",)], "id string"))
         return {r["canonical_url"]: r for r in read_feedback(spark, target).collect()}
 
-    first = arrive([(1, "a", "/x", 1.0, "one", "2024-01-01"), (2, "b", "/x", 2.0, "testing", "2024-01-01"), (3, "c", None, 2.0, "n", "2024-01-01")])
-    assert first["https://h/x/"]["n"] == 1
+    first = arrive([(1, "a", "/x", 1.0, "one", "2024-01-01"), (2, "b", "/x", 2.0, "testing", "2024-01-01"), (3, "c", None, 2.0, "n", "2024-01-01"), (9, "zz", "/x", 5.0, "out", "2024-01-01")])
+    assert first["https://h/x/"]["n"] == 1 and first["https://h/x/"]["product"] == "All"
     second = arrive([(4, "d", "/x?q", 2.0, "mail a@b.c", "2023-01-01"), (1, "a", "/x", 1.0, "one", "2024-01-01")])
     assert (second["https://h/x/"]["n"], second["https://h/x/"]["avg_q1"]) == (2, 1.5)
     assert second["https://h/x/"]["q2_comments"] == "one|||mail"

@@ -94,3 +94,15 @@ def test_paths(apply):
     assert apply(["/a/_index.md", "_index.MD", "/a/b.md"], lambda c: U.page_url(F.lit("https://s"), F.col(c))) == [
         "https://s/a/", "https://s/", "https://s/a/b/"
     ]
+
+
+def test_long_and_upper_case_schemes(apply):
+    long = "abcdefghijklmnopqrstuvwxyzabcdefghij"
+    cases = {f"{long}://host/a//b": f"{long}://host/a/b/", "FTP://h/a": "ftp://h/a/", "HTTPS://H/A//b": "https://H/A/b/", "http://h/a://b": "http://h/a:/b/"}
+    assert dict(zip(cases, apply(list(cases), U.normalize_url))) == cases
+
+
+def test_paths_outside_the_root(apply):
+    assert apply(["/repo/content/a/b.md", "/home/me/repo/content/x.md"], lambda c: U.relative_path(c, "/home/me/repo/content")) == ["../../../../repo/content/a/b.md", "x.md"]
+    assert apply(["/home/me/repo/contents/x.md", "/home/you/x.md"], lambda c: U.relative_path(c, "/home/me/repo/content/")) == ["../contents/x.md", "../../../you/x.md"]
+    assert apply(["/data/content/x.md"], lambda c: U.relative_path(c, "file:///data/content")) == ["x.md"]
