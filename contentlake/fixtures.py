@@ -36,7 +36,14 @@ SELECT e.event_id AS row_id,
             WHEN e.event_id % 13 = 0 THEN concat('Testing ', e.event_type)
             WHEN e.event_id % 17 = 0 THEN concat('mail  u', CAST(e.user_id AS STRING), '@mail.example.com  now')
             ELSE concat(e.event_type, ' ok ', e.props) END AS q2,
-       CASE WHEN e.event_id % 19 = 0 THEN 'n/a' ELSE CAST(CAST(e.ts AS DATE) AS STRING) END AS start_date,
+       CASE WHEN e.event_id % 19 = 0 THEN 'n/a'
+            WHEN e.event_id % 5 = 0 THEN concat(CAST(month(e.ts) AS STRING), '/', CAST(day(e.ts) AS STRING), '/', CAST(year(e.ts) AS STRING), ' 10:00')
+            WHEN e.event_id % 5 = 1 THEN replace(CAST(CAST(e.ts AS DATE) AS STRING), '-', '')
+            WHEN e.event_id % 5 = 2 THEN concat(substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(e.ts) AS INT) * 3 - 2, 3), ' ',
+                                                CAST(day(e.ts) AS STRING), ', ', CAST(year(e.ts) AS STRING))
+            WHEN e.event_id % 5 = 3 THEN concat(CAST(day(e.ts) AS STRING), ' ', substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(month(e.ts) AS INT) * 3 - 2, 3),
+                                                ' ', CAST(year(e.ts) AS STRING))
+            ELSE CAST(CAST(e.ts AS DATE) AS STRING) END AS start_date,
        CASE WHEN e.event_id % 29 = 0 THEN NULL
             ELSE CAST((e.user_id * 13 + e.event_id % 50) % 160 AS DOUBLE) - 80 + 0.123456789 END AS lat,
        CASE WHEN e.event_id % 29 = 0 THEN NULL ELSE CAST(e.user_id * 7 % 340 AS DOUBLE) - 170 + 0.5 END AS lon
@@ -97,6 +104,16 @@ SELECT doc_id,
               'See [x]({{< relref "/alpha/s', CAST(doc_id % 7 AS STRING), '/page.md" >}}) and ',
               '<span style="font-weight:bold; white-space: nowrap">a-b c</span>', chr(10),
               text, chr(10)) AS content
+FROM documents"""),
+    # documents that could not be read, with dates as inner keys, values that hold themselves, unlike types
+    "v_bad": ([], """
+SELECT doc_id, concat('/repo/content/alpha/s', CAST(doc_id AS STRING), '/page.md') AS path,
+       CASE doc_id % 5 WHEN 0 THEN NULL
+                       WHEN 1 THEN concat('---', chr(10), 'menu: {2024-01-01: x}', chr(10), '---', chr(10), 'Some words here.')
+                       WHEN 2 THEN concat('---', chr(10), 'a: &x [*x]', chr(10), '---', chr(10), 'Some words here.')
+                       WHEN 3 THEN concat('---', chr(10), 'type: [1, tasks]', chr(10), '---', chr(10), 'Some words here.')
+                       ELSE concat('Plain words of ', source, '.') END AS content,
+       CASE WHEN doc_id % 5 = 0 THEN concat('no such file: ', CAST(doc_id AS STRING)) END AS error
 FROM documents"""),
     "v_xml": ([], """
 SELECT doc_id,

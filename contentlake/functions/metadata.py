@@ -61,13 +61,16 @@ def _parse_udf():
                 return str(value.replace(tzinfo=None))
             return str(value)
 
-        def named(value):
-            """Keys of inner mappings as text; a value that holds itself ends in RecursionError."""
+        def named(value, above=()):
+            """Keys of inner mappings as text; a value that holds itself is an error."""
+            if not isinstance(value, (dict, list, tuple, set)):
+                return value
+            if id(value) in above:
+                raise ValueError("Circular reference detected")
+            above = (*above, id(value))
             if isinstance(value, dict):
-                return {text(k): named(v) for k, v in value.items()}
-            if isinstance(value, (list, tuple, set)):
-                return [named(v) for v in value]
-            return value
+                return {text(k): named(v, above) for k, v in value.items()}
+            return [named(v, above) for v in value]
 
         def one(block):
             if block is None:

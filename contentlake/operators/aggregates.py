@@ -62,10 +62,10 @@ def rated_pages(df: DataFrame, *, url: str, rating: str, comment: str, date: str
     return keep_rated(df, date, rating).select(
         strip_ws(url).alias("canonical_url"),
         F.coalesce(product, F.lit(UNKNOWN_PRODUCT)).alias("product"),
-        F.col(rating).alias("q1"),
+        F.col(rating).try_cast("double").alias("q1"),  # files hold text
         F.col(comment).alias("q2"),
         *order,
-    )
+    ).filter("q1 is not null")
 
 
 def feedback_by_page(

@@ -62,7 +62,7 @@ def scrubbed(x: str) -> str:
 
 RATED = rf""", rated AS (
 SELECT {norm('link_url')} AS canonical_url, q1, q2, row_id FROM v_survey
-WHERE try_cast(start_date AS TIMESTAMP) IS NOT NULL AND q1 IS NOT NULL),
+WHERE start_date <> 'n/a' AND q1 IS NOT NULL),
 mapped AS (
 SELECT r.*, coalesce((SELECT p.target FROM v_product p WHERE starts_with(r.canonical_url, p.prefix) ORDER BY p.ord LIMIT 1),
                      'Unknown') AS product FROM rated r)
@@ -106,7 +106,8 @@ FROM v_survey""", "v_survey")
 oracle("drop_missing_link", "SELECT row_id, link_url FROM v_survey WHERE link_url IS NOT NULL", "v_survey")
 oracle("drop_keyword", "SELECT row_id, q2 FROM v_survey WHERE q2 IS NULL OR q2 NOT ILIKE '%testing%'", "v_survey")
 oracle("keep_rated", r"""
-SELECT row_id, start_date AS day, q1 FROM v_survey WHERE start_date <> 'n/a' AND q1 IS NOT NULL""", "v_survey")
+SELECT v.row_id, strftime(e.ts, '%Y-%m-%d') AS day, v.q1 FROM v_survey v JOIN events e ON e.event_id = v.row_id
+WHERE v.start_date <> 'n/a' AND v.q1 IS NOT NULL""", "v_survey")
 
 oracle("survey_header_cleanup", "SELECT * FROM v_survey_raw WHERE ord <> 0", "v_survey_raw")
 oracle("survey_metadata_row", "SELECT * FROM v_survey_raw WHERE ord <> 1", "v_survey_raw")
@@ -137,8 +138,9 @@ SELECT 'clean' AS stage, * FROM c WHERE before <> after""", "v_survey")
 
 oracle("audit_removals", r"""
 SELECT 'clean' AS stage, CAST(row_id AS VARCHAR) AS row_key,
-       CASE WHEN link_url IS NULL THEN 'missing link' ELSE 'trial answer' END AS rule, CASE WHEN link_url IS NULL THEN NULL ELSE q2 END AS before,
-       CAST(NULL AS VARCHAR) AS after FROM v_survey WHERE link_url IS NULL OR q2 ILIKE '%testing%'""", "v_survey")
+       CASE WHEN link_url IS NULL THEN 'missing link' WHEN q2 ILIKE '%testing%' THEN 'trial answer' ELSE 'no date' END AS rule,
+       CASE WHEN link_url IS NULL THEN NULL WHEN q2 ILIKE '%testing%' THEN q2 ELSE start_date END AS before,
+       CAST(NULL AS VARCHAR) AS after FROM v_survey WHERE link_url IS NULL OR q2 ILIKE '%testing%' OR start_date = 'n/a'""", "v_survey")
 
 # the redirect loop as a theta join: every URL against every rule, the longest match wins
 FIRST_RULES = r"""rules AS (
@@ -173,6 +175,21 @@ SELECT c.row_id, c.response_id, c.original_link_url, c.canonical_url, c.current_
 FROM canon c LEFT JOIN v_geo_cache g ON g.lat_key = CAST(round(c.lat * 100000) AS BIGINT) AND g.lon_key = CAST(round(c.lon * 100000) AS BIGINT)
 """, "v_survey", "v_redirect", "v_exclude", "v_geo_cache")
 
+# the configuration rules name paths that no answer has
+oracle("survey_file_pipeline", rf""", rated AS (
+SELECT {stripped('link_url')} AS canonical_url, q1, {scrubbed('q2')} AS q2 FROM v_survey
+WHERE link_url IS NOT NULL AND (q2 IS NULL OR q2 NOT ILIKE '%testing%') AND response_id NOT IN (SELECT trim(id) FROM v_exclude)
+  AND start_date <> 'n/a' AND q1 IS NOT NULL),
+mapped AS (
+SELECT r.*, coalesce((SELECT p.target FROM v_product p WHERE starts_with(r.canonical_url, p.prefix) ORDER BY p.ord LIMIT 1), 'Unknown') AS product
+FROM rated r)
+SELECT canonical_url, product, round(avg(q1), 2) AS avg_q1, CAST(count(q1) AS BIGINT) AS n,
+       CAST(coalesce(sum(length(q2)) + 3 * (count(q2) - 1), 0) AS BIGINT) AS comment_chars
+FROM mapped GROUP BY canonical_url, product""", "v_survey", "v_exclude", "v_product")
+oracle("bad_coordinates", r"""
+SELECT v.row_id, g.country FROM v_survey v LEFT JOIN v_geo_cache g
+ON v.row_id % 4 = 3 AND g.lat_key = CAST(round(v.lat * 100000) AS BIGINT) AND g.lon_key = CAST(round(v.lon * 100000) AS BIGINT)""", "v_survey", "v_geo_cache")
+
 # --- redirects and prefixes -----------------------------------------------------------------
 
 oracle("redirect_dedup", f", {FIRST_RULES} SELECT ord, prefix, target FROM rules", "v_redirect")
@@ -382,6 +399,19 @@ SELECT count(*) AS total, count(*) FILTER (NOT ({NONE}) AND NOT {BROKEN}) AS val
        count(*) FILTER ({BROKEN}) AS errors FROM v_md""", "v_md")
 oracle("metadata_keys", FIELDS + " SELECT key, count(*) AS n_docs FROM fields GROUP BY key", "v_md")
 
+oracle("bad_docs_audit", r"""
+SELECT path AS file,
+       CASE doc_id % 5 WHEN 1 THEN 'menu' WHEN 3 THEN 'type' WHEN 4 THEN 'No metadata found' ELSE 'Error in frontmatter' END AS key,
+       CASE doc_id % 5 WHEN 0 THEN error WHEN 1 THEN '{"2024-01-01": "x"}' WHEN 2 THEN 'Circular reference detected' WHEN 3 THEN '[1, "tasks"]' ELSE 'True' END AS value
+FROM v_bad""", "v_bad")
+BAD_ARCHIVE = r"""
+SELECT path, content IS NULL AS failed, CAST(CASE WHEN content IS NULL THEN 1 ELSE 0 END AS BIGINT) AS n_errors,
+       CASE WHEN content IS NULL THEN concat('ERROR while reading ', path, ': ', error) END AS error FROM v_bad"""
+oracle("bad_docs_archive", BAD_ARCHIVE, "v_bad")
+oracle("bad_docs_stats", r"""
+SELECT count(*) AS processed, count(content) AS success, count(*) - count(content) AS errors FROM v_bad""", "v_bad")
+oracle("bad_docs_reading", "SELECT path, error FROM v_bad", "v_bad")
+
 # --- includes -------------------------------------------------------------------------------
 
 oracle("include_refs", r""", s AS (SELECT doc_id, string_split(content, chr(10)) AS parts FROM v_md),
@@ -513,6 +543,12 @@ oracle("cache_upsert", MISSING + ", " + nearest("missing") + r"""
 SELECT lat_key, lon_key, country FROM v_geo_cache UNION ALL SELECT lat_key, lon_key, code FROM near
 """, "v_survey", "v_geo_cache", "v_place")
 
+oracle("clean_survey_places", MISSING + ", " + nearest("missing") + r""", known AS (
+SELECT lat_key, lon_key, country FROM v_geo_cache UNION ALL SELECT lat_key, lon_key, code FROM near)
+SELECT v.row_id, k.country FROM v_survey v
+LEFT JOIN known k ON k.lat_key = CAST(round(v.lat * 100000) AS BIGINT) AND k.lon_key = CAST(round(v.lon * 100000) AS BIGINT)
+WHERE v.link_url IS NOT NULL AND (v.q2 IS NULL OR v.q2 NOT ILIKE '%testing%')""", "v_survey", "v_geo_cache", "v_place")
+
 # --- sources, sinks, stream -----------------------------------------------------------------
 
 oracle("scan_doc_tree", "SELECT path, content, CAST(NULL AS VARCHAR) AS error FROM v_md", "v_md")

@@ -164,6 +164,7 @@ def audit_removals(spark, sf_dir):
     rules = [
         ("missing link", F.col("link_url").isNull(), F.col("link_url")),
         ("trial answer", filters.mentions("q2", S.TRIAL_WORD), F.col("q2")),
+        ("no date", T.coerce_date("start_date").isNull(), F.col("start_date")),
     ]
     return A.audit_removals(view(spark, sf_dir, "v_survey"), "row_id", "clean", rules)
 
@@ -183,6 +184,38 @@ def clean_survey(spark, sf_dir):
     )
 
 
+@query
+def clean_survey_places(spark, sf_dir):
+    """Countries of all answers: from the cache, else from the nearest place."""
+    cleaned = S.clean_survey(
+        view(spark, sf_dir, "v_survey"), origin=ORIGIN, cache=view(spark, sf_dir, "v_geo_cache"), places=view(spark, sf_dir, "v_place")
+    )
+    return cleaned.select("row_id", "country")
+
+
+@query
+def survey_file_pipeline(spark, sf_dir):
+    """A survey file under its own headers, redirects from configuration lines, exclusion, cleaning, feedback per page."""
+    path = scratch_path(spark, "survey-file")
+    headers = {"response_id": "ResponseId", "link_url": "Link URL", "current_url": "Current URL", "q1": "Q1", "q2": "Q2", "start_date": "StartDate", "lat": "LocationLatitude", "lon": "LocationLongitude"}
+    rows = view(spark, sf_dir, "v_survey").select(*[F.col(c).alias(h) for c, h in headers.items()])
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rules = redirect_table(parse_redirects(view(spark, sf_dir, "v_config_lines"), ORIGIN, block_rows=1000))
+    cleaned = S.clean_survey(src.read_survey(spark, path), origin=ORIGIN, rules=rules, exclude=view(spark, sf_dir, "v_exclude"))
+    feedback = S.feedback_dataset(cleaned, view(spark, sf_dir, "v_product"), url="canonical_url", order=["file", "row_order"])
+    # the order of comments follows the files; their total length does not
+    return feedback.groupBy("canonical_url", "product").agg(
+        F.max("avg_q1").alias("avg_q1"), F.sum("n").alias("n"), F.sum(F.length("q2_comments")).alias("comment_chars")
+    )
+
+
+@query
+def bad_coordinates(spark, sf_dir):
+    odd = F.expr("CASE row_id % 4 WHEN 0 THEN 'Infinity' WHEN 1 THEN '1e300' WHEN 2 THEN '90.5' ELSE CAST(lat AS STRING) END")
+    rows = view(spark, sf_dir, "v_survey").select("row_id", odd.alias("lat"), "lon")
+    return enrich.attach_country(rows, view(spark, sf_dir, "v_geo_cache"), "lat", "lon").select("row_id", "country")
+
+
 # --- redirects and prefixes -----------------------------------------------------------------
 
 
@@ -426,6 +459,27 @@ def metadata_long(spark, sf_dir):
     return A.metadata_long(D.classified(view(spark, sf_dir, "v_md"), ROOT), "file", "data")
 
 
+@query
+def bad_docs_audit(spark, sf_dir):
+    return D.metadata_audit(view(spark, sf_dir, "v_bad"), ROOT)
+
+
+@query
+def bad_docs_archive(spark, sf_dir):
+    archived = D.archive(view(spark, sf_dir, "v_bad"), view(spark, sf_dir, "v_include"), ROOT)
+    return archived.select("path", F.col("archived").isNull().alias("failed"), "n_errors", "error")
+
+
+@query
+def bad_docs_stats(spark, sf_dir):
+    return A.run_stats(bad_docs_archive(spark, sf_dir), "n_errors")
+
+
+@query
+def bad_docs_reading(spark, sf_dir):
+    return D.reading_levels(view(spark, sf_dir, "v_bad")).select("path", "error")
+
+
 # --- includes -------------------------------------------------------------------------------
 
 
