@@ -176,7 +176,37 @@ def op10_leaks(spark, sf_dir):
 @query
 def op6_repeats(spark, sf_dir):
     found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", digest(F.col("text"), F.col("spans")).alias("told"), F.size("later").alias("n_later")).select("doc_id", "told.*", "n_later")
+    return found.select("doc_id", digest(F.col("text"), F.col("spans")).alias("told")).select("doc_id", "told.*")
+
+
+# texts as hexadecimal digits, two per byte; every window of 200 bytes, then islands of repeated ones
+ORACLES["op6_repeats"] = """
+with raw as (
+    select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), windows as (
+    select doc_id, i, md5(substr(h, 2 * i + 1, 400)) as w
+    from (select doc_id, h, unnest(range(0, len(h) // 2 - 199)) as i from raw where len(h) >= 400)
+), twice as (
+    select w from windows group by w having count(*) > 1
+), marked as (
+    select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 200, true) as new
+    from windows where w in (select w from twice)
+), runs as (
+    select doc_id, min(i) as a, max(i) + 200 as b
+    from (select doc_id, i, sum(new::int) over (partition by doc_id order by i) as run from marked)
+    group by doc_id, run
+), pieces as (
+    select r.doc_id, r.a, r.b, substr(h, 2 * coalesce(lag(r.b) over o, 0) + 1, 2 * (r.a - coalesce(lag(r.b) over o, 0))) as before
+    from runs r join raw using (doc_id)
+    window o as (partition by r.doc_id order by r.a)
+), kept as (
+    select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans, string_agg(before, '' order by a) as head, max(b) as last
+    from pieces group by doc_id
+)
+select raw.doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from raw left join kept using (doc_id)
+"""
 
 
 @query
