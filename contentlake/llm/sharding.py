@@ -89,8 +89,8 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 42, key: list[str] | None
     ``key`` names the columns whose values place a row (all columns when unset); rows with equal
     keys may swap places between runs, other rows never do.
     """
-    keys = key or df.columns
-    df = df.drop(*[c for c in df.columns if c.lower() in ("shard", "slot") and c not in keys])
+    df = df.drop(*[c for c in df.columns if c.lower() in ("shard", "slot")])
+    keys = [k for k in key or df.columns if k in df.columns]
     block, draw, draw2, rank, bucket, before = free_names(df, "block", "draw", "draw2", "rank", "bucket", "before")
     spark = df.sparkSession
     rows = df.withColumn(draw, F.xxhash64(F.lit(seed), *[F.to_json(F.struct(q(k))) if "map" in dict(df.dtypes)[k] else q(k) for k in keys]))
@@ -123,10 +123,24 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 42, key: list[str] | None
     return placed.select(*[q(c) for c in df.columns], "shard", "slot")
 
 
+def shard_wide_rows(df: DataFrame, shards: int, seed: int = 42) -> DataFrame:
+    """As :func:`shard_rows`, for rows with texts: only 128-bit hashes of the rows are permuted, texts move once.
+
+    Equal rows share a hash and are told apart by their places alone.
+    """
+    df = df.drop(*[c for c in df.columns if c.lower() in ("shard", "slot")])
+    kinds = dict(df.dtypes)
+    plain = [F.to_json(F.struct(q(c))) if "<" in kinds[c] or kinds[c] == "variant" else q(c).cast("string") for c in df.columns]
+    values = [F.coalesce(v, F.lit("\0")) for v in plain]
+    keyed = df.select(F.xxhash64(*values).alias("k1"), F.xxhash64(F.lit(seed), *reversed(values)).alias("k2"), F.struct(*[q(c) for c in df.columns]).alias("row"))
+    placed = shard_rows(keyed.select("k1", "k2"), shards, seed)
+    return placed.join(keyed.groupBy("k1", "k2").agg(F.first("row").alias("row")), ["k1", "k2"]).select("row.*", "shard", "slot")
+
+
 #: Types that break ties of the draws; others can't be compared or need no more.
 ORDERABLE = {"string", "bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "binary"}
 
 
 def write_shards(df: DataFrame, path: str, shards: int, seed: int = 42) -> None:
     """Write the shuffled rows as one folder per shard; files inside are sorted by slot."""
-    shard_rows(df, shards, seed).repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    shard_wide_rows(df, shards, seed).repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -14,7 +14,7 @@ from contentlake.llm import toxicity
 from contentlake.llm.decontamination import decontaminate
 from contentlake.llm.jaccard_join import keep_one
 from contentlake.llm.mixing import mixed_documents
-from contentlake.llm.sharding import shard_rows
+from contentlake.llm.sharding import shard_wide_rows
 from contentlake.llm.tables import q, table
 from contentlake.session import materialize
 
@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A uniform shuffle into shards of equal numbers of rows."""
-    return shard_rows(docs, SHARDS)
+    return shard_wide_rows(docs, SHARDS)
 
 
 STAGES = [

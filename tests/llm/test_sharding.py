@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from contentlake.llm.sharding import communication_matrix, hypergeometric, shard_rows, write_shards
+from contentlake.llm.sharding import communication_matrix, hypergeometric, shard_rows, shard_wide_rows, write_shards
 
 from .helpers import SCHEMA, awkward
 
@@ -23,15 +23,18 @@ def test_large_draws_have_the_right_mean_and_spread():
     assert 0.8 < got.std() / sd < 1.2
 
 
-def test_shards_are_exact_gapless_and_repeatable(spark):
+@pytest.mark.parametrize("deal", [shard_rows, shard_wide_rows])
+def test_shards_are_exact_gapless_and_repeatable(spark, deal):
     df = spark.createDataFrame(awkward(), SCHEMA).withColumnRenamed("lang", "Shard")
-    got = shard_rows(df, 7).toPandas()
+    got = deal(df, 7).toPandas()
+    plain = df.drop("Shard").toPandas().astype(str).values.tolist()
+    assert sorted(got.drop(columns=["shard", "slot"]).astype(str).values.tolist()) == sorted(plain)
     assert list(got.columns) == ["doc_id", "text", "source", "n_chars", "shard", "slot"]
     sizes = got.groupby("shard").size()
     assert len(got) == df.count() and len(sizes) == 7 and sizes.max() - sizes.min() <= 1
     for _, own in got.groupby("shard"):
         assert sorted(own.slot) == list(range(len(own)))
-    again = shard_rows(df.repartition(3), 7).toPandas()
+    again = deal(df.repartition(3), 7).toPandas()
     key = ["shard", "slot"]
     a, b = got.sort_values(key).astype(str).values, again.sort_values(key).astype(str).values
     assert (a == b).all()
@@ -47,7 +50,7 @@ def test_shuffle_is_uniform_enough(spark):
 
 def test_empty_and_files(spark, tmp_path):
     empty = spark.createDataFrame([], SCHEMA)
-    assert shard_rows(empty, 4).count() == 0
+    assert shard_rows(empty, 4).count() == 0 and shard_wide_rows(empty, 4).count() == 0
     df = spark.createDataFrame(awkward(), SCHEMA)
     write_shards(df, str(tmp_path / "out"), 5)
     back = spark.read.parquet(str(tmp_path / "out"))
