@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; temporary arrays take about 60 times as much.
-PIECE = 1 << 20
+PIECE = 1 << 18
 U64 = np.uint64
 
 _rng = np.random.default_rng(20240229)
@@ -27,27 +27,11 @@ BASE = U64(0x9E3779B97F4A7C15)
 BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
 
 
-class _Powers:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept between calls but not sent along with functions."""
-
-    def __init__(self) -> None:
-        self.known: dict[int, np.ndarray] = {}
-
-    def __reduce__(self):
-        return _Powers, ()
-
-    def __call__(self, base: np.uint64, n: int) -> np.ndarray:
-        have = self.known.get(int(base))
-        if have is None or len(have) < n:
-            have = np.full(max(n, PIECE + 4096), base, U64)
-            have[0] = 1
-            have = np.cumprod(have)
-            if n <= PIECE + 4096:
-                self.known[int(base)] = have
-        return have[:n]
-
-
-powers = _Powers()
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
+    out = np.full(n, base, U64)
+    out[:1] = 1
+    return np.cumprod(out, out=out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
