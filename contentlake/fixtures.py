@@ -114,6 +114,20 @@ SELECT doc_id, concat('/repo/content/alpha/s', CAST(doc_id AS STRING), '/page.md
                        WHEN 3 THEN concat('---', chr(10), 'type: [1, tasks]', chr(10), '---', chr(10), 'Some words here.')
                        ELSE concat('Plain words of ', source, '.') END AS content,
        CASE WHEN doc_id % 5 = 0 THEN concat('no such file: ', CAST(doc_id AS STRING)) END AS error
+FROM documents"""),
+    # texts whose readable form, counts and rewritten spans are known by construction
+    "v_known": ([], """
+SELECT doc_id, source, lang, doc_id % 50 + 1 AS n,
+       concat('# Title ', source, chr(10), chr(10), '> Quote *', lang, '*', chr(10), '- item **', CAST(doc_id AS STRING), '**', chr(10),
+              'See [the link](http://x/', CAST(doc_id AS STRING), ') and `code` ~~gone~~.', chr(10), '```', chr(10), 'hidden ', source, chr(10), '```', chr(10),
+              '![image](a.png)<b>End</b>') AS markdown,
+       concat(repeat('cat ', CAST(doc_id % 50 + 1 AS INT)), 'sat.') AS simple,
+       concat('<span style="FONT-WEIGHT:BOLD">a ', source, '</span> <span style="color:red">c-d</span> ',
+              '<span style="white-space:nowrap; font-weight:bolder">e-f ', lang, '</span>') AS spans,
+       concat('docs/', CASE doc_id % 5 WHEN 0 THEN 'index.md' WHEN 1 THEN 'INDEX.md' WHEN 2 THEN '_index.md' WHEN 3 THEN 'myindex.md' ELSE 'page.md' END) AS path,
+       concat('https://docs.example.com/f', CAST(doc_id AS STRING),
+              CASE doc_id % 8 WHEN 0 THEN '.png' WHEN 1 THEN '.JPG' WHEN 2 THEN '.svg' WHEN 3 THEN '.yaml' WHEN 4 THEN '.woff' WHEN 5 THEN '.html'
+                              WHEN 6 THEN '' ELSE '/png' END) AS link
 FROM documents"""),
     "v_xml": ([], """
 SELECT doc_id,

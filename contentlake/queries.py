@@ -354,6 +354,22 @@ def reading_levels(spark, sf_dir):
     return D.reading_levels(docs).select("path", "reading_level", "error")
 
 
+@query
+def known_texts(spark, sf_dir):
+    """Texts with known answers: readable Markdown, bold spans, index pages, web pages."""
+    return view(spark, sf_dir, "v_known").select(
+        "doc_id", T.markdown_to_text("markdown").alias("plain"), T.spans_to_bold("spans").alias("bold"),
+        filters.not_index("path").alias("is_page"), U.is_webpage("link").alias("is_web"),
+    )
+
+
+@query
+def known_reading_levels(spark, sf_dir):
+    return D.reading_levels(view(spark, sf_dir, "v_known"), "doc_id", "simple").select(
+        "doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("words", "sentences", "syllables")], "reading_level"
+    )
+
+
 @query
 def drop_timezone(spark, sf_dir):
     stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("user_id") % 2 == 0, "+05:00").otherwise("Z"))
