@@ -6,15 +6,16 @@
    Leading tokens are the first p + k of a set in hash order, p = n - ceil(s n) + 1 and k = n / 10: two
    sets of similarity s share k + 1 of them at least (the smaller k of both).
 4. The overlap of two groups in the matrix bounds that of any two members. Only group pairs that reach
-   the bound are opened. Tokens of more than ``HOT_GROUPS`` groups are not paired: their number per group
-   lowers the bound; groups that consist of such tokens in the main (more than k) are opened along them.
-5. Opened groups are connected to clusters, and the sets of a cluster compared exactly. In clusters
+   the bound, and whose members can be of similar size, are opened. Tokens of more than ``HOT_GROUPS`` groups are not paired:
+   their number per group lowers the bound. Groups that mainly consist of such tokens (more than k) are paired
+   along them too, among themselves, and if even that is too many, along a chain of one per token.
+5. The sets of a group are compared exactly with each other and with those of the groups it was opened for. In groups
    above ``BLOCK`` classes the distance to a center decides most pairs (Jaccard distance is a metric: two
    sets within (1 - s) / 2 of the center are linked); the others are compared block by block.
 
 Nothing depends on the size of a group of copies but counts. No pair of documents is emitted: a task
 returns the number of links per class and a spanning forest. The work on unlike sets in one large
-cluster is quadratic, as the number of its links may be.
+group is quadratic, as the number of its links may be.
 
 Cases: null text, empty text and text of blanks have the empty set and no link; fewer words than the
 shingle size are one shingle; repeated rows are copies and linked; a null id is skipped as a component's
@@ -35,7 +36,7 @@ from .textarrays import U64, batch_words, mix, shingle_hashes
 SHINGLE = 5
 PERCENT = 80
 BANDS, BAND_ROWS = 4, 3
-HOT_GROUPS = 512
+HOT_GROUPS = 128
 BUCKETS = 1024
 BUCKET_TOKENS = 1_000_000
 BLOCK = 256
@@ -92,6 +93,15 @@ def _signs(percent: int, leads: bool):
     return signs
 
 
+def _whole_sets(batches):
+    """Texts replaced by their sets, a batch for each run of texts, so that a worker holds little at once."""
+    for batch in batches:
+        for a, b, words, _, _, bounds in batch_words(batch.column("body")):
+            sets = [token_set(words[bounds[k] : bounds[k + 1]]).tobytes() for k in range(b - a)]
+            rest = [batch.column(c).slice(a, b - a) for c in ("grp", "size", "cid", "copies")]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(sets, pa.binary())], ["grp", "size", "cid", "copies", "tokens"])
+
+
 def _lead_tokens(planes: bytes) -> np.ndarray:
     """The 48-bit numbers of a ``lead`` column value."""
     each = np.frombuffer(planes, np.uint8).reshape(6, -1)
@@ -111,27 +121,26 @@ def _unplanes(data: bytes) -> np.ndarray:
 
 
 def _deal(shift: int):
-    """Entries (token, group) of a batch, distinct, one packed row per bucket of tokens."""
+    """Entries (token, group, least and largest size class) of a batch, distinct, one packed row per bucket of tokens."""
 
     def deal(batches):
         for batch in batches:
             leads = [_lead_tokens(x) for x in batch.column("lead").to_pylist()]
             if not leads:
                 continue
-            group = np.repeat(batch.column("grp").to_numpy(), [len(x) for x in leads])
+            n = [len(x) for x in leads]
+            group, low, high = (np.repeat(batch.column(c).to_numpy(), n) for c in ("grp", "low", "high"))
             token = np.concatenate(leads)
             order = np.lexsort((group, token))
-            token, group = token[order], group[order]
+            token, group, low, high = token[order], group[order], low[order], high[order]
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
-            token, group = token[new], group[new]
+            token, group, size = token[new], group[new], (low[new] << 16) | high[new]
             bucket = token >> shift
-            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else bucket
             ends = np.append(cut[1:], len(bucket))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut].astype(np.int32)), pa.array([_planes(token[a:b]) for a, b in zip(cut, ends, strict=True)], pa.binary()), pa.array([_planes(group[a:b]) for a, b in zip(cut, ends, strict=True)], pa.binary())],
-                ["bucket", "tokens", "groups"],
-            )
+            packed = [pa.array([_planes(c[a:b]) for a, b in zip(cut, ends, strict=True)] if len(bucket) else [], pa.binary()) for c in (token, group, size)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), *packed], ["bucket", "tokens", "groups", "sizes"])
 
     return deal
 
@@ -147,25 +156,41 @@ def run_pairs(starts: np.ndarray, sizes: np.ndarray, most: int = 1 << 20):
             yield (some + low).ravel(), (some + high).ravel()
 
 
+def _pairs_of(starts: np.ndarray, sizes: np.ndarray, group: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, n): how many runs two groups of compatible sizes share."""
+    a, b, n = (np.zeros(0, np.int64) for _ in range(3))
+    low, high = size >> 16, size & 0xFFFF
+    for i, j in run_pairs(starts, sizes):
+        fit = (low[i] <= high[j] + 1) & (low[j] <= high[i] + 1)
+        i, j = i[fit], j[fit]
+        a, b, n = _sum_pairs(np.append(a, group[i]), np.append(b, group[j]), np.append(n, np.ones(len(i), np.int64)))
+    return a, b, n
+
+
 def _overlaps(table: pa.Table) -> pa.Table:
-    """One bucket of the matrix: (a, b, n) shared tokens of two groups; (group, token) of hot tokens with kind 1."""
-    token = np.concatenate([_unplanes(x) for x in table.column("tokens").to_pylist()])
-    group = np.concatenate([_unplanes(x) for x in table.column("groups").to_pylist()])
+    """One bucket of the matrix: (a, b, n) shared tokens of two groups; (group, token, sizes) of hot tokens with kind 1."""
+    token, group, size = (np.concatenate([_unplanes(x) for x in table.column(c).to_pylist()]) for c in ("tokens", "groups", "sizes"))
     order = np.lexsort((group, token))
-    token, group = token[order], group[order]
+    token, group, size = token[order], group[order], size[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
-    token, group = token[new], group[new]
+    token, group, size = token[new], group[new], size[new]
     starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     sizes = np.diff(np.append(starts, len(token)))
     hot = sizes > HOT_GROUPS
-    a, b, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     paired = (sizes > 1) & ~hot
-    for i, j in run_pairs(starts[paired], sizes[paired]):
-        a, b, n = _sum_pairs(np.append(a, group[i]), np.append(b, group[j]), np.append(n, np.ones(len(i), np.int64)))
+    a, b, n = _pairs_of(starts[paired], sizes[paired], group, size)
     member = np.repeat(hot, sizes)
     kinds = np.append(np.zeros(len(a), np.int32), np.ones(member.sum(), np.int32))
-    return pa.table({"kind": kinds, "a": np.append(a, group[member]), "b": np.append(b, token[member]), "n": np.append(n, np.ones(member.sum(), np.int64))})
+    return pa.table({"kind": kinds, "a": np.append(a, group[member]), "b": np.append(b, token[member]), "n": np.append(n, size[member])})
+
+
+def _hot_overlaps(table: pa.Table) -> pa.Table:
+    """Groups that share one hot token, few enough to pair."""
+    order = np.argsort(table.column("grp").to_numpy(), kind="stable")
+    group, size = table.column("grp").to_numpy()[order], table.column("sizes").to_numpy()[order]
+    a, b, n = _pairs_of(np.zeros(1, np.int64), np.array([len(group)]), group, size) if len(group) > 1 else (group[:0], group[:0], group[:0])
+    return pa.table({"a": a, "b": b, "n": n})
 
 
 def _sum_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray):
@@ -175,21 +200,35 @@ def _sum_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray):
     return a[first], b[first], np.add.reduceat(n, first) if len(a) else n
 
 
-def opened(entries: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) of groups that may hold similar members. groups: (grp, k), the least k of the members."""
+def opened(entries: DataFrame, groups: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(pairs, chain): pairs (a, b), a < b, of groups that may hold similar members, and edges of groups to be taken as one.
+
+    groups: (grp, k), the least k of the members.
+    """
     found = materialize(entries.groupBy("bucket").applyInArrow(_overlaps, "kind int, a long, b long, n long"), "overlaps")
-    hot = found.filter("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("token"))
-    hot_n = hot.groupBy("grp").agg(F.count(F.lit(1)).alias("hot"))
-    stats = groups.join(hot_n, "grp", "left").select("grp", "k", F.coalesce("hot", F.lit(0)).alias("hot"))
-    pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    own = stats.withColumnsRenamed({"grp": "a", "k": "ka", "hot": "ha"})
-    other = stats.withColumnsRenamed({"grp": "b", "k": "kb", "hot": "hb"})
-    # one token may be lost to equal 48 bits, hence k and not k + 1
-    wide = pairs.join(own, "a").join(other, "b").filter(F.col("n") >= F.least("ka", "kb") - F.least("ha", "hb")).select("a", "b")
-    full = stats.filter("hot > 0 and hot >= k").select("grp")
-    among = hot.join(full, "grp")
-    first = among.groupBy("token").agg(F.min("grp").alias("b"))
-    return wide.unionByName(among.join(first, "token").select(F.col("grp").alias("a"), "b").filter("a <> b").distinct())
+    hot = found.filter("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("token"), F.col("n").alias("sizes"))
+    stats = groups.join(hot.groupBy("grp").agg(F.count(F.lit(1)).alias("hot")), "grp", "left")
+    # groups that may be similar by hot tokens alone; one token may be lost to equal 48 bits, hence n >= k below
+    enough = f"floor(k * {percent} / 100)"  # the least k of a set similar to one with k
+    full = stats.filter(f"hot >= {enough}").select("grp")
+    among = materialize(hot.join(full, "grp"), "hot-tokens")
+    crowds = among.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("grp").alias("first"))
+    few = among.join(crowds.filter(F.col("m") <= HOT_GROUPS).select("token"), "token")
+    crowded = among.join(crowds.filter(F.col("m") > HOT_GROUPS), "token")
+    stats = stats.join(full.withColumn("full", F.lit(True)), "grp", "left").join(crowded.groupBy("grp").agg(F.count(F.lit(1)).alias("crowd")), "grp", "left")
+    stats = materialize(stats.select("grp", "k", F.coalesce("hot", F.lit(0)).alias("hot"), F.coalesce("full", F.lit(False)).alias("full"), F.coalesce("crowd", F.lit(0)).alias("crowd")), "group-bounds")
+    cold_pairs = found.filter("kind = 0").select("a", "b", "n", F.lit(0).cast("long").alias("m"))
+    hot_pairs = few.groupBy("token").applyInArrow(_hot_overlaps, "a long, b long, n long").select("a", "b", F.lit(0).cast("long").alias("n"), F.col("n").alias("m"))
+    pairs = cold_pairs.unionByName(hot_pairs).groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    own = stats.select(*[F.col(c).alias(f"{c}_a" if c != "grp" else "a") for c in stats.columns])
+    other = stats.select(*[F.col(c).alias(f"{c}_b" if c != "grp" else "b") for c in stats.columns])
+    k = F.least("k_a", "k_b")
+    by_cold = F.col("n") >= F.greatest(F.lit(1), k - F.least("hot_a", "hot_b"))
+    by_all = F.col("full_a") & F.col("full_b") & (F.col("n") + F.col("m") >= F.greatest(F.lit(1), k - F.least("crowd_a", "crowd_b")))
+    wide = pairs.join(own, "a").join(other, "b").filter(by_cold | by_all).select("a", "b")
+    # crowds beyond pairing: one group per token holds them together
+    chain = crowded.join(stats.filter(f"crowd > 0 and crowd >= {enough}").select("grp"), "grp").select(F.col("first").alias("a"), F.col("grp").alias("b")).filter("a <> b")
+    return wide, chain.distinct()
 
 
 def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -265,39 +304,63 @@ def _distance(percent: int):
     return inner
 
 
-def cluster_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(cid, links, to) with several rows per class. members: cluster, size, cid, copies, tokens."""
+def group_links(members: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(cid, links, to) with several rows per class: inside each group, and between the groups of each pair.
+
+    members: grp, size (classes of the group), cid, copies, tokens. pairs: (home, guest), the sets of the guest travel.
+    """
     result = "cid long, links long, to long"
-    small = members.filter(F.col("size") <= BLOCK).select("cluster", F.lit(0).alias("side"), "cid", "copies", "tokens")
-    out = small.groupBy("cluster").applyInArrow(_compare(percent), result)
+    some = ["grp", "x", "y", "kind", "side", "cid", "copies", "tokens"]
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("cid"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    zero = F.lit(0)
+
+    def unit(df: DataFrame, kind: int, side) -> DataFrame:
+        return df.withColumn("kind", F.lit(kind)).withColumn("side", side if not isinstance(side, int) else F.lit(side)).select(some)
+
+    small = members.filter((F.col("size") > 1) & (F.col("size") <= BLOCK))
+    parts = [unit(small.withColumn("x", zero).withColumn("y", zero), 0, 0)]
+
+    # large groups: the distance to a center first
     large = members.filter(F.col("size") > BLOCK)
-    center = large.groupBy("cluster").agg(F.min("cid").alias("cid"))
-    center = large.join(center, ["cluster", "cid"]).select("cluster", F.col("cid").alias("center"), F.col("tokens").alias("center_tokens"))
-    told = large.join(center, "cluster").withColumn("inner", _distance(percent)("tokens", "center_tokens"))
-    told = materialize(told.select("cluster", "cid", "copies", "tokens", "inner", "center"), "center-distances")
-    totals = told.groupBy("cluster").agg(
+    center = large.groupBy("grp").agg(F.min("cid").alias("cid"))
+    center = large.join(center, ["grp", "cid"]).select("grp", F.col("cid").alias("center"), F.col("tokens").alias("center_tokens"))
+    told = large.join(center, "grp").withColumn("inner", _distance(percent)("tokens", "center_tokens"))
+    told = materialize(told.select("grp", "cid", "copies", "tokens", "inner", "center"), "center-distances")
+    totals = told.groupBy("grp").agg(
         F.sum(F.when(F.col("inner"), F.col("copies"))).alias("weight"), F.count(F.when(F.col("inner"), 1)).alias("near"), F.count(F.when(~F.col("inner"), 1)).alias("far")
     )
-    told = told.join(totals, "cluster")
+    told = told.join(totals, "grp")
     near = told.filter("inner").select("cid", (F.col("weight") - F.col("copies")).alias("links"), F.col("center").alias("to"))
-    block = lambda n: F.pmod(F.xxhash64("cid"), F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("long")).cast("int")
-    last = lambda n: F.greatest(F.lit(0), F.ceil(F.col(n) / BLOCK).cast("int") - 1)
-    told = told.withColumn("block", F.when(F.col("inner"), block("near")).otherwise(block("far"))).filter("far > 0")
-    some = ["cluster", "x", "y", "kind", "side", "cid", "copies", "tokens"]
+    told = told.filter("far > 0").withColumn("block", F.when(F.col("inner"), block("near")).otherwise(block("far")))
     far = told.filter("not inner")
-    # far with near: far block x against near block y
-    parts = [
-        far.filter("near > 0").withColumn("y", F.explode(F.sequence(F.lit(0), last("near")))).select("cluster", F.col("block").alias("x"), "y", F.lit(0).alias("kind"), F.lit(1).alias("side"), "cid", "copies", "tokens"),
-        told.filter("inner").withColumn("x", F.explode(F.sequence(F.lit(0), last("far")))).select("cluster", "x", F.col("block").alias("y"), F.lit(0).alias("kind"), F.lit(2).alias("side"), "cid", "copies", "tokens"),
+    parts += [
+        # far block x against near block y
+        unit(far.filter("near > 0").withColumn("x", F.col("block")).withColumn("y", every("near")), 1, 1),
+        unit(told.filter("inner").withColumn("y", F.col("block")).withColumn("x", every("far")), 1, 2),
         # far with far: blocks x <= y; the diagonal is one block with itself
-        far.withColumn("o", F.explode(F.sequence(F.lit(0), last("far")))).select(
-            "cluster", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), F.lit(1).alias("kind"),
-            F.when(F.col("o") == F.col("block"), 0).when(F.col("block") < F.col("o"), 1).otherwise(2).alias("side"), "cid", "copies", "tokens",
+        unit(
+            far.withColumn("o", every("far")).withColumn("x", F.least("block", "o")).withColumn("y", F.greatest("block", "o")),
+            2, F.when(F.col("o") == F.col("block"), 0).when(F.col("block") < F.col("o"), 1).otherwise(2),
         ),
     ]
-    blocks = parts[0].select(some).unionByName(parts[1].select(some)).unionByName(parts[2].select(some))
-    wide = blocks.groupBy("cluster", "x", "y", "kind").applyInArrow(_compare(percent), result)
-    return out.unionByName(near).unionByName(wide)
+
+    # guests: chunk y of them against block x of the home
+    known = members.select("grp", "size").distinct()
+    visits = pairs.join(known.withColumnsRenamed({"grp": "home", "size": "home_size"}), "home")
+    guests = visits.join(members.select(F.col("grp").alias("guest"), "cid", "copies", "tokens"), "guest")
+    calls = visits.join(known.withColumnsRenamed({"grp": "guest", "size": "n"}), "guest").groupBy("home").agg(F.sum("n").alias("calls"))
+    calls = materialize(calls, "group-calls")
+    hosts = members.join(calls.withColumnRenamed("home", "grp"), "grp")
+    parts += [
+        unit(hosts.withColumn("x", block("size")).withColumn("y", every("calls")), 3, 1),
+        unit(guests.join(calls, "home").withColumn("grp", F.col("home")).withColumn("y", block("calls")).withColumn("x", every("home_size")), 3, 2),
+    ]
+    units = parts[0]
+    for p in parts[1:]:
+        units = units.unionByName(p)
+    return units.groupBy("grp", "x", "y", "kind").applyInArrow(_compare(percent), result).unionByName(near)
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -325,23 +388,33 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     while buckets * BUCKET_TOKENS < total // 6:
         buckets *= 2
     once = filled.groupBy("s1", "s2").agg(F.first("lead").alias("lead"))
-    entries = once.join(grouped.select("s1", "s2", "grp"), ["s1", "s2"]).select("lead", "grp").mapInArrow(_deal(48 - buckets.bit_length() + 1), "bucket int, tokens binary, groups binary")
+    base = 100 / percent  # as size_class: sets that can be similar are in the same or in neighbouring classes
+    ranges = grouped.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(base)) + 1e-9))
+    ranges = ranges.groupBy("grp").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    tagged = grouped.join(ranges, "grp").select("s1", "s2", "grp", "low", "high")
+    entries = once.join(tagged, ["s1", "s2"]).select("lead", "grp", "low", "high").mapInArrow(_deal(48 - buckets.bit_length() + 1), "bucket int, tokens binary, groups binary, sizes binary")
     groups = grouped.groupBy("grp").agg(F.min(F.floor(F.col("n") / 10)).alias("k"))
-    cluster_of = components(opened(entries, groups))
-    clustered = grouped.join(cluster_of.withColumnRenamed("v", "grp"), "grp", "left").select("s1", "s2", "cid", "copies", F.coalesce("label", "grp").alias("cluster"))
-    clustered = materialize(clustered, "jaccard-clusters")
-    sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    wanted = materialize(clustered.join(sizes, "cluster"), "jaccard-wanted")
+    pairs, chain = opened(entries, groups, percent)
+    one = components(chain).withColumnsRenamed({"v": "grp", "label": "whole"})
+    grouped = grouped.join(one, "grp", "left").withColumn("grp", F.coalesce("whole", "grp")).drop("whole")
+    sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    pairs = pairs.join(one.select(F.col("grp").alias("a"), F.col("whole").alias("wa")), "a", "left").join(one.select(F.col("grp").alias("b"), F.col("whole").alias("wb")), "b", "left")
+    pairs = pairs.select(F.coalesce("wa", "a").alias("a"), F.coalesce("wb", "b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    # the smaller group of a pair is the guest
+    a_size, b_size = (sizes.withColumnsRenamed({"grp": c, "size": f"n_{c}"}) for c in "ab")
+    a_home = F.col("n_a") >= F.col("n_b")
+    pairs = pairs.join(a_size, "a").join(b_size, "b").select(F.when(a_home, F.col("a")).otherwise(F.col("b")).alias("home"), F.when(a_home, F.col("b")).otherwise(F.col("a")).alias("guest"))
+    pairs = materialize(pairs, "opened-groups")
+    met = pairs.select(F.col("home").alias("grp")).unionByName(pairs.select(F.col("guest").alias("grp"))).distinct().withColumn("met", F.lit(True))
+    wanted = grouped.join(sizes, "grp").join(met, "grp", "left").filter("size > 1 or met").select("s1", "s2", "grp", "size", "cid", "copies")
+    wanted = materialize(wanted, "jaccard-wanted")
 
     # the whole sets of these classes only
-    @F.arrow_udf("binary")
-    def whole(texts: pa.Array) -> pa.Array:
-        return pa.array([token_set(words[bounds[k] : bounds[k + 1]]).tobytes() for _, _, words, _, _, bounds in batch_words(texts) for k in range(len(bounds) - 1)], pa.binary())
-
     texts = docs.select(body.alias("body")).withColumn("s", _signs(percent, False)("body")).select(F.col("s.s1").alias("s1"), F.col("s.s2").alias("s2"), "body")
     texts = texts.groupBy("s1", "s2").agg(F.first("body").alias("body")).join(wanted, ["s1", "s2"])
-    members = materialize(texts.select("cluster", "size", "cid", "copies", whole("body").alias("tokens")), "jaccard-members")
-    links = materialize(cluster_links(members, percent), "jaccard-links")
+    members = texts.select("grp", "size", "cid", "copies", "body").mapInArrow(_whole_sets, "grp long, size long, cid long, copies long, tokens binary")
+    members = materialize(members, "jaccard-members")
+    links = materialize(group_links(members, pairs, percent), "jaccard-links")
 
     label = components(links.select(F.col("cid").alias("a"), F.col("to").alias("b")))
     summed = links.groupBy("cid").agg(F.sum("links").alias("links"))
