@@ -31,6 +31,7 @@ def test_toxicity_on_held_out_labels(spark):
     assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.7)).all()
     held = got[got.held_out].merge(labels, on="doc_id")
     assert auc(held.score.values, held.toxic.values) > 0.8
+    assert held[held.toxic == 0].predicted.mean() < 0.03
 
 
 def test_language_on_held_out_rows(spark):
