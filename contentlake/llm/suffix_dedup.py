@@ -39,7 +39,7 @@ GRAM = 64
 HOT_SEGMENTS = 1000
 BUCKET_ENTRIES = 50_000
 BUCKET_BYTES = 1 << 19
-MIN_BUCKETS = 256
+MIN_BUCKETS, MIN_PARTS = 256, 64
 _POSITION_BITS = 22
 PACKED = "bucket int, entries binary, data binary"
 FOUND = "kind int, d long, start long, size long, anchor long, later boolean"
@@ -336,8 +336,21 @@ def _windows_once(data: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarr
     return at[count[place] > 1]
 
 
-def _match(length: int):
-    """Step 3, second half: spans of repeated windows in one bucket."""
+def _match(length: int, parts: int):
+    """Step 3, second half: spans of repeated windows in one bucket, packed by parts of the documents."""
+
+    def spans(d: np.ndarray, at: np.ndarray, later: np.ndarray) -> pa.Table:
+        rows = []
+        for flag in (False, True):
+            ud, us, ue = unite(d[later | (not flag)], at[later | (not flag)], at[later | (not flag)] + length)
+            rows.append(np.stack([ud, us, ue - us, np.full(len(ud), int(flag))], axis=1))
+        rows = np.concatenate(rows)
+        part = rows[:, 0] % parts
+        order = np.argsort(part, kind="stable")
+        rows, part = rows[order], part[order]
+        cuts = np.append(_runs_of(part), len(part))
+        packed = [pack(list(rows[a:b].T)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.table({"part": pa.array(part[cuts[:-1]].astype(np.int32)), "entries": pa.array(packed, pa.binary())})
 
     def match(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
@@ -348,12 +361,7 @@ def _match(length: int):
             count = np.diff(np.append(first, len(rows)))
             twice = np.repeat(count > 1, count)
             later = np.arange(len(rows)) != np.repeat(first, count)
-            parts = []
-            for flag in (False, True):
-                use = twice & (later | (not flag))
-                ud, us, ue = unite(d[use], at[use], at[use] + length)
-                parts.append(_spans(0, ud, us, ue - us, later=np.full(len(ud), flag)))
-            return pa.concat_tables(parts)
+            return spans(d[twice], at[twice], later[twice])
         rows, texts = [], []
         for entries, data in zip(table.column("entries").to_pylist(), table.column("data").to_pylist(), strict=True):
             own = unpack(entries, 4)
@@ -367,7 +375,8 @@ def _match(length: int):
         bounds = np.append(0, np.cumsum(rows[:, 3]))
         starts = _windows_once(data, bounds, length)
         if not len(starts):
-            return _spans(0, [], [], [])
+            none = np.zeros(0, np.int64)
+            return spans(none, none, none.astype(bool))
         # the repeated windows only: their runs, end to end
         _, a, b = unite(np.searchsorted(bounds, starts, "right") - 1, starts, starts + length)
         size = np.append(0, np.cumsum(b - a))
@@ -377,15 +386,23 @@ def _match(length: int):
         previous, following = longest_previous_factor(packed, short, length)
         row = np.searchsorted(bounds, starts, "right") - 1
         at = starts - bounds[row] + rows[row, 2]
-        parts = []
-        for flag, use in ((False, (previous >= length) | (following >= length)), (True, previous >= length)):
-            ud, us, ue = unite(rows[row[use], 1], at[use], at[use] + length)
-            parts.append(_spans(0, ud, us, ue - us, later=np.full(len(ud), flag)))
-        return pa.concat_tables(parts)
+        use = (previous >= length) | (following >= length)
+        return spans(rows[row, 1][use], at[use], previous[use] >= length)
 
     return match
 
 
+def _unite_part(table: pa.Table) -> pa.Table:
+    """Step 4 for the documents of one part."""
+    rows = np.concatenate([unpack(x, 4) for x in table.column("entries").to_pylist()])
+    out = []
+    for flag in (0, 1):
+        some = rows[rows[:, 3] == flag]
+        d, start, end = unite(some[:, 0], some[:, 1], some[:, 1] + some[:, 2])
+        out.append(_spans(0, d, start, end - start, later=np.full(len(d), bool(flag))))
+    return pa.concat_tables(out)
+
+
 def repeated_spans(docs: DataFrame, key: Column, text: Column, length: int = LENGTH) -> DataFrame:
     """(d, spans, later): per document with repeats the byte spans, sorted and united, covered by a
     string of ``length`` bytes that starts elsewhere too, and those covered by a later copy of one.
@@ -401,7 +418,8 @@ def repeated_spans(docs: DataFrame, key: Column, text: Column, length: int = LEN
     size = wanted.agg(F.sum("size").alias("n")).first()["n"] or 0
     listed = wanted.groupBy("d").agg(F.collect_list(F.struct("kind", "start", "size", "anchor")).alias("wanted"))
     cut = rows.join(listed, "d").mapInArrow(_deal(length, max(MIN_BUCKETS, size // BUCKET_BYTES)), PACKED)
-    matched = cut.groupBy("bucket").applyInArrow(_match(length), FOUND)
+    parts = max(MIN_PARTS, size // (4 * BUCKET_BYTES))
+    matched = cut.groupBy("bucket").applyInArrow(_match(length, parts), "part int, entries binary").groupBy("part").applyInArrow(_unite_part, FOUND)
     spans = met.filter("kind = 0").unionByName(matched).groupBy("d").agg(
         F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end"))).alias("spans"),
         F.collect_list(F.when(F.col("later"), F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("later"),
