@@ -5,7 +5,8 @@ every n-gram. A segment is the set of its byte n-grams of orders 1 to ``ORDERS``
 spectrum; A-Z lower-cased), hashed to ``DIMENSIONS`` places. The kernel of two segments is the number of
 shared places over the geometric mean of their sizes. Nystroem landmarks, a few training segments
 per language, carry a one-versus-rest kernel ridge regression, solved on the driver from a bounded
-sample (``SAMPLE_DOCS`` documents per language, ``SAMPLE_SEGMENTS`` segments of each). Scoring is batched: presence matrix by landmarks,
+sample (``SAMPLE_DOCS`` distinct texts per language, ``SAMPLE_SEGMENTS`` segments of each): those with the smallest
+hashes, all texts of a language that has fewer. Copies of a text count once. Scoring is batched: presence matrix by landmarks,
 then by coefficients; a text's score is the mean of its segments, weighted by their bytes.
 
 Cases: a null text or one without any letter is ``und`` with score 0; without training rows every
@@ -22,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialize
 from .tables import free_names, q
 from .textarrays import LOWER_CODES, U64, mix, text_bytes
 
@@ -30,6 +32,7 @@ ORDERS = 4
 SEGMENT = 2000
 SAMPLE_DOCS = 300
 SAMPLE_SEGMENTS = 2
+DRAW = 3
 MAX_LANGUAGES = 400
 LANDMARKS = 128
 RIDGE = 1e-2
@@ -107,19 +110,36 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def _draw(known: DataFrame, sizes: dict[str, int], most: int) -> DataFrame:
+    """(lang, h1, h2): for each language the ``most`` smallest of its distinct hashes, or all if it has fewer.
+
+    Only a share of about ``DRAW * most`` hashes is ranked; it grows for languages where too few fall into it.
+    """
+    drawn = F.pmod("h1", F.lit(1 << 40)).cast("double") / float(1 << 40)
+    first = Window.partitionBy("lang").orderBy("drawn", "h2", "h1")
+    share = {x: min(1.0, DRAW * most / n) for x, n in sizes.items()}
+    while True:
+        shares = known.sparkSession.createDataFrame(list(share.items()), "lang string, share double")
+        some = known.join(F.broadcast(shares), "lang").withColumn("drawn", drawn).filter("drawn < share")
+        some = some.withColumn("no", F.row_number().over(first)).filter(F.col("no") <= most)
+        chosen = materialize(some.select("lang", "h1", "h2"), "language-draw")
+        got = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        short = [x for x, n in sizes.items() if got.get(x, 0) < min(most, n) and share[x] < 1]
+        if not short:
+            return chosen
+        share |= {x: min(1.0, 8 * share[x]) for x in short}
+
+
 def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
-    """Train on a bounded sample, chosen by a hash of the text, evenly over the languages."""
+    """Train on a bounded sample of the distinct texts, chosen by a hash of the text, evenly over the languages."""
     rows = train.filter(q(lang).isNotNull() & has_letter(q(text))).select(q(lang).alias("lang"), q(text).alias("text"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.withColumn("h1", F.xxhash64(F.lit(11), "text")).withColumn("h2", F.xxhash64(F.lit(12), "text"))
+    known = materialize(rows.select("lang", "h1", "h2").distinct(), "language-texts")
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return None
-    drawn = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    spark = train.sparkSession
-    share = spark.createDataFrame([(r["lang"], min(1.0, 3 * SAMPLE_DOCS / r["n"])) for r in counts], "lang string, share double")
-    some = rows.join(F.broadcast(share), "lang").withColumn("drawn", drawn).filter("drawn < share")
-    fit_ = some.groupBy("lang", "text").agg(F.first("drawn").alias("drawn"))
-    first = Window.partitionBy("lang").orderBy("drawn", F.xxhash64(F.lit(12), "text"))
-    fit_ = fit_.withColumn("no", F.row_number().over(first)).filter(F.col("no") <= SAMPLE_DOCS).select("lang", "text")
+    chosen = _draw(known, {r["lang"]: r["n"] for r in counts}, SAMPLE_DOCS)
+    fit_ = rows.join(F.broadcast(chosen), ["lang", "h1", "h2"]).select("lang", "text").distinct()
 
     def sample(batches):
         for batch in batches:
@@ -137,6 +157,8 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | Non
 
     # at most languages * SAMPLE_DOCS * SAMPLE_SEGMENTS rows of DIMENSIONS / 8 bytes
     got: pd.DataFrame = fit_.mapInArrow(sample, "lang string, bits binary").orderBy("lang", "bits").toPandas()
+    if not len(got):
+        return None
     return solve(got["lang"].tolist(), np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for b in got["bits"]]))
 
 

@@ -88,6 +88,20 @@ def test_language_cases(spark):
     assert {r.lang_pred for r in language_id.predict(df, one).collect()} == {"xx", "und"}
 
 
+def test_languages_of_copies_train(spark, monkeypatch):
+    """Many copies of few texts; a first draw that is empty."""
+    letters = {"aa": "abcdef", "bb": "ghijkl", "cc": "mnopqr"}
+    texts = [(x, " ".join(c * 3 + d + str(k) for c in own for d in own)) for x, own in letters.items() for k in range(3)]
+    df = spark.createDataFrame(texts, "lang string, text string")
+    copies = df.crossJoin(spark.range(20_000).select()).unionByName(spark.createDataFrame([("dd", "stu vwx " * k) for k in range(1, 60)], df.schema))
+    for draw in (3, 1e-9):
+        monkeypatch.setattr(language_id, "DRAW", draw, raising=False)
+        model = language_id.fit(copies)
+        assert model.languages == ["aa", "bb", "cc", "dd"]
+        assert all(r["lang_pred"] == r["lang"] for r in language_id.predict(df, model).collect())
+    assert language_id.fit(df.crossJoin(spark.range(50_000).select())).languages == ["aa", "bb", "cc"]
+
+
 def test_kernel_is_shared_ngrams():
     a, b = (language_id.presence(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in (b"abcab", b"xabc"))
 
