@@ -6,7 +6,9 @@ spectrum; A-Z lower-cased), hashed to ``DIMENSIONS`` places. The kernel of two s
 shared places over the geometric mean of their sizes. Nystroem landmarks, a few training segments
 per language, carry a one-versus-rest kernel ridge regression, solved on the driver from a bounded
 sample (``SAMPLE_DOCS`` distinct texts per language, ``SAMPLE_SEGMENTS`` segments of each): those with the smallest
-hashes, all texts of a language that has fewer. Copies of a text count once. Scoring is batched: presence matrix by landmarks,
+hashes, all texts of a language that has fewer. Copies of a text count once. Every value of the language column is
+learned: above ``SAMPLE_TOTAL`` texts for all languages, each gives fewer (one at least), and above ``MAX_LANDMARKS``
+languages not each has a landmark. The driver holds a row of coefficients per language. Scoring is batched: presence matrix by landmarks,
 then by coefficients; a text's score is the mean of its segments, weighted by their bytes.
 
 Cases: a null text or one without any letter is ``und`` with score 0; without training rows every
@@ -33,8 +35,10 @@ SEGMENT = 2000
 SAMPLE_DOCS = 300
 SAMPLE_SEGMENTS = 2
 DRAW = 3
-MAX_LANGUAGES = 400
+SAMPLE_TOTAL = 120_000
 LANDMARKS = 128
+MAX_LANDMARKS = 400
+CELLS = 1 << 20
 RIDGE = 1e-2
 BLOCK = 256
 
@@ -74,10 +78,10 @@ def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return (rows @ landmarks.T) / np.sqrt(np.maximum(rows.sum(1), 1))[:, None]
 
 
-def score_batch(column: pa.Array, model: Model) -> np.ndarray:
-    """Scores, texts by languages."""
+def kernel_batch(column: pa.Array, model: Model) -> np.ndarray:
+    """Mean kernels of the segments, texts by landmarks."""
     data, starts, ends = text_bytes(column)
-    out = np.zeros((len(starts), len(model.languages)))
+    out = np.zeros((len(starts), len(model.landmarks)))
     sums = np.zeros(len(starts))
     owner, a_edges = [], []
 
@@ -88,9 +92,8 @@ def score_batch(column: pa.Array, model: Model) -> np.ndarray:
             spans = a_edges[i : i + BLOCK]
             joined = np.concatenate([data[a:b] for a, b in spans])
             edges = np.concatenate([[0], np.cumsum([b - a for a, b in spans])])
-            scores = kernel(presence(joined, edges), model.landmarks) @ model.weights
             size = np.diff(edges)
-            np.add.at(out, owner[i : i + BLOCK], scores * size[:, None])
+            np.add.at(out, owner[i : i + BLOCK], kernel(presence(joined, edges), model.landmarks) * size[:, None])
             np.add.at(sums, owner[i : i + BLOCK], size)
         owner.clear()
         a_edges.clear()
@@ -106,6 +109,18 @@ def score_batch(column: pa.Array, model: Model) -> np.ndarray:
     return out / np.maximum(sums, 1)[:, None]
 
 
+def best_of(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The best language's number and its score, for each text; texts by languages is held in portions of ``CELLS``."""
+    marks = kernel_batch(column, model)
+    best, value = np.zeros(len(marks), int), np.zeros(len(marks))
+    step = max(1, CELLS // len(model.languages))
+    for a in range(0, len(marks), step):
+        scores = marks[a : a + step] @ model.weights
+        best[a : a + step] = scores.argmax(1)
+        value[a : a + step] = scores.max(1)
+    return best, value
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
@@ -135,10 +150,11 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | Non
     rows = train.filter(q(lang).isNotNull() & has_letter(q(text))).select(q(lang).alias("lang"), q(text).alias("text"))
     rows = rows.withColumn("h1", F.xxhash64(F.lit(11), "text")).withColumn("h2", F.xxhash64(F.lit(12), "text"))
     known = materialize(rows.select("lang", "h1", "h2").distinct(), "language-texts")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return None
-    chosen = _draw(known, {r["lang"]: r["n"] for r in counts}, SAMPLE_DOCS)
+    most = min(SAMPLE_DOCS, max(1, SAMPLE_TOTAL // len(counts)))
+    chosen = _draw(known, {r["lang"]: r["n"] for r in counts}, most)
     fit_ = rows.join(F.broadcast(chosen), ["lang", "h1", "h2"]).select("lang", "text").distinct()
 
     def sample(batches):
@@ -155,28 +171,35 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> Model | Non
                     packed.append(np.packbits(bits > 0).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(packed, pa.binary())], ["lang", "bits"])
 
-    # at most languages * SAMPLE_DOCS * SAMPLE_SEGMENTS rows of DIMENSIONS / 8 bytes
+    # at most max(languages, SAMPLE_TOTAL) * SAMPLE_SEGMENTS rows of DIMENSIONS / 8 bytes
     got: pd.DataFrame = fit_.mapInArrow(sample, "lang string, bits binary").orderBy("lang", "bits").toPandas()
     if not len(got):
         return None
-    return solve(got["lang"].tolist(), np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for b in got["bits"]]))
+    return solve(got["lang"].tolist(), np.frombuffer(b"".join(got["bits"]), np.uint8).reshape(len(got), -1))
 
 
-def solve(langs: list[str], bits: np.ndarray) -> Model:
-    """Kernel ridge regression on landmarks (subset of regressors), one target per language."""
-    names = sorted(set(langs))
-    own = np.array([names.index(x) for x in langs])
+def solve(langs: list[str], packed: np.ndarray) -> Model:
+    """Kernel ridge regression on landmarks (subset of regressors), one target per language. packed: bits of each segment."""
+    names, own = np.unique(np.array(langs, object), return_inverse=True)
     each = max(1, LANDMARKS // len(names))
     rng = np.random.default_rng(5)
-    chosen = np.concatenate([rng.permutation(np.flatnonzero(own == k))[:each] for k in range(len(names))])
-    marks = bits[chosen].astype(np.float32)
+    of_language = np.split(np.argsort(own, kind="stable"), np.cumsum(np.bincount(own))[:-1])
+    chosen = np.concatenate([rng.permutation(x)[:each] for x in of_language])
+    chosen = chosen if len(chosen) <= MAX_LANDMARKS else np.sort(rng.permutation(chosen)[:MAX_LANDMARKS])
+    marks = np.unpackbits(packed[chosen], axis=1).astype(np.float32)
+    inner = marks.copy()
     marks /= np.sqrt(np.maximum(marks.sum(1), 1))[:, None]
-    cross = np.concatenate([kernel(bits[a : a + BLOCK].astype(np.float32), marks) for a in range(0, len(bits), BLOCK)]).astype(np.float64)
-    inner = kernel(bits[chosen].astype(np.float32), marks).astype(np.float64)
-    target = np.where(own[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
-    balance = (1 / np.bincount(own, minlength=len(names)))[own][:, None]  # languages count alike
-    left = cross.T @ (cross * balance) + RIDGE * inner / len(bits) * len(names) + 1e-8 * np.eye(len(inner))
-    return Model(names, marks, np.linalg.solve(left, cross.T @ (target * balance)))
+    inner = kernel(inner, marks).astype(np.float64)
+    balance = 1 / np.bincount(own)  # languages count alike
+    square, sums = np.zeros_like(inner), np.zeros((len(names), len(marks)))
+    for a in range(0, len(packed), BLOCK):
+        cross = kernel(np.unpackbits(packed[a : a + BLOCK], axis=1).astype(np.float32), marks).astype(np.float64)
+        weighted = cross * balance[own[a : a + BLOCK]][:, None]
+        square += cross.T @ weighted
+        np.add.at(sums, own[a : a + BLOCK], weighted)
+    left = square + RIDGE * inner / len(packed) * len(names) + 1e-8 * np.eye(len(inner))
+    # targets are 1 for the own language and -1 for the others
+    return Model(names.tolist(), marks, np.linalg.solve(left, 2 * sums.T - sums.sum(0)[:, None]))
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -188,9 +211,8 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def language(texts: pa.Array) -> pa.Array:
-        scores = score_batch(texts, model)
-        best = scores.argmax(1) if len(scores) else np.zeros(0, int)
-        value = np.clip((scores[np.arange(len(best)), best] + 1) / 2, 0, 1)
+        best, value = best_of(texts, model)
+        value = np.clip((value + 1) / 2, 0, 1)
         return pa.StructArray.from_arrays([pa.array(np.array(model.languages, object)[best], pa.string()), pa.array(value)], fields=list(kind))
 
     (found,) = free_names(df, "found")

@@ -102,6 +102,14 @@ def test_languages_of_copies_train(spark, monkeypatch):
     assert language_id.fit(df.crossJoin(spark.range(50_000).select())).languages == ["aa", "bb", "cc"]
 
 
+def test_all_languages_train(spark, monkeypatch):
+    """More languages than were once taken, and than there are landmarks; fewer texts of each."""
+    monkeypatch.setattr(language_id, "SAMPLE_TOTAL", 1000, raising=False)
+    rows = [(f"l{i:03}", "".join(chr(97 + (i * 7 + k * (i + 3) + j) % 26) for k in range(40))) for i in range(450) for j in range(3)]
+    model = language_id.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == sorted({x for x, _ in rows}) and model.weights.shape == (400, 450)
+
+
 def test_kernel_is_shared_ngrams():
     a, b = (language_id.presence(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in (b"abcab", b"xabc"))
 
