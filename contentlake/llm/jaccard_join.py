@@ -364,9 +364,10 @@ def group_links(members: DataFrame, pairs: DataFrame, percent: int = PERCENT) ->
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per document: key, n_shingles, s1, s2 (fingerprint of its set), component_id, n_links.
+    """One row per document: key, n_shingles, s1, s2 (fingerprint of its set), component_id, n_links, leads.
 
-    n_links counts the other documents whose sets have a similarity of ``percent`` or more.
+    n_links counts the other documents whose sets have a similarity of ``percent`` or more. leads marks one set of each
+    component: the least by (smallest id, s1, s2), nulls last; its smallest id is component_id.
     """
     body = F.coalesce(q(text), F.lit(""))
     sets = docs.select(q(key).alias("key"), body.alias("body")).select("key", _signs(percent, True)("body").alias("s")).select("key", "s.*")
@@ -419,23 +420,25 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     label = components(links.select(F.col("cid").alias("a"), F.col("to").alias("b")))
     summed = links.groupBy("cid").agg(F.sum("links").alias("links"))
     done = classes.select("s1", "s2", "cid", "rep", "copies").join(label.withColumnRenamed("v", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    least = done.groupBy("label").agg(F.min("rep").alias("component_id"))
+    least = done.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("bare"), F.col("rep").alias("component_id"), F.col("s1").alias("l1"), F.col("s2").alias("l2"))).alias("least"))
+    least = least.select("label", "least.*")
     done = done.join(least, "label").join(summed, "cid", "left")
-    done = materialize(done.select("s1", "s2", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "jaccard-result")
+    leads = ((F.col("s1") == F.col("l1")) & (F.col("s2") == F.col("l2"))).alias("leads")
+    done = materialize(done.select("s1", "s2", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), leads), "jaccard-result")
     out = filled.select("key", F.col("n").cast("long").alias("n_shingles"), "s1", "s2").join(done, ["s1", "s2"])
-    bare = sets.filter("n = 0").select("key", F.lit(0).cast("long").alias("n_shingles"), "s1", "s2", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    names = ["key", "n_shingles", "s1", "s2", "component_id", "n_links"]
+    bare = sets.filter("n = 0").select("key", F.lit(0).cast("long").alias("n_shingles"), "s1", "s2", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(False).alias("leads"))
+    names = ["key", "n_shingles", "s1", "s2", "component_id", "n_links", "leads"]
     return out.select(names).unionByName(bare.select(names))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The documents with the smallest id of each component; documents without words all stay.
+    """One document of each component, that with the smallest id; documents without words all stay.
 
-    Of rows that repeat id and set one is kept.
+    If several rows have that id, or all ids are null, the set with the smallest fingerprint stays, and one row of it.
     """
     found = similar_documents(docs, key, text, percent)
     k, a, b, sign = free_names(docs, "k", "s1", "s2", "sign")
-    kept = found.filter("n_shingles > 0 and key <=> component_id").select(F.col("key").alias(k), F.col("s1").alias(a), F.col("s2").alias(b)).distinct()
+    kept = found.filter("leads and key <=> component_id").select(F.col("key").alias(k), F.col("s1").alias(a), F.col("s2").alias(b)).distinct()
     rows = docs.withColumn(sign, _signs(percent, False)(F.coalesce(q(text), F.lit(""))))
     rows = rows.withColumn(a, q(sign)["s1"]).withColumn(b, q(sign)["s2"])
     full = rows.filter(q(sign)["n"] > 0).drop(sign)

@@ -81,6 +81,18 @@ def test_keep_one_keeps_one_of_each_group(spark):
     assert sum(not shingles(r["text"]) for r in got.collect()) == sum(not shingles(r[1]) for r in rows)
 
 
+def test_keep_one_of_repeated_and_null_ids(spark):
+    """The smallest id in two near copies; groups without any id; an id in two unlike groups; equal rows."""
+    rng = random.Random(9)
+    base = [prose(rng, 100) for _ in range(6)]
+    near = [edited(rng, t, 1) for t in base]
+    rows = [(1, base[0]), (1, near[0]), (2, base[0]), (None, base[1]), (None, near[1]), (None, base[2]), (None, near[2])]
+    rows += [(7, base[3]), (7, near[3]), (7, base[4]), (None, base[5]), (9, near[5]), (9, near[5])]
+    got = keep_one(spark.createDataFrame([(*r, "en", "a", 1) for r in rows], SCHEMA)).collect()
+    of = {t: i for i, pair in enumerate(zip(base, near)) for t in pair}
+    assert sorted((of[r["text"]], str(r["doc_id"])) for r in got) == [(0, "1"), (1, "None"), (2, "None"), (3, "7"), (4, "7"), (5, "9")]
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)]
