@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from . import language_id, toxicity
+from ..session import materialize, scratch_path
+from . import language_id, quality, toxicity
 from .decontamination import with_hits
 from .jaccard_join import similar_documents
 from .mixing import mix_sources, words_taken
+from .periodic import run_digests
+from .prefix_trie import borrowed_heads, conversation_arrays, distinct_sequences, encoded_turns, prefix_nodes
 from .secret_scan import BASE_RULES, MORE_RULES, scan_secrets, spelled
 from .sharding import shard_rows
 from .suffix_dedup import digest, with_spans
@@ -236,3 +238,116 @@ from documents d
 where text is null or doc_id = (select min(doc_id) from documents e where e.text = d.text)
 group by source, lang
 """
+
+
+@query
+def op12_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_crc() % 3 == 1, F.lit(False))
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "quality"))
+    scored = quality.score(docs.withColumn("held_out", held_out), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _crc_sql(column: str) -> str:
+    """Unsigned CRC-32 of an integer's decimal digits, bit by bit."""
+    text = f"cast({column} as varchar)"
+    return f"""xor(4294967295, list_reduce(
+        list_transform(range(0, 8 * length({text})), lambda k: ((ascii(substr({text}, (k // 8 + 1)::int, 1)) >> (k % 8)) & 1)::bigint),
+        lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::bigint))"""
+
+
+@query
+def op11_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    told = run_digests(docs, F.col("text"), id_crc())
+    return told.select("doc_id", "told.*")
+
+
+# stretches that repeat q words later: islands of equal word triples at one distance; the smallest q of equal stretches
+ORACLES["op11_runs"] = f"""
+with given as (
+    select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w, {_crc_sql("doc_id")} as h
+    from documents
+), sized as (
+    select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as again, h // 10 as g from given
+), placed as (
+    select *, case when again then g % n else n end as a from sized
+), pieces as (
+    select *, case when again then 1 + (n - a) // (3 + g % 8) else 1 end as p from placed
+), made as (
+    select doc_id, n, case when again then list_transform(range(0, n), lambda i: case when i < a then w[i + 1] else w[a + (i - a) % p + 1] end) else w end as w
+    from pieces
+), triples as (
+    select doc_id, n, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] as t
+    from (select doc_id, n, w, unnest(range(0, n - 2)) as i from made where n >= 6)
+), meets as (
+    select x.doc_id, y.i - x.i as q, x.i
+    from triples x join triples y on x.doc_id = y.doc_id and x.t = y.t and x.i < y.i and 4 * (y.i - x.i) <= x.n
+), islands as (
+    select doc_id, q, min(i) as start, count(*) + q + 2 as length
+    from (select *, i - row_number() over (partition by doc_id, q order by i) as island from meets)
+    group by doc_id, q, island
+), runs as (
+    select doc_id, start, length, min(q) as period from islands group by doc_id, start, length
+    having length >= 6 and length >= 4 * min(q)
+), dropped as (
+    select distinct doc_id, unnest(range(start + period, start + length)) as i from runs
+), kept as (
+    select m.doc_id, string_agg(m.word, ' ' order by m.i) as collapsed
+    from (select doc_id, unnest(w) as word, unnest(range(0, n)) as i from made) m anti join dropped d on m.doc_id = d.doc_id and m.i = d.i
+    group by m.doc_id
+), told as (
+    select doc_id, count(*) as n_runs, arg_min({{'start': start, 'length': length, 'period': period}}, (-length, start, period)) as best,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines
+    from runs group by doc_id
+)
+select m.doc_id, coalesce(n_runs, 0) as n_runs, best.start as start, best.length as length, best.period as period, 1000 * best.length // best.period as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+from made m left join told t on t.doc_id = m.doc_id left join kept k on k.doc_id = m.doc_id
+"""
+
+
+@query
+def op13_trie(spark, sf_dir):
+    conversations = materialize(conversation_arrays(encoded_turns(table(spark, sf_dir, "conversations"))), "trie-paths")
+    c = F.col("conv_id")
+    rebuilt = borrowed_heads(conversations, id_crc("conv_id") % 4, c - c % 20, 3)
+    return prefix_nodes(distinct_sequences(rebuilt))
+
+
+ORACLES["op13_trie"] = f"""
+with turns as (
+    select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as mark,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as words
+    from conversations where conv_id is not null
+), own as (
+    select conv_id, list(mark order by turn nulls first, mark) as marks, list(words order by turn nulls first, mark) as words
+    from turns group by conv_id
+), headed as (
+    select c.conv_id, c.marks, c.words, b.marks as b_marks, b.words as b_words, {_crc_sql("c.conv_id")} % 4 as h
+    from own c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+), paths as (
+    select conv_id, list_concat(coalesce(b_marks, [])[1:h], marks[h + 1:]) as marks, list_concat(coalesce(b_words, [])[1:h], words[h + 1:]) as words
+    from headed
+), steps as (
+    select conv_id, d, md5(array_to_string(marks[1:d], ',')) as node, case when d > 0 then md5(array_to_string(marks[1:d - 1], ',')) end as parent,
+           case when d > 0 then words[d] else 0 end as n_words, d = len(marks) as ends
+    from (select *, unnest(range(0, len(marks) + 1)) as d from paths)
+), nodes as (
+    select node, d, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs, any_value(n_words) as n_words,
+           sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+    from steps group by node, d
+), counted as (
+    select n.*, (select count(*) from nodes c where c.parent = n.node and c.d = n.d + 1) as n_children from nodes n
+), lines as (
+    select distinct below.node as below, below.d as below_d, above.node as above, above.d as above_d
+    from steps below join steps above on above.conv_id = below.conv_id and above.d <= below.d
+), subtrees as (
+    select above, above_d, sum((c.n_children = 0)::int)::bigint as n_leaves, sum((c.n_convs - 1) * c.n_words)::bigint as saved_tokens
+    from lines l join counted c on c.node = l.below and c.d = l.below_d
+    group by above, above_d
+)
+select c.conv_id, c.d as depth, u.conv_id as parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+from counted c join subtrees s on s.above = c.node and s.above_d = c.d left join nodes u on u.node = c.parent and u.d = c.d - 1
+"""

@@ -23,7 +23,7 @@ def con():
 def test_registered():
     names = entry_module.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -32,7 +32,7 @@ def test_equals_sql(spark, con, name):
     assert sorted(got.columns) == sorted(want.columns) and rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", ["op1_shards", "op4_mix", "op6_repeats"])
+@pytest.mark.parametrize("name", ["op1_shards", "op4_mix", "op6_repeats", "op11_runs", "op12_quality"])
 def test_one_row_per_document(spark, con, name):
     got = QUERIES[name](spark, SF).toPandas()
     assert sorted(got.doc_id) == sorted(r[0] for r in con.execute("select doc_id from documents").fetchall())
