@@ -9,13 +9,14 @@
    the bound, and whose members can be of similar size, are opened. Tokens of more than ``HOT_GROUPS`` groups are not paired:
    their number per group lowers the bound. Groups that mainly consist of such tokens (more than k) are paired
    along them too, among themselves, and if even that is too many, along a chain of one per token.
-5. The sets of a group are compared exactly with each other and with those of the groups it was opened for. In groups
-   above ``BLOCK`` classes the distance to a center decides most pairs (Jaccard distance is a metric: two
-   sets within (1 - s) / 2 of the center are linked); the others are compared block by block.
+5. The sets of a group are compared exactly with each other and with those of the groups it was opened for. A group above
+   ``BLOCK`` classes is cut into blocks by distance to a center: with x = C without A_x and with B_x, the intersection of x and y is
+   |C| - |A_x| - |A_y| + |A_x & A_y| + |B_x & B_y|. The ranges of a block decide most block pairs as all linked or not at all;
+   the others are products of the differences, which are short for near copies.
 
-Nothing depends on the size of a group of copies but counts. No pair of documents is emitted: a task
-returns the number of links per class and a spanning forest. The work on unlike sets in one large
-group is quadratic, as the number of its links may be.
+Nothing depends on the size of a group of copies but counts. No pair of documents is emitted: a block travels as one row
+and returns a row per class with its number of links, and a spanning forest. The products of unlike sets in one large group are
+quadratic in its blocks, as the number of its links may be.
 
 Cases: null text, empty text and text of blanks have the empty set and no link; fewer words than the
 shingle size are one shingle; repeated rows are copies and linked; a null id is skipped as a component's
@@ -26,9 +27,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
+from ..operators.skew import lookup_join, stored
+from ..session import known_bytes, materialize, row_count
 from .components import components
 from .tables import free_names, q
 from .textarrays import U64, batch_words, mix, shingle_hashes
@@ -39,7 +42,8 @@ BANDS, BAND_ROWS = 4, 3
 HOT_GROUPS = 128
 BUCKETS = 1024
 BUCKET_TOKENS = 1_000_000
-BLOCK = 256
+#: Classes and tokens of a block at most (about; one set is never cut).
+BLOCK, BLOCK_TOKENS = 512, 1 << 20
 COLUMNS = 4096
 
 _BIN_STARTS = np.array([(k << 64) // (BANDS * BAND_ROWS) for k in range(BANDS * BAND_ROWS)], U64)
@@ -98,8 +102,9 @@ def _whole_sets(batches):
     for batch in batches:
         for a, b, words, _, _, bounds in batch_words(batch.column("body")):
             sets = [token_set(words[bounds[k] : bounds[k + 1]]).tobytes() for k in range(b - a)]
-            rest = [batch.column(c).slice(a, b - a) for c in ("grp", "size", "cid", "copies")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(sets, pa.binary())], ["grp", "size", "cid", "copies", "tokens"])
+            names = ("grp", "size", "weight", "cid", "copies", "n")
+            rest = [batch.column(c).slice(a, b - a) for c in names]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(sets, pa.binary())], [*names, "tokens"])
 
 
 def _lead_tokens(planes: bytes) -> np.ndarray:
@@ -231,14 +236,25 @@ def opened(entries: DataFrame, groups: DataFrame, percent: int = PERCENT) -> tup
     return wide, chain.distinct()
 
 
-def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two lists of sets: products of 0/1 matrices over common tokens."""
+def shared(left: list[np.ndarray], right: list[np.ndarray], gone_left: np.ndarray | None = None, gone_right: np.ndarray | None = None) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets: products of 0/1 matrices over common tokens.
+
+    The first ``gone`` tokens of a set count as -1 (differences to a center, see ``_differences``).
+    """
     out = np.zeros((len(left), len(right)), np.float64)
     if not left or not right:
         return out.astype(np.int64)
-    rows = np.repeat(np.arange(len(left)), [len(x) for x in left])
-    cols = np.repeat(np.arange(len(right)), [len(x) for x in right])
-    a, b = np.concatenate(left), np.concatenate(right)
+
+    def flat(sets, gone):
+        n = np.array([len(x) for x in sets], np.int64)
+        first = np.concatenate([[0], np.cumsum(n)])[:-1]
+        sign = np.ones(n.sum(), np.float32)
+        if gone is not None:
+            sign[np.arange(n.sum()) < np.repeat(first + gone, n)] = -1
+        return np.repeat(np.arange(len(sets)), n), np.concatenate(sets), sign
+
+    rows, a, sign_a = flat(left, gone_left)
+    cols, b, sign_b = flat(right, gone_right)
     common = np.intersect1d(a, b)
     at, bt = np.searchsorted(common, a), np.searchsorted(common, b)
     ka = np.flatnonzero((at < len(common)) & (common[np.minimum(at, len(common) - 1)] == a)) if len(common) else np.zeros(0, int)
@@ -248,8 +264,8 @@ def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     for c in range(0, len(common), COLUMNS):
         i, j = slice(*np.searchsorted(sa, [c, c + COLUMNS])), slice(*np.searchsorted(sb, [c, c + COLUMNS]))
         x, y = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
-        x[rows[ka[i]], sa[i] - c] = 1
-        y[cols[kb[j]], sb[j] - c] = 1
+        x[rows[ka[i]], sa[i] - c] = sign_a[ka[i]]
+        y[cols[kb[j]], sb[j] - c] = sign_b[kb[j]]
         out += x @ y.T
     return np.rint(out).astype(np.int64)
 
@@ -269,7 +285,7 @@ def _forest(link: np.ndarray) -> np.ndarray:
 
 
 def _compare(percent: int):
-    """Links between the classes of one block pair: (cid, links, to); side 1 is compared with both, side 2 with side 1."""
+    """Links of one small unit: (cid, links, to) of the classes that have some. Side 0 meets itself, side 1 meets side 2."""
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by("cid")
@@ -277,90 +293,245 @@ def _compare(percent: int):
         tokens = [np.frombuffer(x, U64) for x in table.column("tokens").to_pylist()]
         size = np.array([len(x) for x in tokens], np.int64)
         link = np.zeros((len(cid), len(cid)), bool)
-        # side 0: all pairs of one block; else side 1 with side 2
         whole = np.flatnonzero(side == 0)
         ones, twos = (whole, whole) if len(whole) else (np.flatnonzero(side == 1), np.flatnonzero(side == 2))
         both = shared([tokens[i] for i in ones], [tokens[i] for i in twos])
         link[np.ix_(ones, twos)] = linked(both, size[ones], size[twos], percent)
         link |= link.T
         np.fill_diagonal(link, False)
+        some = link.any(1)
         label = _forest(link)
-        return pa.table({"cid": cid, "links": link.astype(np.int64) @ copies, "to": cid[label]})
+        return pa.table({"cid": cid[some], "links": (link.astype(np.int64) @ copies)[some], "to": cid[label][some]})
 
     return compare
 
 
-def _distance(percent: int):
-    @F.arrow_udf("boolean")
-    def inner(tokens: pa.Array, center: pa.Array) -> pa.Array:
-        out = []
+def _differences():
+    @F.arrow_udf("struct<n:int,gone:int,far:int,kept:int,tokens:binary>")
+    def differences(tokens: pa.Array, center: pa.Array) -> pa.Array:
+        """A set by what it lacks of a center (first ``gone`` tokens) and adds to it; ``far`` is the number of both.
+
+        ``tokens`` holds these, or the set itself if that is shorter (``kept`` = 0, else ``gone``).
+        """
+        out = {name: [] for name in ("n", "gone", "far", "kept", "tokens")}
         for x, c in zip(tokens.to_pylist(), center.to_pylist(), strict=True):
             x, c = np.frombuffer(x, U64), np.frombuffer(c, U64)
-            both = len(np.intersect1d(x, c, assume_unique=True))
-            union = len(x) + len(c) - both
-            out.append(200 * (union - both) <= (100 - percent) * union)
-        return pa.array(out, pa.bool_())
+            lacks, adds = np.setdiff1d(c, x, assume_unique=True), np.setdiff1d(x, c, assume_unique=True)
+            far = len(lacks) + len(adds)
+            whole = far > len(x)
+            for name, value in (("n", len(x)), ("gone", len(lacks)), ("far", far), ("kept", -1 if whole else len(lacks)), ("tokens", x.tobytes() if whole else lacks.tobytes() + adds.tobytes())):
+                out[name].append(value)
+        kinds = [pa.int32()] * 4 + [pa.binary()]
+        return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
+
+    return differences
+
+
+def _block_links(percent: int):
+    """Links of one pair of packed blocks: one packed row for each side, links and a spanning forest of its classes."""
+
+    def unpacked(table: pa.Table, side: int):
+        row = table.filter(pa.compute.equal(table.column("side"), side))
+        members = row.column("members").combine_chunks()[0].values if len(row) else None
+        if members is None:
+            return None
+        cid, copies, n, gone, kept, tokens = (members.field(k) for k in ("cid", "copies", "n", "gone", "kept", "tokens"))
+        sets = [np.frombuffer(x, U64) for x in tokens.to_pylist()]
+        return row.column("block")[0].as_py(), *(x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (cid, copies, n, gone, kept)), sets
+
+    def compare(table: pa.Table) -> pa.Table:
+        center = table.column("center")[0].as_py()
+        sides = [0] if table.column("side")[0].as_py() == 0 else [1, 2]
+        left = unpacked(table, sides[0])
+        right = left if len(sides) == 1 else unpacked(table, 2)
+        out = {name: [] for name in ("grp", "kind", "side", "block", "cids", "links", "tos")}
+        if left is not None and right is not None:
+            lblock, lcid, lcopies, ln, lgone, lkept, lsets = left
+            rblock, rcid, rcopies, rn, rgone, rkept, rsets = right
+            both = shared(lsets, rsets, np.maximum(lkept, 0), np.maximum(rkept, 0))
+            # |x & y| = |C| - gone(x) - gone(y) + product for two differences; a set given as itself counts from its own overlap with C
+            a, b = lgone[:, None], rgone[None, :]
+            lwhole, rwhole = (lkept < 0)[:, None], (rkept < 0)[None, :]
+            both += np.where(lwhole & rwhole, 0, center - np.where(rwhole, b, 0) - np.where(lwhole, a, 0) - np.where(lwhole | rwhole, 0, a + b))
+            link = linked(both, ln, rn, percent)
+            if right is left:
+                np.fill_diagonal(link, False)
+            at = len(lcid) if right is not left else 0
+            n = at + len(rcid)
+            square = np.zeros((n, n), bool)
+            square[: len(lcid), at:] = link
+            square |= square.T
+            label, names = _forest(square), np.append(lcid, rcid) if at else lcid
+            for side, block, cid, links, to in ((sides[0], lblock, lcid, link @ rcopies, label[: len(lcid)]), (2, rblock, rcid, lcopies @ link, label[at:]))[: len(sides)]:
+                if links.any():
+                    for name, value in zip(out, (table.column("grp")[0].as_py(), table.column("kind")[0].as_py(), side, block, cid, links, names[to]), strict=True):
+                        out[name].append(value)
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()] + [pa.list_(pa.int64())] * 3
+        return pa.table({name: pa.array(v, k) for (name, v), k in zip(out.items(), kinds, strict=True)})
+
+    return compare
+
+
+_BLOCK_RESULT = "grp long, kind int, side int, block long, cids array<long>, links array<long>, tos array<long>"
 
-    return inner
 
+def _sum_blocks(table: pa.Table) -> pa.Table:
+    """Results of one block with all its partners: a row per linked class with the sum of its links, and the edges left of a spanning forest."""
+    column = lambda name: [np.array(x, np.int64) for x in table.column(name).to_pylist()]
+    cids, links, tos = column("cids")[0], sum(column("links")), column("tos")
+    parent: dict[int, int] = {}
 
-def group_links(members: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(cid, links, to) with several rows per class: inside each group, and between the groups of each pair.
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
 
-    members: grp, size (classes of the group), cid, copies, tokens. pairs: (home, guest), the sets of the guest travel.
+    edges = []
+    for to in tos:
+        apart = to != cids
+        for a, b in zip(cids[apart].tolist(), to[apart].tolist(), strict=True):
+            x, y = root(a), root(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                edges.append((a, b))
+    first = dict(reversed(edges))
+    some = links > 0
+    rows = [(c, n, first.get(c, c)) for c, n in zip(cids[some].tolist(), links[some].tolist(), strict=True)]
+    rows += [(a, 0, b) for a, b in edges if first[a] != b]
+    return pa.table({name: pa.array([r[k] for r in rows], pa.int64()) for k, name in enumerate(("cid", "links", "to"))})
+
+
+def _parts(size: str, weight: str) -> Column:
+    """Blocks of a group of ``size`` classes with ``weight`` tokens together."""
+    return F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK), F.ceil(F.col(weight) / BLOCK_TOKENS)).cast("int")
+
+
+def _dealt(n: Column) -> Column:
+    return F.pmod(F.xxhash64("cid"), n)
+
+
+def _packed(rows: DataFrame, by: list[str], more: list[Column] = ()) -> DataFrame:
+    """One row per block: its classes in order, bounded by ``BLOCK`` and ``BLOCK_TOKENS``."""
+    member = F.struct("cid", "copies", "n", "gone", "kept", "tokens")
+    return rows.groupBy(*by).agg(F.array_sort(F.collect_list(member)).alias("members"), *more)
+
+
+def _sure(percent: int, l: str, r: str) -> tuple[Column, Column]:  # noqa: E741
+    """Whether all pairs of two blocks are linked, and whether none can be, by the ranges of their sizes and distances."""
+    c = lambda name: F.col(name).cast("long")
+    least = c("center") - c(f"{l}_gone_high") - c(f"{r}_gone_high")
+    most = c("center") - c(f"{l}_gone_low") - c(f"{r}_gone_low") + F.least(c(f"{l}_far_high"), c(f"{r}_far_high"))
+    most = F.least(most, c(f"{l}_n_high"), c(f"{r}_n_high"))
+    all_linked = (100 + percent) * least >= percent * (c(f"{l}_n_high") + c(f"{r}_n_high"))
+    return all_linked, (100 + percent) * most < percent * (c(f"{l}_n_low") + c(f"{r}_n_low"))
+
+
+def _large_links(large: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, units): links of groups cut into blocks that are sure by distances to a center, and the block pairs to compare.
+
+    Near copies of one text differ from the center by few tokens, so a class travels as its difference.
     """
-    result = "cid long, links long, to long"
-    some = ["grp", "x", "y", "kind", "side", "cid", "copies", "tokens"]
-    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
-    block = lambda n: F.pmod(F.xxhash64("cid"), blocks(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    zero = F.lit(0)
-
-    def unit(df: DataFrame, kind: int, side) -> DataFrame:
-        return df.withColumn("kind", F.lit(kind)).withColumn("side", side if not isinstance(side, int) else F.lit(side)).select(some)
-
-    small = members.filter((F.col("size") > 1) & (F.col("size") <= BLOCK))
-    parts = [unit(small.withColumn("x", zero).withColumn("y", zero), 0, 0)]
-
-    # large groups: the distance to a center first
-    large = members.filter(F.col("size") > BLOCK)
-    center = large.groupBy("grp").agg(F.min("cid").alias("cid"))
-    center = large.join(center, ["grp", "cid"]).select("grp", F.col("cid").alias("center"), F.col("tokens").alias("center_tokens"))
-    told = large.join(center, "grp").withColumn("inner", _distance(percent)("tokens", "center_tokens"))
-    told = materialize(told.select("grp", "cid", "copies", "tokens", "inner", "center"), "center-distances")
-    totals = told.groupBy("grp").agg(
-        F.sum(F.when(F.col("inner"), F.col("copies"))).alias("weight"), F.count(F.when(F.col("inner"), 1)).alias("near"), F.count(F.when(~F.col("inner"), 1)).alias("far")
-    )
-    told = told.join(totals, "grp")
-    near = told.filter("inner").select("cid", (F.col("weight") - F.col("copies")).alias("links"), F.col("center").alias("to"))
-    told = told.filter("far > 0").withColumn("block", F.when(F.col("inner"), block("near")).otherwise(block("far")))
-    far = told.filter("not inner")
-    parts += [
-        # far block x against near block y
-        unit(far.filter("near > 0").withColumn("x", F.col("block")).withColumn("y", every("near")), 1, 1),
-        unit(told.filter("inner").withColumn("y", F.col("block")).withColumn("x", every("far")), 1, 2),
-        # far with far: blocks x <= y; the diagonal is one block with itself
-        unit(
-            far.withColumn("o", every("far")).withColumn("x", F.least("block", "o")).withColumn("y", F.greatest("block", "o")),
-            2, F.when(F.col("o") == F.col("block"), 0).when(F.col("block") < F.col("o"), 1).otherwise(2),
-        ),
-    ]
-
-    # guests: chunk y of them against block x of the home
-    known = members.select("grp", "size").distinct()
-    visits = pairs.join(known.withColumnsRenamed({"grp": "home", "size": "home_size"}), "home")
-    guests = visits.join(members.select(F.col("grp").alias("guest"), "cid", "copies", "tokens"), "guest")
-    calls = visits.join(known.withColumnsRenamed({"grp": "guest", "size": "n"}), "guest").groupBy("home").agg(F.sum("n").alias("calls"))
-    calls = materialize(calls, "group-calls")
-    hosts = members.join(calls.withColumnRenamed("home", "grp"), "grp")
-    parts += [
-        unit(hosts.withColumn("x", block("size")).withColumn("y", every("calls")), 3, 1),
-        unit(guests.join(calls, "home").withColumn("grp", F.col("home")).withColumn("y", block("calls")).withColumn("x", every("home_size")), 3, 2),
-    ]
-    units = parts[0]
-    for p in parts[1:]:
-        units = units.unionByName(p)
-    return units.groupBy("grp", "x", "y", "kind").applyInArrow(_compare(percent), result).unionByName(near)
+    centers = materialize(large.groupBy("grp").agg(F.min_by("tokens", "cid").alias("center_tokens")), "group-centers")
+    told = lookup_join(large, centers, "grp", "inner", right_bytes=known_bytes(centers))
+    told = told.withColumn("d", _differences()("tokens", "center_tokens")).select("grp", "cid", "copies", F.floor(F.octet_length("center_tokens") / 8).alias("center"), "d.*")
+    told = told.withColumn("octave", F.floor(F.log2(F.col("far") + 1.0)).cast("long"))
+    told = materialize(told, "center-distances")
+    bins = told.groupBy("grp", "octave").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("tokens") / 8).alias("weight"))
+    bins = materialize(bins.select("grp", "octave", _parts("size", "weight").alias("parts")), "distance-bins")
+    dealt = lookup_join(told, bins, ["grp", "octave"], "inner", right_bytes=known_bytes(bins))
+    dealt = dealt.withColumn("block", F.col("octave") * (1 << 40) + _dealt(F.col("parts")))
+    ranges = [f(c).alias(f"{c}_{name}") for c in ("n", "gone", "far") for name, f in (("low", F.min), ("high", F.max))]
+    packs = _packed(dealt, ["grp", "block"], [F.first("center").alias("center"), F.count(F.lit(1)).alias("classes"), F.sum("copies").alias("total"), F.min("cid").alias("head"), *ranges])
+    packs = materialize(packs, "group-blocks")
+
+    # pairs of blocks, decided by their ranges alone where that is possible
+    thin = [c for c in packs.columns if c not in ("members", "center", "grp")]
+    side = lambda name: [F.col(c).alias(f"{name}_{c}") for c in thin]
+    pairs = packs.select("grp", "center", *side("l")).join(packs.select("grp", *side("r")), "grp").filter("l_block <= r_block")
+    all_linked, none = _sure(percent, "l", "r")
+    pairs = pairs.select("grp", "l_block", "r_block", "l_classes", "l_total", "l_head", "r_total", "r_head", all_linked.alias("sure"), none.alias("never"))
+    pairs = materialize(pairs.filter("sure or not never"), "block-pairs")
+    sure = pairs.filter("sure and (l_block <> r_block or l_classes > 1)")
+    gains = sure.select("grp", F.col("l_block").alias("block"), F.col("r_total").alias("gain"), F.col("r_head").alias("to"), (F.col("l_block") == F.col("r_block")).alias("own"))
+    back = sure.filter("l_block <> r_block").select("grp", F.col("r_block").alias("block"), F.col("l_total").alias("gain"), F.col("l_head").alias("to"), F.lit(False).alias("own"))
+    gains = gains.unionByName(back).groupBy("grp", "block").agg(F.sum("gain").alias("gain"), F.min("to").alias("to"), F.max("own").alias("own"))
+    gains = materialize(gains, "sure-links")
+    each = lookup_join(dealt.select("grp", "block", "cid", "copies"), gains, ["grp", "block"], "inner", right_bytes=known_bytes(gains))
+    links = each.select("cid", (F.col("gain") - F.when(F.col("own"), F.col("copies")).otherwise(0)).alias("links"), "to")
+    links = links.unionByName(sure.select(F.col("l_head").alias("cid"), F.lit(0).cast("long").alias("links"), F.col("r_head").alias("to")))
+
+    unsure = pairs.filter("not sure").select("grp", F.col("l_block").alias("x"), F.col("r_block").alias("y"))
+    body = packs.select("grp", "block", "center", "members")
+    same = F.col("x") == F.col("y")
+    ones = unsure.join(body.withColumnRenamed("block", "x"), ["grp", "x"]).select("grp", "x", "y", F.when(same, 0).otherwise(1).alias("side"), F.col("x").alias("block"), "center", "members")
+    twos = unsure.filter("x <> y").join(body.withColumnRenamed("block", "y"), ["grp", "y"]).select("grp", "x", "y", F.lit(2).alias("side"), F.col("y").alias("block"), "center", "members")
+    return links, ones.unionByName(twos).withColumn("kind", F.lit(0))
+
+
+def group_links(members: DataFrame, pairs: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(cid, links, to) with one or several rows per linked class: inside each group, and between the groups of each pair.
+
+    members: grp, size and weight (classes and tokens of the group), cid, copies, n, tokens. pairs: (home, guest), the sets
+    of the guest travel. sizes: (grp, size, weight) of all groups. Large groups meet block by block, a block travelling as one row.
+    """
+    zero, big = F.lit(0).cast("long"), F.col("parts") > 1
+    some = ["grp", "kind", "side", "cid", "copies", "tokens"]
+    members = members.withColumn("parts", _parts("size", "weight"))
+    small = members.filter((F.col("size") > 1) & ~big).select("grp", F.lit(0).alias("kind"), F.lit(0).alias("side"), "cid", "copies", "tokens")
+    links, units = _large_links(members.filter(big), percent)
+
+    # guests: chunks of them against blocks of the home
+    known = lambda name: sizes.withColumnsRenamed({"grp": name, "size": f"{name}_size", "weight": f"{name}_weight"})
+    visits = materialize(pairs.join(known("home"), "home").join(known("guest"), "guest"), "group-visits")
+    calls = visits.groupBy("home").agg(F.first("home_size").alias("hs"), F.first("home_weight").alias("hw"), F.sum("guest_size").alias("gs"), F.sum("guest_weight").alias("gw"))
+    calls = materialize(calls.select("home", _parts("hs", "hw").alias("rooms"), _parts("gs", "gw").alias("chunks")), "group-calls")
+    light = (F.col("rooms") == 1) & (F.col("chunks") == 1)
+    hosts = lookup_join(members, calls.withColumnRenamed("home", "grp"), "grp", "inner", right_bytes=known_bytes(calls))
+    visits = lookup_join(visits.select("home", F.col("guest").alias("grp")), calls, "home", "inner", right_bytes=known_bytes(calls))
+    visits = materialize(visits, "visits")
+    guests = lookup_join(members, visits, "grp", "inner", right_bytes=known_bytes(visits))
+    three = F.lit(1).alias("kind")
+    meets = small.unionByName(hosts.filter(light).select("grp", three, F.lit(1).alias("side"), "cid", "copies", "tokens"))
+    meets = meets.unionByName(guests.filter(light).select(F.col("home").alias("grp"), three, F.lit(2).alias("side"), "cid", "copies", "tokens"))
+    found = meets.select(some).groupBy("grp", "kind").applyInArrow(_compare(percent), "cid long, links long, to long")
+
+    whole = lambda df: df.withColumn("gone", F.lit(0)).withColumn("kept", F.lit(-1))
+    rooms = _packed(whole(hosts.filter(~light)).withColumn("x", _dealt(F.col("rooms"))), ["grp", "x"], [F.first("chunks").alias("others")])
+    chunks = _packed(whole(guests.filter(~light)).drop("grp").withColumnRenamed("home", "grp").withColumn("y", _dealt(F.col("chunks"))), ["grp", "y"], [F.first("rooms").alias("others")])
+    every = F.explode(F.sequence(zero, F.col("others").cast("long") - 1))
+    rooms = rooms.select("grp", "x", every.alias("y"), F.lit(1).alias("side"), F.col("x").alias("block"), zero.cast("int").alias("center"), "members")
+    chunks = chunks.select("grp", every.alias("x"), "y", F.lit(2).alias("side"), F.col("y").alias("block"), zero.cast("int").alias("center"), "members")
+    units = units.withColumn("center", F.col("center").cast("int")).unionByName(rooms.unionByName(chunks).withColumn("kind", F.lit(1)))
+    told = units.groupBy("grp", "kind", "x", "y").applyInArrow(_block_links(percent), _BLOCK_RESULT)
+    # the side of a block is part of its name for guests only: a block of a group is left in some pairs and right in others
+    summed = told.withColumn("side", F.when(F.col("kind") == 0, 0).otherwise(F.col("side"))).groupBy("grp", "kind", "side", "block").applyInArrow(_sum_blocks, "cid long, links long, to long")
+    return found.unionByName(links).unionByName(summed)
+
+
+def _members(docs: DataFrame, sets: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """The whole sets of the wanted classes, each read from one document.
+
+    A class whose least id belongs to one row only is looked up by that id, so its text alone is read again and nothing is
+    shuffled but ids; only classes without such an id are found by their fingerprints, among the rows of repeated and null ids.
+    """
+    body = F.coalesce(q(text), F.lit("")).alias("body")
+    columns = ["grp", "size", "weight", "cid", "copies", "n"]
+    repeated = materialize(sets.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or key is null").select("key"), "repeated-ids")
+    if row_count(repeated):
+        safe = wanted.filter("rep is not null").join(repeated.withColumnRenamed("key", "rep"), "rep", "left_anti")
+        direct = materialize(safe, "jaccard-direct")
+        other = wanted.join(direct.select("cid"), "cid", "left_anti")
+    else:
+        direct, other = wanted, None
+    by_key = direct.select(F.col("rep").alias("key"), *columns)
+    texts = lookup_join(docs.select(q(key).alias("key"), body), by_key, "key", "inner", right_bytes=known_bytes(direct)).select(*columns, "body")
+    if other is not None:
+        rows = docs.select(q(key).alias("key"), body)
+        rows = rows.join(repeated.withColumnRenamed("key", "again"), F.col("key").eqNullSafe(F.col("again")), "left_semi").select("body")
+        rows = rows.withColumn("s", _signs(0, False)("body")).select(F.col("s.s1").alias("s1"), F.col("s.s2").alias("s2"), "body")
+        texts = texts.unionByName(rows.join(other, ["s1", "s2"]).groupBy(*columns).agg(F.first("body").alias("body")))
+    sets = texts.mapInArrow(_whole_sets, "grp long, size long, weight long, cid long, copies long, n int, tokens binary")
+    return materialize(sets, "jaccard-members")
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -380,7 +551,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     banded = classes.select("cid", F.posexplode("bands").alias("band", "value"))
     heads = materialize(banded.groupBy("band", "value").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "bands")
     group_of = components(banded.join(heads, ["band", "value"]).select(F.col("cid").alias("a"), F.col("head").alias("b")))
-    grouped = classes.join(group_of.withColumnRenamed("v", "cid"), "cid", "left").select("s1", "s2", "cid", "n", "copies", F.coalesce("label", "cid").alias("grp"))
+    grouped = classes.join(group_of.withColumnRenamed("v", "cid"), "cid", "left").select("s1", "s2", "cid", "n", "copies", "rep", F.coalesce("label", "cid").alias("grp"))
     grouped = materialize(grouped, "jaccard-groups")
 
     # the token-group matrix and the pairs it opens
@@ -392,30 +563,28 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     base = 100 / percent  # as size_class: sets that can be similar are in the same or in neighbouring classes
     ranges = grouped.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(base)) + 1e-9))
     ranges = ranges.groupBy("grp").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    tagged = grouped.join(ranges, "grp").select("s1", "s2", "grp", "low", "high")
+    ranges = materialize(ranges, "group-ranges")
+    tagged = lookup_join(grouped, ranges, "grp", "inner", right_bytes=known_bytes(ranges)).select("s1", "s2", "grp", "low", "high")
     entries = once.join(tagged, ["s1", "s2"]).select("lead", "grp", "low", "high").mapInArrow(_deal(48 - buckets.bit_length() + 1), "bucket int, tokens binary, groups binary, sizes binary")
     groups = grouped.groupBy("grp").agg(F.min(F.floor(F.col("n") / 10)).alias("k"))
     pairs, chain = opened(entries, groups, percent)
-    one = components(chain).withColumnsRenamed({"v": "grp", "label": "whole"})
-    grouped = grouped.join(one, "grp", "left").withColumn("grp", F.coalesce("whole", "grp")).drop("whole")
-    sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    one = stored(components(chain).withColumnsRenamed({"v": "grp", "label": "whole"}), "chained-groups")
+    grouped = lookup_join(grouped, one, "grp", "left", right_bytes=known_bytes(one)).withColumn("grp", F.coalesce("whole", "grp")).drop("whole")
     pairs = pairs.join(one.select(F.col("grp").alias("a"), F.col("whole").alias("wa")), "a", "left").join(one.select(F.col("grp").alias("b"), F.col("whole").alias("wb")), "b", "left")
     pairs = pairs.select(F.coalesce("wa", "a").alias("a"), F.coalesce("wb", "b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
     # the smaller group of a pair is the guest
-    a_size, b_size = (sizes.withColumnsRenamed({"grp": c, "size": f"n_{c}"}) for c in "ab")
+    sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
+    sizes = materialize(sizes, "group-sizes")
+    a_size, b_size = (sizes.select(F.col("grp").alias(c), F.col("size").alias(f"n_{c}")) for c in "ab")
     a_home = F.col("n_a") >= F.col("n_b")
     pairs = pairs.join(a_size, "a").join(b_size, "b").select(F.when(a_home, F.col("a")).otherwise(F.col("b")).alias("home"), F.when(a_home, F.col("b")).otherwise(F.col("a")).alias("guest"))
     pairs = materialize(pairs, "opened-groups")
-    met = pairs.select(F.col("home").alias("grp")).unionByName(pairs.select(F.col("guest").alias("grp"))).distinct().withColumn("met", F.lit(True))
-    wanted = grouped.join(sizes, "grp").join(met, "grp", "left").filter("size > 1 or met").select("s1", "s2", "grp", "size", "cid", "copies")
-    wanted = materialize(wanted, "jaccard-wanted")
-
-    # the whole sets of these classes only
-    texts = docs.select(body.alias("body")).withColumn("s", _signs(percent, False)("body")).select(F.col("s.s1").alias("s1"), F.col("s.s2").alias("s2"), "body")
-    texts = texts.groupBy("s1", "s2").agg(F.first("body").alias("body")).join(wanted, ["s1", "s2"])
-    members = texts.select("grp", "size", "cid", "copies", "body").mapInArrow(_whole_sets, "grp long, size long, cid long, copies long, tokens binary")
-    members = materialize(members, "jaccard-members")
-    links = materialize(group_links(members, pairs, percent), "jaccard-links")
+    met = pairs.select(F.col("home").alias("grp")).unionByName(pairs.select(F.col("guest").alias("grp"))).distinct()
+    open_groups = materialize(sizes.filter("size > 1").select("grp").unionByName(met).distinct().join(sizes, "grp"), "open-groups")
+    wanted = lookup_join(grouped, open_groups, "grp", "inner", right_bytes=known_bytes(open_groups))
+    wanted = materialize(wanted.select("s1", "s2", "grp", "size", "weight", "cid", "copies", "n", "rep"), "jaccard-wanted")
+    members = _members(docs, sets, wanted, key, text)
+    links = materialize(group_links(members, pairs, sizes, percent), "jaccard-links")
 
     label = components(links.select(F.col("cid").alias("a"), F.col("to").alias("b")))
     summed = links.groupBy("cid").agg(F.sum("links").alias("links"))
@@ -436,12 +605,24 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
 
     If several rows have that id, or all ids are null, the set with the smallest fingerprint stays, and one row of it.
     """
-    found = similar_documents(docs, key, text, percent)
+    found = materialize(similar_documents(docs, key, text, percent), "jaccard-found")
     k, a, b, sign = free_names(docs, "k", "s1", "s2", "sign")
-    kept = found.filter("leads and key <=> component_id").select(F.col("key").alias(k), F.col("s1").alias(a), F.col("s2").alias(b)).distinct()
-    rows = docs.withColumn(sign, _signs(percent, False)(F.coalesce(q(text), F.lit(""))))
+    names = [q(c) for c in docs.columns]
+    again = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or key is null").select("key")
+    again = materialize(again, "repeated-ids")
+    kept = found.filter("n_shingles = 0 or leads and key <=> component_id").select(F.col("key").alias(k), F.col("s1").alias(a), F.col("s2").alias(b), F.col("n_shingles").alias(sign))
+    if row_count(again):
+        single = kept.join(again, q(k) == F.col("key"), "left_anti").filter(q(k).isNotNull())
+    else:
+        single = kept
+    single = materialize(single.select(F.col(k)), "jaccard-kept")
+    # ids of one row each decide by themselves
+    out = lookup_join(docs.withColumn(k, q(key)), single, k, "inner", right_bytes=known_bytes(single)).select(*names)
+    if not row_count(again):
+        return out
+    rows = docs.join(again.withColumnRenamed("key", k), q(key).eqNullSafe(q(k)), "left_semi").withColumn(sign, _signs(percent, False)(F.coalesce(q(text), F.lit(""))))
     rows = rows.withColumn(a, q(sign)["s1"]).withColumn(b, q(sign)["s2"])
     full = rows.filter(q(sign)["n"] > 0).drop(sign)
-    kept = kept.withColumnsRenamed({a: a + "_", b: b + "_"})
-    full = full.join(kept, q(key).eqNullSafe(q(k)) & (q(a) == q(a + "_")) & (q(b) == q(b + "_"))).dropDuplicates([key, a, b])
-    return full.select(*[q(c) for c in docs.columns]).unionByName(rows.filter(q(sign)["n"] == 0).select(*[q(c) for c in docs.columns]))
+    leads = kept.filter(q(sign) > 0).drop(sign).distinct().withColumnsRenamed({a: a + "_", b: b + "_"})
+    full = full.join(leads, q(key).eqNullSafe(q(k)) & (q(a) == q(a + "_")) & (q(b) == q(b + "_"))).dropDuplicates([key, a, b])
+    return out.unionByName(full.select(*names)).unionByName(rows.filter(q(sign)["n"] == 0).select(*names))
