@@ -150,6 +150,19 @@ SELECT concat('https://docs.example.com/', s.doc_set, CASE WHEN s.page_id < 3 TH
 FROM (SELECT page_id, html, CASE page_id % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'alpha-one' ELSE 'beta' END AS doc_set,
              page_id * 2 - page_id % 3 + 3 AS child
       FROM pages) s"""),
+    # stored pages followed by markup that patterns misread
+    "v_odd_page": ([], """
+SELECT page_id, concat(html, CASE page_id % 9
+    WHEN 0 THEN concat('<a title="a > b" href="/gt', CAST(page_id AS STRING), '">x</a><p title=''<a href="/no">''><a alt=''"'' href="/next">')
+    WHEN 1 THEN concat('<a class=k href=/bare', CAST(page_id AS STRING), '>b</a><abbr href="/no">')
+    WHEN 2 THEN concat('<!-- > <a href="/no"> -- > --><a href=''/shown', CAST(page_id AS STRING), '''><!-- <a href="/no">')
+    WHEN 3 THEN concat('<script>if (a<b) w("<a href=''/no''></scripty>")</script ><a href="/after', CAST(page_id AS STRING), '"><style>a > b {}<a href="/no">')
+    WHEN 4 THEN concat('<a href="/first', CAST(page_id AS STRING), '" href="/no"><a data-href="/no" =href="/no">')
+    WHEN 5 THEN concat('<title><a href="/no"></title><textarea></p><a href=/no></textarea><A HREF = "/upper', CAST(page_id AS STRING), '">')
+    WHEN 6 THEN '</a href="/no"></><?php <a href="/no"?><a href>'
+    WHEN 7 THEN '<a title="x" href="/cut'
+    ELSE concat('<a href="it''s"><a/href=/&amp;', CAST(page_id AS STRING), '>< a href="/no">') END) AS html
+FROM pages"""),
     "v_base": ([], """
 SELECT * FROM (VALUES ('Alpha', 'https://docs.example.com/alpha'), ('Alpha One', 'https://docs.example.com/alpha-one'),
                       ('Beta', 'https://docs.example.com/beta')) AS t(doc_set, base)"""),

@@ -6,15 +6,15 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from .common import col, replace_matches
+from .html import anchor_hrefs
 from .text import clean_text
 
 # Shortcode and element patterns.
 INCLUDE = r"""(?U)\{\{<[\s&&[^\n]]*include[\s&&[^\n]]*["']([^"'\n]+)["'][\s&&[^\n]]*>\}\}"""
 INCLUDE_QUOTED = r'(?U)\{\{<[\s&&[^\n]]*include[\s&&[^\n]]*"([^"\n]+)"[\s&&[^\n]]*>\}\}'
 RELREF = r"""(?U)\{\{<\s*relref\s*["']([^"']+)["']\s*>\}\}"""
-XML_TITLE = r"""(?U)<(?:article|module)[^>]*\sname=["']([^"']+)["']"""
-HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-HIDDEN_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# A quoted value may hold ``>``; the bound on the pieces of a tag keeps the matcher's stack small.
+XML_TITLE = r"""(?U)<(?:article|module)(?:[^>"'\s]++|\s(?!name=)|"[^"]*+"|'[^']*+'){0,500}+\sname=["']([^"']+)["']"""
 
 
 def include_refs(text: Column | str, double_quotes_only: bool = False) -> Column:
@@ -32,10 +32,8 @@ def include_key(ref: Column) -> Column:
 
 
 def extract_hrefs(html: Column | str) -> Column:
-    """Raw ``href`` values of anchors in order; comments, scripts and styles are not searched."""
-    visible = F.regexp_replace(col(html), HIDDEN_MARKUP, "")
-    values = F.regexp_extract_all(visible, F.lit(HREF), F.lit(1))
-    return F.transform(values, lambda v: F.regexp_replace(v, r"""(?s)\A(["'])(.*)\1\z""", "$2"))
+    """Raw ``href`` values of anchors in order, found by the tokenizer of :mod:`.html`."""
+    return anchor_hrefs(html)
 
 
 def _element_name_udf():

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.common import strip_ws
+from ..session import materialize
 from .filters import keep_rated, require_columns
-from .skew import running_sum
+from .skew import running_sums
 
 # Separator of joined comments and the text of an unmapped product.
 COMMENT_SEPARATOR = "|||"
@@ -33,20 +34,21 @@ def join_comments(
 
     The comments of a page are numbered along ``order``, and a part ends after ``max_comments``
     comments or about ``max_bytes`` of text. Numbers and bytes are running sums over blocks, so
-    a hot page is spread over many tasks and no task assembles an unbounded text.
+    a hot page is spread over many tasks and no task assembles an unbounded text. ``rated`` is read twice; the
+    numbered comments are stored, as the texts and the list of cuts both need them.
     """
     said = rated.filter(F.col(comment).isNotNull()).select(*keys, *order, F.col(comment).alias("_comment"))
-    numbered = running_sum(said, keys, order, F.lit(1), "_no")
-    numbered = running_sum(numbered, keys, order, F.octet_length("_comment"), "_bytes")
+    numbered = running_sums(said, keys, order, {"_no": F.lit(1), "_bytes": F.octet_length("_comment")})
     before = F.col("_bytes") - F.octet_length("_comment")
     cut = F.expr(f"(_no - 1) div {max_comments}") + F.floor(before / max_bytes)
+    numbered = materialize(numbered.select(*keys, *order, "_comment", cut.alias("_cut")), "numbered-comments")
     joined = (
-        numbered.groupBy(*keys, cut.alias("_cut"))
+        numbered.groupBy(*keys, "_cut")
         .agg(F.sort_array(F.collect_list(F.struct(*order, F.col("_comment").alias("c")))).alias("_list"))
         .select(*keys, "_cut", F.array_join(F.col("_list.c"), COMMENT_SEPARATOR).alias("q2_comments"))
     )
     # cuts may skip a number; the list of cuts is small, the texts stay where they are
-    cuts = numbered.select(*keys, cut.alias("_cut")).distinct()
+    cuts = numbered.select(*keys, "_cut").distinct()
     dense = cuts.withColumn("part", F.row_number().over(Window.partitionBy(*keys).orderBy("_cut")).cast("bigint"))
     dense = dense.select(*[F.col(k).alias(f"_d_{k}") for k in keys], F.col("_cut").alias("_d_cut"), "part")
     same = F.col("_cut") == F.col("_d_cut")
@@ -86,6 +88,7 @@ def feedback_by_page(
     part 1 only, so sums over rows count once. Pages without a URL form a group of their own.
     """
     rated = rated_pages(df, url=url, rating=rating, comment=comment, date=date, order=order, product=product)
+    rated = materialize(rated, "rated-answers")  # statistics, block totals and comments read it
     keys = ["canonical_url", "product"]
     order = [order] if isinstance(order, str) else order
     comments = join_comments(rated, keys, "q2", order, max_comments, max_bytes)
@@ -233,5 +236,3 @@ def audit_removals(df: DataFrame, key: str, stage: str, rules: list[tuple[str, C
 
 def latest_per_key(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(ts).alias(out))
-
-

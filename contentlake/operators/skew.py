@@ -80,29 +80,36 @@ def _is_map(df: DataFrame, name: str) -> bool:
 def running_sum(
     df: DataFrame, group: list[str], order: str | list[str], value: Column, name: str, block_rows: int = 1_000_000
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` per group along an integer ordinal, the last of ``order``.
+    """Inclusive running sum of ``value`` per group, see :func:`running_sums`."""
+    return running_sums(df, group, order, {name: value}, block_rows)
+
+
+def running_sums(
+    df: DataFrame, group: list[str], order: str | list[str], values: dict[str, Column], block_rows: int = 1_000_000
+) -> DataFrame:
+    """Inclusive running sums of several values per group along an integer ordinal, the last of ``order``.
 
     Each group is cut into blocks of ordinals (and of the order columns before it, such as the file): blocks are summed
     first, the block totals are accumulated, and rows are only ever sorted inside one block. A
-    group of any size is therefore spread over many tasks. NULL groups are groups too.
+    group of any size is therefore spread over many tasks. NULL groups are groups too. ``df`` is read twice, once
+    for the totals: pass a stored table.
     """
     outer, ordinal = ([], order) if isinstance(order, str) else (list(order[:-1]), order[-1])
-    rows = df.withColumn("_value", value.cast("bigint")).withColumn("_block", F.expr(f"`{ordinal}` div {block_rows}"))
+    names = list(values)
+    rows = df.withColumns({f"_value_{i}": values[n].cast("bigint") for i, n in enumerate(names)})
+    rows = rows.withColumn("_block", F.expr(f"`{ordinal}` div {block_rows}"))
     at = [*outer, "_block"]
     before = Window.partitionBy(*group).orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*group, *at]
-    offsets = (
-        rows.groupBy(*keys)
-        .agg(F.sum("_value").alias("_total"))
-        .withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], "_offset")
+    totals = rows.groupBy(*keys).agg(*[F.sum(f"_value_{i}").alias(f"_total_{i}") for i in range(len(names))])
+    offsets = totals.select(
+        *[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)],
+        *[F.coalesce(F.sum(f"_total_{i}").over(before), F.lit(0)).alias(f"_offset_{i}") for i in range(len(names))],
     )
     inside = Window.partitionBy(*keys).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, 0)
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & rows[k].eqNullSafe(offsets[f"_of_{i}"])
-    return (
-        rows.join(offsets, same)
-        .withColumn(name, F.col("_offset") + F.sum("_value").over(inside))
-        .drop("_value", "_block", "_offset", *[f"_of_{i}" for i in range(len(keys))])
-    )
+    summed = {n: F.col(f"_offset_{i}") + F.sum(f"_value_{i}").over(inside) for i, n in enumerate(names)}
+    helpers = [f"_{kind}_{i}" for kind in ("value", "offset") for i in range(len(names))]
+    return rows.join(offsets, same).withColumns(summed).drop("_block", *helpers, *[f"_of_{i}" for i in range(len(keys))])

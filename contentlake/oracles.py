@@ -492,7 +492,13 @@ UNION ALL SELECT src, s, concat('{ORIGIN}/', s, '/p', child) FROM q UNION ALL SE
 UNION ALL SELECT src, s, concat('{ORIGIN}/', s) FROM q UNION ALL SELECT src, s, concat(src, '#top') FROM q
 UNION ALL SELECT src, s, concat('{ORIGIN}/', s, '/i.png') FROM q UNION ALL SELECT src, s, concat('{ORIGIN}/', s, '-x/p1') FROM q)"""
 oracle("webpage_filter", SITE_LINKS + " SELECT NOT ends_with(dst, '.png') AS is_page, count(*) AS n_links FROM links GROUP BY 1", "v_base")
-oracle("strict_subpath", SITE_LINKS + f" SELECT src, dst FROM links WHERE starts_with(dst, '{ORIGIN}/alpha/')", "v_base")
+oracle("strict_subpath", SITE_LINKS + " SELECT b.doc_set, src, dst FROM links JOIN v_base b ON starts_with(dst, concat(b.base, '/'))", "v_base")
+oracle("odd_links", r"""
+SELECT page_id, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos
+FROM (SELECT page_id, list_concat(regexp_extract_all(html, '<a href="([^"]*)"', 1), CASE page_id % 9
+    WHEN 0 THEN [concat('/gt', page_id), '/next'] WHEN 1 THEN [concat('/bare', page_id)] WHEN 2 THEN [concat('/shown', page_id)]
+    WHEN 3 THEN [concat('/after', page_id)] WHEN 4 THEN [concat('/first', page_id)] WHEN 5 THEN [concat('/upper', page_id)]
+    WHEN 6 THEN [''] WHEN 7 THEN [] ELSE ['it''s', concat('/&amp;', page_id)] END) AS hrefs FROM pages)""")
 CANDIDATES = SITE_LINKS + r""", cand AS (
 SELECT DISTINCT b.doc_set, b.base, l.src, l.dst FROM links l JOIN v_base b ON starts_with(l.dst, concat(b.base, '/'))
 WHERE l.dst NOT LIKE '%.png' AND l.dst NOT LIKE '%#%')"""

@@ -578,9 +578,14 @@ def webpage_filter(spark, sf_dir):
 
 @query
 def strict_subpath(spark, sf_dir):
-    links = graph.page_links(view(spark, sf_dir, "v_site"))
-    below = U.is_strict_subpath(F.lit(ORIGIN + "/alpha"), "dst")
-    return links.filter(below).select("src", "dst")
+    below = graph.links_below(graph.page_links(view(spark, sf_dir, "v_site")), view(spark, sf_dir, "v_base"))
+    return below.filter(U.is_strict_subpath("base", "dst")).select("doc_set", "src", "dst")
+
+
+@query
+def odd_links(spark, sf_dir):
+    """Links of pages with quoted brackets, bare values, comments, scripts and broken tags; answers by construction."""
+    return view(spark, sf_dir, "v_odd_page").select("page_id", F.posexplode(markup.extract_hrefs("html")).alias("pos", "href"))
 
 
 @query

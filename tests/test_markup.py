@@ -11,6 +11,39 @@ def test_hrefs(apply):
     assert apply(html, K.extract_hrefs) == [["x"], ["y&amp;z"], ["foo"], ["two\nlines"], [], None]
 
 
+# pages and what a browser takes as their links, made by hand from the states of the HTML standard
+ODD_PAGES = {
+    "<a title='a > b' href='/gt'>x</a>": ["/gt"],
+    '<a href="1" href="2"><a HREF=3 ><a href = 4>': ["1", "3", "4"],
+    "<a href=/x/y/><a/href=5><a href='6'class=k>": ["/x/y/", "5", "6"],
+    "<!-- <a href=no> --><a href=7><!--> <a href=8> --><!-- x --!><a href=9>": ["7", "8", "9"],
+    "<!-- never closed <a href=no>": [],
+    "<script>if (a<b) document.write('<a href=no>')</script ><a href=10>": ["10"],
+    "<SCRIPT></scripty><a href=no></SCRIPT><a href=11>": ["11"],
+    "<title><a href=no></title><textarea><a href=no></textarea><a href=12>": ["12"],
+    "<style>a > b { }</style><a href=13><style><a href=no>": ["13"],
+    "<a href=no": [], "<a href='no>": [], '<a href="no': [], "<a ": [], "<a": [], "<": [], "a < b <a href=14>": ["14"],
+    "</a href=no><a href=15></><a href=16>": ["15", "16"],
+    "<a href><a href=><a href=''>": ["", "", ""],
+    "<a =href=no><a data-href=no><a xhref=no><abbr href=no><area href=no>": [],
+    "<!DOCTYPE html><?php <a href=17> ?><a href=18>": ["18"],
+    "<a\nhref\t=\n'two\nlines'\n>": ["two\nlines"],
+    "<p title=\"<a href=no>\"><a alt='\"' href=\"it's\">": ["it's"],
+    "<a href=a=b&amp;c=d>é</a><A hReF='ü'>": ["a=b&amp;c=d", "ü"],
+    "<plaintext><a href=no>": [],
+    "x" * 300_000 + "<a " + "k=v " * 20_000 + "href=long>": ["long"],
+}
+
+
+def test_hrefs_of_odd_pages(apply):
+    assert dict(zip(ODD_PAGES, apply(list(ODD_PAGES), K.extract_hrefs))) == ODD_PAGES
+
+
+def test_long_broken_xml_is_searched_without_deep_recursion(apply):
+    broken = ["<module " + "word " * 200_000, "<article title='a > b' name=\"kept\"", "<module '" + "x " * 200_000 + "<article name='late'"]
+    assert apply(broken, K.xml_title) == ["", "kept", "late"]
+
+
 def test_xml_title(apply):
     docs = {
         '<article name=" "><module name="m  &amp;  n"/></article>': "m & n",

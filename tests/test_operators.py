@@ -320,6 +320,18 @@ def test_reachable(spark):
     assert rows(graph.pages_per_set(found)) == [("D", 3)]
 
 
+@pytest.mark.parametrize("bucket_bytes,merge", [(1, 4), (1 << 28, 3)])
+def test_reachable_through_many_rounds(spark, monkeypatch, bucket_bytes, merge):
+    """A chain, a hub and loops, over one folder and many, with merged rounds."""
+    monkeypatch.setattr(graph, "MERGE_TURNS", merge)
+    links = [("A", f"c{i}", f"c{i + 1}") for i in range(9)] + [("A", "c2", f"h{i}") for i in range(80)] + [("A", f"h{i}", "c1") for i in range(80)]
+    links += [("B", "c0", "c1"), ("B", "c5", "c6"), ("B", "b", "b")]
+    bases = spark.createDataFrame([("A", "c0"), ("B", "c0"), ("C", "c0")], "doc_set string, base string")
+    found = graph.reachable(spark.createDataFrame(links, "doc_set string, src string, dst string"), bases, bucket_bytes)
+    want = [("A", f"c{i}") for i in range(1, 10)] + [("A", f"h{i}") for i in range(80)] + [("B", "c1")]
+    assert sorted(rows(found)) == sorted(want)
+
+
 def test_reachable_from_nothing(spark):
     pages = spark.createDataFrame([("https://h/d", "<p>")], "url string, html string")
     bases = spark.createDataFrame([("D", "https://h/d")], "doc_set string, base string")
