@@ -56,9 +56,8 @@ def _observed_write(df: DataFrame, path: str, buckets: int) -> int:
     """Write rows in folders ``at``; the bits of the folders that got rows."""
     seen = Observation()
     bits = F.bit_or(F.expr("shiftleft(1L, at)"))
-    rows = df.observe(seen, F.coalesce(bits, F.lit(0).cast("bigint")).alias("bits"))
-    # one task per folder, so that a folder gets one file
-    (rows.repartition(buckets, "at") if buckets > 1 else rows).write.partitionBy("at").parquet(path)
+    rows = df.repartition(buckets, "at") if buckets > 1 else df  # one task per folder, so that a folder gets one file
+    rows.observe(seen, F.coalesce(bits, F.lit(0).cast("bigint")).alias("bits")).write.partitionBy("at").parquet(path)
     return seen.get["bits"]
 
 
