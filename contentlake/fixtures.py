@@ -150,6 +150,18 @@ SELECT concat('https://docs.example.com/', s.doc_set, CASE WHEN s.page_id < 3 TH
 FROM (SELECT page_id, html, CASE page_id % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'alpha-one' ELSE 'beta' END AS doc_set,
              page_id * 2 - page_id % 3 + 3 AS child
       FROM pages) s"""),
+    # Markdown whose text is known by construction: titles, lists, references, escapes, code, tables, tags
+    "v_marked": ([], """
+SELECT doc_id, coalesce(source, 'none') AS source, CASE doc_id % 8
+    WHEN 0 THEN concat('Title ', coalesce(source, 'none'), chr(10), '=====', chr(10), 'Some *soft* and **loud** text', chr(10), 'Sub', chr(10), '---', chr(10), 'End ', CAST(doc_id AS STRING), chr(10))
+    WHEN 1 THEN concat('- one', chr(10), '  - two ', coalesce(source, 'none'), chr(10), '    goes on', chr(10), chr(10), '        code ', CAST(doc_id AS STRING), chr(10), '- three', chr(10), chr(10), '7) x', chr(10))
+    WHEN 2 THEN concat('See [the ', coalesce(source, 'none'), '][1], [two] and [none].', chr(10), chr(10), '[1]: https://example.org/', CAST(doc_id AS STRING), ' "t"', chr(10), '[TWO]: <x y>', chr(10))
+    WHEN 3 THEN concat(chr(92), '*not soft', chr(92), '* ', chr(92), '# ', coalesce(source, 'none'), ' snake_case_', CAST(doc_id AS STRING), ' and 2 * 3 * 4', chr(10))
+    WHEN 4 THEN concat('Run `a *b* <i>` or ``x ` y`` ', coalesce(source, 'none'), chr(10), chr(10), '```sh', chr(10), 'rm ', CAST(doc_id AS STRING), chr(10), chr(10), '```', chr(10), 'Done.', chr(10))
+    WHEN 5 THEN concat('| Name | Value |', chr(10), '|:-----|------:|', chr(10), '| ', coalesce(source, 'none'), ' | *', CAST(doc_id AS STRING), '* ', chr(92), '| more |', chr(10), chr(10), 'After', chr(10))
+    WHEN 6 THEN concat('> Quote **', coalesce(source, 'none'), '**', chr(10), 'lazy &amp; <b class="x > y">bold</b><!-- *no* -->', chr(10), chr(10), '<div>', chr(10), '*', CAST(doc_id AS STRING), '*', chr(10), '</div>', chr(10))
+    ELSE concat('![no](i.png)[a *', coalesce(source, 'none'), '*](/u_', CAST(doc_id AS STRING), '_ "t") <https://e.org/', CAST(doc_id AS STRING), '>', chr(10), '***', chr(10), '## Last ##', chr(10)) END AS content
+FROM documents"""),
     # stored pages followed by markup that patterns misread
     "v_odd_page": ([], """
 SELECT page_id, concat(html, CASE page_id % 9

@@ -321,6 +321,20 @@ SELECT doc_id,
        concat('Title ', source, chr(10), chr(10), 'Quote ', lang, chr(10), 'item ', doc_id, chr(10), 'See the link and code gone.', chr(10), chr(10), 'End') AS plain,
        concat('**a ', source, '** <span style="color:red">c-d</span> **e&#8209;f&nbsp;', lang, '**') AS bold,
        doc_id % 5 > 1 AS is_page, doc_id % 8 IN (1, 5, 6, 7) AS is_web FROM v_known""", "v_known")
+SHOWN = r"""SELECT doc_id, CASE doc_id % 8
+    WHEN 0 THEN concat('Title ', source, chr(10), 'Some soft and loud text', chr(10), 'Sub', chr(10), 'End ', doc_id)
+    WHEN 1 THEN concat('one', chr(10), 'two ', source, chr(10), 'goes on', chr(10), 'three', chr(10), 'x')
+    WHEN 2 THEN concat('See the ', source, ', two and [none].')
+    WHEN 3 THEN concat('*not soft* # ', source, ' snake_case_', doc_id, ' and 2 * 3 * 4')
+    WHEN 4 THEN concat('Run a *b* <i> or x ` y ', source, chr(10), 'Done.')
+    WHEN 5 THEN concat('Name Value', chr(10), source, ' ', doc_id, ' | more', chr(10), 'After')
+    WHEN 6 THEN concat('Quote ', source, chr(10), 'lazy & bold', chr(10), '*', doc_id, '*')
+    ELSE concat('a ', source, ' https://e.org/', doc_id, chr(10), 'Last') END AS shown FROM v_marked"""
+oracle("rendered_markdown", SHOWN, "v_marked")
+oracle("rendered_reading_levels", f""", s AS ({SHOWN}) SELECT doc_id, CASE doc_id % 8
+    WHEN 0 THEN 10 WHEN 1 THEN 7 WHEN 2 THEN 6 WHEN 3 THEN 8 WHEN 4 THEN 9 WHEN 5 THEN 6 WHEN 6 THEN 5 ELSE 7 END
+    + len(string_split(replace(source, '-', ' '), ' ')) - 1 AS words,
+    CAST(CASE doc_id % 8 WHEN 2 THEN 1 WHEN 4 THEN 1 WHEN 7 THEN 1 ELSE 0 END AS BIGINT) AS sentences FROM v_marked""", "v_marked")
 oracle("known_reading_levels", r"""
 SELECT doc_id, n + 1 AS words, CAST(1 AS BIGINT) AS sentences, n + 1 AS syllables,
        round(10 * (0.39::DOUBLE * (n + 1)::DOUBLE / 1::DOUBLE + 11.8::DOUBLE * (n + 1)::DOUBLE / (n + 1)::DOUBLE - 15.59::DOUBLE)) / 10 AS reading_level FROM v_known""", "v_known")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import metadata as M
 from ..functions.common import computed
+from ..functions.markdown import markdown_rendered
 from ..functions.markup import relref_to_relative
 from ..functions.text import (
     drop_version_lines,
-    markdown_to_text,
     reading_counts,
     reading_grade,
     remove_html_comments,
@@ -152,12 +154,13 @@ def archive(docs: DataFrame, fragments: DataFrame, root: str, compat: bool = Fal
     )
 
 
-def reading_levels(docs: DataFrame, key: str = "path", text: str = "content") -> DataFrame:
+def reading_levels(docs: DataFrame, key: str = "path", text: str = "content", plain: Callable[[str], Column] = markdown_rendered) -> DataFrame:
     """(key, reading_level, error) of every document; the text is scanned once per count.
 
-    A document that could not be read keeps the reason as its error.
+    A document that could not be read keeps the reason as its error. ``plain`` makes readable text of Markdown;
+    ``markdown_to_text`` is the rough one that needs no Python.
     """
-    counted = docs.select(key, read_error(docs).alias("_unread"), markdown_to_text(text).alias("_plain")).select(
+    counted = docs.select(key, read_error(docs).alias("_unread"), computed(plain(text)).alias("_plain")).select(
         key, "_unread", *[c.alias(name) for name, c in reading_counts("_plain").items()]
     )
     level, error = reading_grade(F.col("words"), F.col("sentences"), F.col("syllables"))

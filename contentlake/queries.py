@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .fixtures import ORIGIN, table, view
 from .functions import markup, metadata as M, text as T, urls as U
 from .functions.common import strip_ws
+from .functions.markdown import markdown_rendered
 from .operators import aggregates as A, enrich, filters, graph, includes, prefix
 from .operators.redirect_rules import parse_redirects, redirect_table
 from .plans import documents as D, sites, survey as S
@@ -363,6 +364,17 @@ def known_texts(spark, sf_dir):
     )
 
 
+@query
+def rendered_markdown(spark, sf_dir):
+    """Text of Markdown with titles, lists, references, escapes, code, tables and tags; answers by construction."""
+    return view(spark, sf_dir, "v_marked").select("doc_id", markdown_rendered("content").alias("shown"))
+
+
+@query
+def rendered_reading_levels(spark, sf_dir):
+    return D.reading_levels(view(spark, sf_dir, "v_marked"), "doc_id").select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("words", "sentences")])
+
+
 @query
 def known_reading_levels(spark, sf_dir):
     return D.reading_levels(view(spark, sf_dir, "v_known"), "doc_id", "simple").select(

@@ -58,9 +58,9 @@ def test_audit_keeps_document_text_out_of_the_python_stage(spark, tmp_path):
     assert re.search(r"Generate explode\(array\(.*\)\), \[path#\d+\], false, \[_block#", below)
 
 
-def test_reading_levels_stay_in_the_jvm(spark):
+def test_rough_reading_levels_stay_in_the_jvm(spark):
     docs = spark.createDataFrame([("a", "Some words here.")], "path string, content string")
-    assert "Python" not in plan_of(reading_levels(docs))
+    assert "Python" not in plan_of(reading_levels(docs, plain=T.markdown_to_text))
 
 
 def test_materialize_knows_rows_and_bytes(spark):
