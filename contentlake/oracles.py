@@ -186,6 +186,9 @@ FROM rated r)
 SELECT canonical_url, product, round(avg(q1), 2) AS avg_q1, CAST(count(q1) AS BIGINT) AS n,
        CAST(coalesce(sum(length(q2)) + 3 * (count(q2) - 1), 0) AS BIGINT) AS comment_chars
 FROM mapped GROUP BY canonical_url, product""", "v_survey", "v_exclude", "v_product")
+oracle("survey_line_breaks", r"""
+SELECT row_id, CASE row_id % 4 WHEN 0 THEN q2 || chr(10) || 'and "so", on' || chr(10) WHEN 1 THEN '"' || q2 || chr(13) || chr(10) || ','
+                               WHEN 2 THEN chr(10) || q2 || '"' ELSE q2 END AS q2, q1 FROM v_survey""", "v_survey")
 oracle("bad_coordinates", r"""
 SELECT v.row_id, g.country FROM v_survey v LEFT JOIN v_geo_cache g
 ON v.row_id % 4 = 3 AND g.lat_key = CAST(round(v.lat * 100000) AS BIGINT) AND g.lon_key = CAST(round(v.lon * 100000) AS BIGINT)""", "v_survey", "v_geo_cache")

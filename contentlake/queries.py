@@ -210,6 +210,16 @@ def survey_file_pipeline(spark, sf_dir):
     )
 
 
+@query
+def survey_line_breaks(spark, sf_dir):
+    """Answers with line breaks, quotes and separators in their comments, through a CSV file and back."""
+    path = scratch_path(spark, "survey-lines")
+    odd = F.expr("CASE row_id % 4 WHEN 0 THEN concat(q2, chr(10), 'and \"so\", on', chr(10)) WHEN 1 THEN concat('\"', q2, chr(13), chr(10), ',') WHEN 2 THEN concat(chr(10), q2, '\"') ELSE q2 END")
+    rows = view(spark, sf_dir, "v_survey").select(F.col("row_id").alias("ResponseId"), odd.alias("Q2"), F.col("q1").alias("Q1"))
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return src.read_survey(spark, path).select(F.col("ResponseId").cast("bigint").alias("row_id"), F.col("Q2").alias("q2"), F.col("Q1").cast("double").alias("q1"))
+
+
 @query
 def bad_coordinates(spark, sf_dir):
     odd = F.expr("CASE row_id % 4 WHEN 0 THEN 'Infinity' WHEN 1 THEN '1e300' WHEN 2 THEN '90.5' ELSE CAST(lat AS STRING) END")

@@ -8,11 +8,14 @@ from ..functions.common import strip_ws
 from ..operators.aggregates import first_rows_dropped, metadata_row_dropped
 from ..operators.filters import clean_ids
 from ..operators.skew import lookup_join
+from .csv_split import read_split_csv
 
 # Label of the comment column and the marker of the metadata row in exports.
 COMMENT_LABEL = "Any suggestions for improvement?"
 METADATA_MARKER = "ImportId"
 
+ROW_ORDER = ("file", "split_start", "row_order", "ordinal")
+
 
 def with_row_order(df: DataFrame) -> DataFrame:
     """Adds (file, row_order): a number that grows along each file, without a shuffle.
@@ -42,22 +45,29 @@ def _leading_ordinal(df: DataFrame) -> DataFrame:
     )
 
 
+def _read_exported(spark: SparkSession, path: str, line_breaks: bool) -> DataFrame:
+    """CSV with (file, split_start, row_order) and the ordinal of the first two rows of a file, -1 for others."""
+    if line_breaks:
+        return read_split_csv(spark, path).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
+    raw = with_row_order(spark.read.csv(path, header=True, escape='"'))
+    return _leading_ordinal(raw).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
+
+
 def read_survey(spark: SparkSession, path: str, label: str = COMMENT_LABEL, line_breaks: bool = True) -> DataFrame:
     """Survey CSV, all text, without a repeated header or label row; keeps row order columns.
 
-    ``line_breaks=False`` promises that no cell holds one: a large file is then read in splits, else by one task.
+    A large file is read in splits, also with line breaks inside cells (:mod:`.csv_split`); ``line_breaks=False`` promises that no
+    cell holds one and saves the pass that looks for them.
     """
-    raw = with_row_order(spark.read.csv(path, header=True, multiLine=line_breaks, escape='"'))
-    names = [c for c in raw.columns if c not in ("file", "split_start", "row_order")]
-    marked = _leading_ordinal(raw).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
+    marked = _read_exported(spark, path, line_breaks)
+    names = [c for c in marked.columns if c not in ROW_ORDER]
     return first_rows_dropped(marked, "ordinal", names, label).drop("ordinal")
 
 
 def read_survey_export(spark: SparkSession, path: str, marker: str = METADATA_MARKER, line_breaks: bool = True) -> DataFrame:
     """Raw export CSV without its metadata row (the second data row); ``line_breaks`` as in :func:`read_survey`."""
-    raw = with_row_order(spark.read.csv(path, header=True, multiLine=line_breaks, escape='"'))
-    names = [c for c in raw.columns if c not in ("file", "split_start", "row_order")]
-    marked = _leading_ordinal(raw).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
+    marked = _read_exported(spark, path, line_breaks)
+    names = [c for c in marked.columns if c not in ROW_ORDER]
     return metadata_row_dropped(marked, "ordinal", names, marker).drop("ordinal")
 
 

@@ -1,8 +1,9 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from contentlake.sources import doctree, tables
+from contentlake.sources import csv_split, doctree, tables
 from contentlake.streaming.feedback import read_feedback, run_feedback_stream
 
 FILES = {
@@ -149,3 +150,59 @@ def test_stream_is_incremental_and_drops_repeats(spark, tmp_path):
     second = arrive([(4, "d", "/x?q", 2.0, "mail a@b.c", "2023-01-01"), (1, "a", "/x", 1.0, "one", "2024-01-01")])
     assert (second["https://h/x/"]["n"], second["https://h/x/"]["avg_q1"]) == (2, 1.5)
     assert second["https://h/x/"]["q2_comments"] == "one|||mail"
+
+
+# --- CSV with line breaks in splits ------------------------------------------------------------------------
+
+
+def _odd_files(folder, n=400):
+    """Files of different line ends whose cells hold quotes, separators, line breaks and blanks; plus stray quotes and short rows."""
+    import csv
+    import random
+
+    rng = random.Random(3)
+
+    def cell():
+        if rng.random() < 0.4:
+            return "".join(rng.choice(["a", "b", " ", '"', ",", "\n", '""', "\r\n", "é", "x,y"]) for _ in range(rng.randrange(0, 30)))
+        return rng.choice(["", "w" + str(rng.randrange(1000))])
+
+    folder.mkdir()
+    for f, end in enumerate(["\n", "\r\n", "\n"]):
+        with open(folder / f"f{f}.csv", "w", newline="", encoding="utf-8") as h:
+            w = csv.writer(h, lineterminator=end)
+            w.writerow(["Response ID", "a`b", "c"])
+            w.writerows([f"r{f}-{i}", cell(), cell()] for i in range(n))
+            if f == 0:
+                h.write('r0-x,5" pipe,"q" tail\n\nr0-y,only\n')
+            if f == 2:
+                h.write("r2-long,\"" + "line\n" * 2000 + '",end')  # a record over many blocks, without a last line feed
+    return str(folder)
+
+
+@pytest.mark.parametrize("split", ["128m", "700"])
+def test_split_csv_equals_the_multi_line_reader(spark, tmp_path, split):
+    path = _odd_files(tmp_path / "csv")
+    want = sorted(str(tuple(r)) for r in spark.read.csv(path, header=True, multiLine=True, escape='"').collect())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        read = csv_split.read_split_csv(spark, path)
+        got = read.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert read.columns == ["Response ID", "a`b", "c", "file", "split_start", "row_order", "ordinal"]
+    assert sorted(str(tuple(r)[:3]) for r in got) == want
+    blocks = len({(r["file"], r["split_start"]) for r in got})
+    assert blocks == 3 if split == "128m" else blocks > 50
+    ordered = sorted(got, key=lambda r: (r["file"], r["row_order"]))
+    assert [r[0] for r in ordered if r[0].startswith("r1-")] == [f"r1-{i}" for i in range(400)]
+    assert {r[0]: r["ordinal"] for r in got if r["ordinal"] is not None} == {f"r{f}-{i}": i for f in range(3) for i in range(2)}
+
+
+@pytest.mark.parametrize(
+    "line,inside,after",
+    [('a,b', False, False), ('a,b', True, True), ('"a', False, True), ('a"', True, False), ('a""b', True, True), ('a"",', True, True), ('a"x",b', True, False), ('5" x', False, False), ('a,"', False, True), ('"",""', False, False), ('","', True, True), ('"a"b,"c', False, True), ("", True, True)],
+)
+def test_state_of_a_line(line, inside, after):
+    assert csv_split.ends_inside(line, inside) is after
