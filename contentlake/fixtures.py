@@ -140,6 +140,24 @@ FROM documents"""),
     "v_commits": ([], """
 SELECT concat('xml/', CASE o_custkey % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'ru' ELSE 'it' END,
               '/docs/d', CAST(o_custkey AS STRING), '.xml') AS path, o_orderdate AS commit_ts FROM orders"""),
+    # a day within the years of the commits for every event
+    "v_reading": ([], """
+SELECT event_id, concat('xml/', CASE user_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'ru' ELSE 'it' END, '/docs/d', CAST(user_id AS STRING), '.xml') AS path,
+       CASE WHEN event_id % 50 <> 0 THEN CAST(DATE '1994-12-01' + CAST(event_id * 37 % 2500 AS INT) AS TIMESTAMP) END AS day FROM events"""),
+    "v_dated_answer": ([], """
+SELECT event_id, concat('/p', CAST(CASE WHEN event_type = 'click' THEN 0 ELSE event_id % (SELECT count(*) FROM pages) END AS STRING)) AS prefix,
+       CASE WHEN event_id % 40 <> 0 THEN CAST(event_id * 31 % 400 AS INT) END AS day_no FROM events"""),
+    # twelve rules per page: some overlap, some are empty, the last ones are open
+    "v_dated_rule": ([], """
+SELECT concat('/p', CAST(page_id AS STRING)) AS prefix, CAST(k * 30 + page_id % 11 - 5 AS INT) AS from_day,
+       CASE WHEN k < 11 THEN CAST(k * 30 + page_id % 11 - 5 + k * 7 % 40 AS INT) END AS to_day,
+       concat('/new/', CAST(page_id AS STRING), '/', CAST(k AS STRING)) AS target
+FROM (SELECT page_id, NUMBERS_0_11 AS k FROM pages) p"""),
+    "v_chain": ([], """
+SELECT concat('/c/', CAST(doc_id AS STRING)) AS prefix,
+       CASE WHEN doc_id % 400 < 399 AND doc_id < (SELECT max(doc_id) FROM documents) THEN concat('/c/', CAST(doc_id + 1 AS STRING))
+            WHEN (doc_id - doc_id % 400) / 400 % 3 = 1 THEN concat('/c/', CAST(doc_id - doc_id % 400 AS STRING))
+            ELSE concat('/end/', CAST(doc_id AS STRING)) END AS target FROM documents"""),
     # three doc sets; every page links to two deeper pages of its set, stored or not
     "v_site": ([], """
 SELECT concat('https://docs.example.com/', s.doc_set, CASE WHEN s.page_id < 3 THEN '' ELSE concat('/p', CAST(s.page_id AS STRING)) END) AS url,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialize, row_count
+from ..session import known_bytes, materialize, row_count
 from .aggregates import latest_per_key
 from .skew import lookup_join
 
@@ -13,6 +13,8 @@ DECIMALS = 5
 
 #: A cell of the place tree is split above so many places, down to cells of 2 / 2**FINEST on the unit sphere.
 LEAF_PLACES, FINEST = 32, 24
+#: Levels from a cell to its children (8 ** STEP of them at most), and how many such steps are counted together.
+STEP, TOGETHER = 2, 4
 #: Distances are compared at 12 digits; cells this near to a bound still count.
 ROUNDING = 1e-11
 
@@ -61,35 +63,45 @@ def _cell(level: Column | int, *xyz: Column) -> Column:
     return F.struct(*[F.least(top, F.floor((c + 1) / 2 * size)).alias(n) for n, c in zip("ijk", xyz)])
 
 
+def _parent(cell: str) -> Column:
+    """The cell one step of levels above."""
+    return F.struct(*[F.floor(F.col(f"{cell}.{i}") / 2**STEP).alias(i) for i in "ijk"])
+
+
 def place_tree(places: DataFrame, leaf: int = LEAF_PLACES) -> DataFrame:
-    """Octree over places (id, country, px, py, pz): (level, cell, n, and a place of it: rx, ry, rz).
+    """Tree of cells over places (id, country, px, py, pz): (level, cell, n, and a place of it: rx, ry, rz), stored.
 
     A cell is split until it holds ``leaf`` places or the finest level is reached, so cells adapt to the
-    density. Levels are counted with partial sums; only places of cells that are still full go on.
+    density. ``TOGETHER`` levels are counted in one grouping, with partial sums; only places of cells that are still full go on.
+    Cells below one that is not full are left out.
     """
-    nodes, rest, level = None, places, 0
-    while True:
-        located = rest.withColumn("cell", _cell(level, F.col("px"), F.col("py"), F.col("pz")))
-        some = F.min(F.struct("place_id", "px", "py", "pz")).alias("r")
-        counted = located.groupBy("cell").agg(F.count("*").alias("n"), some).select(
-            F.lit(level).alias("level"), "cell", "n", F.col("r.px").alias("rx"), F.col("r.py").alias("ry"), F.col("r.pz").alias("rz")
-        )
-        counted = materialize(counted, "place-cells")
-        nodes = counted if nodes is None else nodes.unionByName(counted)
-        full = counted.filter(F.col("n") > leaf).select("cell")
-        if level == FINEST or not row_count(counted) or full.isEmpty():
-            return nodes
-        rest = materialize(located.join(full, "cell", "left_semi").drop("cell"), "places")
-        level += 1
+    levels = list(range(0, FINEST + 1, STEP))
+    counts, rest = None, places
+    for at in range(0, len(levels), TOGETHER):
+        some = levels[at : at + TOGETHER]
+        located = rest.withColumn("level", F.explode(F.array(*[F.lit(x) for x in some])))
+        located = located.withColumn("cell", _cell(F.col("level"), F.col("px"), F.col("py"), F.col("pz")))
+        one = F.min(F.struct("place_id", "px", "py", "pz")).alias("r")
+        counted = materialize(located.groupBy("level", "cell").agg(F.count("*").alias("n"), one), "place-cells")
+        counts = counted if counts is None else counts.unionByName(counted)
+        full = counted.filter((F.col("level") == some[-1]) & (F.col("n") > leaf)).select("cell")
+        if some[-1] == levels[-1] or full.isEmpty():
+            break
+        rest = materialize(located.filter(F.col("level") == some[-1]).join(full, "cell", "left_semi").drop("cell", "level"), "places")
+    full = counts.filter(F.col("n") > leaf).select((F.col("level") + STEP).alias("level"), F.col("cell").alias("above"))
+    split = counts.filter("level > 0").withColumn("above", _parent("cell")).join(full, ["level", "above"], "left_semi")
+    nodes = counts.filter("level = 0").unionByName(split.drop("above"))
+    nodes = nodes.select("level", "cell", "n", F.col("r.px").alias("rx"), F.col("r.py").alias("ry"), F.col("r.pz").alias("rz"))
+    return materialize(nodes, "place-tree")
 
 
 def nearest_place(points: DataFrame, places: DataFrame, leaf: int = LEAF_PLACES) -> DataFrame:
     """(lat_key, lon_key, country) of the closest place by great circle, for distinct points.
 
     ``points`` holds (lat_key, lon_key); ``places`` (place_id, lat, lon, country). Both are put on
-    the unit sphere, where no pole or date line interferes. Points descend the octree of the places level
-    by level: of the cells that a point still considers, one place each gives an upper bound of its
-    distance, and cells that lie beyond the least bound are left. In the leaves that remain every
+    the unit sphere, where no pole or date line interferes. Points descend the tree of the places, a step of levels in
+    one round: of the cells that a point still considers, one place each gives an upper bound of its
+    distance, and cells that lie beyond the least bound are left. In the leaves that remain, of all levels at once, every
     place is compared, so the answer is exact. Ties go to the lowest place_id. Places at one spot count as one.
     """
     scale = float(10**DECIMALS)
@@ -111,34 +123,36 @@ def nearest_place(points: DataFrame, places: DataFrame, leaf: int = LEAF_PLACES)
 
     near = sum((gap(a, i) * gap(a, i) for a, i in zip("xyz", "ijk")), F.lit(0.0))
     bound = square("x", "rx") + square("y", "ry") + square("z", "rz")
-    found, level = [], 0
     root = nodes.filter("level = 0")  # one cell
     at = todo.withColumn("cell", _cell(0, F.col("x"), F.col("y"), F.col("z"))).join(F.broadcast(root), "cell")
     at = at.withColumn("d_best", F.lit(4.0))
+    found, level = [], 0
+    own = Window.partitionBy(*keys)  # the cells of one point: at most some dozens
     while True:
-        judged = at.withColumn("d_near", near).withColumn("d_bound", bound)
-        least = judged.groupBy(*keys).agg(F.min(F.least("d_bound", "d_best")).alias("d_least"))
-        kept = judged.join(least, keys).filter(F.col("d_near") <= F.col("d_least") + ROUNDING)
-        kept = kept.withColumn("d_best", F.col("d_least")).drop("d_near", "d_bound", "d_least", "rx", "ry", "rz")
+        judged = at.withColumn("d_near", near).withColumn("d_least", F.min(F.least(bound, F.col("d_best"))).over(own))
+        kept = judged.filter(F.col("d_near") <= F.col("d_least") + ROUNDING)
+        kept = kept.withColumn("d_best", F.col("d_least")).drop("d_near", "d_least", "rx", "ry", "rz")
         kept = materialize(kept, "cells-at-points")
         if not row_count(kept):
             break
         open_ = (F.col("n") > leaf) & (F.lit(level) < FINEST)
-        found.append(kept.filter(~open_))
-        children = nodes.filter(F.col("level") == level + 1).withColumnRenamed("cell", "child")
-        parent = F.struct(*[F.floor(F.col(f"child.{i}") / 2).alias(i) for i in "ijk"])
-        children = children.select(parent.alias("cell"), "child", "rx", "ry", "rz", F.col("n").alias("m"))
-        at = lookup_join(kept.filter(open_).drop("level", "n"), children, "cell", "inner")
-        at = at.select(*keys, "x", "y", "z", "d_best", F.lit(level + 1).alias("level"), F.col("child").alias("cell"), F.col("m").alias("n"), "rx", "ry", "rz")
-        level += 1
+        found.append(kept.filter(~open_).select(*keys, "x", "y", "z", "level", "cell"))
+        level += STEP
+        children = nodes.filter(F.col("level") == level).select("level", _parent("cell").alias("above"), F.col("cell").alias("child"), "n", "rx", "ry", "rz")
+        waiting = kept.filter(open_).drop("level", "n").withColumnRenamed("cell", "above")
+        at = lookup_join(waiting, children, "above", "inner", right_bytes=known_bytes(nodes))
+        at = at.select(*keys, "x", "y", "z", "d_best", "level", F.col("child").alias("cell"), "n", "rx", "ry", "rz")
     if not found:
         return points.select(*keys, F.lit(None).cast("string").alias("country")).limit(0)
-    met = None
-    for level in range(len(found)):
-        housed = spots.withColumn("cell", _cell(level, F.col("px"), F.col("py"), F.col("pz")))
-        housed = housed.join(nodes.filter((F.col("level") == level) & ((F.col("n") <= leaf) | F.lit(level == FINEST))).select("cell"), "cell", "left_semi")
-        part = lookup_join(found[level], housed.select("cell", "place_id", "country", "px", "py", "pz"), "cell", "inner")
-        met = part if met is None else met.unionByName(part)
+    met = found[0]
+    for part in found[1:]:
+        met = met.unionByName(part)
+    # every place under the leaf that houses it
+    leaves = nodes.filter((F.col("n") <= leaf) | (F.col("level") == FINEST)).select("level", "cell")
+    levels = F.explode(F.array(*[F.lit(x) for x in range(0, level, STEP)]))
+    housed = spots.withColumn("level", levels).withColumn("cell", _cell(F.col("level"), F.col("px"), F.col("py"), F.col("pz")))
+    housed = housed.join(leaves, ["level", "cell"], "left_semi")
+    met = lookup_join(met, housed, ["level", "cell"], "inner", right_bytes=2 * known_bytes(spots))
     chord = square("x", "px") + square("y", "py") + square("z", "pz")
     best = met.groupBy(*keys).agg(F.min(F.struct(F.round(chord, 12).alias("d2"), "place_id", "country")).alias("b"))
     return materialize(best.select(*keys, F.col("b.country").alias("country")), "nearest")

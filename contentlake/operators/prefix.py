@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.common import bind, col
 from ..functions.urls import absolute_url, bare_url, strip_vars
-from ..session import known_bytes, materialize
+from ..session import known_bytes, materialize, row_count
 from .skew import lookup_join, stored
 
 
@@ -116,6 +116,41 @@ def apply_redirects(df: DataFrame, name: str, rules: DataFrame, origin: str, out
     return joined.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_moved", name).alias(out))
 
 
+def chain_targets(rules: DataFrame) -> DataFrame:
+    """(prefix, target, hops, cyclic): where each rule ends when the rules are applied again and again.
+
+    ``rules`` holds (prefix, target) with unique prefixes; a target that is a prefix itself leads on. Pointer doubling: in every
+    round each open rule takes over where its target's rule has come to, so n rules end in log2(n) + 1 rounds; what is
+    open then runs into a cycle. A cyclic rule keeps its own target and has no hops. Rules that have ended are not read again but as targets.
+    """
+    spark = rules.sparkSession
+    known = materialize(rules.select("prefix", "target", F.lit(1).cast("bigint").alias("hops")), "chains")
+    n, done = row_count(known), []
+    state = known
+    for _ in range(n.bit_length() + 1):
+        ahead = state.select(F.col("prefix").alias("target"), F.col("target").alias("_far"), F.col("hops").alias("_more"))
+        met = lookup_join(open_ if done else state, ahead, "target", "left", right_bytes=known_bytes(known))
+        met = materialize(met.select("prefix", F.coalesce("_far", "target").alias("target"), (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"), F.col("_more").isNotNull().alias("_open")), "chains")
+        done.append(met.filter("not _open").drop("_open"))
+        open_ = met.filter("_open").drop("_open")
+        state = _union([*done, open_])
+        if open_.isEmpty():
+            break
+    ended = _union(done) if done else spark.createDataFrame([], known.schema)
+    ended = ended.withColumn("cyclic", F.lit(False))
+    if not n:
+        return ended
+    rounds = open_.select("prefix").join(rules.select("prefix", "target"), "prefix")
+    return ended.unionByName(rounds.select("prefix", "target", F.lit(None).cast("bigint").alias("hops"), F.lit(True).alias("cyclic")))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def _redirected(values: DataFrame, rules: DataFrame, origin: str) -> DataFrame:
     """(value, canonical) of the cleaned URLs that a rule rewrites."""
     best = best_prefix(values, rules, pick="longest", slash_terminated=True)

@@ -528,6 +528,16 @@ oracle("crawl_reachable", REACH + " SELECT doc_set, url FROM found", "v_base")
 oracle("pages_per_set", REACH + " SELECT doc_set, count(*) AS n_pages FROM found GROUP BY doc_set", "v_base")
 oracle("site_inventory", REACH + " SELECT doc_set, url, substr(doc_set, 1, 31) AS section FROM found", "v_base")
 
+oracle("dated_redirects", """
+SELECT a.event_id, r.target FROM v_dated_answer a JOIN v_dated_rule r ON a.prefix = r.prefix AND a.day_no >= r.from_day AND (r.to_day IS NULL OR a.day_no < r.to_day)""", "v_dated_answer", "v_dated_rule")
+oracle("commit_before_read", """
+SELECT r.event_id, strftime(c.commit_ts, '%Y-%m-%d') AS committed FROM v_reading r ASOF LEFT JOIN v_commits c ON r.path = c.path AND r.day >= c.commit_ts""", "v_reading", "v_commits")
+oracle("redirect_chains", """, walk AS (
+SELECT prefix, target, CAST(1 AS BIGINT) AS hops FROM v_chain
+UNION ALL SELECT w.prefix, c.target, w.hops + 1 FROM walk w JOIN v_chain c ON c.prefix = w.target WHERE w.hops <= 400),
+ended AS (SELECT prefix, target, hops FROM walk w WHERE NOT EXISTS (SELECT 1 FROM v_chain c WHERE c.prefix = w.target))
+SELECT c.prefix, coalesce(e.target, c.target) AS target, coalesce(e.hops, 0) AS hops, e.hops IS NULL AS cyclic FROM v_chain c LEFT JOIN ended e ON e.prefix = c.prefix""", "v_chain")
+
 # --- XML ------------------------------------------------------------------------------------
 
 XML = r""", inv AS (

@@ -10,7 +10,7 @@ from .fixtures import ORIGIN, table, view
 from .functions import markup, metadata as M, text as T, urls as U
 from .functions.common import strip_ws
 from .functions.markdown import markdown_rendered
-from .operators import aggregates as A, enrich, filters, graph, includes, prefix
+from .operators import aggregates as A, enrich, filters, graph, includes, prefix, timejoin
 from .operators.redirect_rules import parse_redirects, redirect_table
 from .plans import documents as D, sites, survey as S
 from .session import scratch_path
@@ -662,6 +662,27 @@ def last_commit(spark, sf_dir):
 # --- enrichment -----------------------------------------------------------------------------
 
 
+@query
+def commit_before_read(spark, sf_dir):
+    """For every reading of a document the newest commit at or before its day."""
+    read = view(spark, sf_dir, "v_reading")
+    return timejoin.asof_join(read, view(spark, sf_dir, "v_commits"), ["path"], "day", "commit_ts", ["commit_ts"]).select("event_id", F.date_format("commit_ts", "yyyy-MM-dd").alias("committed"))
+
+
+@query
+def dated_redirects(spark, sf_dir):
+    """Redirects that are valid from one day to another, applied to the answers of the days between."""
+    answers = view(spark, sf_dir, "v_dated_answer")
+    found = timejoin.interval_join(answers, view(spark, sf_dir, "v_dated_rule"), ["prefix"], "day_no", "from_day", "to_day")
+    return found.select("event_id", "target")
+
+
+@query
+def redirect_chains(spark, sf_dir):
+    """Final targets of redirect chains of up to 400 rules; every third chain runs in a circle."""
+    return prefix.chain_targets(view(spark, sf_dir, "v_chain")).select("prefix", "target", F.coalesce("hops", F.lit(0).cast("bigint")).alias("hops"), "cyclic")
+
+
 @query
 def geo_cache_join(spark, sf_dir):
     rows = view(spark, sf_dir, "v_survey").select("row_id", "lat", "lon")

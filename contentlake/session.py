@@ -29,6 +29,18 @@ def build_session(app: str = "contentlake", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+#: Bytes of an Arrow batch where rows are whole texts or sets: a worker holds a few copies of a batch.
+BATCH_BYTES = 8 << 20
+
+
+def limit_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Lower the session's Arrow batches to ``size`` bytes, unless they are smaller; one row is never cut."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if not now or not now.rstrip("bB").isdigit() or not 0 < int(now.rstrip("bB")) <= size:
+        spark.conf.set(key, str(size))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
