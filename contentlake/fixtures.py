@@ -158,6 +158,13 @@ SELECT concat('/c/', CAST(doc_id AS STRING)) AS prefix,
        CASE WHEN doc_id % 400 < 399 AND doc_id < (SELECT max(doc_id) FROM documents) THEN concat('/c/', CAST(doc_id + 1 AS STRING))
             WHEN (doc_id - doc_id % 400) / 400 % 3 = 1 THEN concat('/c/', CAST(doc_id - doc_id % 400 AS STRING))
             ELSE concat('/end/', CAST(doc_id AS STRING)) END AS target FROM documents"""),
+    # two or three answers of most responses; the arrival order is not that of the answers
+    "v_correction": ([], """
+SELECT event_id AS row_id, concat('R_', CAST(event_id % (SELECT CAST(count(*) * 0.4 AS BIGINT) + 1 FROM events) AS STRING)) AS response_id,
+       concat('https://docs.example.com/', event_type, '/', CAST(user_id % 9 AS STRING)) AS link_url,
+       CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(event_id % 5 + 1 AS DOUBLE) END AS q1,
+       CASE WHEN event_id % 6 = 0 THEN NULL ELSE concat(event_type, ' ', CAST(event_id AS STRING)) END AS q2,
+       CASE WHEN event_id % 17 = 0 THEN 'n/a' ELSE '2024-01-05' END AS start_date, event_id * 7919 % 1000 AS arrival FROM events"""),
     # three doc sets; every page links to two deeper pages of its set, stored or not
     "v_site": ([], """
 SELECT concat('https://docs.example.com/', s.doc_set, CASE WHEN s.page_id < 3 THEN '' ELSE concat('/p', CAST(s.page_id AS STRING)) END) AS url,

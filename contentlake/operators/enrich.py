@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import known_bytes, materialize, row_count
 from .aggregates import latest_per_key
@@ -40,10 +40,38 @@ def missing_keys(df: DataFrame, cache: DataFrame, lat: str, lon: str) -> DataFra
 
 
 def upsert_cache(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Known entries stay as they are, unknown keys are added. Write it to a new folder."""
+    """Known entries stay as they are, unknown keys are added. Write it to a new folder, or use :func:`append_cache`."""
     return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
 
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches a cache folder holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def append_cache(new: DataFrame, path: str, keys: list[str], batch: int) -> None:
+    """Add the keys of ``new`` that earlier batches of the cache in ``path`` do not hold; nothing that is stored is written again.
+
+    Only the keys of the cache are read. A batch goes to a folder of its own, which it replaces, so a batch that is repeated
+    leaves the same cache; batches have growing numbers and one writer. Of rows with equal keys the smallest counts; null keys are left out.
+    """
+    spark = new.sparkSession
+    rest = F.struct(*[F.col(c) for c in new.columns if c not in keys])
+    once = new.dropna(subset=keys).groupBy(*keys).agg(F.min(rest).alias("_rest")).select(*keys, "_rest.*")
+    earlier = [f"{path}/batch={b}" for b in _batches(spark, path) if b < batch]
+    if earlier:
+        once = once.join(spark.read.option("basePath", path).parquet(*earlier).select(*keys), keys, "left_anti")
+    once.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """All entries of the cache, and the batch they came with."""
+    return spark.read.parquet(path)
+
+
 def attach_country(df: DataFrame, cache: DataFrame, lat: str, lon: str, out: str = "country") -> DataFrame:
     """Map the cache back onto all rows; unusable coordinates get NULL."""
     keyed = with_coordinate_keys(df, lat, lon)

@@ -586,6 +586,14 @@ oracle("cache_upsert", MISSING + ", " + nearest("missing") + r"""
 SELECT lat_key, lon_key, country FROM v_geo_cache UNION ALL SELECT lat_key, lon_key, code FROM near
 """, "v_survey", "v_geo_cache", "v_place")
 
+oracle("cache_append", r""", fresh AS (
+SELECT CAST(round(lat * 100000) AS BIGINT) AS lat_key, CAST(round(lon * 100000) AS BIGINT) AS lon_key, concat('N', min(row_id % 7)) AS country
+FROM v_survey WHERE lat IS NOT NULL GROUP BY 1, 2)
+SELECT lat_key, lon_key, country FROM v_geo_cache
+UNION ALL SELECT f.* FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM v_geo_cache c WHERE c.lat_key = f.lat_key AND c.lon_key = f.lon_key)""", "v_survey", "v_geo_cache")
+oracle("bases_file", "SELECT concat('Set ', page_id) AS doc_set, url AS base FROM pages WHERE page_id % 7 <> 0 AND page_id % 5 > 0")
+oracle("report_header", """
+SELECT concat('Repo path: ', count(*), ' documents') AS value FROM v_md UNION ALL SELECT concat('Date: ', strftime(current_date, '%Y-%m-%d'))""", "v_md")
 oracle("clean_survey_places", MISSING + ", " + nearest("missing") + r""", known AS (
 SELECT lat_key, lon_key, country FROM v_geo_cache UNION ALL SELECT lat_key, lon_key, code FROM near)
 SELECT v.row_id, k.country FROM v_survey v
@@ -603,3 +611,8 @@ oracle("stream_feedback", r"""
 SELECT concat('https://docs.example.com/', event_type, '/') AS canonical_url, 'Secure' AS product, CAST(1 AS BIGINT) AS part,
        round(avg(value), 2) AS avg_q1, count(value) AS n, coalesce(string_agg(concat(event_type, ' ', props), '|||' ORDER BY event_id), '') AS q2_comments
 FROM events WHERE value IS NOT NULL GROUP BY event_type""")
+oracle("stream_corrections", r"""
+SELECT concat(link_url, '/') AS canonical_url, 'Secure' AS product, CAST(1 AS BIGINT) AS part, round_even(avg(q1), 2) AS avg_q1, count(q1) AS n,
+       coalesce(string_agg(q2, '|||' ORDER BY row_id) FILTER (WHERE q2 IS NOT NULL), '') AS q2_comments
+FROM (SELECT * FROM v_correction c WHERE row_id = (SELECT max(row_id) FROM v_correction n WHERE n.response_id = c.response_id)) a
+WHERE q1 IS NOT NULL AND start_date <> 'n/a' GROUP BY link_url""", "v_correction")

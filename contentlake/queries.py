@@ -15,6 +15,7 @@ from .operators.redirect_rules import parse_redirects, redirect_table
 from .plans import documents as D, sites, survey as S
 from .session import scratch_path
 from .sources import doctree, tables as src
+from .streaming.corrections import read_corrected, run_corrected_stream
 from .streaming.feedback import read_feedback, run_feedback_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -710,6 +711,40 @@ def cache_upsert(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def cache_append(spark, sf_dir):
+    """The cache as a folder that two batches of new places are added to, the second one twice."""
+    path = scratch_path(spark, "geo-cache")
+    keys = ["lat_key", "lon_key"]
+    cache = view(spark, sf_dir, "v_geo_cache")
+    rows = enrich.with_coordinate_keys(view(spark, sf_dir, "v_survey"), "lat", "lon").filter("lat_key is not null")
+    fresh = rows.groupBy(*keys).agg(F.concat(F.lit("N"), F.min(F.col("row_id") % 7).cast("string")).alias("country"))
+    enrich.append_cache(cache, path, keys, 0)
+    enrich.append_cache(fresh.filter("lat_key % 2 = 0"), path, keys, 1)
+    for _ in range(2):
+        enrich.append_cache(fresh, path, keys, 2)
+    return enrich.read_cache(spark, path).select(*keys, "country")
+
+
+@query
+def bases_file(spark, sf_dir):
+    """Site roots through a CSV file with loose spacing and incomplete rows."""
+    path = scratch_path(spark, "bases")
+    pages = table(spark, sf_dir, "pages")
+    name = F.when(F.col("page_id") % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit("  Set "), F.col("page_id").cast("string"), F.lit(" ")))
+    loose = pages.select(name.alias(" Title "), F.concat(F.lit(" "), F.when(F.col("page_id") % 5 > 0, F.col("url"))).alias("URL"))
+    loose.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return src.read_bases(spark, path)
+
+
+@query
+def report_header(spark, sf_dir):
+    """The lines above the inventory report: what it is about, and its date."""
+    path = scratch_path(spark, "report-header")
+    src.write_report_header(spark, path, f"{view(spark, sf_dir, 'v_md').count()} documents")
+    return spark.read.text(path)
+
+
 # --- sources, sinks, stream -----------------------------------------------------------------
 
 
@@ -742,11 +777,9 @@ def doc_tree_sink(spark, sf_dir):
 def lookup_csv(spark, sf_dir):
     """Rules as a loose CSV file, read back with the lookup reader."""
     path = scratch_path(spark, "lookup")
-    rows = view(spark, sf_dir, "v_redirect").select(
-        F.concat_ws(", ", "prefix", "target").alias("line"), "ord"
-    )
-    header = spark.createDataFrame([("filepath, url", -1)], "line string, ord bigint")
-    rows.unionByName(header).orderBy("ord").select("line").coalesce(1).write.text(path)
+    rows = view(spark, sf_dir, "v_redirect").repartitionByRange(8, "ord").sortWithinPartitions("ord")
+    loose = rows.select(F.col("prefix").alias("filepath"), F.concat(F.lit(" "), "target").alias(" url"))
+    loose.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)  # files in order, each with a header
     return src.read_lookup_csv(spark, path).select("prefix", "target")
 
 
@@ -755,7 +788,8 @@ def config_file_lines(spark, sf_dir):
     """Configuration lines written to text files and read back in order."""
     path = scratch_path(spark, "conf")
     lines = view(spark, sf_dir, "v_config_lines")
-    lines.repartition("file_id").sortWithinPartitions("file_id", "line_no").select("line").write.text(path)
+    # a large file goes to several text files, in the order of their names
+    lines.repartitionByRange(16, "file_id", "line_no").sortWithinPartitions("file_id", "line_no").select("line").write.text(path)
     return src.read_config_lines(spark, path).filter("line <> ''").groupBy("line").agg(F.count("*").alias("n"))
 
 
@@ -797,3 +831,14 @@ def stream_feedback(spark, sf_dir):
     )
     run_feedback_stream(answers, target, origin=ORIGIN, products=view(spark, sf_dir, "v_product"))
     return read_feedback(spark, target)
+
+
+@query
+def stream_corrections(spark, sf_dir):
+    """Answers that arrive in four files, some of them corrected or late: the newest of each response counts."""
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "corrections")
+    answers = view(spark, sf_dir, "v_correction")
+    answers.repartitionByRange(4, "arrival").drop("arrival").sortWithinPartitions("row_id").write.parquet(landing)
+    stream = spark.readStream.schema(answers.drop("arrival").schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    run_corrected_stream(stream, target, origin=ORIGIN, products=view(spark, sf_dir, "v_product"))
+    return read_corrected(spark, target)

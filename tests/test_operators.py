@@ -301,6 +301,18 @@ def test_include_usage(library):
     assert usage == {"leaf.md": 2, "two.md": 1, "gone.md": 0, "self.md": 1, "p.md": 1, "q.md": 0, "deep.md": 1, "vers.md": 1}
 
 
+def test_cache_grows_by_what_is_new(spark, tmp_path):
+    path, schema = str(tmp_path / "cache"), "k long, v string"
+    frame = lambda *r: spark.createDataFrame(r, schema)
+    enrich.append_cache(frame((1, "a"), (2, "b"), (None, "z")), path, ["k"], 0)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "cache" / "batch=0").glob("*.parquet")}
+    for _ in range(2):  # a repeated batch replaces itself
+        enrich.append_cache(frame((2, "x"), (3, "d"), (3, "c")), path, ["k"], 1)
+    enrich.append_cache(frame((3, "q")), path, ["k"], 2)
+    assert rows(enrich.read_cache(spark, path).select("k", "v")) == [(1, "a"), (2, "b"), (3, "c")]
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "cache" / "batch=0").glob("*.parquet")} == before
+
+
 # --- graph --------------------------------------------------------------------------------------------
 
 
