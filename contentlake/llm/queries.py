@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.skew import lookup_join
 from ..session import materialize, scratch_path
 from . import language_id, quality, toxicity
 from .decontamination import with_hits
@@ -218,8 +219,9 @@ def op2_token_totals(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     text = F.col("text")
     marked = docs.withColumn("mark", F.sha2(text, 256))
-    first = marked.groupBy("mark").agg(F.min("doc_id").alias("first"))
-    copies = marked.join(first, "mark").filter("doc_id > first")
+    # only texts that occur twice; a text that very many documents share is sliced by the join
+    first = marked.groupBy("mark").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    copies = lookup_join(marked.drop("text"), first, "mark", "inner").filter("doc_id > first")
     revise = change_rows(docs, "doc_id", "revise", "pieces-2", n_pieces(text))
     store = create_store(spark, scratch_path(spark, "token-totals"))
     apply_all(spark, store, [

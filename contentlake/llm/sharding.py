@@ -142,5 +142,9 @@ ORDERABLE = {"string", "bigint", "int", "smallint", "tinyint", "double", "float"
 
 
 def write_shards(df: DataFrame, path: str, shards: int, seed: int = 42) -> None:
-    """Write the shuffled rows as one folder per shard; files inside are sorted by slot."""
-    shard_wide_rows(df, shards, seed).repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write the shuffled rows as one folder per shard, whose files hold ascending ranges of slots, each sorted.
+
+    A shard is written by as many tasks as its size asks for. Cases as in :func:`shard_rows`; no rows, no shard folder.
+    """
+    placed = shard_wide_rows(df, shards, seed)
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
