@@ -68,3 +68,26 @@ def test_materialize_knows_rows_and_bytes(spark):
     assert row_count(out) == 10 and out.count() == 10
     assert 10 * (8 + 3 + 8) <= known_bytes(out) < 10 * 100
     assert row_count(materialize(spark.range(0), "test")) == 0
+
+
+def test_feedback_reads_its_answers_once(spark, survey, tmp_path, monkeypatch):
+    """Over all jobs the survey is scanned once, the stored answers three times: statistics, block totals, comments."""
+    from contentlake.plans import survey as S
+
+    plans = []
+    once = materialize
+
+    def noted(df, label):
+        plans.append(plan_of(df))
+        return once(df, label)
+
+    for module in ("contentlake.operators.aggregates", "contentlake.operators.prefix", "contentlake.operators.skew"):
+        monkeypatch.setattr(f"{module}.materialize", noted)
+    products = spark.createDataFrame([(1, "https://h/", "All")], "ord int, prefix string, target string")
+    out = S.feedback_dataset(survey.withColumn("link_url", U.normalize_url("link_url")), products)
+    plans.append(plan_of(out))
+    scans = [re.findall(r"Location: InMemoryFileIndex.*?\[file:([^\],]+)", p) for p in plans]
+    source = [s for plan in scans for s in plan if str(tmp_path) in s]
+    assert 1 <= len(source) <= 2, source  # once for the distinct URLs, once for the rows
+    assert 1 <= sum("rated-answers" in s for plan in scans for s in plan) <= 3
+    assert out.count() == 7
