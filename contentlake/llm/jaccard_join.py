@@ -31,7 +31,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.skew import lookup_join, stored
-from ..session import known_bytes, materialize, row_count
+from ..session import known_bytes, limit_batches, materialize, row_count
 from .components import components
 from .tables import free_names, q
 from .textarrays import U64, batch_words, mix, shingle_hashes
@@ -540,6 +540,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     n_links counts the other documents whose sets have a similarity of ``percent`` or more. leads marks one set of each
     component: the least by (smallest id, s1, s2), nulls last; its smallest id is component_id.
     """
+    limit_batches(docs.sparkSession)
     body = F.coalesce(q(text), F.lit(""))
     sets = docs.select(q(key).alias("key"), body.alias("body")).select("key", _signs(percent, True)("body").alias("s")).select("key", "s.*")
     sets = materialize(sets, "jaccard-sets")

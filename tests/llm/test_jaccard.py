@@ -111,3 +111,37 @@ def test_components(spark):
     got = {r["v"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {v: root(v) for v in parent if any(v in e and e[0] != e[1] for e in edges)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("block,tokens", [(5, 1 << 20), (64, 600)])
+def test_large_groups_of_all_kinds(spark, monkeypatch, block, tokens):
+    """Blocks that are sure, blocks that are not, unlike sets of one group, a visitor of a large group."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(jaccard_join, "bands_of", lambda t: [1, 2, 3, 4] if len(t) < 700 else [5, 6, 7, 8])  # everything short is one group
+    rng = random.Random(block)
+    base, other = prose(rng, 300), prose(rng, 200)
+    rows = [(i, edited(rng, base, 1 + i % 3), "en", "a", 1) for i in range(30)] + [(100 + i, edited(rng, other, rng.randrange(2, 9)), "en", "a", 1) for i in range(14)]
+    rows += [(200 + i, prose(rng, rng.randrange(1, 250)), "en", "a", 1) for i in range(12)] + [(300 + i, base, "en", "a", 1) for i in range(3)]
+    long = prose(rng, 720)
+    rows += [(400 + i, " ".join(long.split()[: 690 + 5 * i]), "en", "a", 1) for i in range(7)]  # linked over the border of the two groups
+    assert found(spark, rows) == brute(rows)
+
+
+def test_differences_give_intersections():
+    """Products of signed differences and whole sets, mixed, against sets."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    center = set(range(100))
+    sets = [center ^ set(rng.integers(0, 130, k).tolist()) for k in (0, 1, 5, 40)] + [set(rng.integers(90, 400, k).tolist()) for k in (3, 60)]
+    gone = [len(center - s) for s in sets]
+    told = [(sorted(center - s) + sorted(s - center), len(center - s)) if i % 2 == 0 else (sorted(s), -1) for i, s in enumerate(sets)]
+    arrays = [np.array(t, np.uint64) for t, _ in told]
+    kept = np.array([k for _, k in told])
+    got = jaccard_join.shared(arrays, arrays, np.maximum(kept, 0), np.maximum(kept, 0))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            whole = int(kept[i] < 0) + int(kept[j] < 0)
+            base = 100 - gone[i] - gone[j] if not whole else 0 if whole == 2 else 100 - (gone[i] if kept[i] < 0 else gone[j])
+            assert got[i, j] + base == len(x & y)
