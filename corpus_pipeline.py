@@ -16,7 +16,7 @@ from contentlake.llm.jaccard_join import keep_one
 from contentlake.llm.mixing import mixed_documents
 from contentlake.llm.sharding import shard_wide_rows
 from contentlake.llm.tables import q, table
-from contentlake.session import materialize
+from contentlake.session import limit_batches, materialize
 
 #: Documents at or above this score are rejected.
 TOXIC = 0.7
@@ -25,6 +25,7 @@ SHARDS = 24
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity is below ``TOXIC``, learned from the labels of ``docs``."""
+    limit_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select(F.struct(*[q(c) for c in docs.columns]).alias("row"), q("text").alias("text")), model)
     return scored.filter(F.col("score") < TOXIC).select("row.*")
