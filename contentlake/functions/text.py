@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from .common import WS, col, replace_matches, rstrip_ws, strip_ws
+from .common import WS, bind, col, replace_matches, rstrip_ws, strip_ws
 
 # The address pattern to scrub. [\p{L}\p{N}_] is the Unicode word class.
 WORD = r"[\p{L}\p{N}_]"
@@ -175,29 +175,35 @@ DATE_SPELLINGS = [
 ]
 
 
-def _spelled(text: Column, pattern: str, places: tuple[int, int, int]) -> Column:
-    whole = rf"(?i)\A{pattern}{_CLOCK}\z"
-    part = lambda i: F.regexp_extract(text, whole, i)
-    number = lambda i: part(i).try_cast("int")
-    year, month, day = places
-    named = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(month))).cast("int")
-    hour, minute, second, half = 4, 5, 6, 7
-    clock = F.coalesce(number(hour), F.lit(0))
-    clock = F.when(part(half) == "", clock).otherwise(clock % 12 + F.when(F.lower(part(half)) == "p", 12).otherwise(0))
-    stamp = F.try_make_timestamp(
-        number(year), F.coalesce(number(month), named), number(day), clock, F.coalesce(number(minute), F.lit(0)), F.coalesce(number(second), F.lit(0)).cast("decimal(16,6)")
-    )
-    return F.when(text.rlike(whole), stamp)
+def _date_parts(text: Column) -> Column:
+    """Year, month, day, hour, minute, second and am/pm of a date in one of the spellings, joined by ``|``."""
+    found = None
+    for pattern, (year, month, day) in DATE_SPELLINGS:
+        whole = rf"(?i)\A{pattern}{_CLOCK}\z"
+        parts = F.regexp_replace(text, whole, f"${year}|${month}|${day}|$4|$5|$6|$7")
+        found = F.when(text.rlike(whole), parts) if found is None else found.when(text.rlike(whole), parts)
+    return found
+
+
+def _stamp(parts: Column) -> Column:
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("int")
+    named = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.get(parts, F.lit(1)))).cast("int")
+    half = F.lower(F.get(parts, F.lit(6)))
+    hour = F.coalesce(number(3), F.lit(0))
+    hour = F.when(half == "", hour).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
+    second = F.coalesce(number(5), F.lit(0)).cast("decimal(16,6)")
+    return F.try_make_timestamp(number(0), F.coalesce(number(1), named), number(2), hour, F.coalesce(number(4), F.lit(0)), second)
 
 
 def coerce_date(c: Column | str) -> Column:
     """Timestamp by ISO or one of ``DATE_SPELLINGS``, or NULL when the text is no date.
 
-    Eight digits are a date; a longer or other run of five digits and more is none.
+    Eight digits are a date; a longer or other run of five digits and more is none. The parts of a spelling are taken out
+    once and put together in one place, which keeps the generated code small.
     """
     text = strip_ws(col(c).cast("string"))
     iso = F.when(~text.rlike(r"\A[0-9]{5,}\z"), F.try_to_timestamp(text))
-    return F.coalesce(iso, *[_spelled(text, *spelling) for spelling in DATE_SPELLINGS])
+    return F.coalesce(iso, bind(F.split(_date_parts(text), r"\|"), _stamp))
 
 
 def ensure_period(c: Column | str) -> Column:
