@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import col, strip_ws
+from ..functions.common import col, computed, strip_ws
 from ..functions.text import coerce_date
 from .skew import lookup_join
 
@@ -35,7 +35,9 @@ def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def keep_rated(df: DataFrame, date: str, rating: str) -> DataFrame:
-    return df.filter(coerce_date(date).isNotNull() & F.col(rating).isNotNull())
+    """Rows with a date and a rating; the date is parsed once, where the row is, and not pushed below an exchange into fewer tasks."""
+    dated = df.withColumn("_dated", computed(coerce_date(date).isNotNull()))
+    return dated.filter(F.col("_dated") & F.col(rating).isNotNull()).drop("_dated")
 
 
 def not_index(path: Column | str) -> Column:
