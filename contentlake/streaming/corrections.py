@@ -1,6 +1,6 @@
 """Feedback ingestion with corrections: the newest answer of every response counts, its older ones are taken back.
 
-The state of a response is its last answer. A newer one yields two signed rows: the new answer and, taken back, the
+The state of a response is its last answer; the states of many responses are kept together, by a hash. A newer one yields two signed rows: the new answer and, taken back, the
 old one. Both go through the cleaning of a survey and add to the sums of their pages, so a batch writes only the pages that its answers
 touch, and the sums over all batches equal those of a fresh run over the newest answers.
 """
@@ -11,57 +11,89 @@ import warnings
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.aggregates import MAX_COMMENTS, finish_feedback, join_comments, rated_pages
 from ..operators.skew import lookup_join, stored
 from ..plans.survey import clean_survey, map_product
+from ..session import materialize
 from .feedback import KEYS
 
 #: Folders of the rows of a batch, by a hash of the page.
 BUCKETS = 16
 
 
-def _plain(row: tuple) -> tuple:
-    """Values as the state stores them: nulls as None, numbers as Python's own."""
-    return tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in row)
+#: Groups of responses whose last answers lie together in one state; fixed for the life of a checkpoint.
+STATE_GROUPS = 1024
 
 
-def signed_answers(answers: DataFrame, key: str = "response_id", version: str = "row_id", forget: tuple[str, str] | None = None) -> DataFrame:
+def _answers_schema(answers: DataFrame) -> pa.Schema:
+    """Arrow types of the answers; times without a zone, as pandas has them."""
+    fields = [(f.name, pa.timestamp("us") if pa.types.is_timestamp(f.type) else f.type) for f in to_arrow_schema(answers.schema)]
+    return pa.schema(fields)
+
+
+def _packed(answers: pd.DataFrame, schema: pa.Schema) -> bytes:
+    """Answers as one compressed Arrow stream."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(pa.Table.from_pandas(answers, schema=schema, preserve_index=False))
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(data)).read_pandas()
+
+
+def signed_answers(
+    answers: DataFrame, key: str = "response_id", version: str = "row_id", forget: tuple[str, str] | None = None, groups: int = STATE_GROUPS
+) -> DataFrame:
     """The stream's changes: columns of ``answers`` and ``sign``, 1 for an answer that counts now, -1 for the one it replaces.
 
     The larger ``version`` is the newer answer; an older or equal one that comes late changes nothing. ``forget``, (time column,
     delay), ends the state of a response once the watermark has passed its last answer by the delay: what was counted stays counted,
     and an answer later than that counts as the first of its response. Answers without ``key`` have no state in common and are left out.
+
+    The last answers of all responses lie in ``groups`` states by a hash of ``key``, so a batch calls Python once a group and
+    compares whole columns, not once a response. A batch rewrites the states of the groups it changes.
     """
-    columns = answers.columns
-    at, time = columns.index(version), columns.index(forget[0]) if forget else None
+    columns, schema = answers.columns, _answers_schema(answers)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in answers.schema.fields)
+    time = forget[0] if forget else None
 
     def changes(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        warnings.simplefilter("ignore", FutureWarning)  # the worker joins frames with empty columns
+        warnings.simplefilter("ignore", FutureWarning)  # joined frames may have empty columns
         if state.hasTimedOut:
             state.remove()
             return
-        old = state.get if state.exists else None
-        best = old
-        for frame in frames:
-            newest = int(frame[version].to_numpy().argmax())
-            row = _plain(tuple(frame[c].iat[newest] for c in columns))
-            if best is None or row[at] > best[at]:
-                best = row
-        if best is not old:
-            state.update(best)
-            rows = [(*best, 1)] + ([(*old, -1)] if old else [])
-            yield pd.DataFrame(rows, columns=[*columns, "sign"])
+        fresh = pd.concat(list(frames), ignore_index=True)[columns]
+        fresh = fresh.sort_values(version, ascending=False, kind="stable").drop_duplicates(key)
+        known = _unpacked(state.get[0]) if state.exists else fresh.iloc[:0]
+        ended = 0
         if time is not None:
-            state.setTimeoutTimestamp(max(int(pd.Timestamp(best[time]).timestamp() * 1000), state.getCurrentWatermarkMs()) + 1)
+            passed = known[time] < pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+            known, ended = known[~passed], passed.sum()
+        before = fresh[key].map(known.set_index(key)[version])
+        fresh = fresh[(before.isna() | (fresh[version] > before)).to_numpy()]
+        again = known[key].isin(fresh[key])
+        if len(fresh) or ended:
+            last = pd.concat([known[~again], fresh], ignore_index=True) if len(known) else fresh
+            state.update((_packed(last, schema),))
+            yield pd.concat([fresh.assign(sign=1), known[again].assign(sign=-1)], ignore_index=True)
+        else:
+            last = known
+        if time is not None:
+            latest = last[time].max()
+            state.setTimeoutTimestamp(max(int(latest.timestamp() * 1000) if pd.notna(latest) else 0, state.getCurrentWatermarkMs()) + 1)
 
     known = answers.filter(F.col(key).isNotNull() & F.col(version).isNotNull())
     known = known.withWatermark(*forget) if forget else known
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in answers.schema.fields)
     timeout = GroupStateTimeout.EventTimeTimeout if forget else GroupStateTimeout.NoTimeout
-    return known.groupBy(key).applyInPandasWithState(changes, f"{fields}, sign int", fields, "append", timeout)
+    grouped = known.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups)).cast("int")).groupBy("_group")
+    return grouped.applyInPandasWithState(changes, f"{fields}, sign int", "answers binary", "append", timeout)
 
 
 def _bucket() -> Column:
@@ -78,6 +110,7 @@ def run_corrected_stream(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "signed-answers")  # cleaning reads it more than once; the states are visited once
         cleaned = clean_survey(batch, origin=origin, rules=rules, exclude=exclude)
         mapped = map_product(cleaned, "canonical_url", products)
         order = ["row_id", "response_id", "sign"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.aggregates import MAX_COMMENTS, finish_feedback, join_comments, page_statistics, rated_pages
 from ..plans.survey import clean_survey, map_product
+from ..session import materialize
 
 KEYS = ["canonical_url", "product"]
 
@@ -39,6 +40,7 @@ def run_feedback_stream(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "new-answers")  # cleaning reads it more than once; the states are visited once
         cleaned = clean_survey(batch, origin=origin, rules=rules, exclude=exclude)
         mapped = map_product(cleaned, "canonical_url", products)
         rated = rated_pages(mapped, url="canonical_url", rating="q1", comment="q2", date="start_date", order="row_id", product=F.col("product"))

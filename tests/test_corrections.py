@@ -59,3 +59,26 @@ def test_state_ends_after_the_delay(spark, tmp_path):
     assert arrive((4, "c", "2024-02-01 00:00:00")) == [(4, 1)]
     # the states of a and b are gone by now; an answer within the watermark of a forgotten response is a first one
     assert arrive((5, "a", "2024-02-01 00:00:00")) == [(5, 1)]
+
+
+def test_states_do_not_grow_by_responses(spark, tmp_path):
+    schema = "row_id long, response_id string, q1 double, at timestamp"
+    landing, seen = str(tmp_path / "in"), []
+    of = lambda ids, step: ids.selectExpr(f"id * 2 + {step} AS row_id", "concat('r', id) AS response_id", "CASE WHEN id % 2 = 0 THEN 1.5D END AS q1", "TIMESTAMP '2024-01-01 05:06:07' AS at")
+
+    def arrive(answers):
+        answers.write.mode("append").parquet(landing)
+        signed = signed_answers(spark.readStream.schema(schema).parquet(landing), groups=8)
+        query = signed.writeStream.foreachBatch(lambda df, _: seen.extend(sorted(map(tuple, df.collect()), key=lambda r: r[0])))
+        started = query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        started.awaitTermination()
+        out = [(*r[:3], str(r[3]), r[4]) for r in seen]
+        seen.clear()
+        return out, started.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    at = "2024-01-01 05:06:07"
+    first, states = arrive(of(spark.range(3000), 0))
+    assert len(first) == 3000 and states <= 8
+    assert first[:2] == [(0, "r0", 1.5, at, 1), (2, "r1", None, at, 1)]
+    second, states = arrive(of(spark.range(3), 1).union(of(spark.range(3, 5), -1)))  # three corrections, two late answers
+    assert [(r[0], r[4]) for r in second] == [(0, -1), (1, 1), (2, -1), (3, 1), (4, -1), (5, 1)] and states <= 8
