@@ -110,6 +110,14 @@ def finish_feedback(statistics: DataFrame, comments: DataFrame, keys: list[str])
     )
 
 
+def page_totals(feedback: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per page of a feedback table: average, number, and characters of its joined comments, however they are cut into parts."""
+    between = len(COMMENT_SEPARATOR) * (F.count("*") - 1)  # separators that the cuts took out
+    return feedback.groupBy(*keys).agg(
+        F.max("avg_q1").alias("avg_q1"), F.sum("n").alias("n"), (F.sum(F.length("q2_comments")) + between).alias("comment_chars")
+    )
+
+
 def status_summary(df: DataFrame, status: str) -> DataFrame:
     """Totals of an audit: valid is what has neither flag."""
     from ..functions.metadata import BAD_METADATA, NO_METADATA

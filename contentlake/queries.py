@@ -206,9 +206,7 @@ def survey_file_pipeline(spark, sf_dir):
     cleaned = S.clean_survey(src.read_survey(spark, path), origin=ORIGIN, rules=rules, exclude=view(spark, sf_dir, "v_exclude"))
     feedback = S.feedback_dataset(cleaned, view(spark, sf_dir, "v_product"), url="canonical_url", order=["file", "row_order"])
     # the order of comments follows the files; their total length does not
-    return feedback.groupBy("canonical_url", "product").agg(
-        F.max("avg_q1").alias("avg_q1"), F.sum("n").alias("n"), F.sum(F.length("q2_comments")).alias("comment_chars")
-    )
+    return A.page_totals(feedback, ["canonical_url", "product"])
 
 
 @query

@@ -443,3 +443,14 @@ def test_last_commit(spark):
     files = spark.createDataFrame([("a",), ("b",)], "f string")
     commits = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 3)), ("a", dt.datetime(2023, 1, 1))], "f string, ts timestamp_ntz")
     assert rows(enrich.last_commit(files, commits, "f", "ts")) == [("a", "2024-01-02T03:00:00+00:00"), ("b", "")]
+
+
+def test_page_totals_do_not_depend_on_parts(spark):
+    rows = [(i, "u", 3.0, f"comment {i}" if i % 3 else None, "2024-01-01") for i in range(40)] + [(99, "v", 2.0, None, "2024-01-01")]
+    df = spark.createDataFrame(rows, "row_id long, url string, q1 double, q2 string, day string")
+    args = dict(url="url", rating="q1", comment="q2", date="day", order="row_id", product=F.lit("P"))
+    whole = {tuple(r) for r in A.page_totals(A.feedback_by_page(df, **args), ["canonical_url", "product"]).collect()}
+    cut = A.feedback_by_page(df, **args, max_comments=4)
+    assert cut.filter("canonical_url = 'u'").count() > 5
+    assert {tuple(r) for r in A.page_totals(cut, ["canonical_url", "product"]).collect()} == whole
+    assert whole == {("u", "P", 3.0, 40, len("|||".join(r[3] for r in rows[:40] if r[3]))), ("v", "P", 2.0, 1, 0)}
