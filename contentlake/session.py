@@ -31,6 +31,8 @@ def build_session(app: str = "contentlake", master: str | None = None, **conf: s
 
 #: Bytes of an Arrow batch where rows are whole texts or sets: a worker holds a few copies of a batch.
 BATCH_BYTES = 8 << 20
+#: The same for stored pages, documents and files, where memory of a worker must not follow the rows of its tasks.
+PAGE_BYTES = 1 << 20
 
 
 def limit_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from ..functions.common import unify_newlines
+from ..session import PAGE_BYTES, limit_batches
 
 def plain_root(root: str) -> str:
     """A root as Arrow takes it: ``file:`` URIs become paths, other URIs stay."""
@@ -130,6 +131,7 @@ def read_doc_tree(
     ``skip_index`` drops ``_index.md``: ``exact`` spelling or in ``any`` case. Line ends are
     unified. A file that cannot be read keeps its row, with the reason in ``error``.
     """
+    limit_batches(spark, PAGE_BYTES)
     files = list_files(spark, root)
     path = F.col("path")
     files = files.filter(has_extension(path, extension, ignore_case))
@@ -161,7 +163,7 @@ def read_doc_tree(
                 except (OSError, ValueError) as problem:
                     rows.append((name, None, f"Error reading {name}: {problem}"))
                 size += len(rows[-1][1] or "")
-                if size > 16 << 20:  # hand over about 16 MB at a time
+                if size > PAGE_BYTES:  # hand over about so much at a time
                     yield batch(rows)
                     rows, size = [], 0
             if rows:
@@ -238,6 +240,7 @@ def write_doc_tree(docs: DataFrame, root: str) -> DataFrame:
     Returns what was left out, see :func:`unwritable`: a document that failed leaves no empty file behind.
     """
     _register_writer(docs.sparkSession)
+    limit_batches(docs.sparkSession, PAGE_BYTES)
     path = F.col("path")
     inside = path.isNotNull() & F.col("content").isNotNull() & ~path.rlike(r"(?:\A|[/\\\\])\.\.(?:[/\\\\]|\z)")
     docs.filter(inside).select("path", "content").write.format(WRITER).mode("append").save(plain_root(root))
