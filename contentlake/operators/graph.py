@@ -14,7 +14,7 @@ from ..functions.urls import (
     url_host,
     url_path,
 )
-from ..session import known_bytes, materialize, scratch_path
+from ..session import PAGE_BYTES, known_bytes, limit_batches, materialize, scratch_path
 from .prefix import slash_prefixes
 from .skew import lookup_join
 
@@ -27,6 +27,7 @@ MERGE_TURNS = 32
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(src, dst) for every anchor: resolved, entity-decoded, both without trailing slash."""
+    limit_batches(pages.sparkSession, PAGE_BYTES)
     raw = pages.select(strip_trailing_slash(url).alias("src"), F.explode(extract_hrefs(html)).alias("href"))
     return raw.select("src", strip_trailing_slash(resolve_url("src", decode_entities("href"))).alias("dst"))
 

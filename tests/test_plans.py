@@ -91,3 +91,29 @@ def test_feedback_reads_its_answers_once(spark, survey, tmp_path, monkeypatch):
     assert 1 <= len(source) <= 2, source  # once for the distinct URLs, once for the rows
     assert 1 <= sum("rated-answers" in s for plan in scans for s in plan) <= 3
     assert out.count() == 7
+
+
+def test_python_stages_of_pages_and_documents_take_small_batches(spark, tmp_path):
+    from contentlake.operators import graph
+    from contentlake.plans import documents as D
+    from contentlake.session import PAGE_BYTES
+    from contentlake.sources import doctree
+
+    key, root = "spark.sql.execution.arrow.maxBytesPerBatch", str(tmp_path / "tree")
+    docs = spark.createDataFrame([("/repo/content/a/p.md", "---\ntags: x\n---\nText")], "path string, content string")
+    pages = spark.createDataFrame([("https://h/a", '<a href="/b">')], "url string, html string")
+    kept = spark.conf.get(key)
+    steps = {
+        "links": lambda: graph.page_links(pages).count(),
+        "cleanup": lambda: D.metadata_cleanup(docs).count(),
+        "audit": lambda: D.classified(docs, "/repo/content").count(),
+        "write": lambda: doctree.write_doc_tree(docs, root).count(),
+        "read": lambda: doctree.read_doc_tree(spark, root).count(),
+    }
+    try:
+        for name, step in steps.items():
+            spark.conf.set(key, str(64 << 20))
+            step()
+            assert int(spark.conf.get(key)) <= PAGE_BYTES, name
+    finally:
+        spark.conf.set(key, kept)
