@@ -186,7 +186,11 @@ def _date_parts(text: Column) -> Column:
 
 
 def _stamp(parts: Column) -> Column:
-    number = lambda i: F.get(parts, F.lit(i)).try_cast("int")
+    def number(i: int) -> Column:
+        # a failed cast builds an error for every row, which costs far more than this test
+        part = F.get(parts, F.lit(i))
+        return F.when(part.rlike(r"\A[0-9]+\z"), part.try_cast("int"))
+
     named = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.get(parts, F.lit(1)))).cast("int")
     half = F.lower(F.get(parts, F.lit(6)))
     hour = F.coalesce(number(3), F.lit(0))

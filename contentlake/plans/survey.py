@@ -10,6 +10,7 @@ from ..operators.aggregates import MAX_COMMENTS, UNKNOWN_PRODUCT, feedback_by_pa
 from ..operators.enrich import attach_country, missing_keys, nearest_place, upsert_cache
 from ..operators.filters import drop_keyword, drop_missing, exclude_ids
 from ..operators.prefix import canonical_links, dedup_rules, match_prefix
+from ..session import cut_hot_partitions
 
 # The word that marks trial answers.
 TRIAL_WORD = "testing"
@@ -75,6 +76,7 @@ def clean_survey(
     Takes the columns of a survey file (:func:`survey_columns`) or link_url, current_url, q2,
     response_id, lat, lon as available. ``canonical_url`` is added wherever there is a link: without rules it equals the normalised URL.
     """
+    cut_hot_partitions(df.sparkSession)
     df = survey_columns(df)
     df = drop_missing(df, "link_url")
     df = drop_keyword(df, "q2", TRIAL_WORD)
@@ -109,6 +111,7 @@ def feedback_dataset(
     df: DataFrame, products: DataFrame, *, url: str = "link_url", order: str | list[str] = "row_id", max_comments: int = MAX_COMMENTS
 ) -> DataFrame:
     """Feedback per canonical page and product. ``order``: row_id, or file and row_order of a survey file."""
+    cut_hot_partitions(df.sparkSession)
     mapped = map_product(survey_columns(df), url, products)
     return feedback_by_page(
         mapped,

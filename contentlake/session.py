@@ -43,6 +43,16 @@ def limit_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
         spark.conf.set(key, str(size))
 
 
+#: Bytes of a join partition from which a hot key is cut, and of its pieces: rows of answers are short and cleaning one takes long.
+SKEW_BYTES = 8 << 20
+
+
+def cut_hot_partitions(spark: SparkSession, size: int = SKEW_BYTES) -> None:
+    """Let adaptive execution cut skewed join partitions of answers into pieces of ``size`` bytes, in place of 64 MB above 256 MB."""
+    for key in ("skewJoin.skewedPartitionThresholdInBytes", "advisoryPartitionSizeInBytes"):
+        spark.conf.set(f"spark.sql.adaptive.{key}", f"{size}b")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
