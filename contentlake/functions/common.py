@@ -50,6 +50,31 @@ def unify_newlines(c: Column | str) -> Column:
     return F.regexp_replace(col(c), r"\r\n?", "\n")
 
 
+def head_and_tail(text: Column, marks: list[str]) -> Column:
+    """``STRUCT<head, tail>``: the text up to the end of the line with the last of ``marks``, and the rest.
+
+    The tail holds no mark, so a pattern whose matches need one (and end on its line) only has to search the head.
+    A text without marks is all tail. Cut by bytes, which is far cheaper than a search by a pattern.
+    """
+    rest = text
+    for mark in marks:
+        rest = F.substring_index(rest, mark, -1)
+
+    def measure(p: Column) -> Column:
+        whole, after = F.octet_length(p["text"]), F.octet_length(p["rest"])
+        line = F.octet_length(F.substring_index(p["rest"], "\n", 1)) + 1
+        tail = F.when(whole == after, whole).otherwise(F.greatest(after - line, F.lit(0)))
+        return F.struct(p["text"].cast("binary").alias("bytes"), (whole - tail).alias("n"), tail.alias("tail"))
+
+    def cut(p: Column) -> Column:
+        return F.struct(
+            p["bytes"].substr(F.lit(1), p["n"]).cast("string").alias("head"),
+            p["bytes"].substr(p["n"] + 1, p["tail"]).cast("string").alias("tail"),
+        )
+
+    return bind(bind(F.struct(text.alias("text"), rest.alias("rest")), measure), cut)
+
+
 def replace_matches(text: Column, pattern: str, groups: list[int], build: Callable[..., Column]) -> Column:
     """Replace every match of ``pattern`` by ``build(group, ...)``, a computed column.
 

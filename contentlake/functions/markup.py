@@ -13,6 +13,7 @@ from .text import clean_text
 INCLUDE = r"""(?U)\{\{<[\s&&[^\n]]*include[\s&&[^\n]]*["']([^"'\n]+)["'][\s&&[^\n]]*>\}\}"""
 INCLUDE_QUOTED = r'(?U)\{\{<[\s&&[^\n]]*include[\s&&[^\n]]*"([^"\n]+)"[\s&&[^\n]]*>\}\}'
 RELREF = r"""(?U)\{\{<\s*relref\s*["']([^"']+)["']\s*>\}\}"""
+SHORTCODE_END = ">}}"
 # A quoted value may hold ``>``; the bound on the pieces of a tag keeps the matcher's stack small.
 XML_TITLE = r"""(?U)<(?:article|module)(?:[^>"'\s]++|\s(?!name=)|"[^"]*+"|'[^']*+'){0,500}+\sname=["']([^"']+)["']"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from .common import WS, bind, col, replace_matches, rstrip_ws, strip_ws
+from .common import WS, bind, col, head_and_tail, replace_matches, rstrip_ws, strip_ws
 
 # The address pattern to scrub. [\p{L}\p{N}_] is the Unicode word class.
 WORD = r"[\p{L}\p{N}_]"
@@ -60,6 +60,21 @@ def clean_text(c: Column | str) -> Column:
     return decode_entities(collapse_ws(c))
 
 
+def outside_front_matter(cut: Column) -> Column:
+    """:func:`strip_front_matter` of a text that :func:`.common.head_and_tail` has cut at ``---`` or a part of it, cut likewise."""
+    blank = r"[\s\x1c-\x1f&&[^\n]]*"
+    delimiter = rf"(?mdU)^{blank}---{blank}(?:\n|\z)"
+
+    def outside(p: Column) -> Column:
+        kept = F.array_join(F.filter(p["pieces"], lambda _, i: i % 2 == 0), "")
+        # the tail goes on with the last piece: an even number of pieces ends inside a block that never closes
+        tail = F.when(F.size(p["pieces"]) % 2 == 0, F.lit("")).otherwise(p["tail"])
+        return F.struct(kept.alias("head"), tail.alias("tail"))
+
+    pieces = bind(cut, lambda p: F.struct(F.split(p["head"], delimiter, -1).alias("pieces"), p["tail"].alias("tail")))
+    return bind(pieces, outside)
+
+
 def strip_front_matter(text: Column | str, leading_only: bool = False) -> Column:
     """Drop ``---`` delimiter lines and what they enclose, anywhere in the text.
 
@@ -69,11 +84,8 @@ def strip_front_matter(text: Column | str, leading_only: bool = False) -> Column
     text = col(text)
     if leading_only:
         return F.regexp_replace(text, r"(?sd)\A---[^\S\n]*\n(?:.*?\n)??---[^\S\n]*(?:\n|\z)", "")
-    blank = r"[\s\x1c-\x1f&&[^\n]]*"
-    pieces = F.split(text, rf"(?mdU)^{blank}---{blank}(?:\n|\z)", -1)
-    return F.when(F.instr(text, "---") == 0, text).otherwise(
-        F.array_join(F.filter(pieces, lambda _, i: i % 2 == 0), "")
-    )
+    stripped = bind(outside_front_matter(head_and_tail(text, ["---"])), lambda p: F.concat(p["head"], p["tail"]))
+    return F.when(text.contains("---"), stripped).otherwise(text)
 
 
 def remove_html_comments(c: Column | str) -> Column:

@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.common import bind, col
-from ..functions.markup import include_gaps, include_key, include_refs
+from ..functions.common import bind, col, computed, head_and_tail
+from ..functions.markup import SHORTCODE_END, include_gaps, include_key, include_refs
 from ..functions.text import VERSIONS_LINE, strip_front_matter
 from ..session import known_bytes, materialize, row_count
 from .filters import not_index
@@ -70,9 +70,9 @@ def _interleave(gaps: Column, texts: Column) -> Column:
     return bind(F.struct(gaps.alias("gaps"), texts.alias("texts")), join)
 
 
-def _refs_of(df: DataFrame, key: str, text: str) -> DataFrame:
-    refs = F.transform(include_refs(text), include_key)
-    return df.select(key, F.posexplode(refs).alias("pos", "ref"))
+def _keys(text: Column | str) -> Column:
+    """The fragments a text includes, in order."""
+    return F.transform(include_refs(text), include_key)
 
 
 def resolve_fragments(fragments: DataFrame) -> DataFrame:
@@ -82,15 +82,17 @@ def resolve_fragments(fragments: DataFrame) -> DataFrame:
     many others is expanded a single time. What never completes is part of, or leads into, a
     cycle; it is returned with ``text`` NULL.
     """
-    source = fragments.select(
-        F.regexp_replace("include_path", r"\A/+", "").alias("ref"), strip_front_matter("content").alias("text")
+    texts = fragments.select(
+        F.regexp_replace("include_path", r"\A/+", "").alias("ref"), computed(strip_front_matter("content")).alias("text")
     )
+    # stored, since four steps below read it: every fragment is stripped and searched once
+    source = materialize(texts.select("ref", "text", _keys("text").alias("refs")), "sources")
     empty = F.array().cast("array<string>")
-    no_refs = F.size(include_refs("text")) == 0
+    no_refs = F.size("refs") == 0
     nothing = [F.lit(0).cast("bigint").alias("n_missing"), empty.alias("missing")]
     fresh = materialize(source.filter(no_refs).select("ref", "text", *nothing), "fragments")
-    open_ = source.filter(~no_refs).select(F.col("ref").alias("owner"), "text")
-    uses = _refs_of(open_, "owner", "text")
+    open_ = source.filter(~no_refs).select(F.col("ref").alias("owner"), "text", "refs")
+    uses = open_.select("owner", F.posexplode("refs").alias("pos", "ref"))
     known = lookup_join(uses, source.select("ref", F.lit(True).alias("exists")), "ref")
     piece = "struct<pos:int,t:string,n_missing:bigint,missing:array<string>>"
     gone = F.struct(F.col("pos"), F.lit("").alias("t"), F.lit(1).cast("bigint").alias("n_missing"), F.array("ref").alias("missing"))
@@ -99,7 +101,7 @@ def resolve_fragments(fragments: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("exists").isNull(), gone.cast(piece))).alias("pieces"),
         F.collect_list(F.when(F.col("exists").isNotNull(), F.struct("pos", "ref"))).alias("wanted"),
     )
-    waiting = materialize(open_.join(waiting, "owner"), "open-fragments")
+    waiting = materialize(open_.drop("refs").join(waiting, "owner"), "open-fragments")
     rounds = [fresh]
     while row_count(waiting) and (row_count(fresh) or len(rounds) == 1):
         # only what is still open meets what the last round completed
@@ -140,16 +142,20 @@ def expand_includes(
     Adds ``expanded``, ``n_errors`` (missing fragments, or 1 for a cycle) and ``error``. A missing
     fragment leaves nothing behind; a document that reaches a cycle has ``expanded`` NULL.
     ``compat`` drops a whole line when an expansion inside it holds a ``versions`` shortcode.
+    Patterns only search the lines up to the last shortcode.
     """
     resolved = materialize(resolve_fragments(fragments), "fragments")
     # documents without a reference need no join, so their text is never shuffled
-    has_refs = col(text).contains("{{<") & (F.size(include_refs(text)) > 0)
+    cut = docs.select(*docs.columns, computed(head_and_tail(col(text), [SHORTCODE_END])).alias("_cut"))
+    head, tail = F.col("_cut.head"), F.col("_cut.tail")
+    has_refs = head.contains("{{<") & (F.size(include_refs(head)) > 0)
     has_refs = F.coalesce(has_refs, F.lit(False))
-    with_refs = docs.filter(has_refs)
-    untouched = docs.filter(~has_refs).select(
+    with_refs = cut.filter(has_refs)
+    untouched = cut.filter(~has_refs).select(
         *docs.columns, col(text).alias("expanded"), F.lit(0).cast("bigint").alias("n_errors"), F.lit(None).cast("string").alias("error")
     )
-    refs = _refs_of(with_refs, key, text)
+    # stored: the join reads them twice when the fragments are no broadcast, and texts are searched once
+    refs = materialize(cut.select(key, F.posexplode(_keys(head)).alias("pos", "ref")), "references")
     joined = lookup_join(refs, resolved.withColumn("found", F.lit(True)), "ref", right_bytes=known_bytes(resolved))
     found = F.coalesce("found", F.lit(False))
     piece = F.coalesce("text", F.lit(""))
@@ -166,7 +172,7 @@ def expand_includes(
     pieces = F.col("_parts.t")
     if compat:
         pieces = F.transform(pieces, lambda t: F.replace(t, F.lit("\n"), F.lit(_INNER_BREAK)))
-    filled = _interleave(include_gaps(text), pieces)
+    filled = _interleave(include_gaps(head), pieces)
     if compat:
         kept = F.filter(
             F.split(filled, "\n", -1), lambda line: ~F.replace(line, F.lit(_INNER_BREAK), F.lit("\n")).rlike(VERSIONS_LINE)
@@ -175,12 +181,12 @@ def expand_includes(
     missing = F.concat(F.lit("missing include: "), F.array_join("_missing", ", "))
     expanded = (
         with_refs.join(per_doc, key)
-        .withColumn("expanded", F.when(~cycle, filled))
+        .withColumn("expanded", F.when(~cycle, F.concat(filled, tail)))
         .withColumn(
             "n_errors",
             F.when(cycle, 1).otherwise(F.coalesce(F.col("_gone") + F.col("_nested"), F.lit(0))).cast("bigint"),
         )
         .withColumn("error", F.when(cycle, "include cycle").when(F.col("n_errors") > 0, missing))
-        .drop("_parts", "_gone", "_nested", "_cycle", "_missing")
+        .drop("_cut", "_parts", "_gone", "_nested", "_cycle", "_missing")
     )
     return expanded.unionByName(untouched)

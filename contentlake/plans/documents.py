@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import metadata as M
-from ..functions.common import computed
+from ..functions.common import computed, head_and_tail
 from ..functions.markdown import markdown_rendered
-from ..functions.markup import relref_to_relative
+from ..functions.markup import SHORTCODE_END, relref_to_relative
 from ..functions.text import (
     drop_version_lines,
+    outside_front_matter,
     reading_counts,
     reading_grade,
     remove_html_comments,
     spans_to_bold,
-    strip_front_matter,
 )
 from ..functions.urls import content_path, in_includes, page_url, relative_path, repo_content_path
 from ..operators.aggregates import metadata_flagged, metadata_wide
@@ -140,18 +140,24 @@ def archive(docs: DataFrame, fragments: DataFrame, root: str, compat: bool = Fal
     """
     below = relative_path("path", root)
     picked = docs.filter(~F.col("path").rlike(r"(?:\A|/)_index\.md\z") & F.col("path").endswith(".md"))
-    plain = picked.select(
+    # delimiters, shortcodes and comments end with one of two marks: no step finds anything after the line of the last one
+    cut = picked.select(
         "path",
         F.regexp_extract(below, r"\A([^/]*)/", 1).alias("doc_set"),
         F.regexp_extract(below, r"\A[^/]*/(?:(.*)/)?[^/]*\z", 1).alias("folder"),
-        strip_front_matter("content").alias("content"),
+        computed(head_and_tail(F.col("content"), ["--", SHORTCODE_END])).alias("cut"),
         read_error(docs).alias("unread"),
     )
-    expanded = expand_includes(plain, fragments, compat=compat)
+    plain = cut.select("path", "doc_set", "folder", "unread", computed(outside_front_matter(F.col("cut"))).alias("cut"))
+    heads = plain.select("path", "doc_set", "folder", "unread", "cut.head", "cut.tail")
+    expanded = expand_includes(heads, fragments, text="head", compat=compat)
     text = F.col("expanded") if compat else drop_version_lines("expanded")
-    linked = relref_to_relative(remove_html_comments(text), "folder", "doc_set")
+    bare = expanded.select(
+        "path", "doc_set", "folder", "unread", "n_errors", "error", "tail", computed(remove_html_comments(text)).alias("text")
+    )
+    linked = F.concat(relref_to_relative("text", "folder", "doc_set"), F.col("tail"))
     unread = F.col("unread").isNotNull()
-    return expanded.select(
+    return bare.select(
         "path", "doc_set", F.when(~unread, linked).alias("archived"),
         F.when(unread, F.lit(1).cast("bigint")).otherwise(F.col("n_errors")).alias("n_errors"),
         F.when(unread, F.concat(F.lit("ERROR while reading "), F.col("path"), F.lit(": "), F.col("unread"))).otherwise(F.col("error")).alias("error"),
