@@ -9,13 +9,16 @@
    the bound, and whose members can be of similar size, are opened. Tokens of more than ``HOT_GROUPS`` groups are not paired:
    their number per group lowers the bound. Groups that mainly consist of such tokens (more than k) are paired
    along them too, among themselves, and if even that is too many, along a chain of one per token.
-5. The sets of a group are compared exactly with each other and with those of the groups it was opened for. A group above
-   ``BLOCK`` classes is cut into blocks by distance to a center: with x = C without A_x and with B_x, the intersection of x and y is
+5. The sets of a group are compared exactly with each other and with those of the groups it was opened for. Groups above
+   ``BLOCK`` classes, and groups that meet more than that, are first dealt anew: the tokens of their sets are ordered by how many
+   of these sets have them, and sets that share one of their first p tokens in that order are connected. What all have (a licence, a
+   header) comes last and connects only sets that hold little else. No similar pair lies in two of these parts.
+   A part above ``BLOCK`` classes is cut into blocks by distance to a center: with x = C without A_x and with B_x, the intersection of x and y is
    |C| - |A_x| - |A_y| + |A_x & A_y| + |B_x & B_y|. The ranges of a block decide most block pairs as all linked or not at all;
-   the others are products of the differences, which are short for near copies.
+   the others are products of the differences, which are short for near copies; they are sent as pairs of strips of blocks.
 
 Nothing depends on the size of a group of copies but counts. No pair of documents is emitted: a block travels as one row
-and returns a row per class with its number of links, and a spanning forest. The products of unlike sets in one large group are
+and returns a row per class with its number of links, and a spanning forest. The products of unlike sets in one large part are
 quadratic in its blocks, as the number of its links may be.
 
 Cases: null text, empty text and text of blanks have the empty set and no link; fewer words than the
@@ -27,8 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.skew import lookup_join, stored
 from ..session import known_bytes, limit_batches, materialize, row_count
@@ -42,8 +44,12 @@ BANDS, BAND_ROWS = 4, 3
 HOT_GROUPS = 128
 BUCKETS = 1024
 BUCKET_TOKENS = 1_000_000
+#: Rooms of classes at least, see ``rare_parts``.
+ROOMS = 128
 #: Classes and tokens of a block at most (about; one set is never cut).
 BLOCK, BLOCK_TOKENS = 512, 1 << 20
+#: Blocks and bytes of a strip at most (about; one block is never cut).
+STRIP, STRIP_BYTES = 8, 8 << 20
 COLUMNS = 4096
 
 _BIN_STARTS = np.array([(k << 64) // (BANDS * BAND_ROWS) for k in range(BANDS * BAND_ROWS)], U64)
@@ -328,72 +334,76 @@ def _differences():
 
 
 def _block_links(percent: int):
-    """Links of one pair of packed blocks: one packed row for each side, links and a spanning forest of its classes."""
+    """Links of the block pairs of two strips: a packed row per block, with the links and a spanning forest of its classes."""
 
-    def unpacked(table: pa.Table, side: int):
-        row = table.filter(pa.compute.equal(table.column("side"), side))
-        members = row.column("members").combine_chunks()[0].values if len(row) else None
-        if members is None:
-            return None
+    def unpacked(members: pa.StructArray):
         cid, copies, n, gone, kept, tokens = (members.field(k) for k in ("cid", "copies", "n", "gone", "kept", "tokens"))
         sets = [np.frombuffer(x, U64) for x in tokens.to_pylist()]
-        return row.column("block")[0].as_py(), *(x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (cid, copies, n, gone, kept)), sets
+        return *(x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (cid, copies, n, gone, kept)), sets
 
     def compare(table: pa.Table) -> pa.Table:
         center = table.column("center")[0].as_py()
-        sides = [0] if table.column("side")[0].as_py() == 0 else [1, 2]
-        left = unpacked(table, sides[0])
-        right = left if len(sides) == 1 else unpacked(table, 2)
-        out = {name: [] for name in ("grp", "kind", "side", "block", "cids", "links", "tos")}
-        if left is not None and right is not None:
-            lblock, lcid, lcopies, ln, lgone, lkept, lsets = left
-            rblock, rcid, rcopies, rn, rgone, rkept, rsets = right
-            both = shared(lsets, rsets, np.maximum(lkept, 0), np.maximum(rkept, 0))
-            # |x & y| = |C| - gone(x) - gone(y) + product for two differences; a set given as itself counts from its own overlap with C
-            a, b = lgone[:, None], rgone[None, :]
-            lwhole, rwhole = (lkept < 0)[:, None], (rkept < 0)[None, :]
-            both += np.where(lwhole & rwhole, 0, center - np.where(rwhole, b, 0) - np.where(lwhole, a, 0) - np.where(lwhole | rwhole, 0, a + b))
-            link = linked(both, ln, rn, percent)
-            if right is left:
-                np.fill_diagonal(link, False)
-            at = len(lcid) if right is not left else 0
-            n = at + len(rcid)
-            square = np.zeros((n, n), bool)
-            square[: len(lcid), at:] = link
-            square |= square.T
-            label, names = _forest(square), np.append(lcid, rcid) if at else lcid
-            for side, block, cid, links, to in ((sides[0], lblock, lcid, link @ rcopies, label[: len(lcid)]), (2, rblock, rcid, lcopies @ link, label[at:]))[: len(sides)]:
-                if links.any():
-                    for name, value in zip(out, (table.column("grp")[0].as_py(), table.column("kind")[0].as_py(), side, block, cid, links, names[to]), strict=True):
-                        out[name].append(value)
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()] + [pa.list_(pa.int64())] * 3
-        return pa.table({name: pa.array(v, k) for (name, v), k in zip(out.items(), kinds, strict=True)})
+        blocks = {name: unpacked(members.values) for name, members in zip(table.column("block").to_pylist(), table.column("members").combine_chunks(), strict=True)}
+        links = {name: np.zeros(len(block[0]), np.int64) for name, block in blocks.items()}
+        parent: dict[int, int] = {}
+        for x, partners in zip(table.column("block").to_pylist(), table.column("partners").to_pylist(), strict=True):
+            lcid, lcopies, ln, lgone, lkept, lsets = blocks[x]
+            for y in partners:
+                rcid, rcopies, rn, rgone, rkept, rsets = blocks[y]
+                both = shared(lsets, rsets, np.maximum(lkept, 0), np.maximum(rkept, 0))
+                # |x & y| = |C| - gone(x) - gone(y) + product for two differences; a set given as itself counts from its own overlap with C
+                a, b = lgone[:, None], rgone[None, :]
+                lwhole, rwhole = (lkept < 0)[:, None], (rkept < 0)[None, :]
+                both += np.where(lwhole & rwhole, 0, center - np.where(rwhole, b, 0) - np.where(lwhole, a, 0) - np.where(lwhole | rwhole, 0, a + b))
+                link = linked(both, ln, rn, percent)
+                if x == y:
+                    np.fill_diagonal(link, False)
+                links[x] += link @ rcopies
+                if x != y:
+                    links[y] += lcopies @ link
+                at = len(lcid) if x != y else 0
+                square = np.zeros((at + len(rcid),) * 2, bool)
+                square[: len(lcid), at:] = link
+                square |= square.T
+                label, names = _forest(square), np.append(lcid, rcid) if at else lcid
+                apart = names[label] != names
+                _united(parent, names[apart], names[label][apart])
+        rows = [(table.column("grp")[0].as_py(), name, blocks[name][0], n, [_root(parent, c) for c in blocks[name][0].tolist()]) for name, n in links.items() if n.any()]
+        kinds = [pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * 3
+        return pa.table({name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(zip(("grp", "block", "cids", "links", "tos"), kinds, strict=True))})
 
     return compare
 
 
-_BLOCK_RESULT = "grp long, kind int, side int, block long, cids array<long>, links array<long>, tos array<long>"
+def _root(parent: dict[int, int], x: int) -> int:
+    while parent.get(x, x) != x:
+        parent[x] = x = parent.get(parent[x], parent[x])
+    return x
+
+
+def _united(parent: dict[int, int], a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Joins the trees of a forest along edges; those that joined two."""
+    edges = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, r = _root(parent, x), _root(parent, y)
+        if p != r:
+            parent[max(p, r)] = min(p, r)
+            edges.append((x, y))
+    return edges
+
+
+_BLOCK_RESULT = "grp long, block long, cids array<long>, links array<long>, tos array<long>"
 
 
 def _sum_blocks(table: pa.Table) -> pa.Table:
-    """Results of one block with all its partners: a row per linked class with the sum of its links, and the edges left of a spanning forest."""
+    """Results of one block with all strips: a row per linked class with the sum of its links, and the edges left of a spanning forest."""
     column = lambda name: [np.array(x, np.int64) for x in table.column(name).to_pylist()]
     cids, links, tos = column("cids")[0], sum(column("links")), column("tos")
     parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = x = parent.get(parent[x], parent[x])
-        return x
-
     edges = []
     for to in tos:
         apart = to != cids
-        for a, b in zip(cids[apart].tolist(), to[apart].tolist(), strict=True):
-            x, y = root(a), root(b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                edges.append((a, b))
+        edges += _united(parent, cids[apart], to[apart])
     first = dict(reversed(edges))
     some = links > 0
     rows = [(c, n, first.get(c, c)) for c, n in zip(cids[some].tolist(), links[some].tolist(), strict=True)]
@@ -426,8 +436,8 @@ def _sure(percent: int, l: str, r: str) -> tuple[Column, Column]:  # noqa: E741
     return all_linked, (100 + percent) * most < percent * (c(f"{l}_n_low") + c(f"{r}_n_low"))
 
 
-def _large_links(large: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, units): links of groups cut into blocks that are sure by distances to a center, and the block pairs to compare.
+def _large_links(large: DataFrame, percent: int) -> DataFrame:
+    """Links of groups cut into blocks: those that are sure by distances to a center, and those of the block pairs to compare.
 
     Near copies of one text differ from the center by few tokens, so a class travels as its difference.
     """
@@ -441,11 +451,11 @@ def _large_links(large: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     dealt = lookup_join(told, bins, ["grp", "octave"], "inner", right_bytes=known_bytes(bins))
     dealt = dealt.withColumn("block", F.col("octave") * (1 << 40) + _dealt(F.col("parts")))
     ranges = [f(c).alias(f"{c}_{name}") for c in ("n", "gone", "far") for name, f in (("low", F.min), ("high", F.max))]
-    packs = _packed(dealt, ["grp", "block"], [F.first("center").alias("center"), F.count(F.lit(1)).alias("classes"), F.sum("copies").alias("total"), F.min("cid").alias("head"), *ranges])
+    packs = _packed(dealt, ["grp", "block"], [F.first("center").alias("center"), F.count(F.lit(1)).alias("classes"), F.sum("copies").alias("total"), F.min("cid").alias("head"), F.sum(F.octet_length("tokens")).alias("heft"), *ranges])
     packs = materialize(packs, "group-blocks")
 
     # pairs of blocks, decided by their ranges alone where that is possible
-    thin = [c for c in packs.columns if c not in ("members", "center", "grp")]
+    thin = [c for c in packs.columns if c not in ("members", "center", "grp", "heft")]
     side = lambda name: [F.col(c).alias(f"{name}_{c}") for c in thin]
     pairs = packs.select("grp", "center", *side("l")).join(packs.select("grp", *side("r")), "grp").filter("l_block <= r_block")
     all_linked, none = _sure(percent, "l", "r")
@@ -460,52 +470,158 @@ def _large_links(large: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     links = each.select("cid", (F.col("gain") - F.when(F.col("own"), F.col("copies")).otherwise(0)).alias("links"), "to")
     links = links.unionByName(sure.select(F.col("l_head").alias("cid"), F.lit(0).cast("long").alias("links"), F.col("r_head").alias("to")))
 
-    unsure = pairs.filter("not sure").select("grp", F.col("l_block").alias("x"), F.col("r_block").alias("y"))
-    body = packs.select("grp", "block", "center", "members")
-    same = F.col("x") == F.col("y")
-    ones = unsure.join(body.withColumnRenamed("block", "x"), ["grp", "x"]).select("grp", "x", "y", F.when(same, 0).otherwise(1).alias("side"), F.col("x").alias("block"), "center", "members")
-    twos = unsure.filter("x <> y").join(body.withColumnRenamed("block", "y"), ["grp", "y"]).select("grp", "x", "y", F.lit(2).alias("side"), F.col("y").alias("block"), "center", "members")
-    return links, ones.unionByName(twos).withColumn("kind", F.lit(0))
+    # the others are compared by pairs of strips of blocks: a block is sent once for all its partners in a strip
+    cost = F.greatest(F.lit(1 / STRIP), F.col("heft") / STRIP_BYTES)
+    before = Window.partitionBy("grp").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    strips = packs.select("grp", "block", F.floor(F.coalesce(F.sum(cost).over(before), F.lit(0))).alias("strip"))
+    strips = materialize(strips, "block-strips")
+    strip = lambda name: strips.select("grp", F.col("block").alias(name), F.col("strip").alias(f"{name}_strip"))
+    unsure = pairs.filter("not sure").select("grp", F.col("l_block").alias("x"), F.col("r_block").alias("y")).join(strip("x"), ["grp", "x"]).join(strip("y"), ["grp", "y"])
+    sent = unsure.select("grp", "x_strip", "y_strip", F.explode(F.array(F.struct(F.col("x").alias("block"), F.col("y").alias("partner")), F.struct(F.col("y").alias("block"), F.lit(None).cast("long").alias("partner")))).alias("s"))
+    sent = sent.groupBy("grp", "x_strip", "y_strip", "s.block").agg(F.collect_list("s.partner").alias("partners"))
+    sent = materialize(sent, "strip-pairs")
+    units = lookup_join(packs.select("grp", "block", "center", "members"), sent, ["grp", "block"], "inner", right_bytes=known_bytes(sent))
+    told = units.groupBy("grp", "x_strip", "y_strip").applyInArrow(_block_links(percent), _BLOCK_RESULT)
+    return links.unionByName(told.groupBy("grp", "block").applyInArrow(_sum_blocks, "cid long, links long, to long"))
+
+
+def _packs(name: str, by: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row per value of ``by``, with its values of each column packed."""
+    order = np.argsort(by, kind="stable")
+    by = by[order]
+    cut = np.flatnonzero(np.append(True, by[1:] != by[:-1])) if len(by) else np.zeros(0, np.int64)
+    ends = np.append(cut[1:], len(by))
+    packed = [pa.array([_planes(c[order][i:j]) for i, j in zip(cut, ends, strict=True)] if len(by) else [], pa.binary()) for c in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array(by[cut].astype(np.int32)), *packed], [name, *columns])
+
+
+def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [np.concatenate([_unplanes(x) for x in table.column(c).to_pylist()]) for c in names]
+
+
+def _token_bucket(token: np.ndarray, shift: int) -> np.ndarray:
+    return (token.view(U64) >> U64(shift)).astype(np.int32)
+
+
+def _deal_sets(shift: int):
+    """Entries (token, class, size of its set) of a batch, one packed row per bucket of tokens."""
+
+    def deal(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x, np.int64) for x in batch.column("tokens").to_pylist()]
+            if sets:
+                token, times = np.concatenate(sets), [len(x) for x in sets]
+                cid, n = (np.repeat(batch.column(c).to_numpy(), times) for c in ("cid", "n"))
+                yield _packs("bucket", _token_bucket(token, shift), {"tokens": token, "cids": cid, "sizes": n})
+
+    return deal
+
+
+def _common_tokens(rooms: int):
+    """One bucket of tokens: entries of those that several sets have, with their number, one packed row per room of classes."""
+
+    def common(table: pa.Table) -> pa.Table:
+        token, cid, n = _unpacked(table, "tokens", "cids", "sizes")
+        _, at, among = np.unique(token, return_inverse=True, return_counts=True)
+        among = among[at]
+        some = among > 1
+        room = (mix(cid[some].view(U64)) % U64(rooms)).astype(np.int32)
+        return pa.Table.from_batches([_packs("room", room, {"tokens": token[some], "cids": cid[some], "sizes": n[some], "among": among[some]})])
+
+    return common
+
+
+def _rare_tokens(percent: int, shift: int):
+    """One room of classes: the first tokens of each, the rarest before, one packed row per bucket of tokens."""
+
+    def rare(table: pa.Table) -> pa.Table:
+        token, cid, n, among = _unpacked(table, "tokens", "cids", "sizes", "among")
+        order = np.lexsort((token, among, cid))
+        token, cid, n = token[order], cid[order], n[order]
+        starts = np.flatnonzero(np.append(True, cid[1:] != cid[:-1]))
+        sizes = np.diff(np.append(starts, len(cid)))
+        # tokens of this set only come before all others
+        some = np.arange(len(cid)) - np.repeat(starts, sizes) < np.repeat(sizes, sizes) + 1 + (-n * percent // 100)
+        return pa.Table.from_batches([_packs("bucket", _token_bucket(token[some], shift), {"tokens": token[some], "cids": cid[some]})])
+
+    return rare
+
+
+def _token_edges(table: pa.Table) -> pa.Table:
+    """One bucket of tokens: each class with the least class of each of its first tokens, distinct."""
+    token, cid = _unpacked(table, "tokens", "cids")
+    order = np.lexsort((cid, token))
+    token, cid = token[order], cid[order]
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    head = np.repeat(cid[starts], np.diff(np.append(starts, len(token))))
+    some = cid != head
+    a, b, _ = _sum_pairs(cid[some], head[some], np.ones(some.sum(), np.int64))
+    return pa.table({"a": a, "b": b})
+
+
+def rare_parts(sets: DataFrame, weight: int, percent: int = PERCENT) -> DataFrame:
+    """(cid, grp, size, weight): ``sets`` (cid, n, tokens), with ``weight`` tokens in all, dealt to parts so that no similar pair lies in two.
+
+    Ordered by the number of sets that have a token, the first n - ceil(s n) + 1 tokens of two similar sets share one. Sets
+    without a possible partner are left out. Tokens travel packed; those of one set only connect nothing and are sent once.
+    """
+    buckets, rooms = BUCKETS, max(ROOMS, -(-weight // BUCKET_TOKENS))
+    while buckets * BUCKET_TOKENS < weight:
+        buckets *= 2
+    shift = 64 - buckets.bit_length() + 1
+    dealt = sets.select("cid", "n", "tokens").mapInArrow(_deal_sets(shift), "bucket int, tokens binary, cids binary, sizes binary")
+    common = dealt.groupBy("bucket").applyInArrow(_common_tokens(rooms), "room int, tokens binary, cids binary, sizes binary, among binary")
+    rare = common.groupBy("room").applyInArrow(_rare_tokens(percent, shift), "bucket int, tokens binary, cids binary")
+    edges = rare.groupBy("bucket").applyInArrow(_token_edges, "a long, b long")
+    label = stored(components(edges).withColumnsRenamed({"v": "cid", "label": "grp"}), "rare-labels")
+    label = materialize(lookup_join(sets.select("cid", "n"), label, "cid", "inner", right_bytes=known_bytes(label)), "rare-classes")
+    sizes = materialize(label.groupBy("grp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")), "part-sizes")
+    return materialize(lookup_join(label.select("cid", "grp"), sizes, "grp", "inner", right_bytes=known_bytes(sizes)), "rare-parts")
 
 
 def group_links(members: DataFrame, pairs: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(cid, links, to) with one or several rows per linked class: inside each group, and between the groups of each pair.
 
     members: grp, size and weight (classes and tokens of the group), cid, copies, n, tokens. pairs: (home, guest), the sets
-    of the guest travel. sizes: (grp, size, weight) of all groups. Large groups meet block by block, a block travelling as one row.
+    of the guest travel. sizes: (grp, size, weight) of all groups. Large groups, those with many guests, and all their guests meet in
+    the parts of :func:`rare_parts`; large parts block by block, a block travelling as one row.
     """
-    zero, big = F.lit(0).cast("long"), F.col("parts") > 1
-    some = ["grp", "kind", "side", "cid", "copies", "tokens"]
-    members = members.withColumn("parts", _parts("size", "weight"))
-    small = members.filter((F.col("size") > 1) & ~big).select("grp", F.lit(0).alias("kind"), F.lit(0).alias("side"), "cid", "copies", "tokens")
-    links, units = _large_links(members.filter(big), percent)
-
-    # guests: chunks of them against blocks of the home
     known = lambda name: sizes.withColumnsRenamed({"grp": name, "size": f"{name}_size", "weight": f"{name}_weight"})
     visits = materialize(pairs.join(known("home"), "home").join(known("guest"), "guest"), "group-visits")
     calls = visits.groupBy("home").agg(F.first("home_size").alias("hs"), F.first("home_weight").alias("hw"), F.sum("guest_size").alias("gs"), F.sum("guest_weight").alias("gw"))
-    calls = materialize(calls.select("home", _parts("hs", "hw").alias("rooms"), _parts("gs", "gw").alias("chunks")), "group-calls")
-    light = (F.col("rooms") == 1) & (F.col("chunks") == 1)
-    hosts = lookup_join(members, calls.withColumnRenamed("home", "grp"), "grp", "inner", right_bytes=known_bytes(calls))
-    visits = lookup_join(visits.select("home", F.col("guest").alias("grp")), calls, "home", "inner", right_bytes=known_bytes(calls))
-    visits = materialize(visits, "visits")
-    guests = lookup_join(members, visits, "grp", "inner", right_bytes=known_bytes(visits))
-    three = F.lit(1).alias("kind")
-    meets = small.unionByName(hosts.filter(light).select("grp", three, F.lit(1).alias("side"), "cid", "copies", "tokens"))
-    meets = meets.unionByName(guests.filter(light).select(F.col("home").alias("grp"), three, F.lit(2).alias("side"), "cid", "copies", "tokens"))
-    found = meets.select(some).groupBy("grp", "kind").applyInArrow(_compare(percent), "cid long, links long, to long")
-
-    whole = lambda df: df.withColumn("gone", F.lit(0)).withColumn("kept", F.lit(-1))
-    rooms = _packed(whole(hosts.filter(~light)).withColumn("x", _dealt(F.col("rooms"))), ["grp", "x"], [F.first("chunks").alias("others")])
-    chunks = _packed(whole(guests.filter(~light)).drop("grp").withColumnRenamed("home", "grp").withColumn("y", _dealt(F.col("chunks"))), ["grp", "y"], [F.first("rooms").alias("others")])
-    every = F.explode(F.sequence(zero, F.col("others").cast("long") - 1))
-    rooms = rooms.select("grp", "x", every.alias("y"), F.lit(1).alias("side"), F.col("x").alias("block"), zero.cast("int").alias("center"), "members")
-    chunks = chunks.select("grp", every.alias("x"), "y", F.lit(2).alias("side"), F.col("y").alias("block"), zero.cast("int").alias("center"), "members")
-    units = units.withColumn("center", F.col("center").cast("int")).unionByName(rooms.unionByName(chunks).withColumn("kind", F.lit(1)))
-    told = units.groupBy("grp", "kind", "x", "y").applyInArrow(_block_links(percent), _BLOCK_RESULT)
-    # the side of a block is part of its name for guests only: a block of a group is left in some pairs and right in others
-    summed = told.withColumn("side", F.when(F.col("kind") == 0, 0).otherwise(F.col("side"))).groupBy("grp", "kind", "side", "block").applyInArrow(_sum_blocks, "cid long, links long, to long")
-    return found.unionByName(links).unionByName(summed)
+    busy = calls.filter((_parts("hs", "hw") > 1) | (_parts("gs", "gw") > 1)).select("home")
+    busy = materialize(busy.unionByName(sizes.filter((F.col("size") > 1) & (_parts("size", "weight") > 1)).select(F.col("grp").alias("home"))).distinct(), "busy-groups")
+    if not row_count(busy):
+        return _small_links(members, visits.select("home", "guest"), percent)
+
+    heavy = visits.join(busy, "home", "left_semi").select(F.col("guest").alias("grp")).unionByName(busy.withColumnRenamed("home", "grp"))
+    heavy = materialize(heavy.distinct(), "heavy-groups")
+    # what is left are pairs with a group that stays out of the parts
+    side = lambda name: heavy.select(F.col("grp").alias(name), F.lit(True).alias(f"{name}_heavy"))
+    visits = visits.join(side("home"), "home", "left").join(side("guest"), "guest", "left").filter("home_heavy is null or guest_heavy is null").select("home", "guest")
+    anew = materialize(lookup_join(members, heavy, "grp", "left_semi", right_bytes=known_bytes(heavy)).select("cid", "copies", "n", "tokens"), "heavy-members")
+    weight = sizes.join(heavy, "grp", "left_semi").agg(F.sum("weight").alias("n")).first()["n"]
+    parts = rare_parts(anew, weight, percent)
+    anew = lookup_join(anew, parts, "cid", "inner", right_bytes=known_bytes(parts)).withColumn("parts", _parts("size", "weight"))
+    links = _large_links(anew.filter("parts > 1"), percent)
+    apart = lookup_join(members, heavy.withColumn("apart", F.lit(True)), "grp", "left", right_bytes=known_bytes(heavy))
+    return links.unionByName(_small_links(apart, materialize(visits, "light-visits"), percent, anew.filter("parts = 1")))
+
+
+def _small_links(members: DataFrame, visits: DataFrame, percent: int, more: DataFrame | None = None) -> DataFrame:
+    """Links inside groups (but those marked ``apart``), between the groups of each visit (home, guest), and inside the groups of ``more``."""
+    some = ["grp", "kind", "side", "cid", "copies", "tokens"]
+    sides = lambda kind, side: [F.lit(kind).alias("kind"), F.lit(side).alias("side")]
+    own = members.filter("size > 1" + (" and apart is null" if "apart" in members.columns else ""))
+    meets = own.select("*", *sides(0, 0)).select(some)
+    homes = materialize(visits.select(F.col("home").alias("grp")).distinct(), "homes")
+    meets = meets.unionByName(lookup_join(members, homes, "grp", "left_semi", right_bytes=known_bytes(homes)).select("*", *sides(1, 1)).select(some))
+    visits = stored(visits.withColumnRenamed("guest", "grp"), "visits")
+    guests = lookup_join(members, visits, "grp", "inner", right_bytes=known_bytes(visits)).drop("grp").withColumnRenamed("home", "grp")
+    meets = meets.unionByName(guests.select("*", *sides(1, 2)).select(some))
+    if more is not None:
+        meets = meets.unionByName(more.select("*", *sides(2, 0)).select(some))
+    return meets.groupBy("grp", "kind").applyInArrow(_compare(percent), "cid long, links long, to long")
 
 
 def _members(docs: DataFrame, sets: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:

@@ -145,3 +145,24 @@ def test_differences_give_intersections():
             whole = int(kept[i] < 0) + int(kept[j] < 0)
             base = 100 - gone[i] - gone[j] if not whole else 0 if whole == 2 else 100 - (gone[i] if kept[i] < 0 else gone[j])
             assert got[i, j] + base == len(x & y)
+
+
+def test_unlike_sets_of_a_large_group_are_not_compared(spark, monkeypatch, tmp_path):
+    """Texts of a header and few own words fall into one group; the sets that are compared grow with the texts, not with their square."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "bands_of", lambda t: [1, 2, 3, 4])  # all are one group
+    log, shared = str(tmp_path / "compared"), jaccard_join.shared
+
+    def counted(left, right, *gone):
+        with open(log, "a") as f:
+            f.write(f"{len(left) + len(right)}\n")
+        return shared(left, right, *gone)
+
+    monkeypatch.setattr(jaccard_join, "shared", counted)
+    rng = random.Random(4)
+    header = prose(rng, 30)
+    rows = [(i, header + " " + prose(rng, rng.randrange(20, 40)), "en", "a", 1) for i in range(80)]
+    rows += [(100 + i, rows[i][1] + " end", "en", "a", 1) for i in range(6)] + [(200, rows[7][1], "en", "a", 1), (201, header, "en", "a", 1), (202, header + " end", "en", "a", 1)]
+    assert found(spark, rows) == brute(rows)
+    with open(log) as f:
+        assert 0 < sum(map(int, f)) <= 4 * len(rows)
