@@ -53,6 +53,25 @@ def test_absolute_url(apply, origin):
     assert dict(zip(cases, apply(list(cases), lambda c: U.absolute_url(c, origin)))) == cases
 
 
+def test_regular_urls_take_the_short_route_to_the_same_result(spark):
+    """Null, blank, long, repeated and odd URLs: one pattern or all rules, the result is that of the rules."""
+    rng = random.Random(5)
+    parts = ["https:", "http:", "HTTP:", "ftp:", "/", "/", "//", "h", "b.c", "..", ".d", "?", "#", "$x", "$", " ", "\n", "\u00a0", "\u3000", "\ufdd1", "é"]
+    regular = ["https://h/a/b?c//$d", "https://h", "/a", "/", "/a/b/", "http://h/a b/#"]
+    odd = [None, "", "  ", " https://h/a", "/a\u00a0", "//h/a", "/.a/../b", "/a/.", "https://h/a$x", "a/b", "https://", "/a/b" * 20000, "https://h" + "/a" * 20000 + "/.."]
+    mixed = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(2000)]
+    df = spark.createDataFrame([(u,) for u in regular * 2 + odd * 2 + mixed], "u string")
+    for origin in (ORIGIN, "HTTPS://Docs.example.com/x", "ftp://h$0"):
+        slow = lambda v: U._absolute(v, origin)  # noqa: E731, B023
+        left = F.coalesce(slow(U.remove_variables("u")), F.when(F.col("u").isNotNull(), F.lit("")))
+        same = U.absolute_url("u", origin).eqNullSafe(slow(F.col("u"))) & U.strip_vars("u", origin).eqNullSafe(left) & U.strip_vars(F.concat("u"), origin).eqNullSafe(left)
+        assert df.filter(~same).collect() == []
+    assert df.filter(F.col("u").isin(regular) & ~F.col("u").rlike(U._REGULAR)).count() == 0
+    assert df.filter(F.col("u").isin(odd[1:]) & F.col("u").rlike(U._REGULAR)).collect() == df.filter(F.col("u") == odd[11]).collect()
+    plan = df.select(U.absolute_url("u", ORIGIN).alias("a"), U.strip_vars("u", ORIGIN).alias("s"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(U._REGULAR) == 2
+
+
 def test_strip_vars(apply):
     cases = {
         "https://h/a$is_args$args": "https://h/a/",
