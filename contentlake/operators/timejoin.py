@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import known_bytes, materialize, row_count
-from .skew import lookup_join, stored
+from .skew import hot_keys, lookup_join, stored
 
 #: Rows of a block of the time order.
 BLOCK_ROWS = 1_000_000
+#: A key with more intervals than this is crowded: its intervals meet their points by cells.
+FEW_INTERVALS = 64
+#: Points of one key that one task joins by the key alone.
+HOT_POINTS = 250_000
 
 
 def asof_join(
@@ -64,23 +68,43 @@ def _cover(start: Column, end: Column, levels: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), first, step, lambda acc: acc["cells"])
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str) -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, few: int = FEW_INTERVALS) -> DataFrame:
     """All pairs of a point and an interval of its key with start <= at < end; the numbers are integers, a null end is open.
 
-    An interval is dealt to the fewest dyadic cells that fill it, two per level at most, and a point offers its cell of each
-    level that intervals use: an equi join that meets every pair once. Intervals are cut to the range of the points first, so the
-    levels follow that range. A crowded cell is sliced by the join. Points without key or number, and empty intervals, match nothing.
-    Column names of the two sides must differ, but for ``on``.
+    Keys of at most ``few`` intervals are joined by the key alone, so that each point and each interval is sent once and a point
+    is compared with ``few`` intervals at most. Only crowded keys take the way over cells (:func:`_cell_join`), whose work does not grow with
+    the intervals of a key. Both sides are stored, as they are read several times; of the intervals, those that reach into the range of the points.
+    Points without key or number, and empty intervals, match nothing. Column names of the two sides must differ, but for ``on``.
     """
+    columns = [F.col(f"`{c}`") for c in [*points.columns, *[c for c in intervals.columns if c not in on]]]
+    number = lambda c: F.col(c).cast("bigint")
+    points = stored(points.filter(F.col(at).isNotNull()).dropna(subset=on), "interval-points")
     ends = points.agg(F.min(at).cast("bigint").alias("low"), F.max(at).cast("bigint").alias("high")).first()
-    columns = [*points.columns, *[c for c in intervals.columns if c not in on]]
     low, high = ends["low"] or 0, ends["high"] or 0
-    levels = int(high - low + 1).bit_length()
-    a = F.greatest(F.col(start).cast("bigint"), F.lit(low)) - low
-    b = F.least(F.coalesce(F.col(end).cast("bigint"), F.lit(high + 1)), F.lit(high + 1)) - low
-    cells = intervals.filter(F.col(start).isNotNull() & (a < b)).withColumn("_cover", F.explode(_cover(a, b, levels)))
+    a = F.greatest(number(start), F.lit(low)) - low
+    b = F.least(F.coalesce(number(end), F.lit(high + 1)), F.lit(high + 1)) - low
+    spans = stored(intervals.filter(F.col(start).isNotNull() & (a < b)).dropna(subset=on), "intervals")
+    crowded = hot_keys(spans, on, few).select(*[F.col(f"_hot_{k}").alias(k) for k in on])
+    crowded = stored(crowded, "crowded-keys")
+    near_points, near_spans, far = points, spans, None
+    if row_count(crowded):
+        of = lambda df, how: lookup_join(df, crowded, on, how, right_bytes=known_bytes(crowded))
+        near_points, near_spans = of(points, "left_anti"), of(spans, "left_anti")
+        far = _cell_join(of(points, "left_semi"), of(spans, "left_semi"), on, at, a, b, low, int(high - low + 1).bit_length())
+    met = lookup_join(near_points, near_spans, on, "inner", hot_rows=HOT_POINTS, right_bytes=known_bytes(spans), left_rows=row_count(points))
+    near = met.filter((number(start) <= number(at)) & F.coalesce(number(at) < number(end), F.lit(True))).select(*columns)
+    return near if far is None else near.unionByName(far.select(*columns))
+
+
+def _cell_join(points: DataFrame, spans: DataFrame, on: list[str], at: str, a: Column, b: Column, low: int, levels: int) -> DataFrame:
+    """Points with the spans [a, b) that hold them, both counted from ``low``.
+
+    A span is dealt to the fewest dyadic cells that fill it, two per level at most, and a point offers its cell of each
+    level that spans use: an equi join that meets every pair once. A crowded cell is sliced by the join.
+    """
+    cells = spans.withColumn("_cover", F.explode(_cover(a, b, levels)))
     cells = stored(cells.select("*", "_cover.level", "_cover.cell").drop("_cover").withColumnsRenamed({"level": "_level", "cell": "_cell"}), "interval-cells")
     used = sorted(r["_level"] for r in cells.select("_level").distinct().collect())  # at most 64 numbers
-    offered = points.filter(F.col(at).isNotNull()).withColumn("_level", F.explode(F.array(*[F.lit(x) for x in used]).cast("array<int>")))
+    offered = points.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in used]).cast("array<int>")))
     offered = offered.withColumn("_cell", F.expr(f"shiftright(cast(`{at}` as bigint) - {low}L, _level)"))
-    return lookup_join(offered, cells, [*on, "_level", "_cell"], "inner", right_bytes=known_bytes(cells)).select(*[F.col(f"`{c}`") for c in columns])
+    return lookup_join(offered, cells, [*on, "_level", "_cell"], "inner", right_bytes=known_bytes(cells))

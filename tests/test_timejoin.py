@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from contentlake.operators import prefix
+from contentlake.operators import prefix, timejoin
 from contentlake.operators.timejoin import asof_join, interval_join
 
 
@@ -65,3 +65,29 @@ def test_chains(spark, monkeypatch):
     assert got["a0"] == ("a1000", 1000, False) and got["a999"] == ("a1000", 1, False) and got["b"] == ("a1000", 11, False) and got["n"] == (None, 1, False)
     assert {p for p, v in got.items() if v[2]} == {"w", "x", "y", "z", "s"} and got["w"] == ("x", None, True)
     assert prefix.chain_targets(spark.createDataFrame([], "prefix string, target string")).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 20, 64])
+def test_intervals_of_few_and_crowded_keys(spark, few, monkeypatch):
+    """Null keys and numbers, repeated rows, empty and open intervals; all keys crowded, some, and none. Points are sliced above 50 of a key."""
+    monkeypatch.setattr(timejoin, "HOT_POINTS", 50)
+    monkeypatch.setattr(timejoin, "known_bytes", lambda df: 1 << 40)  # no broadcast
+    rng = random.Random(6)
+    points = [(i % 300, rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, *range(50)])) for i in range(400)]
+    spans = [(k, s, rng.choice([None, s, s - 2, s + 1, s + rng.randrange(40)]), n % 70) for k, m in (("a", 20), ("b", 60), ("d", 5), (None, 5)) for n in range(m) for s in [rng.randrange(-20, 70)]]
+    spans += spans[:10] + [("a", None, 5, 1)]
+    left, right = spark.createDataFrame(points, "id int, k string, t int"), spark.createDataFrame(spans, "k string, s int, e int, n int")
+    found = interval_join(left, right, ["k"], "t", "s", "e", few)
+    want = sorted((i, n) for i, k, t in points for key, s, e, n in spans if None not in (k, t, s) and k == key and s <= t and (e is None or t < e))
+    assert sorted((r["id"], r["n"]) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_cell" in plan) == (few < 64) and "_slice" in plan
+
+
+def test_few_intervals_and_points_are_sent_once(spark, monkeypatch):
+    """By the key alone: no row is copied for levels or cells, and no key is counted when all points are few."""
+    monkeypatch.setattr(timejoin, "known_bytes", lambda df: 1 << 40)
+    left = spark.createDataFrame([(i, "k", i) for i in range(100)], "id int, k string, t int")
+    found = interval_join(left, spark.createDataFrame([("k", 0, 97, 7), ("k", 50, None, 8)], "k string, s int, e int, n int"), ["k"], "t", "s", "e")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 147 and "Generate" not in plan and "_level" not in plan and "_slice" not in plan
