@@ -454,3 +454,17 @@ def test_page_totals_do_not_depend_on_parts(spark):
     assert cut.filter("canonical_url = 'u'").count() > 5
     assert {tuple(r) for r in A.page_totals(cut, ["canonical_url", "product"]).collect()} == whole
     assert whole == {("u", "P", 3.0, 40, len("|||".join(r[3] for r in rows[:40] if r[3]))), ("v", "P", 2.0, 1, 0)}
+
+
+def test_redirected_rows_are_read_once(spark):
+    """Null, blank and repeated URLs; the rows are computed for the distinct URLs and not again for the join."""
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda u: seen.add(1) or u, "string").asNondeterministic()
+    urls = ["https://h/a/b/", "https://h/a/b/", "https://h/c/", "", None, None, "https://x/"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, raw string").select("i", mark("raw").alias("url"))
+    rules = spark.createDataFrame([(1, "https://h/", "https://n/"), (2, "https://h/a/", "https://m/")], "ord int, prefix string, target string")
+    moved = prefix.apply_redirects(df, "url", prefix.dedup_rules(rules), "https://docs.example.com", "canonical")
+    got = [tuple(r) for r in moved.orderBy("i").collect()]
+    want = ["https://m/b/", "https://m/b/", "https://n/c/", "", None, None, "https://x/"]
+    assert got == [(i, u, w) for i, (u, w) in enumerate(zip(urls, want))]
+    assert seen.value == len(urls)
